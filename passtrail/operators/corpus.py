@@ -20,15 +20,18 @@ CORPUS_COLUMNS = (
 
 
 def explode_snapshots(manifests: DataFrame) -> DataFrame:
-    """One row per manifest element, with its position in the run's manifest."""
+    """One row per manifest element, with its position in the run's manifest.
+
+    The outer form keeps the optimizer from deriving a size filter that would parse each manifest a second time.
+    """
     return manifests.select(
         "benchmark_name",
         "run_timestamp",
         "snapshot_dir",
         "source_sha256",
         "manifest_part",
-        F.posexplode("snapshots").alias("pos", "s"),
-    ).select(
+        F.posexplode_outer("snapshots").alias("pos", "s"),
+    ).filter("pos is not null").select(
         "benchmark_name",
         "run_timestamp",
         "source_sha256",

@@ -24,7 +24,12 @@ def size_report(corpus: DataFrame) -> DataFrame:
 
 def dialect_counts(corpus: DataFrame) -> DataFrame:
     """Rows that contain each dialect; the dialects of a row are distinct already."""
-    return corpus.select(F.explode("dialects_present").alias("dialect")).groupBy("dialect").agg(F.count("*").alias("n"))
+    return (
+        corpus.select(F.explode_outer("dialects_present").alias("dialect"))
+        .filter("dialect is not null")
+        .groupBy("dialect")
+        .agg(F.count("*").alias("n"))
+    )
 
 
 def dialect_frequency(corpus: DataFrame, top: int = 12) -> DataFrame:

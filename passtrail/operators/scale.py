@@ -26,15 +26,15 @@ def running_total_before(
     if levels == 0:
         before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return rows.withColumn(out, F.coalesce(F.sum(value).over(before), F.lit(0)))
-    block = f"_block{levels}"
+    block, offset = f"_block{levels}", f"_offset{levels}"
     blocked = rows.withColumn(block, F.floor(F.col(order) / width).cast("long"))
     totals = blocked.groupBy(*keys, block).agg(F.sum(value).alias("_total"))
-    offsets = running_total_before(totals, keys, block, "_total", "_offset", width, levels - 1)
+    offsets = running_total_before(totals, keys, block, "_total", offset, width, levels - 1)
     inside = Window.partitionBy(*keys, block).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        blocked.join(offsets.select(*keys, block, "_offset"), [*keys, block])
-        .withColumn(out, F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .drop(block, "_offset")
+        blocked.join(offsets.select(*keys, block, offset), [*keys, block])
+        .withColumn(out, F.col(offset) + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .drop(block, offset)
     )
 
 

@@ -68,13 +68,13 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
     pieces = placed.select(
         run,
         block,
-        (F.col("_before") + F.size("_pieces") - F.col("_headers")).alias("_shift"),
-        F.posexplode("_pieces").alias("_pos", "_piece"),
+        F.posexplode_outer("_pieces").alias("_pos", "_piece"),
         F.col("_before"),
         F.col("_headers"),
         F.size("_pieces").alias("_n"),
     )
-    # At most the first piece of a block has no header, so the piece number gives the snapshot number.
+    # The outer form avoids a derived size filter that would cut the text again; a block without pieces ends at the
+    # index filter below. At most the first piece of a block has no header, so the piece number gives the snapshot number.
     index = F.col("_before") + F.col("_pos") - (F.col("_n") - F.col("_headers"))
     return (
         pieces.withColumn("index", index.cast("int"))

@@ -104,7 +104,8 @@ def functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
     """One row per function with its body; the snapshot text itself is not carried along."""
     keep = [c for c in corpus.columns if c != text]
     found = with_functions(corpus, text)
-    rows = found.select(*keep, "_lines", F.inline("_functions"))
+    # The outer form keeps the optimizer from adding a size filter, which would find the spans a second time.
+    rows = found.select(*keep, "_lines", F.inline_outer("_functions")).filter("ordinal is not null")
     return rows.withColumns(
         {
             "body": F.array_join(span_lines(F.col("_lines"), F.col("start_line"), F.col("end_line")), "\n"),

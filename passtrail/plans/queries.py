@@ -38,7 +38,7 @@ def decode_text(spark, base):
         F.replace("text", F.lit(". "), F.lit(".\r\n")).cast("binary"), F.lit(b"\r\xff"), F.lit("end").cast("binary")
     )
     text = tx.decode_text(content)
-    return views.table(spark, base, "documents").select(
+    return views.documents(spark, base).select(
         "doc_id", tx.sha256_hex(text).alias("sha256"), tx.byte_count(text).alias("bytes"),
         tx.line_count(text).alias("lines"),
     )
@@ -46,13 +46,13 @@ def decode_text(spark, base):
 
 @query
 def line_table(spark, base):
-    return batch.to_lines(views.table(spark, base, "documents"), "doc_id", "text")
+    return batch.to_lines(views.documents(spark, base), "doc_id", "text")
 
 
 @query
 def finish_body(spark, base):
     body = tx.finish_body(F.concat(F.col("text"), F.lit(" \t\n   \n")))
-    return views.table(spark, base, "documents").select(
+    return views.documents(spark, base).select(
         "doc_id", tx.sha256_hex(body).alias("sha256"), tx.byte_count(body).alias("bytes")
     )
 
@@ -61,7 +61,7 @@ def finish_body(spark, base):
 def cap_text(spark, base):
     text = F.col("text")
     return (
-        views.table(spark, base, "documents")
+        views.documents(spark, base)
         .select("doc_id", tx.utf8_cap(text, QUERY_CAP).alias("capped"), tx.is_capped(text, QUERY_CAP).alias("truncated"))
         .select("doc_id", "truncated", tx.sha256_hex(F.col("capped")).alias("sha256"),
                 tx.byte_count(F.col("capped")).alias("bytes"))
@@ -70,7 +70,7 @@ def cap_text(spark, base):
 
 @query
 def dialects(spark, base):
-    return views.table(spark, base, "pages").select(
+    return views.pages(spark, base).select(
         "page_id", F.array_join(ir.dialects(F.col("html")), ",").alias("dialects")
     )
 
@@ -206,8 +206,8 @@ def manifest_roundtrip(spark, base):
     decoded = run_sources.decode_manifests(documents)
     return decoded.select(
         "run_id", "source_sha256", F.col("manifest.snapshots_kept").alias("snapshots_kept"),
-        F.col("manifest.snapshot_count").alias("snapshot_count"), F.inline("manifest.snapshots"),
-    )
+        F.col("manifest.snapshot_count").alias("snapshot_count"), F.inline_outer("manifest.snapshots"),
+    ).filter("index is not null")
 
 
 # Corpus
@@ -289,7 +289,7 @@ def compression_report(spark, base):
 
 
 def _page_dialects(spark, base):
-    return views.table(spark, base, "pages").select(ir.dialects(F.col("html")).alias("dialects_present"))
+    return views.pages(spark, base).select(ir.dialects(F.col("html")).alias("dialects_present"))
 
 
 @query
@@ -435,10 +435,7 @@ def select_source_file(spark, base):
 
 @query
 def function_spans(spark, base):
-    found = spans.with_functions(views.modules(spark, base))
-    return found.select("pass_index", F.inline("_functions")).select(
-        "pass_index", "ordinal", "start_line", "end_line"
-    )
+    return spans.functions(views.modules(spark, base)).select("pass_index", "ordinal", "start_line", "end_line")
 
 
 @query

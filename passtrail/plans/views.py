@@ -9,6 +9,23 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Deal out rows of a scan that has fewer splits than the session has cores; a large scan is left as it is.
+
+    Text operators work inside the row, so their scan is also their parallelism.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def documents(spark: SparkSession, base: str) -> DataFrame:
+    return spread(table(spark, base, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, base: str) -> DataFrame:
+    return spread(table(spark, base, "pages"), "page_id")
+
+
 def snapshots(spark: SparkSession, base: str) -> DataFrame:
     """Conversations as candidate snapshots: twenty benchmarks, one run per conversation, the role as pass."""
     return table(spark, base, "conversations").selectExpr(
@@ -36,7 +53,7 @@ def stream_blocks(spark: SparkSession, base: str) -> DataFrame:
 
 def streams(spark: SparkSession, base: str) -> DataFrame:
     """One dump stream per document: each sentence but the first becomes a snapshot."""
-    return table(spark, base, "documents").selectExpr(
+    return documents(spark, base).selectExpr(
         "doc_id as run_id",
         "'doc-' || doc_id as stream_file",
         "source",
@@ -48,7 +65,7 @@ def streams(spark: SparkSession, base: str) -> DataFrame:
 
 def document_snapshots(spark: SparkSession, base: str) -> DataFrame:
     """Documents as snapshots: the source as benchmark, the language as pass, time stamps with ties."""
-    return table(spark, base, "documents").selectExpr(
+    return documents(spark, base).selectExpr(
         "doc_id",
         "source as benchmark_name",
         "lang as pass_name",
@@ -75,7 +92,7 @@ def modules(spark: SparkSession, base: str) -> DataFrame:
         when 0 then ''
         else '  ' || w end
     """
-    return table(spark, base, "documents").selectExpr(
+    return documents(spark, base).selectExpr(
         "source as benchmark_name",
         "lang as pass_name",
         "cast(doc_id as int) as pass_index",
