@@ -10,8 +10,9 @@ from passtrail.functions.text import BREAKS, INLINE_SPACE, WORD, count_char
 # The banner a compiler prints before each pass dump, and what follows it.
 BANNER = "// -----// IR Dump After "
 HEADER = rf"\A{BANNER}([{WORD}:]+):{INLINE_SPACE}*([{WORD}\-]+){INLINE_SPACE}*\("
-# Zero-width: the places in a stream at which a header line starts.
-HEADER_START = rf"(?:\A|(?<=[{BREAKS}]))(?={HEADER[2:]})"
+# Zero-width: the places in a stream at which a header line starts. The banner is tested before the line start, as almost
+# every place fails on its first character.
+HEADER_START = rf"(?={HEADER[2:]})(?:\A|(?<=[{BREAKS}]))"
 
 # Dotted operation names, run directory names, and signature markers.
 DIALECT = rf"(?<![{WORD}])([a-z_][a-z0-9_]*)\.[a-z_][a-z0-9_]+"
@@ -70,6 +71,11 @@ def is_function_line(line: Column) -> Column:
     return _any_of([F.contains(line, F.lit(m)) for m in FUNCTION_MARKERS])
 
 
+def may_open_or_close(line: Column) -> Column:
+    """Whether a line can matter for function spans at all."""
+    return F.contains(line, F.lit("{")) | F.contains(line, F.lit("}")) | is_function_line(line)
+
+
 def brace_delta(line: Column) -> Column:
     return count_char(line, "{") - count_char(line, "}")
 

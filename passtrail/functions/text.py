@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,16 +12,17 @@ from pyspark.sql import functions as F
 # Character classes for Java regular expressions. Java's own \s, \w and \b are ASCII by default, so the
 # Unicode classes are spelled out. BREAKS are the characters that end a line, SPACE is Unicode white space, WORD is
 # letter, digit or underscore.
-BREAKS = r"\n\x0b\x0c\r\x1c-\x1e\x85\x{2028}\x{2029}"
+BREAKS = r"\n\x0b\x0c\r\x1c\x1d\x1e\x85\x{2028}-\x{2029}"
+RARE_BREAKS = "\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 INLINE_SPACE = rf"[{SPACE}&&[^{BREAKS}]]"
 WORD = r"\p{L}\p{N}_"
 
-_LINE_END = rf"\r\n|[{BREAKS}]"
-_AFTER_LINE_END = r"(?<=[\n\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}])|(?<=\r)(?!\n)"
+_LINE_END = rf"[{BREAKS}](?:(?<=\r)\n)?+"
+_AFTER_LINE_END = rf"(?<=[{BREAKS}])(?<!\r(?=\n))"
 # The look-behind lets a match start only where a white-space run starts, which keeps the scan linear.
-_TRAILING_SPACE = rf"(?<![{SPACE}])[{SPACE}]++\z"
-_FIRST_LINE = rf"\A[^{BREAKS}]*+(?:{_LINE_END})?"
+_TRAILING_SPACE = rf"[{SPACE}](?<![{SPACE}][{SPACE}])[{SPACE}]*+\z"
+_FIRST_LINE = rf"\A[^{BREAKS}]*+(?:{_LINE_END})?+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -35,8 +38,15 @@ def decode_text(content: Column) -> Column:
 
 def splitlines(text: Column, keepends: bool = False) -> Column:
     """Lines of a text as an array; no empty element after a final line end, and no element at all for ''."""
-    parts = F.split(text, _AFTER_LINE_END if keepends else _LINE_END, -1)
-    return let(parts, drop_last_empty)
+    if keepends:
+        return let(F.split(text, _AFTER_LINE_END, -1), drop_last_empty)
+
+    def cut(bound: Column) -> Column:
+        # Nearly all texts end their lines with line feeds only, and splitting at one plain character is much cheaper.
+        rare = reduce(operator.or_, [F.contains(bound, F.lit(c)) for c in RARE_BREAKS])
+        return F.when(rare, F.split(bound, _LINE_END, -1)).otherwise(F.split(bound, "\n", -1))
+
+    return let(let(text, cut), drop_last_empty)
 
 
 def drop_last_empty(lines: Column) -> Column:
@@ -44,7 +54,7 @@ def drop_last_empty(lines: Column) -> Column:
 
 
 def drop_first_line(text: Column) -> Column:
-    return F.regexp_replace(text, _FIRST_LINE, "")
+    return F.substr(text, F.length(F.regexp_extract(text, _FIRST_LINE, 0)) + 1)
 
 
 def rstrip(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.functions import text as tx
-from passtrail.operators.spans import span_lines, with_functions
+from passtrail.operators.spans import parse_functions, span_lines
 
 # Texts that appear in the output.
 MORE_DECLARATIONS = "// ... (%d more type/attr declarations)"
@@ -38,7 +38,7 @@ def trimmed_header(header: Column, keep: int = 8) -> Column:
     return F.concat(F.slice(header, 1, keep), more)
 
 
-def _packed(lines: Column, ordered: Column, budget: Column) -> Column:
+def _pack(lines: Column, ordered: Column, budget: Column) -> Column:
     """Emit functions in order until the line budget is used up; the fold appends at most one block per two lines."""
     kind = "struct<left:int,taken:int,blocks:array<array<string>>>"
     start = F.struct(budget.cast("int").alias("left"), F.lit(0).alias("taken"), F.array().alias("blocks")).cast(kind)
@@ -61,48 +61,56 @@ def _packed(lines: Column, ordered: Column, budget: Column) -> Column:
     return F.aggregate(ordered, start, step)
 
 
+def signal_of(text: Column, max_lines: int) -> Column:
+    """``struct(signal, n_user, n_total)`` of a snapshot text, as one expression over one parse of the text."""
+
+    def key(f: Column) -> Column:
+        return F.struct(
+            f["priority"].alias("priority"),
+            f["ordinal"].alias("ordinal"),
+            f["start_line"].alias("start_line"),
+            f["end_line"].alias("end_line"),
+        )
+
+    def clip_top(parsed: Column) -> Column:
+        return F.array_join(F.slice(parsed["lines"], F.lit(1), F.lit(max_lines)), "\n")
+
+    def assemble(parsed: Column, user: Column) -> Column:
+        first_start = F.coalesce(F.get(parsed["functions"], F.lit(0))["start_line"], F.lit(0))
+        top = trimmed_header(tx.drop_last_empty(F.slice(parsed["lines"], F.lit(1), first_start)))
+
+        def with_top(shown: Column) -> Column:
+            packed = _pack(parsed["lines"], user, F.lit(max_lines) - F.size(shown))
+            return tx.let(packed, lambda p: F.array_join(F.concat(shown, F.flatten(p["blocks"]), omitted(p)), "\n"))
+
+        def omitted(packed: Column) -> Column:
+            left_out = F.size(user) - packed["taken"]
+            return F.when(left_out > 0, F.array(F.format_string(MORE_FUNCTIONS, left_out))).otherwise(
+                F.array().cast("array<string>")
+            )
+
+        return tx.let(F.array_append(top, F.lit("")), with_top)
+
+    def result(parsed: Column) -> Column:
+        user = F.array_sort(F.transform(F.filter(parsed["functions"], lambda f: f["is_user"]), key))
+        return tx.let(
+            user,
+            lambda u: F.struct(
+                F.when(F.size(u) == 0, clip_top(parsed)).otherwise(assemble(parsed, u)).alias("signal"),
+                F.size(u).alias("n_user"),
+                F.size(parsed["functions"]).alias("n_total"),
+            ),
+        )
+
+    return tx.let(parse_functions(text), result)
+
+
 def signal(corpus: DataFrame, max_lines: int = 200, text: str = "ir_text") -> DataFrame:
-    """Add ``signal``, ``n_user`` and ``n_total`` to each snapshot row; ``text`` itself is dropped."""
+    """Replace each snapshot's text by ``signal``, ``n_user`` and ``n_total``."""
     if max_lines < 0:
         raise ValueError("max_lines must not be negative")
-    lines, funcs = F.col("_lines"), F.col("_functions")
-    user = F.filter(
-        F.transform(
-            funcs,
-            lambda f: F.struct(
-                f["priority"].alias("priority"),
-                f["ordinal"].alias("ordinal"),
-                f["start_line"].alias("start_line"),
-                f["end_line"].alias("end_line"),
-                f["is_user"].alias("is_user"),
-            ),
-        ),
-        lambda f: f["is_user"],
-    )
-    rows = with_functions(corpus, text).withColumns(
-        {
-            "_user": F.array_sort(user),
-            "n_total": F.size(funcs),
-            "_header": trimmed_header(
-                tx.drop_last_empty(F.slice(lines, F.lit(1), F.coalesce(F.get(funcs, F.lit(0))["start_line"], F.lit(0))))
-            ),
-        }
-    )
-    rows = rows.withColumn("n_user", F.size("_user")).withColumn(
-        "_packed", _packed(lines, F.col("_user"), F.lit(max_lines) - F.size("_header") - 1)
-    )
-    omitted = F.col("n_user") - F.col("_packed.taken")
-    none = F.array().cast("array<string>")
-    shown = F.concat(
-        F.col("_header"),
-        F.array(F.lit("")),
-        F.flatten("_packed.blocks"),
-        F.when(omitted > 0, F.array(F.format_string(MORE_FUNCTIONS, omitted))).otherwise(none),
-    )
-    chosen = F.when(F.col("n_user") == 0, F.slice(lines, F.lit(1), F.lit(max_lines))).otherwise(shown)
-    return rows.withColumn("signal", F.array_join(chosen, "\n")).drop(
-        text, "_lines", "_functions", "_user", "_header", "_packed"
-    )
+    keep = [c for c in corpus.columns if c != text]
+    return corpus.select(*keep, signal_of(F.col(text), max_lines).alias("_signal")).select(*keep, "_signal.*")
 
 
 def prompts(corpus: DataFrame, max_lines: int = 200, text: str = "ir_text") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,22 +17,24 @@ _SPAN = "struct<start:int,end:int>"
 def span_array(lines: Column) -> Column:
     """Outermost function spans as (start, end) line numbers; a span without its closing brace runs to the last line.
 
-    Only lines that hold a function marker or change the brace depth can alter the state, so the fold steps over those
+    Only lines that hold a function marker or a brace can alter the state, so the fold steps over those
     alone. The found spans are gathered per chunk of steps, which keeps appending to them cheap in texts with very many
     functions.
     """
-    marked = F.transform(
-        lines, lambda x, i: F.struct(i.alias("i"), ir.is_function_line(x).alias("f"), ir.brace_delta(x).alias("d"))
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    relevant = F.filter(numbered, lambda s: ir.may_open_or_close(s["x"]))
+    steps = F.transform(
+        relevant,
+        lambda s: F.struct(
+            s["i"].alias("i"), ir.is_function_line(s["x"]).alias("f"), ir.brace_delta(s["x"]).alias("d")
+        ),
     )
-    steps = F.filter(marked, lambda s: s["f"] | (s["d"] != 0))
 
     def state(start: Column, depth: Column, spans: Column) -> Column:
-        return F.struct(
-            start.cast("int").alias("start"), depth.cast("int").alias("depth"), spans.alias("spans")
-        ).cast(f"struct<start:int,depth:int,spans:array<{_SPAN}>>")
+        return F.struct(start.alias("start"), depth.alias("depth"), spans.alias("spans"))
 
     def span(start: Column, end: Column) -> Column:
-        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")).cast(_SPAN)
+        return F.struct(start.alias("start"), end.alias("end"))
 
     def step(a: Column, s: Column) -> Column:
         opened = a["start"] >= 0
@@ -54,7 +58,7 @@ def span_array(lines: Column) -> Column:
                 r["start"].alias("start"),
                 r["depth"].alias("depth"),
                 F.array_append(a["chunks"], r["spans"]).alias("chunks"),
-            ).cast(outer_type),
+            ),
         )
 
     def finish(a: Column) -> Column:
@@ -72,17 +76,16 @@ def span_array(lines: Column) -> Column:
     return tx.let(steps, fold)
 
 
-def with_lines(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
-    return corpus.withColumn("_lines", tx.splitlines(F.col(text)))
+def parse_functions(text: Column) -> Column:
+    """``struct(lines, functions)`` of a text, functions being (ordinal, start_line, end_line, signature, is_user, priority).
 
+    The lines are bound once inside the expression. Were they a column of their own, a filter on a later column could be
+    pushed below it and would then split the text again for every line.
+    """
 
-def with_functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
-    """Add ``_lines`` and ``_functions``: (ordinal, start_line, end_line, signature, is_user, priority)."""
-    spans = with_lines(corpus, text).withColumn("_spans", span_array(F.col("_lines")))
-
-    def describe(s: Column, i: Column) -> Column:
-        return tx.let(
-            tx.strip(F.get(F.col("_lines"), s["start"])),
+    def describe(lines: Column) -> Callable[[Column, Column], Column]:
+        return lambda s, i: tx.let(
+            tx.strip(F.get(lines, s["start"])),
             lambda sig: F.struct(
                 i.cast("int").alias("ordinal"),
                 s["start"].alias("start_line"),
@@ -93,7 +96,12 @@ def with_functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
             ),
         )
 
-    return spans.withColumn("_functions", F.transform("_spans", describe)).drop("_spans")
+    return tx.let(
+        tx.splitlines(text),
+        lambda lines: F.struct(
+            lines.alias("lines"), F.transform(span_array(lines), describe(lines)).alias("functions")
+        ),
+    )
 
 
 def span_lines(lines: Column, start: Column, end: Column) -> Column:
@@ -103,15 +111,23 @@ def span_lines(lines: Column, start: Column, end: Column) -> Column:
 def functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
     """One row per function with its body; the snapshot text itself is not carried along."""
     keep = [c for c in corpus.columns if c != text]
-    found = with_functions(corpus, text)
-    # The outer form keeps the optimizer from adding a size filter, which would find the spans a second time.
-    rows = found.select(*keep, "_lines", F.inline_outer("_functions")).filter("ordinal is not null")
-    return rows.withColumns(
-        {
-            "body": F.array_join(span_lines(F.col("_lines"), F.col("start_line"), F.col("end_line")), "\n"),
-            "n_lines": F.col("end_line") - F.col("start_line") + 1,
-        }
-    ).drop("_lines")
+
+    def with_body(parsed: Column) -> Column:
+        return F.transform(
+            parsed["functions"],
+            lambda f: F.struct(
+                f["ordinal"].alias("ordinal"),
+                f["start_line"].alias("start_line"),
+                f["end_line"].alias("end_line"),
+                f["signature"].alias("signature"),
+                f["is_user"].alias("is_user"),
+                f["priority"].alias("priority"),
+                F.array_join(span_lines(parsed["lines"], f["start_line"], f["end_line"]), "\n").alias("body"),
+                (f["end_line"] - f["start_line"] + 1).alias("n_lines"),
+            ),
+        )
+
+    return corpus.select(*keep, F.inline(tx.let(parse_functions(F.col(text)), with_body)))
 
 
 def user_functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
@@ -119,11 +135,13 @@ def user_functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
     return functions(corpus, text).filter("is_user")
 
 
+def user_count(functions_: Column) -> Column:
+    return F.size(F.filter(functions_, lambda f: f["is_user"]))
+
+
 def function_counts(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
-    found = with_functions(corpus, text)
-    return found.withColumns(
-        {
-            "n_user": F.size(F.filter("_functions", lambda f: f["is_user"])),
-            "n_total": F.size("_functions"),
-        }
-    ).drop("_functions", "_lines")
+    counts = tx.let(
+        parse_functions(F.col(text))["functions"],
+        lambda fs: F.struct(user_count(fs).alias("n_user"), F.size(fs).alias("n_total")),
+    )
+    return corpus.withColumn("_counts", counts).select(*corpus.columns, "_counts.*")

@@ -37,8 +37,11 @@ def decode_manifests(documents: DataFrame, raw: str = "raw") -> DataFrame:
 
     The hash is '' only where its key is absent; an explicit null stays null.
     """
-    valid = F.try_parse_json(raw).isNotNull() & F.json_object_keys(raw).isNotNull()
     keys = F.json_object_keys(raw)
+    # The parser stops after the first value. Read as the elements of an array, a document with more text after it is
+    # either broken or has a second element.
+    elements = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    valid = keys.isNotNull() & elements.isNotNull() & F.variant_get(elements, "$[1]", "variant").isNull()
     return (
         documents.withColumn("manifest", F.when(valid, parse_manifest(F.col(raw))))
         .withColumn("manifest", F.when(F.col("manifest._corrupt").isNull(), F.col("manifest")))

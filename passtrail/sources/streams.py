@@ -34,19 +34,12 @@ def read_streams(spark: SparkSession, root: str, name_glob: str = "snapshot-stre
     )
 
 
-def read_stream_blocks(
-    spark: SparkSession, root: str, name_glob: str = "snapshot-stream.txt", depth: int = 1
-) -> DataFrame:
-    """(run_id, block, text): dump streams cut into numbered blocks of whole lines, however large a file is.
-
-    The text source cuts records at line starts that carry the dump banner, so that one file is read by many tasks. A
-    record's number is its file split's offset and its place in the split. ``segment_blocks`` puts the pieces together.
-    """
-    separator = "\n" + ir.BANNER
-    records = (
+def stream_records(spark: SparkSession, root: str, name_glob: str = "snapshot-stream.txt") -> DataFrame:
+    """Records of dump streams, cut where a line starts with the dump banner; large files are read by many tasks."""
+    return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name_glob)
-        .option("lineSep", separator)
+        .option("lineSep", "\n" + ir.BANNER)
         .text(root)
         .select(
             F.col("_metadata.file_path").alias("file"),
@@ -55,6 +48,16 @@ def read_stream_blocks(
             "value",
         )
     )
+
+
+def read_stream_blocks(
+    spark: SparkSession, root: str, name_glob: str = "snapshot-stream.txt", depth: int = 1
+) -> DataFrame:
+    """(run_id, block, text): dump streams cut into numbered blocks of whole lines, however large a file is.
+
+    A block's number is its file split's offset and its place in the split. ``segment_blocks`` puts the pieces together.
+    """
+    records = stream_records(spark, root, name_glob)
     in_split = Window.partitionBy("file", "split").orderBy("id")
     numbered = records.withColumn("nth", F.row_number().over(in_split) - 1)
     # A file's first record has lost no banner. Every record but a file's last has lost a line feed; one more at the very
