@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from passtrail.functions import batch as bx
@@ -40,14 +40,37 @@ def last_lines(lines: DataFrame, run: str = "run_id", n: int = 20) -> DataFrame:
 
 
 def failure_excerpt(lines: DataFrame, run: str = "run_id", head: int = 10, tail: int = 20) -> DataFrame:
-    """First diagnostics of a failed run, or its last raw lines where there are none. Ranks follow line order."""
-    shown = first_diagnostics(diagnostics(lines, run), run, head)
-    ended = last_lines(lines, run, tail)
-    silent = ended.join(shown.select(run).distinct(), run, "left_anti")
-    # At most ``tail`` rows per run are left here.
-    ordered = silent.withColumn("rank", F.count("*").over(Window.partitionBy(run)) - F.col("rank") + 1)
-    return shown.withColumn("kind", F.lit("diagnostic")).unionByName(
-        ordered.withColumn("kind", F.lit("raw")).withColumn("rank", F.col("rank").cast("int"))
+    """First diagnostics of a failed run, or its last raw lines where there are none. Ranks follow line order.
+
+    Every line is a candidate for the tail and may be one for the diagnostics; both are cut to their limits in one pass,
+    before anything is shuffled.
+    """
+    line = F.col("line")
+    place = F.col("line_no").cast("long")
+
+    def entry(kind: str, group_no: int, order: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(group_no).alias("group_no"), order.alias("place"))
+
+    entries = F.filter(
+        F.array(
+            F.when(line.rlike(bx.DIAGNOSTIC), entry("diagnostic", 0, place)),
+            F.when(line.rlike(bx.INCLUDE_TRACE), entry("diagnostic", 1, place)),
+            entry("raw", 2, -place),
+        ),
+        lambda e: e.isNotNull(),
+    )
+    offered = lines.select(run, "line", F.inline(entries))
+    rank = F.row_number().over(Window.partitionBy(run, "kind").orderBy("group_no", "place"))
+    short = offered.withColumn("rank", rank).filter(F.col("rank") <= max(head, tail))
+    short = short.filter(F.col("rank") <= F.when(F.col("kind") == "raw", tail).otherwise(head))
+    # At most head + tail rows per run are left for the windows below.
+    known = F.max(F.col("kind") == "diagnostic").over(Window.partitionBy(run))
+    size = F.count("*").over(Window.partitionBy(run, "kind")).cast("int")
+    forward = F.when(F.col("kind") == "raw", size - F.col("rank") + 1).otherwise(F.col("rank"))
+    return (
+        short.withColumns({"_known": known, "rank": forward})
+        .filter(F.col("_known") == (F.col("kind") == "diagnostic"))
+        .select(run, "rank", "line", "kind")
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from passtrail.operators.scale import keep_by_key
+
 
 def parent_links(corpus: DataFrame) -> DataFrame:
     """Each row with its parent in the same benchmark and a link kind: root, linked or dangling.
@@ -46,6 +48,12 @@ def chain_report(corpus: DataFrame) -> DataFrame:
     )
 
 
+def of_latest_run(rows: DataFrame, latest: DataFrame) -> DataFrame:
+    """Rows keyed by ``run_id``, those of each benchmark's latest run only, keyed by ``benchmark``."""
+    wanted = latest.select(F.col("run_dir").alias("run_id"), F.col("benchmark_name").alias("benchmark"))
+    return keep_by_key(rows, wanted, "run_id").drop("run_id")
+
+
 def latest_run(runs: DataFrame, modified: str = "modified") -> DataFrame:
     """The run directory last modified, per parsed benchmark name."""
     return runs.groupBy("benchmark_name").agg(

@@ -6,6 +6,7 @@ axis into bounded blocks, so that a window never holds more than one block.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -14,6 +15,23 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def settle(rows: DataFrame) -> DataFrame:
+    """Store narrow rows that were derived from texts and are used more than once, so that the texts are read once.
+
+    The rows go to the cluster's shared checkpoint folder and survive a lost executor. Only a local session without such
+    a folder gets one of its own; a cluster without one computes the rows again at each use.
+    """
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="passtrail-")
+        if folder is None:
+            return rows
+        context.setCheckpointDir(folder)
+    return rows.checkpoint()
+
+
 def running_total_before(
     rows: DataFrame, keys: Sequence[str], order: str, value: str, out: str, width: int = 4096, levels: int = 2
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
-from passtrail.operators.scale import previous_by_index, running_total_before
+from passtrail.operators.scale import previous_by_index, running_total_before, settle
 
 SNAPSHOT_COLUMNS = ("index", "pass_class", "pass_name", "filename", "bytes", "lines", "sha256", "parent_sha256")
 
@@ -59,23 +59,22 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
     """Snapshots of streams that arrive in numbered blocks of whole lines, for streams too large for one value.
 
     A block's text before its first header belongs to the snapshot that was open when the block began, so each block
-    needs the number of headers in earlier blocks; that count moves without the text.
+    needs the number of headers in earlier blocks. The counts are taken in one pass over the texts and added up without
+    them; a second pass cuts the texts.
     """
-    cut = blocks.select(run, block, F.filter(_pieces(F.col(text)), lambda p: p != "").alias("_pieces"))
-    cut = cut.withColumn("_headers", F.size(F.filter("_pieces", ir.is_header)))
-    before = running_total_before(cut.select(run, block, "_headers"), [run], block, "_headers", "_before")
-    placed = cut.join(before.select(run, block, "_before"), [run, block])
-    pieces = placed.select(
-        run,
-        block,
-        F.posexplode_outer("_pieces").alias("_pos", "_piece"),
-        F.col("_before"),
-        F.col("_headers"),
-        F.size("_pieces").alias("_n"),
+    counted = settle(blocks.select(run, block, F.regexp_count(text, F.lit(ir.HEADER_START)).alias("_headers")))
+    before = running_total_before(counted, [run], block, "_headers", "_before")
+    placed = blocks.select(run, block, F.col(text).alias("_text")).join(
+        before.select(run, block, "_before", "_headers"), [run, block]
     )
-    # The outer form avoids a derived size filter that would cut the text again; a block without pieces ends at the
-    # index filter below. At most the first piece of a block has no header, so the piece number gives the snapshot number.
-    index = F.col("_before") + F.col("_pos") - (F.col("_n") - F.col("_headers"))
+    pieces = F.filter(_pieces(F.col("_text")), lambda p: p != "")
+    # At most the first piece of a block has no header, so a piece's place from the end gives its snapshot number.
+    numbered = tx.let(
+        pieces,
+        lambda ps: F.transform(ps, lambda p, i: F.struct((i - F.size(ps)).alias("from_end"), p.alias("piece"))),
+    )
+    pieces = placed.select(run, block, "_before", "_headers", F.inline(numbered).alias("_from_end", "_piece"))
+    index = F.col("_before") + F.col("_headers") + F.col("_from_end")
     return (
         pieces.withColumn("index", index.cast("int"))
         .filter("index >= 0")

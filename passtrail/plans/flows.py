@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.operators import batch, packing, reports, scale, segments, validity
+from passtrail.operators import batch, chain, packing, reports, scale, segments, validity
 from passtrail.operators import corpus as cp
 from passtrail.sinks import tables as sinks
 from passtrail.sources import runs, streams, tables
@@ -51,6 +51,7 @@ def corpus_from_runs(
     so that the shuffle by path carries capped texts.
     """
     survivors = cp.dedup_latest(candidates(spark, root)).drop("manifest_pos", "filename", "roundtrip_status")
+    survivors = scale.settle(survivors)
     texts = runs.snapshot_texts(spark, root)
     columns = cp.text_columns("text", cap_bytes)
     if scale.fits_broadcast(survivors, broadcast_bytes):
@@ -107,6 +108,22 @@ def prompt_rows(
     return packing.prompts(needed, max_lines)
 
 
+def summarize_batch(
+    spark: SparkSession, attempts: DataFrame, logs_root: str, runs_root: str, timeout_seconds: int = 60
+) -> DataFrame:
+    """Summary rows of a batch from its logs and from the files in each benchmark's latest run directory."""
+    latest = chain.latest_run(runs.run_times(spark, runs_root))
+    compile_errors = streams.read_run_lines(spark, runs_root, "compile-errors.txt").withColumn("group_no", F.lit(0))
+    roundtrip = streams.read_run_lines(spark, runs_root, "roundtrip.log")
+    return batch.outcome_rows(
+        attempts,
+        streams.read_logs(spark, logs_root),
+        chain.of_latest_run(compile_errors, latest),
+        chain.of_latest_run(roundtrip, latest),
+        timeout_seconds,
+    )
+
+
 def batch_report(summary: DataFrame) -> dict[str, DataFrame]:
     return {
         "status": reports.status_breakdown(summary),

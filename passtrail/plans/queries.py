@@ -327,7 +327,10 @@ def lookup_first(spark, base):
 
 
 def _linked_corpus(spark, base):
-    return cp.dedup_latest(_candidates(spark, base)).withColumnRenamed("sha256", "ir_sha256")
+    latest = cp.dedup_latest(_candidates(spark, base)).withColumnRenamed("sha256", "ir_sha256")
+    return scale.settle(
+        latest.select("benchmark_name", "pass_name", "pass_index", "run_timestamp", "ir_sha256", "parent_sha256")
+    )
 
 
 @query

@@ -82,6 +82,12 @@ def rejected_manifests(spark: SparkSession, root: str) -> DataFrame:
     return read_manifest_documents(spark, root).filter("manifest is null").select("path", "run_dir", "raw")
 
 
+def run_times(spark: SparkSession, root: str) -> DataFrame:
+    """(run_dir, benchmark_name, run_timestamp, modified) of run directories, by the newest file directly in each."""
+    files = read_files(spark, root, "*").select(run_dir_of(F.col("path"), 1).alias("run_dir"), "modificationTime")
+    return scan_runs(files.groupBy("run_dir").agg(F.max("modificationTime").alias("modified")))
+
+
 def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
     """Paths of all snapshot files; no content is read."""
     return read_files(spark, root, "*").select("path")

@@ -1,0 +1 @@
+"""Empty on purpose: the work is batch only, so there are no watermarks, windows over time or state to provide."""

@@ -250,3 +250,39 @@ def test_latest_run_by_parsed_name(spark):
     assert {r.benchmark_name: r.run_dir for r in found} == {
         "foo": "foo-20240102-000000", "foo-bar": "foo-bar-20240101-000000"
     }
+
+
+def test_batch_summary_from_files(spark, tmp_path):
+    import os
+
+    logs, tree = tmp_path / "logs", tmp_path / "runs"
+    logs.mkdir()
+    old, new = "20240101-000000", "20240102-000000"
+    files = {
+        f"bad-{old}/compile-errors.txt": "old: error: no\n", f"bad-{new}/compile-errors.txt": 'x.cu:1: error: "a", b\nmore\n',
+        f"bad-more-{new}/compile-errors.txt": "other: error: c\n", f"rt-{new}/roundtrip.log": "OK   00_a.mlir\nDROP 01_b.mlir (r)\n",
+        f"good-{new}/driver.log": "x\n",
+    }
+    for number, (name, text) in enumerate(sorted(files.items())):
+        (tree / name).parent.mkdir(parents=True, exist_ok=True)
+        (tree / name).write_text(text)
+        os.utime(tree / name, (1_700_000_000 + number, 1_700_000_000 + number))
+    texts = {
+        "good": "Parsed 5 snapshots into x\nparser exit=0, snapshots=5\n", "bad": "error: late\n", "rt": "Parsed 3 snapshots\n",
+        "slow": "x\n", "drv": "note\nerror: could not\n", "odd": "a: error: b\n", "parse": "no parser here\n", "part": "2 snapshots\n",
+    }
+    for name, text in texts.items():
+        (logs / f"{name}.log").write_text(text)
+    codes = {"good": 0, "drv": 1, "bad": 2, "parse": 3, "rt": 4, "part": 5, "slow": 124, "odd": 99}
+    attempts = spark.createDataFrame(
+        [(n, c, 100, 107) for n, c in codes.items()], "benchmark string, exit_code int, start_epoch long, end_epoch long"
+    )
+    rows = flows.summarize_batch(spark, attempts, str(logs), str(tree)).collect()
+    got = {r.benchmark: (r.status, r.snapshots, r.first_error) for r in rows}
+    assert got == {
+        "good": ("success", 5, ""), "drv": ("driver_error", 0, "error: could not"),
+        "bad": ("compile_fail", 0, "x.cu:1: error: a; b"), "parse": ("parse_fail", 0, "no parser here"),
+        "rt": ("roundtrip_fail", 3, "DROP 01_b.mlir (r)"), "part": ("partial_kept", 2, ""),
+        "slow": ("timeout", 0, "killed after 60s"), "odd": ("unknown_99", 0, "a: error: b"),
+    }
+    assert {r.wall_seconds for r in rows} == {7}
