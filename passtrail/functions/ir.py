@@ -14,8 +14,9 @@ HEADER = rf"\A{BANNER}([{WORD}:]+):{INLINE_SPACE}*([{WORD}\-]+){INLINE_SPACE}*\(
 # every place fails on its first character.
 HEADER_START = rf"(?={HEADER[2:]})(?:\A|(?<=[{BREAKS}]))"
 
-# Dotted operation names, run directory names, and signature markers.
-DIALECT = rf"(?<![{WORD}])([a-z_][a-z0-9_]*)\.[a-z_][a-z0-9_]+"
+# Dotted operation names, run directory names, and signature markers. Java looks behind by whole code points
+# only where the group itself holds a letter beyond the basic plane, hence the (redundant) mathematical A.
+DIALECT = rf"(?<![{WORD}{chr(0x1D400)}])([a-z_][a-z0-9_]*)\.[a-z_][a-z0-9_]+"
 RUN_DIR = r"(?d)\A(.+)-(\p{Nd}{8}-\p{Nd}{6})\n?\z"
 FUNCTION_MARKERS = ("cir.func", "llvm.func")
 KERNEL_MARKERS = ("device_stub", "cudalaunch", "kernel")

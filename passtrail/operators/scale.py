@@ -78,7 +78,8 @@ def keep_by_key(wide: DataFrame, keys: DataFrame, on: str, limit_bytes: int = BR
     """Join wide rows (whole texts) to the selected key rows without shuffling the wide side while that is safe.
 
     The key side is measured first. Up to ``limit_bytes`` it is broadcast, so texts that were not selected are dropped
-    where they were read. Beyond that the join shuffles on ``on``, which is unique and therefore balanced.
+    where they were read. Beyond that the join shuffles on ``on``, which is unique in ``keys``; a value that many wide
+    rows share is split by the adaptive skew join.
     """
     return wide.join(F.broadcast(keys) if fits_broadcast(keys, limit_bytes) else keys, on)
 

@@ -43,15 +43,16 @@ def corpus_from_runs(
     source_lang: str = cp.SOURCE_LANG,
     cap_bytes: int = cp.CAP_BYTES,
     broadcast_bytes: int = scale.BROADCAST_BYTES,
+    found: DataFrame | None = None,
 ) -> DataFrame:
-    """A run tree to corpus rows.
+    """A run tree to corpus rows; ``found`` are its candidates, if they have been stored already.
 
     Survivors are chosen on metadata. Where their paths are few enough to broadcast, superseded texts are dropped as they
     are read and only survivors are hashed and scanned. Beyond that the texts are measured and capped in the reading task,
     so that the shuffle by path carries capped texts.
     """
-    survivors = cp.dedup_latest(candidates(spark, root)).drop("manifest_pos", "filename", "roundtrip_status")
-    survivors = scale.settle(survivors)
+    found = scale.settle(candidates(spark, root)) if found is None else found
+    survivors = cp.dedup_latest(found).drop("manifest_pos", "filename", "roundtrip_status")
     texts = runs.snapshot_texts(spark, root)
     columns = cp.text_columns("text", cap_bytes)
     if scale.fits_broadcast(survivors, broadcast_bytes):
@@ -86,10 +87,10 @@ def build_corpus(
     computed from the run tree. A run tree without a valid snapshot is an error.
     """
     stamp = ingest_utc or ingest_stamp()
-    found = candidates(spark, root)
+    found = scale.settle(candidates(spark, root))
     if found.isEmpty():
         raise ValueError(f"no snapshots to write below {root}")
-    rows = corpus_from_runs(spark, root, stamp, source_lang, cap_bytes)
+    rows = corpus_from_runs(spark, root, stamp, source_lang, cap_bytes, found=found)
     if not dry_run:
         sinks.write_corpus(rows, out)
         # Benchmarks of earlier jobs keep their partitions; they are not part of this job's reports.

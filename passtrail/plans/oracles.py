@@ -126,7 +126,7 @@ _LISTING = """listing as (
 
 _MODULE_LINE = """case length(w) % 10
     when 8 then
-      case when left(w, 1) in ('e', 't') then 'cir.func @main_' when left(w, 1) in ('s', 'd') then 'llvm.func @_ZNSt3'
+      case when left(w, 1) in ('e', 't') then 'cir.func @main_' when left(w, 1) in ('s', 'd') then 'llvm.func @_ZSt3'
            when left(w, 1) in ('a', 'é') then '  cir.func @kernel_'
            when left(w, 1) in ('i', 'o') then 'llvm.func private @cudaLaunch_' else 'cir.func @helper_' end
       || w || case when right(w, 1) in ('n', 'e', 't', 'r') then ' {' else '()' end

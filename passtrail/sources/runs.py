@@ -94,5 +94,10 @@ def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def snapshot_texts(spark: SparkSession, root: str) -> DataFrame:
-    """(path, text) of snapshot files."""
-    return read_files(spark, root, "*").select("path", tx.decode_text(F.col("content")).alias("text"))
+    """(path, text) of snapshot files.
+
+    Only the snapshot folders are loaded: a filter by path would come after the content of the dump streams and logs that
+    lie next to them had been read.
+    """
+    files = spark.read.format("binaryFile").load(f"{root}/*/snapshots")
+    return files.select("path", tx.decode_text(F.col("content")).alias("text"))

@@ -8,8 +8,8 @@ ALPHABET = [
     "// -----// IR Dump After ", "x: y (m)",
     # line and paragraph separator, em space, narrow no-break space, ideographic space
     *map(chr, (0x2028, 0x2029, 0x2003, 0x202F, 0x3000)),
-    # a three-byte and a four-byte character, a combining accent, an Arabic digit, a Roman numeral
-    *map(chr, (0x4E2D, 0x1F600, 0x301, 0x663, 0x2167)),
+    # three- and four-byte characters, one of them a letter, a combining accent, an Arabic digit, a Roman numeral
+    *map(chr, (0x4E2D, 0x1F600, 0x1D400, 0x301, 0x663, 0x2167)),
 ]
 
 

@@ -68,7 +68,7 @@ def test_cap_keeps_whole_characters(spark):
 
 def test_dialects(spark):
     values = strings.texts(600, 20, seed=5, alphabet=["a", "bb", "_", "9", ".", "A", " ", "\xe9", chr(0x301), chr(0x663), "\n", "cir", "x.y"])
-    values += ["main.cu", "a.bb.cc", "a.b", "z.aa y.aa z.bb", "é.aa", "9a.bb"]
+    values += [chr(0x1D400) + "ab.cd", chr(0x1F600) + "ab.cd", chr(0x10400) + "_x.yy", "main.cu", "a.bb.cc", "a.b", "z.aa y.aa z.bb", "é.aa", "9a.bb"]
     pattern = re.compile(r"\b([a-z_][a-z0-9_]*)\.[a-z_][a-z0-9_]+")
     got = strings.column(spark, values, {"d": ir.dialects(T), "short": ir.dialects(T, 6)})
     for value, row in zip(values, got):
