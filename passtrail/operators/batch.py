@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,44 +76,110 @@ def failure_excerpt(lines: DataFrame, run: str = "run_id", head: int = 10, tail:
     )
 
 
-def _first(condition, line: str = "line", order=None):
-    order = F.col("line_no") if order is None else order
-    return F.min_by(F.when(condition, F.col(line)), F.when(condition, order))
+def diagnostics_of(text: Column) -> Column:
+    """Diagnostics of one whole text as an array of (group_no, line_no, line), in the order they are listed."""
+
+    def matching(lines: Column, pattern: str, group_no: int) -> Column:
+        numbered = F.transform(
+            lines, lambda x, i: F.struct(F.lit(group_no).alias("group_no"), i.alias("line_no"), x.alias("line"))
+        )
+        return F.filter(numbered, lambda e: e["line"].rlike(pattern))
+
+    return tx.let(
+        tx.splitlines(text),
+        lambda lines: F.concat(matching(lines, bx.DIAGNOSTIC, 0), matching(lines, bx.INCLUDE_TRACE, 1)),
+    )
+
+
+def excerpt_of(text: Column, head: int = 10, tail: int = 20) -> Column:
+    """What to show of one failed run's text: ``struct(kind, lines)`` with its first diagnostics or its last raw lines.
+
+    The row-wise form of ``failure_excerpt``, for texts that are read whole: nothing is exploded, sorted or shuffled.
+    """
+
+    def show(lines: Column) -> Column:
+        found = F.concat(
+            F.filter(lines, lambda x: x.rlike(bx.DIAGNOSTIC)), F.filter(lines, lambda x: x.rlike(bx.INCLUDE_TRACE))
+        )
+        return tx.let(
+            found,
+            lambda hits: F.when(
+                F.size(hits) > 0,
+                F.struct(F.lit("diagnostic").alias("kind"), F.slice(hits, 1, head).alias("lines")),
+            ).otherwise(
+                F.struct(
+                    F.lit("raw").alias("kind"),
+                    F.slice(lines, F.greatest(F.size(lines) - tail, F.lit(0)) + 1, F.lit(tail)).alias("lines"),
+                )
+            ),
+        )
+
+    return tx.let(tx.splitlines(text), show)
+
+
+# What is looked for in a log, as predicates on a line.
+_LOG_MARKS = {
+    "first_driver_error": lambda line: line.startswith("error:"),
+    "first_parse_error": lambda line: F.contains(line, F.lit("parser")) | F.contains(line, F.lit("error")),
+    "first_any_error": lambda line: F.contains(line, F.lit("error:")),
+}
+
+
+def _first(condition: Column, line: str = "line") -> Column:
+    return F.min_by(F.when(condition, F.col(line)), F.when(condition, F.col("line_no")))
 
 
 def log_facts(log_lines: DataFrame, key: str = "benchmark") -> DataFrame:
-    """First lines of interest in each benchmark's log, all taken in one aggregate."""
+    """First lines of interest in each benchmark's log, from a line table, all taken in one aggregate."""
     line = F.col("line")
     count = bx.snapshot_count_in(line)
     return log_lines.groupBy(key).agg(
-        _first(line.startswith("error:")).alias("first_driver_error"),
-        _first(line.rlike("parser|error")).alias("first_parse_error"),
-        _first(line.contains("error:")).alias("first_any_error"),
+        *[_first(mark(line)).alias(name) for name, mark in _LOG_MARKS.items()],
         F.min_by(count, F.when(count.isNotNull(), F.col("line_no"))).alias("counted_snapshots"),
     )
 
 
+def first_line_of(text: Column, mark: Callable[[Column], Column]) -> Column:
+    return F.get(F.filter(tx.splitlines(text), mark), F.lit(0))
+
+
+def log_facts_of(text: Column) -> Column:
+    """The facts of one whole log text as a struct, without a line table."""
+
+    def gather(lines: Column) -> Column:
+        first = [F.get(F.filter(lines, mark), F.lit(0)).alias(name) for name, mark in _LOG_MARKS.items()]
+        counts = F.filter(F.transform(lines, bx.snapshot_count_in), lambda n: n.isNotNull())
+        return F.struct(*first, F.get(counts, F.lit(0)).alias("counted_snapshots"))
+
+    return tx.let(tx.splitlines(text), gather)
+
+
+def first_diagnostic(found: DataFrame, key: str = "benchmark") -> DataFrame:
+    return found.groupBy(key).agg(F.min_by("line", F.struct("group_no", "line_no")).alias("first_diagnostic"))
+
+
+def is_dropped_line(line: Column) -> Column:
+    return line.startswith("DROP")
+
+
+def first_dropped(roundtrip_lines: DataFrame, key: str = "benchmark") -> DataFrame:
+    return roundtrip_lines.groupBy(key).agg(_first(is_dropped_line(F.col("line"))).alias("first_dropped"))
+
+
 def outcome_rows(
     attempts: DataFrame,
-    log_lines: DataFrame,
-    found_diagnostics: DataFrame,
-    roundtrip_lines: DataFrame,
+    facts: DataFrame,
+    compile_errors: DataFrame,
+    roundtrip_errors: DataFrame,
     timeout_seconds: int = 60,
 ) -> DataFrame:
     """Summary rows of a batch.
 
-    ``attempts`` has (benchmark, exit_code, start_epoch, end_epoch); the other tables are keyed by benchmark and hold the
-    benchmark's log lines and the diagnostics and round-trip lines of its latest run.
+    ``attempts`` has (benchmark, exit_code, start_epoch, end_epoch). The others have one narrow row per benchmark: facts of
+    its log, and ``first_diagnostic`` and ``first_dropped`` of its latest run.
     """
-    facts = log_facts(log_lines)
-    compile_first = found_diagnostics.groupBy("benchmark").agg(
-        F.min_by("line", F.struct("group_no", "line_no")).alias("first_diagnostic")
-    )
-    dropped_first = roundtrip_lines.groupBy("benchmark").agg(
-        _first(F.col("line").startswith("DROP")).alias("first_dropped")
-    )
     rows = attempts.withColumn("status", bx.status_of(F.col("exit_code")))
-    for extra in (facts, compile_first, dropped_first):
+    for extra in (facts, compile_errors, roundtrip_errors):
         rows = rows.join(extra, "benchmark", "left")
     status = F.col("status")
     specific = (

@@ -112,15 +112,24 @@ def prompt_rows(
 def summarize_batch(
     spark: SparkSession, attempts: DataFrame, logs_root: str, runs_root: str, timeout_seconds: int = 60
 ) -> DataFrame:
-    """Summary rows of a batch from its logs and from the files in each benchmark's latest run directory."""
+    """Summary rows of a batch from its logs and from the files in each benchmark's latest run directory.
+
+    Each file is reduced to its few lines of interest where it is read; only those are joined.
+    """
     latest = chain.latest_run(runs.run_times(spark, runs_root))
-    compile_errors = streams.read_run_lines(spark, runs_root, "compile-errors.txt").withColumn("group_no", F.lit(0))
-    roundtrip = streams.read_run_lines(spark, runs_root, "roundtrip.log")
+    text = F.col("text")
+    logs = streams.read_log_texts(spark, logs_root).select("benchmark", batch.log_facts_of(text).alias("_facts"))
+    compiled = streams.read_run_texts(spark, runs_root, "compile-errors.txt").select(
+        "run_id", batch.first_line_of(text, lambda line: F.lit(True)).alias("first_diagnostic")
+    )
+    checked = streams.read_run_texts(spark, runs_root, "roundtrip.log").select(
+        "run_id", batch.first_line_of(text, batch.is_dropped_line).alias("first_dropped")
+    )
     return batch.outcome_rows(
         attempts,
-        streams.read_logs(spark, logs_root),
-        chain.of_latest_run(compile_errors, latest),
-        chain.of_latest_run(roundtrip, latest),
+        logs.select("benchmark", "_facts.*"),
+        chain.of_latest_run(compiled, latest),
+        chain.of_latest_run(checked, latest),
         timeout_seconds,
     )
 

@@ -117,6 +117,28 @@ facts as (
       filter (where regexp_matches(line, '[0-9]+ snapshots')) as counted_snapshots
   from log group by benchmark)"""
 
+_LOG_TEXT = """log as (
+  select doc_id as run_id, array_to_string(list_transform(string_split(text, ' '), lambda w, j: case length(w) % 17
+    when 12 then 'f.cu:' || (j - 1) || ': error: bad ' || w
+    when 13 then 'In file included from ' || w || '.h'
+    when 14 then 'a.h:1: warning: ' || w
+    when 15 then (j - 1) || ' errors generated.'
+    when 16 then 'Parsed ' || (j - 1) || ' snapshots into ' || w
+    when 11 then 'error: driver ' || w
+    when 10 then 'the parser said ' || w
+    else 'note ' || w end), chr(10)) as text
+  from documents),
+whole as (
+  select run_id, string_split(case when ends_with(text, chr(10)) then left(text, length(text) - 1) else text end, chr(10))
+    as lines from log),
+line as (
+  select run_id, unnest(lines) as line, cast(generate_subscripts(lines, 1) - 1 as integer) as line_no from whole),
+diag as (
+  select run_id, 0 as group_no, line_no, line from line
+  where regexp_matches(line, '(error|fatal error|warning): |errors generated')
+  union all
+  select run_id, 1, line_no, line from line where line like 'In file included from %')"""
+
 _LISTING = """listing as (
   select 'p' || (p_partkey % 900) || case when p_partkey % 900 % 4 = 3 then '-omp' else '-cuda' end as benchmark,
     case p_partkey % 7 when 0 then 'main.cu' when 1 then 'src/main.cu' when 2 then 'lib/main.cu'
@@ -372,6 +394,20 @@ ORACLES: dict[str, str] = {
             left join note n on n.benchmark = s.benchmark)
         select benchmark, exit_code, status, case when exit_code in (0, 4, 5) then coalesce(counted_snapshots, 0) else 0 end
           as snapshots, wall_seconds, {_CLEAN.format('err')} as first_error from e""",
+    "text_diagnostics": f"with {_LOG_TEXT} select run_id, group_no, line_no, line from diag",
+    "text_excerpt": f"""with {_LOG_TEXT},
+        d as (select *, row_number() over (partition by run_id order by group_no, line_no) as k from diag),
+        s as (select run_id, string_agg(line, chr(10) order by k) as shown from d where k <= 10 group by 1)
+        select w.run_id, case when s.shown is null then 'raw' else 'diagnostic' end as kind,
+          coalesce(s.shown, array_to_string(list_reverse(list_reverse(lines)[1:20]), chr(10))) as shown
+        from whole w left join s on s.run_id = w.run_id""",
+    "text_log_facts": f"""with {_LOG_TEXT}
+        select run_id, arg_min(line, line_no) filter (where line like 'error:%') as first_driver_error,
+          arg_min(line, line_no) filter (where line like '%parser%' or line like '%error%') as first_parse_error,
+          arg_min(line, line_no) filter (where line like '%error:%') as first_any_error,
+          arg_min(try_cast(regexp_extract(line, '([0-9]+) snapshots', 1) as integer), line_no)
+            filter (where regexp_matches(line, '[0-9]+ snapshots')) as counted_snapshots
+        from line group by run_id""",
     "discover_benchmarks": f"""with {_LISTING} select distinct benchmark as name from listing
         where benchmark like '%-cuda' order by 1 limit 20""",
     "discover_all_benchmarks": f"""with {_LISTING} select distinct benchmark as name from listing

@@ -415,7 +415,31 @@ def first_error(spark, base):
         "line", F.concat(F.lit("DROP "), "line")
     )
     attempts = views.attempts(spark, base)
-    return batch.outcome_rows(attempts, lines, batch.diagnostics(lines, "benchmark"), roundtrip)
+    return batch.outcome_rows(
+        attempts,
+        batch.log_facts(lines),
+        batch.first_diagnostic(batch.diagnostics(lines, "benchmark")),
+        batch.first_dropped(roundtrip),
+    )
+
+
+@query
+def text_diagnostics(spark, base):
+    """Diagnostics of whole logs."""
+    return views.log_texts(spark, base).select("run_id", F.inline(batch.diagnostics_of(F.col("text"))))
+
+
+@query
+def text_excerpt(spark, base):
+    """Excerpts of whole logs; some logs have no diagnostics."""
+    shown = views.log_texts(spark, base).select("run_id", batch.excerpt_of(F.col("text")).alias("e"))
+    return shown.select("run_id", "e.kind", F.array_join("e.lines", "\n").alias("shown"))
+
+
+@query
+def text_log_facts(spark, base):
+    facts = views.log_texts(spark, base).select("run_id", batch.log_facts_of(F.col("text")).alias("f"))
+    return facts.select("run_id", "f.*")
 
 
 @query

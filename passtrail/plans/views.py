@@ -144,6 +144,24 @@ def log_lines(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def log_texts(spark: SparkSession, base: str) -> DataFrame:
+    """One log text per document: a word becomes a line of some kind by its length."""
+    line = """
+      case length(w) % 17
+        when 12 then 'f.cu:' || i || ': error: bad ' || w
+        when 13 then 'In file included from ' || w || '.h'
+        when 14 then 'a.h:1: warning: ' || w
+        when 15 then i || ' errors generated.'
+        when 16 then 'Parsed ' || i || ' snapshots into ' || w
+        when 11 then 'error: driver ' || w
+        when 10 then 'the parser said ' || w
+        else 'note ' || w end
+    """
+    return documents(spark, base).selectExpr(
+        "doc_id as run_id", f"array_join(transform(split(text, ' '), (w, i) -> {line}), '\\n') as text"
+    )
+
+
 def listing(spark: SparkSession, base: str) -> DataFrame:
     """Source files of benchmarks in several layouts."""
     return table(spark, base, "part").selectExpr(

@@ -72,18 +72,28 @@ def read_stream_blocks(
     )
 
 
+def read_log_texts(spark: SparkSession, root: str, name_glob: str = "*.log") -> DataFrame:
+    """(benchmark, text) of per-benchmark log files."""
+    return read_files(spark, root, name_glob).select(
+        F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?\z", 1).alias("benchmark"),
+        tx.decode_text(F.col("content")).alias("text"),
+    )
+
+
 def read_logs(spark: SparkSession, root: str, name_glob: str = "*.log") -> DataFrame:
     """(benchmark, line_no, line) of per-benchmark log files."""
-    files = read_files(spark, root, name_glob).select(
-        F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?\z", 1).alias("benchmark"),
-        tx.decode_text(F.col("content")).alias("_text"),
+    texts = read_log_texts(spark, root, name_glob)
+    return texts.select("benchmark", F.posexplode(tx.splitlines(F.col("text"))).alias("line_no", "line"))
+
+
+def read_run_texts(spark: SparkSession, root: str, file_name: str) -> DataFrame:
+    """(run_id, text) of one named text file in each run directory, such as a round-trip log."""
+    return read_files(spark, root, file_name).select(
+        run_dir_of(F.col("path"), 1).alias("run_id"), tx.decode_text(F.col("content")).alias("text")
     )
-    return files.select("benchmark", F.posexplode(tx.splitlines(F.col("_text"))).alias("line_no", "line"))
 
 
 def read_run_lines(spark: SparkSession, root: str, file_name: str) -> DataFrame:
-    """(run_id, line_no, line) of one named text file in each run directory, such as a round-trip log."""
-    files = read_files(spark, root, file_name).select(
-        run_dir_of(F.col("path"), 1).alias("run_id"), tx.decode_text(F.col("content")).alias("_text")
-    )
-    return files.select("run_id", F.posexplode(tx.splitlines(F.col("_text"))).alias("line_no", "line"))
+    """(run_id, line_no, line) of such a file."""
+    texts = read_run_texts(spark, root, file_name)
+    return texts.select("run_id", F.posexplode(tx.splitlines(F.col("text"))).alias("line_no", "line"))
