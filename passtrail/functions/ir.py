@@ -65,7 +65,7 @@ def is_run_dir(run_dir: Column) -> Column:
 def dialects(text: Column, scan_chars: int = DIALECT_SCAN_CHARS) -> Column:
     """Sorted distinct first parts of dotted names. The scan window is part of the definition of the column."""
     found = F.regexp_extract_all(F.substring(text, 1, scan_chars), F.lit(DIALECT), F.lit(1))
-    return F.array_sort(F.array_distinct(found))
+    return F.sort_array(F.array_distinct(found))
 
 
 def is_function_line(line: Column) -> Column:

@@ -26,8 +26,11 @@ _FIRST_LINE = rf"\A[^{BREAKS}]*+(?:{_LINE_END})?+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """Evaluate ``value`` once and use it several times in ``body``.
+
+    A fold over no elements hands its start value to its last step as it is; a transform over one element would copy it.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda bound, _: bound, body)
 
 
 def decode_text(content: Column) -> Column:

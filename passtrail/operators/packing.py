@@ -53,7 +53,7 @@ def _pack(lines: Column, ordered: Column, budget: Column) -> Column:
                 (a["left"] - F.size(block) - 1).alias("left"),
                 (a["taken"] + 1).alias("taken"),
                 F.array_append(a["blocks"], F.array_append(block, F.lit(""))).alias("blocks"),
-            ).cast(kind)
+            )
 
         body = tx.drop_last_empty(span_lines(lines, f["start_line"], f["end_line"]))
         return F.when(a["left"] <= 0, a).otherwise(tx.let(body, emit))
@@ -92,7 +92,7 @@ def signal_of(text: Column, max_lines: int) -> Column:
         return tx.let(F.array_append(top, F.lit("")), with_top)
 
     def result(parsed: Column) -> Column:
-        user = F.array_sort(F.transform(F.filter(parsed["functions"], lambda f: f["is_user"]), key))
+        user = F.sort_array(F.transform(F.filter(parsed["functions"], lambda f: f["is_user"]), key))
         return tx.let(
             user,
             lambda u: F.struct(

@@ -74,7 +74,7 @@ def previous_by_index(
     return placed.withColumn(out, F.lag(value).over(neighbours)).filter(~F.col("_at.guest")).drop("_at")
 
 
-def keep_by_key(wide: DataFrame, keys: DataFrame, on: str, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def keep_by_key(wide: DataFrame, keys: DataFrame, on: str | list[str], limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join wide rows (whole texts) to the selected key rows without shuffling the wide side while that is safe.
 
     The key side is measured first. Up to ``limit_bytes`` it is broadcast, so texts that were not selected are dropped

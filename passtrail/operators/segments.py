@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
-from passtrail.operators.scale import previous_by_index, running_total_before, settle
+from passtrail.operators.scale import keep_by_key, previous_by_index, running_total_before, settle
 
 SNAPSHOT_COLUMNS = ("index", "pass_class", "pass_name", "filename", "bytes", "lines", "sha256", "parent_sha256")
 
@@ -63,10 +63,8 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
     them; a second pass cuts the texts.
     """
     counted = settle(blocks.select(run, block, F.regexp_count(text, F.lit(ir.HEADER_START)).alias("_headers")))
-    before = running_total_before(counted, [run], block, "_headers", "_before")
-    placed = blocks.select(run, block, F.col(text).alias("_text")).join(
-        before.select(run, block, "_before", "_headers"), [run, block]
-    )
+    before = running_total_before(counted, [run], block, "_headers", "_before").select(run, block, "_before", "_headers")
+    placed = keep_by_key(blocks.select(run, block, F.col(text).alias("_text")), before, [run, block])
     pieces = F.filter(_pieces(F.col("_text")), lambda p: p != "")
     # At most the first piece of a block has no header, so a piece's place from the end gives its snapshot number.
     numbered = tx.let(
@@ -79,7 +77,7 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
         pieces.withColumn("index", index.cast("int"))
         .filter("index >= 0")
         .groupBy(run, "index")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(block).alias("b"), F.col("_piece").alias("t")))).alias("_parts"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col(block).alias("b"), F.col("_piece").alias("t")))).alias("_parts"))
         .withColumn("_text", F.array_join(F.transform("_parts", lambda p: p["t"]), ""))
         .select(
             run,
@@ -104,9 +102,11 @@ def measure(snapshots: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def hash_chain(snapshots: DataFrame, run: str = "run_id", index: str = "index", sha: str = "sha256") -> DataFrame:
-    """Each snapshot's predecessor hash, valid or not. Pass narrow rows: the bodies are not needed here."""
-    return previous_by_index(snapshots, [run], index, sha, "parent_sha256")
+def hash_chain(
+    snapshots: DataFrame, run: str = "run_id", index: str = "index", sha: str = "sha256", width: int = 65_536
+) -> DataFrame:
+    """Each snapshot's predecessor hash, valid or not. Rows that carry bodies need a small ``width``."""
+    return previous_by_index(snapshots, [run], index, sha, "parent_sha256", width)
 
 
 def snapshot_files(snapshots: DataFrame, run: str = "run_id") -> DataFrame:

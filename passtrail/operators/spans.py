@@ -21,12 +21,13 @@ def span_array(lines: Column) -> Column:
     alone. The found spans are gathered per chunk of steps, which keeps appending to them cheap in texts with very many
     functions.
     """
-    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    relevant = F.filter(numbered, lambda s: ir.may_open_or_close(s["x"]))
+    # Line numbers rather than lines are passed on, as a transform copies what it returns.
+    relevant = F.filter(F.sequence(F.lit(0), F.size(lines)), lambda i: ir.may_open_or_close(F.get(lines, i)))
     steps = F.transform(
         relevant,
-        lambda s: F.struct(
-            s["i"].alias("i"), ir.is_function_line(s["x"]).alias("f"), ir.brace_delta(s["x"]).alias("d")
+        lambda i: tx.let(
+            F.get(lines, i),
+            lambda x: F.struct(i.alias("i"), ir.is_function_line(x).alias("f"), ir.brace_delta(x).alias("d")),
         ),
     )
 

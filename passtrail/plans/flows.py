@@ -26,8 +26,8 @@ def capture(spark: SparkSession, root: str, large_files: bool = False) -> DataFr
     if not large_files:
         return segments.segment_streams(streams.read_streams(spark, root))
     parts = segments.measure(segments.segment_blocks(streams.read_stream_blocks(spark, root)))
-    links = segments.hash_chain(parts.select("run_id", "index", "sha256"))
-    return parts.join(links.select("run_id", "index", "parent_sha256"), ["run_id", "index"])
+    # The bodies travel with the chain, in groups of 64; a narrow chain would have to be joined to bodies cut again.
+    return segments.hash_chain(parts, width=64)
 
 
 def candidates(spark: SparkSession, root: str) -> DataFrame:

@@ -53,7 +53,7 @@ def to_manifests(
     )
     part = F.floor(F.col("index") / part_size).cast("long")
     parts = snapshots.groupBy(run, part.alias("manifest_part")).agg(
-        F.array_sort(F.collect_list(element)).alias("snapshots")
+        F.sort_array(F.collect_list(element)).alias("snapshots")
     )
     totals = snapshots.groupBy(run).agg(
         F.count_if(status == "ok").cast("int").alias("snapshots_kept"),
