@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from passtrail.functions.text import BREAKS, INLINE_SPACE, WORD, count_char
+from passtrail.functions.text import BREAKS, INLINE_SPACE, WORD, count_char, let
 
 # The banner a compiler prints before each pass dump, and what follows it.
 BANNER = "// -----// IR Dump After "
@@ -83,16 +83,19 @@ def brace_delta(line: Column) -> Column:
 
 def is_user_function(signature: Column) -> Column:
     """User code rather than library code, decided by substrings of the lower-cased signature."""
-    low = F.lower(signature)
-    keep = F.contains(low, F.lit("@main")) | _any_of([F.contains(low, F.lit(m)) for m in KERNEL_MARKERS])
-    library = _any_of([F.contains(low, F.lit(m)) for m in LIBRARY_MARKERS])
-    return F.coalesce((signature != "") & (keep | ~library), F.lit(False))
+
+    def decide(low: Column) -> Column:
+        keep = F.contains(low, F.lit("@main")) | _any_of([F.contains(low, F.lit(m)) for m in KERNEL_MARKERS])
+        library = _any_of([F.contains(low, F.lit(m)) for m in LIBRARY_MARKERS])
+        return F.coalesce((low != "") & (keep | ~library), F.lit(False))
+
+    return let(F.lower(signature), decide)
 
 
 def function_priority(signature: Column) -> Column:
-    low = F.lower(signature)
-    return (
-        F.when(F.contains(low, F.lit("@main")), 0)
+    return let(
+        F.lower(signature),
+        lambda low: F.when(F.contains(low, F.lit("@main")), 0)
         .when(F.contains(low, F.lit("device_stub")) | F.contains(low, F.lit("kernel")), 1)
-        .otherwise(2)
+        .otherwise(2),
     )

@@ -286,3 +286,22 @@ def test_batch_summary_from_files(spark, tmp_path):
         "slow": ("timeout", 0, "killed after 60s"), "odd": ("unknown_99", 0, "a: error: b"),
     }
     assert {r.wall_seconds for r in rows} == {7}
+
+
+def test_chain_links(spark):
+    rows = [
+        ("b", 0, "a", "t1", "h0", None), ("b", 1, "b", "t1", "h1", "h0"), ("b", 2, "c", "t2", "h2", "hx"),
+        ("b", 3, "d", "t2", "h1", "h1"), ("b", 4, "e", "t1", "h4", "h1"), ("c", 0, "a", "t1", "h9", "h0"),
+    ]
+    corpus = spark.createDataFrame(
+        rows,
+        "benchmark_name string, pass_index int, pass_name string, run_timestamp string, ir_sha256 string, parent_sha256 string",
+    )
+    got = {(r.benchmark_name, r.pass_name): (r.link, r.parent_pass_index, r.parent_run_timestamp)
+           for r in chain.parent_links(corpus).collect()}
+    assert got == {
+        ("b", "a"): ("root", None, None), ("b", "b"): ("linked", 0, "t1"), ("b", "c"): ("dangling", None, None),
+        ("b", "d"): ("linked", 1, "t1"), ("b", "e"): ("linked", 1, "t1"), ("c", "a"): ("dangling", None, None),
+    }
+    report = {r.benchmark_name: (r.root, r.linked, r.dangling) for r in chain.chain_report(corpus).collect()}
+    assert report == {"b": (1, 3, 1), "c": (0, 0, 1)}

@@ -76,6 +76,13 @@ def test_dialects(spark):
         assert row["short"] == sorted({m.group(1) for m in pattern.finditer(value[:6])}), repr(value)
 
 
+def test_dialects_beyond_the_cap_and_the_scan_window(spark):
+    inside, edge, outside = ["x" * n + " late.op" for n in (100, 199_992, 199_996)]
+    got = strings.column(spark, [inside, edge, outside], {"d": ir.dialects(T), "c": tx.utf8_cap(T, 50)})
+    assert [r["d"] for r in got] == [["late"], ["late"], []]
+    assert all(r["c"] == "x" * 50 for r in got)
+
+
 def test_headers_and_file_names(spark):
     parts = ["// -----// IR Dump After ", "cir::A", ":", " ", chr(0x2003), "b-c", "\xe99", "(", "m)", "x", "\t", "\x1f", "_"]
     values = strings.texts(500, 8, seed=11, alphabet=parts)
