@@ -62,7 +62,7 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
     needs the number of headers in earlier blocks. The counts are taken in one pass over the texts and added up without
     them; a second pass cuts the texts.
     """
-    counted = settle(blocks.select(run, block, F.regexp_count(text, F.lit(ir.HEADER_START)).alias("_headers")))
+    counted = settle(blocks.select(run, block, header_count(F.col(text)).alias("_headers")))
     before = running_total_before(counted, [run], block, "_headers", "_before").select(run, block, "_before", "_headers")
     placed = keep_by_key(blocks.select(run, block, F.col(text).alias("_text")), before, [run, block])
     pieces = F.filter(_pieces(F.col("_text")), lambda p: p != "")
@@ -113,16 +113,24 @@ def snapshot_files(snapshots: DataFrame, run: str = "run_id") -> DataFrame:
     return snapshots.select(run, "filename", "body")
 
 
-def run_provenance(
-    streams: DataFrame, snapshots: DataFrame, sources: DataFrame | None = None, run: str = "run_id"
-) -> DataFrame:
-    """Run-level manifest fields; a run without snapshots keeps its row with a count of zero.
+def header_count(stream: Column) -> Column:
+    """Number of snapshots in a whole stream, without cutting it."""
+    return F.regexp_count(stream, F.lit(ir.HEADER_START)).cast("int")
+
 
-    ``streams`` has (run, stream_file, stream); ``sources``, if given, has (run, source, source_text).
+def run_provenance(streams: DataFrame, sources: DataFrame | None = None, run: str = "run_id") -> DataFrame:
+    """Run-level manifest fields of whole streams; a run without snapshots has a count of zero.
+
+    ``streams`` has (run, stream_file, stream); ``sources``, if given, has (run, source, source_text). Texts become hashes
+    and counts where they are read, so that only narrow rows are joined.
     """
-    heads = streams.select(run, "stream_file", tx.sha256_hex(F.col("stream")).alias("stream_sha256"))
-    counts = snapshots.groupBy(run).agg(F.count("*").cast("int").alias("snapshot_count"))
-    heads = heads.join(counts, run, "left").withColumn("snapshot_count", F.coalesce("snapshot_count", F.lit(0)))
+    stream = F.col("stream")
+    heads = streams.select(
+        run,
+        "stream_file",
+        tx.sha256_hex(stream).alias("stream_sha256"),
+        header_count(stream).alias("snapshot_count"),
+    )
     if sources is None:
         nothing = F.lit(None).cast("string")
         return heads.withColumns({"source": nothing, "source_sha256": nothing})

@@ -30,6 +30,18 @@ def capture(spark: SparkSession, root: str, large_files: bool = False) -> DataFr
     return segments.hash_chain(parts, width=64)
 
 
+def run_manifests(spark: SparkSession, root: str, sources: DataFrame | None = None) -> DataFrame:
+    """The manifest documents of all dump streams below ``root``, with the outcomes of their round-trip logs.
+
+    Snapshot rows without bodies are stored once, as the documents, their totals and the annotation use them.
+    ``sources``, if given, has (run_id, source, source_text).
+    """
+    outcomes = validity.roundtrip_outcomes(streams.read_run_lines(spark, root, "roundtrip.log"))
+    rows = scale.settle(validity.annotate_roundtrip(capture(spark, root).drop("body"), outcomes))
+    heads = segments.run_provenance(streams.read_streams(spark, root), sources)
+    return sinks.to_manifests(rows, heads)
+
+
 def candidates(spark: SparkSession, root: str) -> DataFrame:
     """Valid, complete manifest elements whose file exists. All of this is metadata; no text has been read."""
     listed = cp.complete_elements(validity.valid_only(cp.explode_snapshots(runs.read_manifests(spark, root))))

@@ -104,8 +104,7 @@ def segment_rows(spark, base):
 @query
 def segment_provenance(spark, base):
     streams = views.streams(spark, base)
-    snapshots = segments.segment_streams(streams)
-    return segments.run_provenance(streams, snapshots, streams.select("run_id", "source", "source_text")).select(
+    return segments.run_provenance(streams, streams.select("run_id", "source", "source_text")).select(
         "run_id", "source", "source_sha256", "stream_file", "stream_sha256", "snapshot_count"
     )
 

@@ -305,3 +305,37 @@ def test_chain_links(spark):
     }
     report = {r.benchmark_name: (r.root, r.linked, r.dangling) for r in chain.chain_report(corpus).collect()}
     assert report == {"b": (1, 3, 1), "c": (0, 0, 1)}
+
+
+def test_from_dump_streams_to_the_corpus(spark, tmp_path):
+    """Streams and round-trip logs to manifests and bodies, laid out as a run tree, to the corpus."""
+    banner = "// -----// IR Dump After "
+    for stamp, word in (("20240101-000000", "old"), ("20240202-000000", "new")):
+        run = tmp_path / "dumps" / f"x-cuda-{stamp}"
+        run.mkdir(parents=True)
+        run.joinpath("snapshot-stream.txt").write_text(
+            f"pre\n{banner}A: a (m)\n{word} cir.func @main {{\n}}\n\n{banner}B: b (m)\n{word} llvm.op\n{banner}C: c (m)\n{word}\n"
+        )
+        dropped = "01_b.mlir" if word == "new" else "02_c.mlir"
+        run.joinpath("roundtrip.log").write_text(
+            "".join(f"OK   {f}\n" for f in ("00_a.mlir", "01_b.mlir", "02_c.mlir") if f != dropped)
+            + f"DROP {dropped} (roundtrip failed, exit 1)\n----- first 10 lines of stderr -----\noops\n"
+        )
+    dumps = str(tmp_path / "dumps")
+    for row in flows.run_manifests(spark, dumps).collect():
+        document = json.loads(row.manifest)
+        assert (document["snapshot_count"], document["snapshots_kept"], document["snapshots_dropped"]) == (3, 2, 1)
+        assert document["stream_sha256"] and document["source"] is None
+        folder = tmp_path / "tree" / row.run_id / "snapshots"
+        folder.mkdir(parents=True)
+        (folder / "manifest.json").write_text(row.manifest)
+    snapshots = flows.capture(spark, dumps)
+    for row in snapshots.collect():
+        (tmp_path / "tree" / row.run_id / "snapshots" / row.filename).write_text(row.body)
+    flows.build_corpus(spark, str(tmp_path / "tree"), str(tmp_path / "corpus"), ingest_utc=STAMP)
+    rows = {r.pass_name: r for r in tables.read_corpus(spark, str(tmp_path / "corpus")).collect()}
+    assert {p: r.ir_text.split()[0] for p, r in rows.items()} == {"a": "new", "b": "old", "c": "new"}
+    links = {r.pass_name: r.link for r in chain.parent_links(tables.read_corpus(spark, str(tmp_path / "corpus"))).collect()}
+    # The newest b was dropped, so the newest c points at a parent that is not published, and the old b at an old a.
+    assert links == {"a": "root", "b": "dangling", "c": "dangling"}
+    assert rows["a"].dialects_present == ["cir"] and rows["a"].source_sha256 is None

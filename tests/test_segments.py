@@ -198,8 +198,7 @@ def test_provenance(spark):
     frame = spark.createDataFrame(
         [("a", "f", LINES[0] + "\nx\n"), ("b", "g", "nothing")], "run_id string, stream_file string, stream string"
     )
-    found = segments.segment_streams(frame)
-    rows = {r.run_id: r for r in segments.run_provenance(frame, found).collect()}
+    rows = {r.run_id: r for r in segments.run_provenance(frame).collect()}
     assert rows["a"].snapshot_count == 1 and rows["b"].snapshot_count == 0 and rows["b"].source_sha256 is None
     assert rows["b"].stream_sha256 == hashlib.sha256(b"nothing").hexdigest()
 
