@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passtrail.operators.scale import keep_by_key
+from passtrail.operators.scale import keep_by_key, left_join_unique
 
 
-def parent_links(corpus: DataFrame) -> DataFrame:
+def parent_links(corpus: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """Each row with its parent in the same benchmark and a link kind: root, linked or dangling.
 
-    Copies of one text share a hash, so the parent side is reduced to one row per hash (its lowest pass index). A hot
-    hash on the child side is split at run time by the adaptive skew join, as the parent side is unique.
+    Copies of one text share a hash, so the parent side is reduced to one row per hash (its lowest pass index). Children
+    that share a parent with very many others are dealt out by ``left_join_unique``. Only narrow columns are touched.
     """
+    corpus = corpus.select("benchmark_name", "pass_index", "pass_name", "run_timestamp", "ir_sha256", "parent_sha256")
     parents = corpus.groupBy("benchmark_name", F.col("ir_sha256").alias("parent_sha256")).agg(
         F.min(F.struct("pass_index", "pass_name", "run_timestamp")).alias("_parent")
     )
@@ -22,7 +23,7 @@ def parent_links(corpus: DataFrame) -> DataFrame:
         .when(F.col("_parent").isNull(), "dangling")
         .otherwise("linked")
     )
-    return corpus.join(parents, ["benchmark_name", "parent_sha256"], "left").select(
+    return left_join_unique(corpus, parents, ["benchmark_name", "parent_sha256"], hot_rows).select(
         "benchmark_name",
         "pass_index",
         "pass_name",

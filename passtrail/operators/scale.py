@@ -78,12 +78,41 @@ def keep_by_key(wide: DataFrame, keys: DataFrame, on: str | list[str], limit_byt
     """Join wide rows (whole texts) to the selected key rows without shuffling the wide side while that is safe.
 
     The key side is measured first. Up to ``limit_bytes`` it is broadcast, so texts that were not selected are dropped
-    where they were read. Beyond that the join shuffles on ``on``, which is unique in ``keys``; a value that many wide
-    rows share is split by the adaptive skew join.
+    where they were read. Beyond that the join shuffles on ``on``, which is meant to be unique on both sides.
     """
     return wide.join(F.broadcast(keys) if fits_broadcast(keys, limit_bytes) else keys, on)
 
 
+def left_join_unique(
+    rows: DataFrame, unique: DataFrame, on: Sequence[str], hot_rows: int = 1_000_000, salts: int = 1024
+) -> DataFrame:
+    """Left join to a side with at most one row per key, where one key may own a large part of ``rows``.
+
+    The adaptive skew join does not split a key when the other side is an aggregate, so it is done here. Keys with more than
+    ``hot_rows`` rows are counted first; there are at most rows / hot_rows of them, and the limit is raised until they fit a
+    broadcast. Their rows are dealt out over salts and their partners repeated per salt. Rows with a null key match nothing
+    and are dealt out as well. The salt is a hash of the row, so that a repeated task deals alike.
+    """
+    on = list(on)
+    counted = settle(rows.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows))
+    if counted.isEmpty():
+        return rows.join(unique, on, "left")
+    hot = counted.dropna(subset=on)
+    while not fits_broadcast(hot):
+        hot_rows *= 10
+        hot = hot.filter(F.col("_n") > hot_rows)
+    shares = hot.select(*on, F.least(F.ceil(F.col("_n") / hot_rows), F.lit(salts)).cast("int").alias("_shares"))
+    shares = F.broadcast(shares)
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_shares", F.lit(1)))
+    no_key = F.array_contains(F.array(*[F.col(c).isNull() for c in on]), True)
+    left = rows.join(shares, on, "left").withColumn(
+        "_salt", F.when(no_key, F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).otherwise(dealt).cast("int")
+    )
+    copies = F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)
+    right = unique.join(shares, on, "left").withColumn("_salt", F.explode(copies)).drop("_shares")
+    return left.drop("_shares").join(right, [*on, "_salt"], "left").drop("_salt")
+
+
 def fits_broadcast(rows: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure narrow rows: string bytes plus sixteen bytes per column."""
     text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in rows.dtypes if t == "string"]

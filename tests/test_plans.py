@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from passtrail.operators import batch, packing, reports, scale, segments, spans
+from passtrail.operators import batch, chain, packing, reports, scale, segments, spans
 from passtrail.operators import corpus as cp
 
 
@@ -81,3 +81,30 @@ def test_hot_key_stays_in_bounded_groups(spark):
     assert total.filter("t <> o").count() == 0 and total.count() == 5000
     previous = scale.previous_by_index(rows, ["k"], "o", "o", "p", width=16)
     assert previous.filter("not (p <=> if(o = 0, null, o - 1))").count() == 0 and previous.count() == 5000
+
+
+def test_hot_parent_is_dealt_out(spark):
+    hot = F.col("id") % 3 == 0
+    root = F.col("id") % 3 == 1
+    rows = spark.range(9000).select(
+        F.when(hot | root, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 50)).alias("benchmark_name"),
+        F.concat(F.lit("p"), "id").alias("pass_name"), F.col("id").cast("int").alias("pass_index"),
+        F.lit("20240101-000000").alias("run_timestamp"), F.sha2(F.col("id").cast("string"), 256).alias("ir_sha256"),
+        F.when(hot, F.sha2(F.lit("3"), 256)).when(root, None).otherwise(F.sha2((F.col("id") - 50 * 3).cast("string"), 256))
+        .alias("parent_sha256"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt, plain = chain.parent_links(rows, hot_rows=100), chain.parent_links(rows)
+        text = plan(dealt)
+        assert "_salt" in text and "SortMergeJoin" in text
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    links = {r.link: r["count"] for r in dealt.groupBy("link").count().collect()}
+    assert links["root"] == 3000 and links["linked"] >= 3000 and sum(links.values()) == 9000
+    # The largest group that meets in one task is a small part of the hot parent's children.
+    keys = ["benchmark_name", "parent_sha256"]
+    unique = rows.select(*keys).dropna().distinct().withColumn("x", F.lit(1))
+    joined = scale.left_join_unique(rows, unique, keys, hot_rows=100)
+    assert joined.count() == 9000 and joined.filter("x is null").count() == 3000
