@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
-from passtrail.operators.scale import keep_by_key, previous_by_index, running_total_before, settle
+from passtrail.operators.scale import BROADCAST_BYTES, fits_broadcast, previous_by_index, running_total_before, settle
 
 SNAPSHOT_COLUMNS = ("index", "pass_class", "pass_name", "filename", "bytes", "lines", "sha256", "parent_sha256")
 
@@ -64,7 +64,10 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
     """
     counted = settle(blocks.select(run, block, header_count(F.col(text)).alias("_headers")))
     before = running_total_before(counted, [run], block, "_headers", "_before").select(run, block, "_before", "_headers")
-    placed = keep_by_key(blocks.select(run, block, F.col(text).alias("_text")), before, [run, block])
+    # The stored counts have as many rows as the running totals and are cheaper to measure.
+    if fits_broadcast(counted, BROADCAST_BYTES // 2):
+        before = F.broadcast(before)
+    placed = blocks.select(run, block, F.col(text).alias("_text")).join(before, [run, block])
     pieces = F.filter(_pieces(F.col("_text")), lambda p: p != "")
     # At most the first piece of a block has no header, so a piece's place from the end gives its snapshot number.
     numbered = tx.let(
