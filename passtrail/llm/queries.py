@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import substring
+from passtrail.llm import packing, substring
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def op8_packing(spark: SparkSession, base: str) -> DataFrame:
+    """All ``documents`` as pieces of sequences of at most 2048 ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, base, "documents"), path, with_ids=False)
+
+
 def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Words of ``documents`` that repeat an earlier run of twenty."""
     found = substring.repeated_words(_table(spark, base, "documents").select("doc_id", "text"))
@@ -19,6 +26,7 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
