@@ -28,5 +28,5 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write rows as Parquet into the shared folder and read them back: later uses do not compute them again."""
     path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
