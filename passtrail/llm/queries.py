@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import packing, substring
+from passtrail.llm import exact, packing, substring
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Groups of ``documents`` that are equal but for white space, and the row of each that stays."""
+    return exact.copy_groups(_table(spark, base, "documents")).drop("mark")
+
+
 def op8_packing(spark: SparkSession, base: str) -> DataFrame:
     """All ``documents`` as pieces of sequences of at most 2048 ids."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -26,9 +31,20 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_exact_dedup": op4_exact_dedup,
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
 #: The same results as SQL, where SQL can express them over whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        WITH plain AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+            row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+        FROM plain WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
+    """,
+}
