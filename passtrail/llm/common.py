@@ -257,6 +257,15 @@ def share_in_groups(
     return null_safe_join(dealt, back, salted).drop("_salt")
 
 
+def tell_groups(rows: DataFrame, keys: Sequence[str], whole: DataFrame, spread_by: Column, salts: int = 64) -> DataFrame:
+    """Join rows to facts that are there once per key, by way of the distinct (keys, salt), so that no task gets a whole group."""
+    keys = list(keys)
+    salted = [*keys, "_salt"]
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    back = null_safe_join(dealt.select(*salted).distinct(), whole, keys)
+    return null_safe_join(dealt, back, salted).drop("_salt")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join where null meets null; the columns of ``on`` come from the left side."""
     right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})

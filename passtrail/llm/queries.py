@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import exact, packing, substring
+from passtrail.llm import exact, packing, simhash, substring
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     return exact.copy_groups(_table(spark, base, "documents")).drop("mark")
 
 
+def op5_simhash(spark: SparkSession, base: str) -> DataFrame:
+    """SimHash fingerprints of ``documents`` and the components of those that differ in at most four bits."""
+    return simhash.components(_table(spark, base, "documents"))
+
+
 def op8_packing(spark: SparkSession, base: str) -> DataFrame:
     """All ``documents`` as pieces of sequences of at most 2048 ids."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +37,7 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
