@@ -1,23 +1,52 @@
-"""The corpus pipeline: documents through the stages, each written as Parquet and read again for the next."""
+"""The corpus pipeline: documents through the stages, each written as Parquet and read again for the next.
+
+Every stage works on all that the one before it kept. The first four return the columns of ``documents``; the last one returns
+packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from passtrail.llm import substring
+from passtrail.llm import exact, packing, simhash, substring, toxicity
 from passtrail.operators.stores import stored
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go. The model is learned from the labelled documents."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, the longest original stays."""
+    return exact.without_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that share four fifths of their five-word shingles, the one with the smallest id stays."""
+    return simhash.without_near_copies(docs)
+
+
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that repeat an earlier run of twenty go; every document stays."""
     return substring.without_repeats(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
     ("substring_dedup", drop_repeated_passages),
+    ("packing", pack),
 ]
 
-#: SQL cannot express the stages; tests hold them against brute force.
+#: SQL cannot express these stages; tests hold them against brute force.
 ORACLE_SQL: str | None = None
 
 

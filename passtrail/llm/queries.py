@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import exact, packing, simhash, substring
+from passtrail.llm import exact, packing, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    """Toxicity scores of ``documents``, learned from ``labels``."""
+    return toxicity.judged(_table(spark, base, "documents"), _table(spark, base, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Groups of ``documents`` that are equal but for white space, and the row of each that stays."""
     return exact.copy_groups(_table(spark, base, "documents")).drop("mark")
@@ -36,6 +41,7 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
     "op8_packing": op8_packing,
