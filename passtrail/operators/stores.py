@@ -25,6 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An empty folder below the shared one, as a URI."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    return store.makeQualified(path).toString()
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write rows as Parquet into the shared folder and read them back: later uses do not compute them again."""
     path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
