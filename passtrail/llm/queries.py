@@ -6,13 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import exact, packing, simhash, substring, toxicity
+from passtrail.llm import exact, packing, simhash, substring, toxicity, warc
+from passtrail.operators.stores import new_folder, stored
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, base: str) -> DataFrame:
+    """``pages`` written as compressed archives, and what is read back from them."""
+    folder = new_folder(spark, "archives")
+    stored(warc.write_archives(warc.page_records(_table(spark, base, "pages")), folder), "manifest")
+    back = warc.read_archives(warc.load_archives(spark, folder), with_payload=False, strict=True)
+    return back.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest",
+        "record_type", warc.page_of(F.col("refers_to_id")).alias("refers_to"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:
     """Toxicity scores of ``documents``, learned from ``labels``."""
     return toxicity.judged(_table(spark, base, "documents"), _table(spark, base, "labels"))
@@ -41,6 +53,7 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
@@ -50,6 +63,14 @@ QUERIES = {
 
 #: The same results as SQL, where SQL can express them over whole tables.
 ORACLES: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+        q AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+            CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM q
+    """,
     "op4_exact_dedup": r"""
         WITH plain AS (
             SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
