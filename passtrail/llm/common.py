@@ -73,9 +73,12 @@ class Memo(dict):
         self.function, self.most = function, most
 
     def __missing__(self, key):
+        value = self.function(key)
+        if isinstance(key, (str, bytes)) and len(key) > 64:
+            return value
         if len(self) >= self.most:
             self.clear()
-        value = self[key] = self.function(key)
+        self[key] = value
         return value
 
 

@@ -111,7 +111,7 @@ def powers(window: list) -> Iterator[list]:
 
 
 def packed(parts: Iterator[pa.RecordBatch], path: str, size: int, end: int, most_open: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    words = vocab.words(path, True, "uint32")
+    words = vocab.words(path, True)
     closing = np.array([end], np.uint32).tobytes()
     levels = Levels(size)
     sequence = TaskContext.get().partitionId() << _SHIFT

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import exact, packing, simhash, substring, toxicity, warc
+from passtrail.llm import bpe, exact, packing, simhash, substring, toxicity, warc
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -25,6 +25,13 @@ def op1_warc(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op2_bpe(spark: SparkSession, base: str) -> DataFrame:
+    """Ids of whole ``documents`` and the texts that the ids stand for."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    back = bpe.decode(bpe.encode(_table(spark, base, "documents"), path), path)
+    return bpe.ids_digest(back.withColumn("decoded_sha256", F.sha2("text", 256)).drop("text"))
+
+
 def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:
     """Toxicity scores of ``documents``, learned from ``labels``."""
     return toxicity.judged(_table(spark, base, "documents"), _table(spark, base, "labels"))
@@ -54,6 +61,7 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,

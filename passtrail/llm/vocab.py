@@ -25,6 +25,7 @@ _PLAIN = re.compile(rf"[\t\n\r\x20-\x7e{_LETTERS}]*")
 _CASED_WORDS = re.compile(
     rf"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
 )
+_GAP = re.compile(r"(?<=\S) (?=\S)")
 _LOWER_WORDS = re.compile(rf"{_CONTRACTIONS}|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 
 
@@ -53,18 +54,29 @@ def loaded(path: str) -> Tokenizer:
     return tokenizer
 
 
+#: Set in a packed id that begins one of the pieces into which the tokenizer cuts text before it merges.
+CUT = 1 << 24
+
+
 class Words:
-    """Ids as packed unsigned integers. ``lower``: the vocabulary that drops white space and case; else the byte-level one."""
+    """Ids as packed unsigned 32-bit integers. ``lower``: the vocabulary that drops white space and case; else the byte-level one.
 
-    def __init__(self, path: str, lower: bool, dtype):
-        self.tokenizer, self.lower, self.dtype = loaded(path), lower, np.dtype(dtype)
+    With ``marked``, ids that begin a cut have the bit CUT.
+    """
+
+    def __init__(self, path: str, lower: bool, marked: bool = False):
+        self.tokenizer, self.lower, self.marked = loaded(path), lower, marked
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         model = self.tokenizer.model
         self.unit = Memo(lambda w: self._packed([t.id for t in model.tokenize(_spelled(w))]))
         self.memo = Memo(self._fresh)
+        self.spaced = Memo(lambda w: self._fresh(" " + w))
 
-    def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+    def _packed(self, ids: list[int], cuts: list[int] = (0,)) -> bytes:
+        ids = np.array(ids, np.uint32)
+        if self.marked and len(ids):
+            ids[list(cuts)] |= CUT
+        return ids.tobytes()
 
     def _fresh(self, word) -> bytes:
         """``word``: text (bytes if lower) whose ends are ends of the tokenizer's own cuts."""
@@ -72,14 +84,31 @@ class Words:
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             cut = _LOWER_WORDS.findall(text.lower()) if self.lower else _CASED_WORDS.findall(text)
             return b"".join(map(self.unit.__getitem__, cut))
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        whole = self.tokenizer.encode(text, add_special_tokens=False)
+        at = whole.word_ids if self.marked else []
+        return self._packed(whole.ids, [i for i in range(len(at)) if not i or at[i] != at[i - 1]])
 
     def of_bytes(self, text: bytes) -> bytes:
         """Of a whole text for the lower-casing vocabulary: white space in ASCII always separates its words."""
         return b"".join(map(self.memo.__getitem__, text.split()))
 
 
+    def of_text(self, text: str) -> bytes:
+        """Of a whole text for the byte-level vocabulary: it always cuts before a single space between visible characters."""
+        first, *others = _GAP.split(text)
+        return self.memo[first] + b"".join(map(self.spaced.__getitem__, others))
+
+
 @functools.lru_cache(maxsize=4)
-def words(path: str, lower: bool, dtype: str) -> Words:
+def words(path: str, lower: bool, marked: bool = False) -> Words:
     """One per worker process."""
-    return Words(path, lower, dtype)
+    return Words(path, lower, marked)
+
+
+@functools.lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes that each id of a byte-level vocabulary stands for."""
+    tokenizer = loaded(path)
+    value = {c: b for b, c in enumerate(byte_letters())}
+    tokens = (tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True)))
+    return [bytes(value[c] for c in t) if all(c in value for c in t) else t.encode() for t in tokens]
