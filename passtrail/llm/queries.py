@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import bpe, exact, packing, simhash, substring, toxicity, warc
+from passtrail.llm import bpe, exact, packing, simhash, substring, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -47,6 +47,11 @@ def op5_simhash(spark: SparkSession, base: str) -> DataFrame:
     return simhash.components(_table(spark, base, "documents"))
 
 
+def op7_winnowing(spark: SparkSession, base: str) -> DataFrame:
+    """Fingerprints of ``documents``, of their edited texts, and how alike they are."""
+    return winnow.edits(_table(spark, base, "documents"))
+
+
 def op8_packing(spark: SparkSession, base: str) -> DataFrame:
     """All ``documents`` as pieces of sequences of at most 2048 ids."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
+    "op7_winnowing": op7_winnowing,
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
