@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import bpe, exact, packing, simhash, substring, toxicity, warc, winnow
+from passtrail.llm import bpe, exact, lines, packing, simhash, substring, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -64,6 +64,12 @@ def op9_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Lines of ``documents`` that are similar to an earlier line."""
+    found = lines.without_similar_lines(_table(spark, base, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -73,6 +79,7 @@ QUERIES = {
     "op7_winnowing": op7_winnowing,
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: The same results as SQL, where SQL can express them over whole tables.
