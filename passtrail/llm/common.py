@@ -207,6 +207,18 @@ def found_twice(sent: DataFrame, narrow: bool, indexed: bool = False) -> DataFra
     return sent.groupBy("bucket").applyInArrow(on_group(_found_twice, narrow=narrow, indexed=indexed), MESSAGES)
 
 
+def _found_indexed(table: pa.Table, narrow: bool) -> pa.Table:
+    dtype = np.uint32 if narrow else np.uint64
+    keys, rows = _blobs(table, KEY, dtype)
+    hit = np.isin(keys, _blobs(table, INDEX, dtype)[0])
+    return _reply(table, keys[hit], rows[hit])
+
+
+def found_indexed(sent: DataFrame, narrow: bool) -> DataFrame:
+    """Replies to chunks: their keys that are in the index of any chunk."""
+    return sent.groupBy("bucket").applyInArrow(on_group(_found_indexed, narrow=narrow), MESSAGES)
+
+
 def found_before(sent: DataFrame, narrow: bool = False) -> DataFrame:
     """Replies to chunks: their keys that a chunk of a smaller number has too."""
     return sent.groupBy("bucket").applyInArrow(on_group(_found_before, narrow=narrow), MESSAGES)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import bpe, exact, lines, packing, simhash, substring, toxicity, warc, winnow
+from passtrail.llm import bpe, exact, lines, packing, simhash, substring, suffix, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -47,6 +47,12 @@ def op5_simhash(spark: SparkSession, base: str) -> DataFrame:
     return simhash.components(_table(spark, base, "documents"))
 
 
+def op6_suffix_array(spark: SparkSession, base: str) -> DataFrame:
+    """Bytes of ``documents`` that are in a string of 400 that occurs twice."""
+    found = suffix.repeated_bytes(_table(spark, base, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_winnowing(spark: SparkSession, base: str) -> DataFrame:
     """Fingerprints of ``documents``, of their edited texts, and how alike they are."""
     return winnow.edits(_table(spark, base, "documents"))
@@ -76,6 +82,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
+    "op6_suffix_array": op6_suffix_array,
     "op7_winnowing": op7_winnowing,
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
