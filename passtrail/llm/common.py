@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,22 +67,31 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 class Memo(dict):
-    """A function's results by argument. Emptied when it holds too many, so that its memory is bounded."""
+    """A function's results by argument, in two generations: when the young one is full it becomes the old one, and what is asked
+    for again comes back. So memory is bounded, and frequent arguments stay. Long arguments are not kept.
+    """
 
     def __init__(self, function: Callable, most: int = 400_000):
         super().__init__()
-        self.function, self.most = function, most
+        self.function, self.half, self.old = function, most // 2, {}
 
     def __missing__(self, key):
-        value = self.function(key)
-        if isinstance(key, (str, bytes)) and len(key) > 64:
-            return value
-        if len(self) >= self.most:
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+            if isinstance(key, (str, bytes)) and len(key) > 64:
+                return value
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+#: Hashes of words as bytes, which several operators share in a worker process.
+WORD_HASHES = Memo(functools.partial(xxhash.xxh3_64_intdigest, seed=9))
+
+
 def rolled(units: np.ndarray, width: int, multiplier: int) -> np.ndarray:
     """A 64-bit value for each run of ``width`` consecutive units: a polynomial in an odd multiplier, doubled up and mixed."""
     if len(units) < width:

@@ -14,23 +14,20 @@ candidates all fail are searched again for all of them. So a cluster of similar
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.llm import common
-from passtrail.llm.common import KEY, MESSAGES, MORE, Memo, Replies
+from passtrail.llm.common import KEY, MESSAGES, MORE, WORD_HASHES, Replies
 from passtrail.operators.stores import stored
 
 BIN_BITS = 18
 _REST = np.uint64((1 << (64 - BIN_BITS)) - 1)
-_WORD = Memo(functools.partial(xxhash.xxh3_64_intdigest, seed=17))
 GONE = 7
 SLICE = 4096
 ENTRIES = "word bigint, line bigint, size int, place int, bits1 bigint, bits2 bigint"
@@ -39,7 +36,7 @@ OUT = "_id bigint, n_lines bigint, n_removed bigint, kept_text string"
 
 def _hashes(text: bytes) -> np.ndarray:
     words = text.lower().split()
-    return np.fromiter(map(_WORD.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def rarity(docs: DataFrame, text: str) -> np.ndarray:
@@ -72,7 +69,7 @@ class Chunk:
         self.lines = [t.split(b"\n") for _, t in self.docs]
         flat = [line.lower().split() for lines in self.lines for line in lines]
         sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        hashes = np.fromiter((_WORD[w] for words in flat for w in words), np.uint64, int(sizes.sum()))
+        hashes = np.fromiter((WORD_HASHES[w] for words in flat for w in words), np.uint64, int(sizes.sum()))
         keys = (rank[(hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64)] << np.uint64(64 - BIN_BITS)) | (hashes & _REST)
         line = np.repeat(np.arange(len(flat)), sizes)
         order = np.lexsort((keys, line))

@@ -11,7 +11,6 @@ A shard gives links that keep its members connected (a spanning forest), not all
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.llm import common
-from passtrail.llm.common import Memo
 from passtrail.operators.scale import fits_broadcast
 from passtrail.operators.stores import stored
 
@@ -226,13 +224,12 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 # ------------------------------------------------------------------------------------------ near copies by shingle similarity
 
-_WORDS = Memo(functools.partial(xxhash.xxh64_intdigest, seed=42))
 _ROLL = 0xA24BAED4963EE407
 
 
 def _word_hashes(text: bytes) -> np.ndarray:
     words = text.lower().split()
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(common.WORD_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def _shingle_set(text: bytes, size: int) -> np.ndarray:

@@ -12,23 +12,20 @@ that a third of the documents share is one hash per chunk; it gets back those th
 
 from __future__ import annotations
 
-import functools
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passtrail.llm import common
-from passtrail.llm.common import KEY, INDEX, MORE, MESSAGES, Memo, Replies
+from passtrail.llm.common import KEY, INDEX, MORE, MESSAGES, WORD_HASHES, Replies
 
 SPANS = "array<struct<start:bigint,length:bigint>>"
 OUT = f"n_words bigint, n_removed bigint, spans {SPANS}, kept_text string"
 _ROLL = 0xD6E8FEB86659FD93
-_HASHES = Memo(functools.partial(xxhash.xxh3_64_intdigest, seed=9))
 
 
 class Chunk:
@@ -45,7 +42,7 @@ class Chunk:
         sizes = np.array([len(w) for w in self.words], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         total = int(self.starts[-1])
-        self.units = np.fromiter((_HASHES[w] for words in self.words for w in words), np.uint64, total)
+        self.units = np.fromiter((WORD_HASHES[w] for words in self.words for w in words), np.uint64, total)
         place = np.repeat(self.starts[:-1], sizes)
         self.offset = np.arange(total) - place
         self.left = np.repeat(self.starts[1:], sizes) - np.arange(total)

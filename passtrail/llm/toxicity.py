@@ -13,21 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.llm import common
-from passtrail.llm.common import Memo
 
-FEATURE_BITS = 22
+FEATURE_BITS = 21
 #: Bounds of the sample that is learned from: rows, and UTF-8 bytes of a text.
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 16_000, 1 << 16
 BIAS = 0
 #: Distances between the two words of a pair: next to each other, one or two words between.
 GAPS = (1, 2, 3)
 
-_WORD = Memo(functools.partial(xxhash.xxh64_intdigest, seed=3))
 #: Lower case and no punctuation, in ASCII.
 _PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256)
@@ -50,7 +47,7 @@ class Settings:
 def features(text: bytes) -> np.ndarray:
     """Hashed features, with repeats; the bias is not among them."""
     words = text.translate(_PLAIN).split()
-    units = np.fromiter(map(_WORD.__getitem__, words), np.uint64, len(words))
+    units = np.fromiter(map(common.WORD_HASHES.__getitem__, words), np.uint64, len(words))
     kinds = [units] + [
         units[:-gap] * np.uint64(0x9E3779B97F4A7C15) + units[gap:] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(gap)
         for gap in GAPS
@@ -62,11 +59,19 @@ def features(text: bytes) -> np.ndarray:
 
 def learned(examples: list[tuple[bytes, int]], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Features with a weight, and the weights."""
-    sets = [np.concatenate([[BIAS], np.unique(features(t))]) for t, _ in examples]
+    # One flat array of all examples' features: many small ones would leave their memory in pieces.
+    sizes = np.zeros(len(examples) + 1, np.int64)
+    parts = []
+    for k, (text, _) in enumerate(examples):
+        parts.append(np.concatenate([[BIAS], np.unique(features(text))]).astype(np.int32))
+        sizes[k + 1] = len(parts[-1])
+    flat, ends = np.concatenate([*parts, np.zeros(0, np.int32)]), np.cumsum(sizes).tolist()
+    del parts
     size = 1 << FEATURE_BITS
     z, n, l1 = np.zeros(size), np.zeros(size), max(settings.l1, settings.l1_each * len(examples))
     for _ in range(settings.passes):
-        for at, (_, label) in zip(sets, examples):
+        for a, b, (_, label) in zip(ends, ends[1:], examples):
+            at = flat[a:b]
             zi, ni = z[at], n[at]
             root = np.sqrt(ni)
             w = _weights(zi, root, l1, settings)

@@ -10,8 +10,8 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 
 from passtrail.llm.common import Memo
@@ -36,14 +36,14 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
 
-_SPELLED = dict(zip((bytes([b]) for b in range(256)), byte_letters()))
-_LATIN = str.maketrans({chr(b): c for b, c in enumerate(byte_letters()) if b < 0x80})
+_LETTER = byte_letters()
+#: Marks that often end a word. A run of them at the end is a cut of its own.
+_TAIL = b".,;:!?\")"
 
 
-def _spelled(word: str) -> str:
-    if word.isascii():
-        return word.translate(_LATIN) if not word.isalnum() else word
-    return "".join(_SPELLED[bytes([b])] for b in word.encode())
+def _spelled(word: bytes) -> str:
+    """A word as the merge model of a byte-level vocabulary takes it."""
+    return word.decode() if word.isalnum() else "".join(map(_LETTER.__getitem__, word))
 
 
 @functools.lru_cache(maxsize=4)
@@ -68,22 +68,28 @@ class Words:
         self.tokenizer, self.lower, self.marked = loaded(path), lower, marked
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         model = self.tokenizer.model
-        self.unit = Memo(lambda w: self._packed([t.id for t in model.tokenize(_spelled(w))]))
-        self.memo = Memo(self._fresh)
+        self.unit = Memo(lambda w: self._packed([t.id for t in model.tokenize(_spelled(w))]), 300_000)
+        self.memo = Memo(self._lowered if lower else self._fresh, 800_000)
         self.spaced = Memo(lambda w: self._fresh(" " + w))
 
     def _packed(self, ids: list[int], cuts: list[int] = (0,)) -> bytes:
-        ids = np.array(ids, np.uint32)
-        if self.marked and len(ids):
-            ids[list(cuts)] |= CUT
-        return ids.tobytes()
-
-    def _fresh(self, word) -> bytes:
-        """``word``: text (bytes if lower) whose ends are ends of the tokenizer's own cuts."""
-        text = word.decode() if self.lower else word
+        if self.marked and ids:
+            for i in cuts:
+                ids[i] |= CUT
+        return array("I", ids).tobytes()
+
+    def _lowered(self, word: bytes) -> bytes:
+        core = word.rstrip(_TAIL)
+        if not core.isalpha():
+            return self._fresh(word.decode())
+        ids = self.unit[core.lower()]
+        return ids + self.unit[word[len(core) :]] if len(core) < len(word) else ids
+
+    def _fresh(self, text: str) -> bytes:
+        """``text`` begins and ends where the tokenizer cuts in any case."""
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             cut = _LOWER_WORDS.findall(text.lower()) if self.lower else _CASED_WORDS.findall(text)
-            return b"".join(map(self.unit.__getitem__, cut))
+            return b"".join([self.unit[c.encode()] for c in cut])
         whole = self.tokenizer.encode(text, add_special_tokens=False)
         at = whole.word_ids if self.marked else []
         return self._packed(whole.ids, [i for i in range(len(at)) if not i or at[i] != at[i - 1]])
