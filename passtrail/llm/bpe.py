@@ -191,16 +191,21 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_column: str = "ids", out
     return encoded.mapInArrow(of, schema)
 
 
-def ids_digest(encoded: DataFrame, ids_column: str = "ids", out: str = "ids_sha256") -> DataFrame:
-    """Replace ids by the SHA-256 of their decimal forms, joined by commas."""
+def digests(encoded: DataFrame, tokenizer_path: str, ids_column: str = "ids") -> DataFrame:
+    """Replace ids by two SHA-256: ``ids_sha256`` of their decimal forms joined by commas, ``decoded_sha256`` of their text."""
     kept = [c for c in encoded.columns if c != ids_column]
-    schema = encoded.select(*kept).schema.add(out, "string")
+    schema = encoded.select(*kept).schema.add("ids_sha256", "string").add("decoded_sha256", "string")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digits = common.Memo(lambda i: b"%d" % i)
+        tokens = vocab.token_bytes(tokenizer_path)
+        digits = [b"%d" % i for i in range(len(tokens))]
         for part in common.batches(parts):
-            lines = (b",".join(map(digits.__getitem__, np.frombuffer(i, np.uint32).tolist())) for i in part.column(ids_column).to_pylist())
-            found = pa.array([hashlib.sha256(line).hexdigest() for line in lines], pa.string())
-            yield pa.record_batch([*[part.column(c) for c in kept], found], names=[*kept, out])
+            found = []
+            for packed in part.column(ids_column).to_pylist():
+                ids = np.frombuffer(packed, np.uint32).tolist()
+                line = b",".join(map(digits.__getitem__, ids))
+                found.append((hashlib.sha256(line).hexdigest(), hashlib.sha256(decoded(packed, tokens).encode()).hexdigest()))
+            columns = [pa.array([f[k] for f in found], pa.string()) for k in (0, 1)]
+            yield pa.record_batch([*[part.column(c) for c in kept], *columns], names=[*kept, "ids_sha256", "decoded_sha256"])
 
     return encoded.mapInArrow(of, schema)

@@ -318,9 +318,11 @@ def connected(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "root")
 
 
-def batches(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Skip the empty ones."""
-    return (t for t in tables if t.num_rows)
+def batches(tables: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, none of them empty, so that few texts are Python objects at a time."""
+    for table in tables:
+        for at in range(0, table.num_rows, rows):
+            yield table.slice(at, rows)
 
 
 def octets(column) -> list[bytes]:

@@ -28,8 +28,7 @@ def op1_warc(spark: SparkSession, base: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, base: str) -> DataFrame:
     """Ids of whole ``documents`` and the texts that the ids stand for."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    back = bpe.decode(bpe.encode(_table(spark, base, "documents"), path), path)
-    return bpe.ids_digest(back.withColumn("decoded_sha256", F.sha2("text", 256)).drop("text"))
+    return bpe.digests(bpe.encode(_table(spark, base, "documents"), path), path)
 
 
 def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:
