@@ -109,6 +109,47 @@ def rolled(units: np.ndarray, width: int, multiplier: int) -> np.ndarray:
         power, size = power * power % 2**64, size * 2
 
 
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_BYTES = np.random.default_rng(23).integers(0, 1 << 63, 256, dtype=np.uint64)[_LOWER] * np.uint64(2) + np.uint64(1)
+_IN_WORD = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
+_STEP = 0xE7037ED1A0B428DB
+
+
+@functools.lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse."""
+    up, down = np.full(size, _STEP, np.uint64), np.full(size, pow(_STEP, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+
+def words_of(texts: list[bytes], block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z in lower case, and the number of the text of each; without a Python object for any word.
+
+    A word's hash is a polynomial of its bytes, taken from running sums over a block of texts.
+    """
+    hashes, owners, at = [], [], 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (size == 0 or size + len(texts[stop]) < block):
+            size += len(texts[stop]) + 1
+            stop += 1
+        data = np.frombuffer(b" ".join(texts[at:stop]) + b" ", np.uint8)
+        up, down = _powers(power_of_two(max(block, len(data)) + 1))
+        inside = _IN_WORD[data]
+        turns = np.flatnonzero(np.diff(inside, prepend=False))
+        starts, ends = turns[::2], turns[1::2]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
+        hashes.append(mixed((sums[ends] - sums[starts]) * down[starts]))
+        limits = np.cumsum([len(t) + 1 for t in texts[at:stop]])
+        owners.append(at + np.searchsorted(limits, starts, side="right"))
+        at = stop
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
 # ------------------------------------------------------------------------------------------------------ packed key exchange
 
 

@@ -7,9 +7,10 @@ first ``n - ceil(t n) + 1`` of each, so only those prefixes are joined, with fil
 on a bitmap: sets that differ in d words differ in at most d bits of a parity bitmap. Candidates are verified on the whole sets.
 A line goes if an earlier line is similar.
 
-Documents are dealt into chunks that follow their ids, as in ``substring``. Only prefix words that occur twice anywhere leave their
-chunk as rows. A word's list of lines is searched in blocks, and a line takes one candidate from it, the nearest; only lines whose
-candidates all fail are searched again for all of them. So a cluster of similar lines gives as many candidates as it has lines.
+Texts are read where they lie: once for the counts, once for a narrow row per line (hash of the set, bitmap, packed prefix), and again
+for the few documents whose lines must be verified or cut. Only prefix words that occur twice become rows. A word's list of lines is
+searched in blocks, and a line takes one candidate from it, the nearest; only lines whose candidates all fail are searched again for
+all of them. So a cluster of similar lines gives about as many candidates as it has lines.
 """
 
 from __future__ import annotations
@@ -23,20 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.llm import common
-from passtrail.llm.common import KEY, MESSAGES, MORE, WORD_HASHES, Replies
+from passtrail.llm.common import KEY, MESSAGES, MORE, Replies
+from passtrail.operators.scale import fits_broadcast
 from passtrail.operators.stores import stored
 
 BIN_BITS = 18
 _REST = np.uint64((1 << (64 - BIN_BITS)) - 1)
-GONE = 7
 SLICE = 4096
-ENTRIES = "word bigint, line bigint, size int, place int, bits1 bigint, bits2 bigint"
-OUT = "_id bigint, n_lines bigint, n_removed bigint, kept_text string"
-
-
-def _hashes(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
+#: Bytes of prefixes in a chunk, which sends its words as one message per range.
+CHUNK_LINES = 20_000
+LINES = "id bigint, mark bigint, line int, digest bigint, size int, bits1 bigint, bits2 bigint, prefix binary"
+_PLACE = ("id", "mark", "line")
+ENTRIES = "word bigint, digest bigint, id bigint, mark bigint, line int, size int, place int, bits1 bigint, bits2 bigint"
 
 
 def rarity(docs: DataFrame, text: str) -> np.ndarray:
@@ -45,8 +44,8 @@ def rarity(docs: DataFrame, text: str) -> np.ndarray:
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BIN_BITS, np.int64)
         for part in common.batches(parts):
-            found = [(_hashes(t) >> np.uint64(64 - BIN_BITS)).astype(np.int64) for t in common.octets(part.column(0))]
-            total += np.bincount(np.concatenate(found), minlength=1 << BIN_BITS)
+            hashes = common.words_of(common.octets(part.column(0)))[0]
+            total += np.bincount((hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at])], names=["bin", "n"])
 
@@ -58,119 +57,92 @@ def rarity(docs: DataFrame, text: str) -> np.ndarray:
     return rank
 
 
-class Chunk:
-    """A chunk's lines in order, as sets of ordered word keys. Rows that are equal in id and text are one document."""
+class Sets:
+    """The lines of some texts as sets of ordered word keys."""
 
-    def __init__(self, table: pa.Table, rank: np.ndarray, similarity: float):
-        ids, texts = table["_id"].to_pylist(), common.octets(table["_text"])
-        self.number = table["_chunk"][0].as_py()
-        self.rows = [((i is not None, i or 0), t) for i, t in zip(ids, texts)]
-        self.docs = sorted(set(self.rows))
-        self.lines = [t.split(b"\n") for _, t in self.docs]
-        flat = [line.lower().split() for lines in self.lines for line in lines]
-        sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        hashes = np.fromiter((WORD_HASHES[w] for words in flat for w in words), np.uint64, int(sizes.sum()))
+    def __init__(self, texts: list[bytes], rank: np.ndarray):
+        self.text_of, self.number, parts = [], [], []
+        for k, text in enumerate(texts):
+            lines = text.split(b"\n")
+            parts += lines
+            self.text_of += [k] * len(lines)
+            self.number += range(len(lines))
+        self.count = len(parts)
+        hashes, line = common.words_of(parts)
         keys = (rank[(hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64)] << np.uint64(64 - BIN_BITS)) | (hashes & _REST)
-        line = np.repeat(np.arange(len(flat)), sizes)
-        order = np.lexsort((keys, line))
+        order = np.argsort(keys)
+        order = order[np.argsort(line[order].astype(np.uint16 if self.count <= 1 << 16 else np.int64), kind="stable")]
         keys, line = keys[order], line[order]
         fresh = np.ones(len(keys), bool)
         fresh[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
         self.keys, self.line = keys[fresh], line[fresh]
-        self.count = len(flat)
         self.sizes = np.bincount(self.line, minlength=self.count)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.place = np.arange(len(self.keys)) - self.starts[self.line]
-        self.similarity = similarity
 
-    def digests(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each line's set, and the lines that have one."""
+    def of(self, k: int) -> np.ndarray:
+        return self.keys[self.starts[k] : self.starts[k] + self.sizes[k]]
+
+    def rows(self, similarity: float) -> dict[str, np.ndarray | list]:
+        """What is kept of each line that has words."""
         full = np.flatnonzero(self.sizes)
-        if not len(full):
-            return np.zeros(0, np.uint64), full
-        sums = np.add.reduceat(common.mixed(self.keys), self.starts[full])
-        return common.mixed(sums ^ self.sizes[full].astype(np.uint64)), full
-
-    def firsts(self, earlier: Replies) -> np.ndarray:
-        """Which lines are the first of their set over the whole table."""
-        digest, full = self.digests()
-        own = np.zeros(self.count, bool)
-        own[full[np.unique(digest, return_index=True)[1]]] = True
-        own[full[earlier.has(digest)]] = False
-        return own
-
-    def prefixes(self, firsts: np.ndarray) -> np.ndarray:
-        """The places in ``keys`` that are in a first line's prefix."""
-        length = self.sizes - np.ceil(self.similarity * self.sizes - 1e-9).astype(np.int64) + 1
-        return np.flatnonzero((self.place < length[self.line]) & firsts[self.line])
-
-    def parity(self) -> np.ndarray:
-        """For each line 128 bits, each of which is the parity of the words that fall on it."""
-        at = (common.mixed(self.keys) >> np.uint64(57)).astype(np.int64)
-        bits = np.zeros((self.count, 128), np.uint8)
-        np.bitwise_xor.at(bits, (self.line, at), 1)
-        return np.packbits(bits, axis=1).view(np.int64).reshape(-1, 2)
-
-
-def _sets(table: pa.Table, rank, similarity, buckets) -> pa.Table:
-    chunk = Chunk(table, rank, similarity)
-    return common.messages(chunk.number, {KEY: chunk.digests()[0]}, buckets, False)
-
-
-def _words(key: tuple, table: pa.Table, earlier: pa.Table, rank, similarity, buckets) -> pa.Table:
-    chunk = Chunk(table, rank, similarity)
-    at = chunk.prefixes(chunk.firsts(Replies(earlier, buckets, False)))
-    once, more = common.once_and_more(chunk.keys[at])
-    return common.messages(chunk.number, {KEY: once, MORE: more}, buckets, True)
-
-
-def _parted(told: pa.Table) -> tuple[pa.Table, pa.Table]:
-    """The two kinds of replies that come together."""
-    kind = np.array(told["kind"].to_pylist(), np.int64)
-    return told.filter(pa.array(kind == KEY)), told.filter(pa.array(kind == GONE))
-
-
-def _entries(key: tuple, table: pa.Table, told: pa.Table, rank, similarity, buckets) -> pa.Table:
-    """A row for each prefix word of a first line that another prefix has too."""
-    if not table.num_rows:
-        return pa.table({n: pa.array([], t) for n, t in _ENTRY_TYPES})
-    chunk = Chunk(table, rank, similarity)
-    earlier, shared = _parted(told)
-    at = chunk.prefixes(chunk.firsts(Replies(earlier, buckets, False)))
-    at = at[Replies(shared, buckets, True).has(chunk.keys[at])]
-    line, bits = chunk.line[at], chunk.parity()
-    columns = (chunk.keys[at].view(np.int64), (chunk.number << 32) + line, chunk.sizes[line], chunk.place[at], bits[line, 0], bits[line, 1])
-    return pa.table({n: pa.array(c, t) for (n, t), c in zip(_ENTRY_TYPES, columns)})
-
-
-_ENTRY_TYPES = [("word", pa.int64()), ("line", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("bits1", pa.int64()), ("bits2", pa.int64())]
-
-
-def _asked(key: tuple, table: pa.Table, wanted: pa.Table, rank, similarity) -> pa.Table:
-    """The sets of the lines that are asked for."""
-    names = ["line", "words"]
-    if not table.num_rows or not wanted.num_rows:
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.binary())], names=names)
-    chunk = Chunk(table, rank, similarity)
-    lines = wanted["line"].to_pylist()
-    found = [chunk.keys[chunk.starts[k] : chunk.starts[k] + chunk.sizes[k]].tobytes() for k in (n & 0xFFFFFFFF for n in lines)]
-    return pa.table([pa.array(lines, pa.int64()), pa.array(found, pa.binary())], names=names)
-
-
-def _cleaned(key: tuple, table: pa.Table, told: pa.Table, rank, similarity, buckets) -> pa.Table:
-    chunk = Chunk(table, rank, similarity)
-    earlier, gone = _parted(told)
-    drop = (chunk.sizes > 0) & ~chunk.firsts(Replies(earlier, buckets, False))
-    drop[[int.from_bytes(b, "big") & 0xFFFFFFFF for b in gone["keys"].to_pylist()]] = True
-    results, at = {}, 0
-    for doc, lines in zip(chunk.docs, chunk.lines):
-        mask = drop[at : at + len(lines)].tolist()
-        at += len(lines)
-        results[doc] = (len(lines), sum(mask), b"\n".join(line for line, d in zip(lines, mask) if not d))
-    rows = [(i if there else None, *results[(there, i), t]) for (there, i), t in chunk.rows]
-    columns = list(zip(*rows)) or [()] * 4
-    arrays = [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.binary()])]
-    return pa.table([*arrays[:3], arrays[3].cast(pa.string())], names=["_id", "n_lines", "n_removed", "kept_text"])
+        size, start = self.sizes[full], self.starts[full]
+        spread = common.mixed(self.keys)
+        sums = np.add.reduceat(spread, start) if len(full) else np.zeros(0, np.uint64)
+        digest = common.mixed(sums ^ size.astype(np.uint64)).view(np.int64)
+        bits = np.stack([
+            np.bitwise_xor.reduceat(np.where((spread >> np.uint64(63)) == k, np.uint64(1) << (spread >> np.uint64(57) & np.uint64(63)), np.uint64(0)), start)
+            if len(full) else np.zeros(0, np.uint64)
+            for k in (0, 1)
+        ]).view(np.int64)
+        length = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
+        words = common.mixed(self.keys).astype(np.uint32).tobytes()
+        prefix = [words[4 * a : 4 * (a + n)] for a, n in zip(start.tolist(), length.tolist())]
+        return {"at": full, "digest": digest, "size": size, "bits1": bits[0], "bits2": bits[1], "prefix": prefix}
+
+
+def line_rows(docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
+    """A narrow row for each line with words, from (id, mark, text)."""
+
+    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts, 256):
+            sets = Sets(common.octets(part.column("_text")), rank)
+            rows = sets.rows(similarity)
+            texts = pa.array([sets.text_of[k] for k in rows["at"].tolist()], pa.int64())
+            numbers = pa.array([sets.number[k] for k in rows["at"].tolist()], pa.int32())
+            yield pa.record_batch(
+                [
+                    part.column("id").take(texts), part.column("mark").take(texts), numbers, pa.array(rows["digest"], pa.int64()),
+                    pa.array(rows["size"], pa.int32()), pa.array(rows["bits1"], pa.int64()), pa.array(rows["bits2"], pa.int64()),
+                    pa.array(rows["prefix"], pa.binary()),
+                ],
+                names=[c.split()[0] for c in LINES.split(", ")],
+            )
+
+    return docs.select("id", "mark", "_text").mapInArrow(of, LINES)
+
+
+def _words_of_prefixes(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all prefixes, the row of each, and its place in the prefix."""
+    blobs = table["prefix"].to_pylist()
+    sizes = np.array([len(b) // 4 for b in blobs], np.int64)
+    words = np.frombuffer(b"".join(blobs), np.uint32).astype(np.uint64)
+    rows = np.repeat(np.arange(len(blobs)), sizes)
+    return words, rows, np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _sent(table: pa.Table, buckets: int) -> pa.Table:
+    once, more = common.once_and_more(_words_of_prefixes(table)[0])
+    return common.messages(table["chunk"][0].as_py(), {KEY: once, MORE: more}, buckets, True)
+
+
+def _entries(key: tuple, table: pa.Table, told: pa.Table, buckets: int) -> pa.Table:
+    """A row for each prefix word that another prefix has too."""
+    words, rows, place = _words_of_prefixes(table)
+    shared = np.flatnonzero(Replies(told, buckets, True).has(words))
+    took = table.take(pa.array(rows[shared], pa.int64()))
+    columns = [pa.array(words[shared].view(np.int64)), *[took[c].combine_chunks() for c in ("digest", *_PLACE, "size")],
+               pa.array(place[shared], pa.int32()), took["bits1"].combine_chunks(), took["bits2"].combine_chunks()]
+    return pa.table(columns, names=[c.split()[0] for c in ENTRIES.split(", ")])
 
 
 # ------------------------------------------------------------------------------------------------------------ candidates
@@ -178,20 +150,20 @@ def _cleaned(key: tuple, table: pa.Table, told: pa.Table, rank, similarity, buck
 
 def _passing(rows: pd.DataFrame, asks: np.ndarray, gives: np.ndarray, similarity: float) -> np.ndarray:
     """Bits in which two lines of a word's list differ, for each (asking, giving) pair; 255 where a filter rules the pair out."""
-    size, place, line = (rows[c].to_numpy() for c in ("size", "place", "line"))
+    size, place, turn = (rows[c].to_numpy() for c in ("size", "place", "turn"))
     bits = rows[["bits1", "bits2"]].to_numpy().view(np.uint64)
     sa, sb = size[asks][:, None].astype(np.int64), size[gives][None, :].astype(np.int64)
     need = np.ceil(similarity / (1 + similarity) * (sa + sb) - 1e-9).astype(np.int64)
     at_most = np.minimum(sa - place[asks][:, None], sb - place[gives][None, :])
     differ = sum(np.bitwise_count(bits[asks, k][:, None] ^ bits[gives, k][None, :]).astype(np.int64) for k in (0, 1))
-    good = (line[gives][None, :] < line[asks][:, None]) & (at_most >= need) & (differ <= sa + sb - 2 * need)
+    good = (turn[gives][None, :] < turn[asks][:, None]) & (at_most >= need) & (differ <= sa + sb - 2 * need)
     good &= np.minimum(sa, sb) >= np.ceil(similarity * np.maximum(sa, sb) - 1e-9)
     return np.where(good, np.minimum(differ, 254), 255)
 
 
 def _candidates(rows: pd.DataFrame, lo: int, hi: int, every: bool, similarity: float) -> Iterator[tuple[int, int]]:
-    """(line, earlier line) for a word's list, or for two of its slices, in blocks."""
-    line, part, asking = rows["line"].to_numpy(), rows["slice"].to_numpy(), rows["open"].to_numpy()
+    """(set, set of an earlier line) for a word's list, or for two of its slices, in blocks."""
+    line, part, asking = rows["digest"].to_numpy(), rows["slice"].to_numpy(), rows["open"].to_numpy()
     for mine, other in {(lo, hi), (hi, lo)}:
         asks, gives = np.flatnonzero((part == mine) & asking), np.flatnonzero(part == other)
         for a in range(0, len(asks), 256):
@@ -206,25 +178,32 @@ def _candidates(rows: pd.DataFrame, lo: int, hi: int, every: bool, similarity: f
                     yield int(line[some[x]]), int(line[gives[best[x]]])
 
 
+_ITEM = ("digest", *_PLACE, "size", "place", "bits1", "bits2", "open", "slice")
+
+
 def _pairs(entries: DataFrame, similarity: float, every: bool, slice_size: int = SLICE) -> DataFrame:
-    """Candidates among entries; ``open`` marks the lines that ask."""
+    """Candidates (line, other), by their sets, among entries; ``open`` marks the lines that ask."""
     large = stored(entries.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_size), "lines-large")
     large = large.select("word", F.ceil(F.col("n") / slice_size).cast("int").alias("slices"))
     cut = entries.join(large, "word", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-    cut = cut.withColumn("slice", F.pmod(F.xxhash64("line"), F.col("slices")).cast("int"))
+    cut = cut.withColumn("slice", F.pmod(F.xxhash64("digest"), F.col("slices")).cast("int"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("slices") - 1),
         lambda t: F.struct(F.least(t, F.col("slice")).alias("lo"), F.greatest(t, F.col("slice")).alias("hi")),
     )
     dealt = cut.withColumn("m", F.explode(meets)).select(*entries.columns, "slice", "m.lo", "m.hi")
-    item = F.struct("line", "size", "place", "bits1", "bits2", "open", "slice")
-    groups = dealt.groupBy("word", "lo", "hi").agg(F.collect_list(item).alias("items")).filter("size(items) > 1").select("lo", "hi", "items")
+    groups = dealt.groupBy("word", "lo", "hi").agg(F.collect_list(F.struct(*_ITEM)).alias("items"))
+    groups = groups.filter("size(items) > 1").select("lo", "hi", "items")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             lists = part.column("items")
             flat = lists.flatten()
-            rows = pd.DataFrame({f: flat.field(f).to_numpy(zero_copy_only=False) for f in ("line", "size", "place", "bits1", "bits2", "open", "slice")})
+            rows = pd.DataFrame({f: flat.field(f).to_numpy(zero_copy_only=False) for f in _ITEM if f != "id"})
+            known = flat.field("id").is_valid().to_numpy(zero_copy_only=False)
+            ids = flat.field("id").fill_null(0).to_numpy()
+            # All rows of this batch by place, which also orders those of one list; a null id comes first.
+            rows["turn"] = np.argsort(np.lexsort((rows["line"], rows["mark"], ids, known)))
             ends = np.cumsum(lists.value_lengths().to_numpy())
             sizes = np.diff(np.concatenate([[0], ends]))
             found = list(_small(rows, sizes, similarity)) if not every else []
@@ -244,7 +223,7 @@ def _small(rows: pd.DataFrame, sizes: np.ndarray, similarity: float) -> Iterator
     """The candidates of all short lists: their rows at each distance from one another."""
     group = np.repeat(np.arange(len(sizes)), sizes)
     few = sizes[group] <= FEW
-    line, size, place = (rows[c].to_numpy().astype(np.int64) for c in ("line", "size", "place"))
+    line, turn, size, place = (rows[c].to_numpy().astype(np.int64) for c in ("digest", "turn", "size", "place"))
     bits, asking = rows[["bits1", "bits2"]].to_numpy().view(np.uint64), rows["open"].to_numpy()
     for gap in range(1, min(FEW, int(sizes.max(initial=0)))):
         a = np.flatnonzero((group[gap:] == group[:-gap]) & few[gap:])
@@ -253,18 +232,40 @@ def _small(rows: pd.DataFrame, sizes: np.ndarray, similarity: float) -> Iterator
         differ = sum(np.bitwise_count(bits[a, k] ^ bits[b, k]).astype(np.int64) for k in (0, 1))
         good = (np.minimum(size[a] - place[a], size[b] - place[b]) >= need) & (differ <= size[a] + size[b] - 2 * need) & (line[a] != line[b])
         good &= np.minimum(size[a], size[b]) >= np.ceil(similarity * np.maximum(size[a], size[b]) - 1e-9)
-        late, early = np.where(line[a] > line[b], a, b), np.where(line[a] > line[b], b, a)
+        late, early = np.where(turn[a] > turn[b], a, b), np.where(turn[a] > turn[b], b, a)
         good &= asking[late]
         yield from zip(line[late[good]].tolist(), line[early[good]].tolist())
 
 
-def _verified(pairs: DataFrame, by_chunk, rank, similarity: float) -> DataFrame:
-    """``pairs`` with ``similar``, from the whole sets."""
-    wanted = pairs.select(F.explode(F.array("line", "other")).alias("line")).distinct()
-    wanted = wanted.withColumn("chunk", F.shiftright("line", 32)).groupBy("chunk")
-    ask = common.on_pair(_asked, rank=rank, similarity=similarity)
-    sets = stored(by_chunk.cogroup(wanted).applyInArrow(ask, "line bigint, words binary"), "lines-sets")
-    both = pairs.join(sets, "line").join(sets.select(F.col("line").alias("other"), F.col("words").alias("words2")), "other")
+def _meet(docs: DataFrame, few: DataFrame) -> DataFrame:
+    """Documents with what is known of some of them, by (id, mark). ``few`` is broadcast if it is measured to be small."""
+    few = few.withColumnsRenamed({"id": "_i", "mark": "_m"})
+    few = F.broadcast(few) if fits_broadcast(few) else few
+    return docs.join(few, F.col("id").eqNullSafe(F.col("_i")) & (F.col("mark") == F.col("_m")), "left").drop("_i", "_m")
+
+
+def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
+    """The lines of ``pairs`` (by digest) with ``similar``: whether one of their candidates is, by the whole sets."""
+    wanted = pairs.select(F.explode(F.array("line", "other")).alias("digest")).distinct()
+    wanted = stored(firsts.select("digest", *_PLACE).join(wanted, "digest", "left_semi"), "lines-wanted")
+    asked = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("line", "digest")).alias("asked"))
+    found = _meet(docs, stored(asked, "lines-asked")).filter("asked is not null").select("_text", "asked")
+
+    def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts, 256):
+            lines = Sets(common.octets(part.column("_text")), rank)
+            begin = np.searchsorted(np.array(lines.text_of), np.arange(part.num_rows))
+            rows = [
+                (item["digest"], lines.of(int(begin[k]) + item["line"]).tobytes())
+                for k, asked in enumerate(part.column("asked").to_pylist())
+                for item in asked
+            ]
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["digest", "words"])
+
+    # Rows that are equal in id and text give the same sets.
+    known = stored(found.mapInArrow(sets, "digest bigint, words binary").dropDuplicates(["digest"]), "lines-sets")
+    both = pairs.join(known.withColumnRenamed("digest", "line"), "line")
+    both = both.join(known.select(F.col("digest").alias("other"), F.col("words").alias("words2")), "other")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts):
@@ -273,14 +274,18 @@ def _verified(pairs: DataFrame, by_chunk, rank, similarity: float) -> DataFrame:
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common_words = len(np.intersect1d(x, y, assume_unique=True))
                 similar.append(common_words >= similarity * (len(x) + len(y) - common_words) - 1e-9)
-            yield pa.record_batch([part.column("line"), pa.array(similar)], names=["line", "similar"])
+            yield pa.record_batch([part.column("line"), pa.array(similar, pa.bool_())], names=["line", "similar"])
 
     judged = both.select("line", "words", "words2").mapInArrow(of, "line bigint, similar boolean")
-    return judged.groupBy("line").agg(F.max("similar").alias("similar"))
+    return judged.groupBy(F.col("line").alias("digest")).agg(F.max("similar").alias("similar"))
+
+
+OUT = "_id bigint, n_lines bigint, n_removed bigint, kept_text string"
 
 
 def without_similar_lines(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = 0.8, chunk_bytes: int = common.CHUNK_BYTES
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = 0.8, chunk_lines: int = CHUNK_LINES,
+    slice_size: int = SLICE,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_lines``, ``n_removed``, ``kept_text``.
 
@@ -289,33 +294,44 @@ def without_similar_lines(
     or an earlier one of its own. Lines are judged on the input. Lines without words stay. Kept lines are joined by line feeds.
 
     Null counts as empty, which is one line without words. A null id comes before all others. Rows that share an id are ordered by
-    their text; rows equal in id and text are one document that gives equal rows. Other columns are not looked at. An empty
+    a hash of their text; rows equal in id and text are one document that gives equal rows. Other columns are not looked at. An empty
     table gives an empty result. Starts jobs.
     """
-    mine = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"))
-    _, size = common.volume(mine, "_text")
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    mine = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("_text"))
     rank = rarity(mine, "_text")
-    chunks = max(1, -(-size // chunk_bytes))
-    buckets = common.power_of_two(size / (2 * chunk_bytes))
-    deal = common.ordered_chunk(mine, "_id", chunks)
-    by_chunk = mine.withColumn("_chunk", deal(F.col("_id"))).groupBy("_chunk")
-    known = {"rank": rank, "similarity": similarity}
-    sets = by_chunk.applyInArrow(common.on_group(_sets, **known, buckets=buckets), MESSAGES)
-    earlier = stored(common.found_before(sets), "lines-earlier")
-    words = by_chunk.cogroup(earlier.groupBy("chunk")).applyInArrow(common.on_pair(_words, **known, buckets=buckets), MESSAGES)
-    shared = common.found_twice(words, narrow=True).withColumn("kind", F.lit(GONE))
-    told = earlier.union(shared).groupBy("chunk")
-    entries = stored(by_chunk.cogroup(told).applyInArrow(common.on_pair(_entries, **known, buckets=buckets), ENTRIES), "lines-entries")
-    pairs = stored(_pairs(entries.withColumn("open", F.lit(True)), similarity, False).distinct(), "lines-pairs")
-    first = stored(_verified(pairs, by_chunk, rank, similarity), "lines-verified")
-    again = first.filter("not similar").select("line", F.lit(True).alias("open"))
-    rest = entries.join(again, "line", "left").withColumn("open", F.coalesce("open", F.lit(False))).select(*entries.columns, "open")
-    listed = rest.join(rest.filter("open").select("word").distinct(), "word", "left_semi")
-    second = stored(_pairs(listed, similarity, True).distinct(), "lines-pairs")
-    gone = first.filter("similar").select("line").union(_verified(second, by_chunk, rank, similarity).filter("similar").select("line"))
-    gone = gone.select(
-        F.lit(0).alias("bucket"), F.shiftright("line", 32).alias("chunk"), F.lit(GONE).alias("kind"),
-        F.unhex(F.lpad(F.hex("line"), 16, "0")).alias("keys"),
-    )
-    clean = common.on_pair(_cleaned, **known, buckets=buckets)
-    return by_chunk.cogroup(earlier.union(gone).groupBy("chunk")).applyInArrow(clean, OUT).withColumnRenamed("_id", id_column)
+    lines = stored(line_rows(mine, rank, similarity), "lines")
+    place = F.struct(F.col("id").isNotNull().alias("there"), *_PLACE)
+    rest = F.struct(*_PLACE, "size", "bits1", "bits2", "prefix")
+    firsts = stored(lines.groupBy("digest").agg(F.min_by(rest, place).alias("f"), F.count(F.lit(1)).alias("n")).select("digest", "f.*", "n"), "lines-firsts")
+    count = firsts.count()
+    chunks = max(1, count // chunk_lines)
+    buckets = common.power_of_two(chunks / 4)
+    by_chunk = firsts.drop("n").withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks))).groupBy("chunk")
+    shared = common.found_twice(by_chunk.applyInArrow(common.on_group(_sent, buckets=buckets), MESSAGES), narrow=True)
+    entries = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(common.on_pair(_entries, buckets=buckets), ENTRIES)
+    entries = stored(entries, "lines-entries")
+    pairs = stored(_pairs(entries.withColumn("open", F.lit(True)), similarity, False, slice_size).distinct(), "lines-pairs")
+    first = stored(_verified(pairs, firsts, mine, rank, similarity), "lines-verified")
+    again = first.filter("not similar").select("digest", F.lit(True).alias("open"))
+    open_again = entries.join(again, "digest", "left").withColumn("open", F.coalesce("open", F.lit(False))).select(*entries.columns, "open")
+    listed = open_again.join(open_again.filter("open").select("word").distinct(), "word", "left_semi")
+    second = stored(_pairs(listed, similarity, True, slice_size).distinct().join(pairs, ["line", "other"], "left_anti"), "lines-pairs")
+    similar = first.union(_verified(second, firsts, mine, rank, similarity)).filter("similar").select("digest")
+    near = firsts.join(similar, "digest", "left_semi").select(*_PLACE)
+    several = firsts.filter("n > 1").select("digest", F.struct(*_PLACE).alias("_first"))
+    told = common.tell_groups(lines.select("digest", *_PLACE), ["digest"], several, F.col("mark"))
+    gone = told.filter(~F.struct(*_PLACE).eqNullSafe(F.col("_first"))).select(*_PLACE).union(near)
+    gone = stored(gone.groupBy("id", "mark").agg(F.collect_set("line").alias("gone")), "lines-gone")
+
+    def clean(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts):
+            rows = []
+            for i, t, drop in zip(part.column(0).to_pylist(), common.octets(part.column(1)), part.column(2).to_pylist()):
+                all_lines = t.split(b"\n")
+                drop = set(drop or ())
+                rows.append((i, len(all_lines), len(drop), b"\n".join(x for k, x in enumerate(all_lines) if k not in drop) if drop else t))
+            arrays = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate([pa.int64(), pa.int64(), pa.int64(), pa.binary()])]
+            yield pa.record_batch([*arrays[:3], arrays[3].cast(pa.string())], names=[c.split()[0] for c in OUT.split(", ")])
+
+    return _meet(mine, gone).select("id", "_text", "gone").mapInArrow(clean, OUT).withColumnRenamed("_id", id_column)
