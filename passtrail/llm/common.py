@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,10 +87,6 @@ class Memo(dict):
         return value
 
 
-#: Hashes of words as bytes, which several operators share in a worker process.
-WORD_HASHES = Memo(functools.partial(xxhash.xxh3_64_intdigest, seed=9))
-
-
 def rolled(units: np.ndarray, width: int, multiplier: int) -> np.ndarray:
     """A 64-bit value for each run of ``width`` consecutive units: a polynomial in an odd multiplier, doubled up and mixed."""
     if len(units) < width:
@@ -110,12 +105,13 @@ def rolled(units: np.ndarray, width: int, multiplier: int) -> np.ndarray:
 
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-_BYTES = np.random.default_rng(23).integers(0, 1 << 63, 256, dtype=np.uint64)[_LOWER] * np.uint64(2) + np.uint64(1)
+_CASED = np.random.default_rng(23).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_UNCASED = _CASED[_LOWER]
 _IN_WORD = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 _STEP = 0xE7037ED1A0B428DB
 
 
-@functools.lru_cache(maxsize=1)
+@functools.lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse."""
     up, down = np.full(size, _STEP, np.uint64), np.full(size, pow(_STEP, -1, 1 << 64), np.uint64)
@@ -123,12 +119,12 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def words_of(texts: list[bytes], block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, A-Z in lower case, and the number of the text of each; without a Python object for any word.
+def words_of(texts: list[bytes], lower: bool = True, block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z in lower case if so asked, and the number of the text of each; without a Python object for any word.
 
     A word's hash is a polynomial of its bytes, taken from running sums over a block of texts.
     """
-    hashes, owners, at = [], [], 0
+    hashes, owners, at, values = [], [], 0, _UNCASED if lower else _CASED
     while at < len(texts):
         stop, size = at, 0
         while stop < len(texts) and (size == 0 or size + len(texts[stop]) < block):
@@ -140,7 +136,7 @@ def words_of(texts: list[bytes], block: int = 1 << 19) -> tuple[np.ndarray, np.n
         turns = np.flatnonzero(np.diff(inside, prepend=False))
         starts, ends = turns[::2], turns[1::2]
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
+        np.cumsum(values[data] * up[: len(data)], out=sums[1:])
         hashes.append(mixed((sums[ends] - sums[starts]) * down[starts]))
         limits = np.cumsum([len(t) + 1 for t in texts[at:stop]])
         owners.append(at + np.searchsorted(limits, starts, side="right"))
@@ -364,6 +360,7 @@ def batches(tables: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     for table in tables:
         for at in range(0, table.num_rows, rows):
             yield table.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # the process stays, for tasks of other kinds
 
 
 def octets(column) -> list[bytes]:

@@ -228,8 +228,7 @@ _ROLL = 0xA24BAED4963EE407
 
 
 def _word_hashes(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(common.WORD_HASHES.__getitem__, words), np.uint64, len(words))
+    return common.words_of([text])[0]
 
 
 def _shingle_set(text: bytes, size: int) -> np.ndarray:

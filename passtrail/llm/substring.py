@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passtrail.llm import common
-from passtrail.llm.common import KEY, INDEX, MORE, MESSAGES, WORD_HASHES, Replies
+from passtrail.llm.common import KEY, INDEX, MORE, MESSAGES, Replies
 
 SPANS = "array<struct<start:bigint,length:bigint>>"
 OUT = f"n_words bigint, n_removed bigint, spans {SPANS}, kept_text string"
@@ -29,7 +29,7 @@ _ROLL = 0xD6E8FEB86659FD93
 
 
 class Chunk:
-    """A chunk's documents in order, as words and as one array of word hashes.
+    """A chunk's documents in order, as one array of word hashes.
 
     Rows of the same id are ordered by text; rows that are equal in both are one document.
     """
@@ -38,11 +38,10 @@ class Chunk:
         ids, texts = table["_id"].to_pylist(), common.octets(table["_text"])
         self.rows = [((i is not None, i or 0), t) for i, t in zip(ids, texts)]
         self.docs = sorted(set(self.rows))
-        self.words = [t.split() for _, t in self.docs]
-        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.units, owner = common.words_of([t for _, t in self.docs], lower=False)
+        sizes = np.bincount(owner, minlength=len(self.docs))
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         total = int(self.starts[-1])
-        self.units = np.fromiter((WORD_HASHES[w] for words in self.words for w in words), np.uint64, total)
         place = np.repeat(self.starts[:-1], sizes)
         self.offset = np.arange(total) - place
         self.left = np.repeat(self.starts[1:], sizes) - np.arange(total)
@@ -88,7 +87,8 @@ def _cut(key: tuple, table: pa.Table, earlier: pa.Table, window: int, buckets: i
     np.add.at(edge, starts + window, -1)
     covered = np.cumsum(edge[:-1]) > 0
     results = {}
-    for doc, words, a, b in zip(chunk.docs, chunk.words, chunk.starts[:-1].tolist(), chunk.starts[1:].tolist()):
+    for doc, a, b in zip(chunk.docs, chunk.starts[:-1].tolist(), chunk.starts[1:].tolist()):
+        words = doc[1].split()
         mask = covered[a:b]
         removed = int(mask.sum())
         turns = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8))).reshape(-1, 2) if removed else ()

@@ -41,13 +41,12 @@ class Settings:
     l2: float = 1.0
     passes: int = 3
     #: What an example of label 1 counts, as it is the rarer one.
-    weight_of_one: float = 3.0
+    weight_of_one: float = 4.0
 
 
 def features(text: bytes) -> np.ndarray:
     """Hashed features, with repeats; the bias is not among them."""
-    words = text.translate(_PLAIN).split()
-    units = np.fromiter(map(common.WORD_HASHES.__getitem__, words), np.uint64, len(words))
+    units = common.words_of([text.translate(_PLAIN)])[0]
     kinds = [units] + [
         units[:-gap] * np.uint64(0x9E3779B97F4A7C15) + units[gap:] * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(gap)
         for gap in GAPS
@@ -60,13 +59,13 @@ def features(text: bytes) -> np.ndarray:
 def learned(examples: list[tuple[bytes, int]], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Features with a weight, and the weights."""
     # One flat array of all examples' features: many small ones would leave their memory in pieces.
-    sizes = np.zeros(len(examples) + 1, np.int64)
-    parts = []
-    for k, (text, _) in enumerate(examples):
-        parts.append(np.concatenate([[BIAS], np.unique(features(text))]).astype(np.int32))
-        sizes[k + 1] = len(parts[-1])
-    flat, ends = np.concatenate([*parts, np.zeros(0, np.int32)]), np.cumsum(sizes).tolist()
-    del parts
+    sizes, blocks = [0], [np.zeros(0, np.int32)]
+    for k in range(0, len(examples), 1000):
+        parts = [np.concatenate([[BIAS], np.unique(features(text))]).astype(np.int32) for text, _ in examples[k : k + 1000]]
+        sizes += map(len, parts)
+        blocks.append(np.concatenate(parts))
+    flat, ends = np.concatenate(blocks), np.cumsum(sizes).tolist()
+    del blocks
     size = 1 << FEATURE_BITS
     z, n, l1 = np.zeros(size), np.zeros(size), max(settings.l1, settings.l1_each * len(examples))
     for _ in range(settings.passes):
