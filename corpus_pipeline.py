@@ -9,32 +9,37 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from passtrail.llm import exact, packing, simhash, substring, toxicity
+from passtrail.llm import common, exact, packing, simhash, substring, toxicity
 from passtrail.operators.stores import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go. The model is learned from the labelled documents."""
+    common.small_batches(spark)
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal but for white space, the longest original stays."""
+    common.small_batches(spark)
     return exact.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that share four fifths of their five-word shingles, the one with the smallest id stays."""
+    common.small_batches(spark)
     return simhash.without_near_copies(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that repeat an earlier run of twenty go; every document stays."""
+    common.small_batches(spark)
     return substring.without_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 ids."""
+    common.small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passtrail.operators.stores import stored
@@ -363,6 +363,16 @@ def batches(tables: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
     pa.default_memory_pool().release_unused()  # the process stays, for tasks of other kinds
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let the session hand texts to Python in batches of so many rows; the default of ten times as many is made for narrow rows.
+
+    Both sides hold whole batches outside the heap, so this bounds what a task needs there. A smaller setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def octets(column) -> list[bytes]:
     """A string column as UTF-8; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import bpe, exact, lines, packing, simhash, substring, suffix, toxicity, warc, winnow
+from passtrail.llm import bpe, common, exact, lines, packing, simhash, substring, suffix, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    common.small_batches(spark)
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from passtrail.llm import common
 
-FEATURE_BITS = 21
+FEATURE_BITS = 22
 #: Bounds of the sample that is learned from: rows, and UTF-8 bytes of a text.
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 16_000, 1 << 16
 BIAS = 0
@@ -33,7 +33,7 @@ _PLAIN = bytes(
 
 @dataclass(frozen=True)
 class Settings:
-    rate: float = 0.5
+    rate: float = 1.0
     smoothing: float = 1.0
     #: L1, and for each example of the sample: gradients add up over examples, so what they must exceed does too.
     l1: float = 4.0
