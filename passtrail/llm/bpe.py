@@ -14,8 +14,9 @@ Without agreement the window grows to everything, which is plain encoding.
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,21 +121,26 @@ ENCODED = "_id bigint, n_tokens bigint, ids binary"
 
 
 def encode(
-    docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text", part_chars: int = PART_CHARS
+    docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text", part_chars: int = PART_CHARS,
+    then: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_tokens``, ``ids`` (packed little-endian unsigned 32-bit), of the whole text.
 
+    ``then``, a function of result batches and the schema that it gives (its id column named ``_id``), is applied in the same process,
+    so that ids that are only needed for something else do not travel on.
+
     Ids are those of the tokenizers library without special tokens added and without truncation or padding; a special token's
     string in a text gets its id. Texts of more than ``part_chars`` characters are encoded in parts on different tasks and
     joined. Null counts as empty; an empty text has no ids. Rows that repeat an id or a text are rows of their own. Other columns
     are not looked at. The ids of a document are one value of at most 2 GB.
     """
+    last, schema = then or (lambda batch: batch, ENCODED)
     mine = docs.select(F.col(id_column).cast("long").alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
 
     def short(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocab.words(tokenizer_path, False, True)
         for part in common.batches(parts):
-            yield _encoded(part.column(0), [np.frombuffer(words.of_text(t), np.uint32) for t in part.column(1).to_pylist()])
+            yield last(_encoded(part.column(0), [np.frombuffer(words.of_text(t), np.uint32) for t in part.column(1).to_pylist()]))
 
     def leaf(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocab.words(tokenizer_path, False, True)
@@ -147,13 +153,13 @@ def encode(
         order = np.argsort(table["number"].to_numpy(), kind="stable").tolist()
         texts, ids = common.octets(table["part"]), table["ids"].to_pylist()
         _, found = joiner.tree([(texts[k], np.frombuffer(ids[k], np.uint32)) for k in order])
-        return pa.Table.from_batches([_encoded(pa.array([table["_id"][0].as_py()], pa.int64()), [found])])
+        return pa.Table.from_batches([last(_encoded(pa.array([table["_id"][0].as_py()], pa.int64()), [found]))])
 
     long = F.length("_text") > part_chars
     parts = mine.filter(long).withColumn("row", F.monotonically_increasing_id()).select("row", "_id", F.posexplode(_halved(part_chars)).alias("number", "part"))
     parts = parts.repartition("row", "number").mapInArrow(leaf, "row bigint, _id bigint, number int, part string, ids binary")
-    whole = parts.groupBy("row").applyInArrow(lambda table: joined(table), ENCODED)
-    return mine.filter(~long).mapInArrow(short, ENCODED).union(whole).withColumnRenamed("_id", id_column)
+    whole = parts.groupBy("row").applyInArrow(lambda table: joined(table), schema)
+    return mine.filter(~long).mapInArrow(short, schema).union(whole).withColumnRenamed("_id", id_column)
 
 
 def _halved(most: int):
@@ -191,21 +197,25 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_column: str = "ids", out
     return encoded.mapInArrow(of, schema)
 
 
-def digests(encoded: DataFrame, tokenizer_path: str, ids_column: str = "ids") -> DataFrame:
-    """Replace ids by two SHA-256: ``ids_sha256`` of their decimal forms joined by commas, ``decoded_sha256`` of their text."""
-    kept = [c for c in encoded.columns if c != ids_column]
-    schema = encoded.select(*kept).schema.add("ids_sha256", "string").add("decoded_sha256", "string")
+DIGESTS = "_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
-    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def digests(tokenizer_path: str) -> tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str]:
+    """For ``encode``: instead of ids two SHA-256, of their decimal forms joined by commas, and of the text that they decode to."""
+
+    def of(part: pa.RecordBatch) -> pa.RecordBatch:
         tokens = vocab.token_bytes(tokenizer_path)
-        digits = [b"%d" % i for i in range(len(tokens))]
-        for part in common.batches(parts):
-            found = []
-            for packed in part.column(ids_column).to_pylist():
-                ids = np.frombuffer(packed, np.uint32).tolist()
-                line = b",".join(map(digits.__getitem__, ids))
-                found.append((hashlib.sha256(line).hexdigest(), hashlib.sha256(decoded(packed, tokens).encode()).hexdigest()))
-            columns = [pa.array([f[k] for f in found], pa.string()) for k in (0, 1)]
-            yield pa.record_batch([*[part.column(c) for c in kept], *columns], names=[*kept, "ids_sha256", "decoded_sha256"])
+        digits = _decimals(len(tokens))
+        found = []
+        for packed in part.column("ids").to_pylist():
+            line = b",".join(map(digits.__getitem__, np.frombuffer(packed, np.uint32).tolist()))
+            found.append((hashlib.sha256(line).hexdigest(), hashlib.sha256(decoded(packed, tokens).encode()).hexdigest()))
+        columns = [pa.array([f[k] for f in found], pa.string()) for k in (0, 1)]
+        return pa.record_batch([part.column("_id"), part.column("n_tokens"), *columns], names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return encoded.mapInArrow(of, schema)
+    return of, DIGESTS
+
+
+@functools.lru_cache(maxsize=2)
+def _decimals(count: int) -> list[bytes]:
+    return [b"%d" % i for i in range(count)]

@@ -29,7 +29,7 @@ def op1_warc(spark: SparkSession, base: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, base: str) -> DataFrame:
     """Ids of whole ``documents`` and the texts that the ids stand for."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.encode(_table(spark, base, "documents"), path), path)
+    return bpe.encode(_table(spark, base, "documents"), path, then=bpe.digests(path))
 
 
 def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:

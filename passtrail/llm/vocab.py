@@ -70,7 +70,7 @@ class Words:
         model = self.tokenizer.model
         self.unit = Memo(lambda w: self._packed([t.id for t in model.tokenize(_spelled(w))]), 250_000)
         self.memo = Memo(self._lowered if lower else self._fresh, 700_000 if lower else 100_000)
-        self.spaced = Memo(lambda w: self._fresh(" " + w), 600_000)
+        self.spaced = Memo(lambda w: self._fresh(" " + w), 400_000)
 
     def _packed(self, ids: list[int], cuts: list[int] = (0,)) -> bytes:
         if self.marked and ids:
