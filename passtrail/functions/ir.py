@@ -24,7 +24,6 @@ LIBRARY_MARKERS = (
     "std", "chrono", "random", "_zst", "__gnu", "basic_string", "allocator", "char_traits", "ratio", "duration",
     "operator",
 )
-DIALECT_SCAN_CHARS = 200_000
 
 
 def _any_of(conditions: list[Column]) -> Column:
@@ -62,9 +61,10 @@ def is_run_dir(run_dir: Column) -> Column:
     return run_dir.rlike(RUN_DIR)
 
 
-def dialects(text: Column, scan_chars: int = DIALECT_SCAN_CHARS) -> Column:
-    """Sorted distinct first parts of dotted names. The scan window is part of the definition of the column."""
-    found = F.regexp_extract_all(F.substring(text, 1, scan_chars), F.lit(DIALECT), F.lit(1))
+def dialects(text: Column, scan_chars: int | None = None) -> Column:
+    """Sorted distinct first parts of dotted names, of the whole text or, to agree with corpora made that way, of its beginning."""
+    scanned = text if scan_chars is None else F.substring(text, 1, scan_chars)
+    found = F.regexp_extract_all(scanned, F.lit(DIALECT), F.lit(1))
     return F.sort_array(F.array_distinct(found))
 
 

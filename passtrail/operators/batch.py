@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,15 +34,6 @@ def _ranked(rows: DataFrame, run: str, order: list, n: int) -> DataFrame:
     return rows.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
-def first_diagnostics(found: DataFrame, run: str = "run_id", n: int = 10) -> DataFrame:
-    return _ranked(found, run, ["group_no", "line_no"], n).select(run, "rank", "line")
-
-
-def last_lines(lines: DataFrame, run: str = "run_id", n: int = 20) -> DataFrame:
-    """The last n lines per run, ranked from the end."""
-    return _ranked(lines, run, [F.desc("line_no")], n).select(run, "rank", "line")
-
-
 def failure_excerpt(lines: DataFrame, run: str = "run_id", head: int = 10, tail: int = 20) -> DataFrame:
     """First diagnostics of a failed run, or its last raw lines where there are none. Ranks follow line order.
 
@@ -130,13 +123,18 @@ def _first(condition: Column, line: str = "line") -> Column:
 
 
 def log_facts(log_lines: DataFrame, key: str = "benchmark") -> DataFrame:
-    """First lines of interest in each benchmark's log, from a line table, all taken in one aggregate."""
+    """First lines of interest in each benchmark's log, from a line table.
+
+    Lines without any mark are dropped where they are read; a benchmark that has no others keeps a row of nulls.
+    """
     line = F.col("line")
     count = bx.snapshot_count_in(line)
-    return log_lines.groupBy(key).agg(
+    marked = log_lines.filter(functools.reduce(operator.or_, [mark(line) for mark in _LOG_MARKS.values()], count.isNotNull()))
+    facts = marked.groupBy(key).agg(
         *[_first(mark(line)).alias(name) for name, mark in _LOG_MARKS.items()],
         F.min_by(count, F.when(count.isNotNull(), F.col("line_no"))).alias("counted_snapshots"),
     )
+    return log_lines.select(key).distinct().join(facts, key, "left")
 
 
 def first_line_of(text: Column, mark: Callable[[Column], Column]) -> Column:

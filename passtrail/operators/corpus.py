@@ -69,7 +69,7 @@ def dedup_latest(
     """The newest row per key; among equals the first by position.
 
     Rows of one benchmark and one time stamp come from one run directory, so the position alone settles ties. This is an
-    aggregate rather than a ranking window: each task reduces a hot key to one row before the shuffle. Use it on narrow
+    aggregate rather than a ranking window: each task sorts and reduces a hot key to one row before the shuffle. Use it on narrow
     rows and fetch the text of the survivors afterwards.
     """
     keys = list(keys)
@@ -78,8 +78,8 @@ def dedup_latest(
     return candidates.groupBy(*keys).agg(newest.alias("_row")).select(*keys, "_row.*").select(*candidates.columns)
 
 
-def text_columns(text: str, cap_bytes: int = CAP_BYTES) -> dict:
-    """Derived columns of a snapshot text. All but ``ir_text`` describe the full text."""
+def text_columns(text: str, cap_bytes: int = CAP_BYTES, dialect_chars: int | None = None) -> dict:
+    """Derived columns of a snapshot text. All but ``ir_text`` describe the full text; ``dialect_chars`` can narrow the dialects."""
     full = F.col(text)
     return {
         "ir_text": tx.utf8_cap(full, cap_bytes),
@@ -87,7 +87,7 @@ def text_columns(text: str, cap_bytes: int = CAP_BYTES) -> dict:
         "ir_lines": tx.line_count(full),
         "ir_sha256": tx.sha256_hex(full),
         "truncated": tx.is_capped(full, cap_bytes),
-        "dialects_present": ir.dialects(full),
+        "dialects_present": ir.dialects(full, dialect_chars),
     }
 
 
@@ -106,9 +106,17 @@ def corpus_order(corpus: DataFrame) -> DataFrame:
     return corpus.orderBy("benchmark_name", "pass_index", "run_timestamp", "pass_name")
 
 
-def lookup(corpus: DataFrame, benchmark: str, pass_name: str | None = None) -> DataFrame:
-    """Rows of a benchmark, or of one of its passes; both tests reach the scan."""
-    rows = corpus.filter(F.col("benchmark_name") == benchmark)
+def dedup_by_hash(corpus: DataFrame) -> DataFrame:
+    """One row per distinct text: the first by benchmark, pass number, time stamp and pass. ``copies`` counts its rows."""
+    order = F.struct("benchmark_name", "pass_index", "run_timestamp", "pass_name")
+    rest = [c for c in corpus.columns if c != "ir_sha256"]
+    found = corpus.groupBy("ir_sha256").agg(F.min_by(F.struct(*rest), order).alias("_row"), F.count("*").alias("copies"))
+    return found.select("ir_sha256", "_row.*", "copies").select(*corpus.columns, "copies")
+
+
+def lookup(corpus: DataFrame, benchmark: str | None = None, pass_name: str | None = None) -> DataFrame:
+    """Rows of a benchmark, of a pass in all benchmarks, or of both; the tests reach the scan."""
+    rows = corpus.filter(F.col("benchmark_name") == benchmark) if benchmark else corpus
     return rows.filter(F.col("pass_name") == pass_name) if pass_name else rows
 
 

@@ -107,14 +107,18 @@ def not_success(summary: DataFrame) -> DataFrame:
     return summary.filter("status <> 'success'")
 
 
-def failure_modes(summary: DataFrame, top: int = 15) -> DataFrame:
-    """Most frequent (status, start of the first error) pairs; white space is collapsed after grouping."""
+def failure_modes(summary: DataFrame, top: int | None = 15, key_chars: int | None = 60) -> DataFrame:
+    """Most frequent (status, start of the first error) pairs; white space is collapsed after grouping.
+
+    Without ``key_chars`` errors are told apart by their whole text; without ``top`` all modes are listed.
+    """
     error = F.coalesce(F.col("first_error"), F.lit(""))
-    key = F.concat(F.col("status"), F.lit(": "), F.substring(error, 1, 60))
+    key = F.concat(F.col("status"), F.lit(": "), error if key_chars is None else F.substring(error, 1, key_chars))
     ranked = (
         not_success(summary).groupBy(key.alias("_key")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("_key"))
     )
-    return ranked.limit(top).select(F.trim(F.regexp_replace("_key", r"[ \t\n]+", " ")).alias("failure_mode"), "n")
+    ranked = ranked if top is None else ranked.limit(top)
+    return ranked.select(F.trim(F.regexp_replace("_key", r"[ \t\n]+", " ")).alias("failure_mode"), "n")
 
 
 def batch_ok(summary: DataFrame) -> DataFrame:

@@ -6,29 +6,22 @@ axis into bounded blocks, so that a window never holds more than one block.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from passtrail.operators.stores import shared_folder
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def settle(rows: DataFrame) -> DataFrame:
     """Store narrow rows that were derived from texts and are used more than once, so that the texts are read once.
 
-    The rows go to the cluster's shared checkpoint folder and survive a lost executor. Only a local session without such
-    a folder gets one of its own; a cluster without one computes the rows again at each use.
+    The rows go to the shared folder and survive a lost executor; a cluster must name one. Starts a job.
     """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="passtrail-")
-        if folder is None:
-            return rows
-        context.setCheckpointDir(folder)
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
 
 
@@ -114,8 +107,13 @@ def left_join_unique(
 
 
 def fits_broadcast(rows: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure narrow rows: string bytes plus sixteen bytes per column."""
-    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in rows.dtypes if t == "string"]
+    """Measure narrow rows: bytes of strings and binaries, those of nested columns as JSON, plus sixteen bytes per column.
+
+    Starts a job.
+    """
+    wide = [F.col(c) for c, t in rows.dtypes if t in ("string", "binary")]
+    nested = [F.to_json(F.struct(c)) for c, t in rows.dtypes if "<" in t]
+    text = [F.coalesce(F.octet_length(c), F.lit(0)) for c in [*wide, *nested]]
     size = sum(text, F.lit(16 * len(rows.columns))).cast("long")
     measured = rows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     return measured["bytes"] <= limit_bytes

@@ -60,14 +60,18 @@ def segment_blocks(blocks: DataFrame, run: str = "run_id", block: str = "block",
 
     A block's text before its first header belongs to the snapshot that was open when the block began, so each block
     needs the number of headers in earlier blocks. The counts are taken in one pass over the texts and added up without
-    them; a second pass cuts the texts.
+    them; a second pass cuts the texts. Both passes must see the same numbers: ``blocks`` has to be stored, or to follow from
+    its input alone. Starts a job.
     """
     counted = settle(blocks.select(run, block, header_count(F.col(text)).alias("_headers")))
     before = running_total_before(counted, [run], block, "_headers", "_before").select(run, block, "_before", "_headers")
     # The stored counts have as many rows as the running totals and are cheaper to measure.
     if fits_broadcast(counted, BROADCAST_BYTES // 2):
         before = F.broadcast(before)
-    placed = blocks.select(run, block, F.col(text).alias("_text")).join(before, [run, block])
+    placed = blocks.select(run, block, F.col(text).alias("_text")).join(before, [run, block], "left")
+    # A block without a count means that the blocks were numbered differently the second time.
+    lost = F.raise_error(F.concat(F.lit("no header count for block "), F.col(block).cast("string")))
+    placed = placed.withColumn("_before", F.coalesce("_before", lost.cast("long")))
     pieces = F.filter(_pieces(F.col("_text")), lambda p: p != "")
     # At most the first piece of a block has no header, so a piece's place from the end gives its snapshot number.
     numbered = tx.let(
@@ -112,10 +116,6 @@ def hash_chain(
     return previous_by_index(snapshots, [run], index, sha, "parent_sha256", width)
 
 
-def snapshot_files(snapshots: DataFrame, run: str = "run_id") -> DataFrame:
-    return snapshots.select(run, "filename", "body")
-
-
 def header_count(stream: Column) -> Column:
     """Number of snapshots in a whole stream, without cutting it."""
     return F.regexp_count(stream, F.lit(ir.HEADER_START)).cast("int")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passtrail.functions import batch as bx
 from passtrail.operators import batch, chain, packing, reports, scale, segments, validity
 from passtrail.operators import corpus as cp
 from passtrail.sinks import tables as sinks
@@ -19,7 +22,7 @@ def ingest_stamp(now: datetime | None = None) -> str:
 
 
 def capture(spark: SparkSession, root: str, large_files: bool = False) -> DataFrame:
-    """Dump streams below ``root`` to annotated snapshots with bodies.
+    """Dump streams below ``root`` to snapshots with bodies.
 
     Whole-file reading needs no shuffle before validity is attached. ``large_files`` reads streams beyond 2 GB in blocks.
     """
@@ -74,6 +77,31 @@ def corpus_from_runs(
     return cp.corpus_rows(rows, ingest_utc, source_lang)
 
 
+def corpus_from_snapshots(
+    snapshots: DataFrame,
+    outcomes: DataFrame,
+    runs_of: DataFrame,
+    ingest_utc: str,
+    source_lang: str = cp.SOURCE_LANG,
+    cap_bytes: int = cp.CAP_BYTES,
+) -> DataFrame:
+    """Captured snapshots to corpus rows, from tables alone: no file is listed.
+
+    ``snapshots`` are what ``capture`` gives, bodies included; ``outcomes`` are round-trip outcomes; ``runs_of`` has (run_id,
+    benchmark_name, run_timestamp, source_sha256), one row per run. Validity and the latest run are decided on narrow rows, which
+    are stored; only the survivors' keys meet the bodies. Starts jobs.
+    """
+    narrow = validity.valid_only(validity.annotate_roundtrip(snapshots.drop("body"), outcomes))
+    listed = narrow.join(runs_of, "run_id").select(
+        "run_id", "benchmark_name", "run_timestamp", "source_sha256", F.col("index").alias("pass_index"), "pass_class", "pass_name",
+        "parent_sha256", F.col("index").cast("long").alias("manifest_pos"),
+    )
+    survivors = scale.settle(cp.dedup_latest(listed).drop("manifest_pos"))
+    bodies = snapshots.select("run_id", F.col("index").alias("pass_index"), "body")
+    rows = scale.keep_by_key(bodies, survivors, ["run_id", "pass_index"])
+    return cp.corpus_rows(rows.withColumns(cp.text_columns("body", cap_bytes)), ingest_utc, source_lang)
+
+
 def corpus_reports(corpus: DataFrame) -> dict[str, DataFrame]:
     return {
         "sizes": reports.size_report(corpus),
@@ -113,12 +141,43 @@ def build_corpus(
 def prompt_rows(
     spark: SparkSession, corpus_path: str, benchmark: str, pass_name: str | None = None, max_lines: int = 200
 ) -> DataFrame:
-    """The prompt of the first matching snapshot; an empty match is an error."""
-    chosen = cp.first_match(cp.lookup(tables.read_corpus(spark, corpus_path), benchmark, pass_name))
-    needed = chosen.select("benchmark_name", "pass_name", "pass_index", "ir_text")
-    if needed.isEmpty():
+    """The prompt of the first matching snapshot; an empty match is an error.
+
+    The match is chosen by its keys alone; its text is read once, for the prompt.
+    """
+    corpus = tables.read_corpus(spark, corpus_path)
+    keys = ("benchmark_name", "pass_name", "pass_index", "run_timestamp")
+    first = cp.first_match(cp.lookup(corpus, benchmark, pass_name)).select(*keys).first()
+    if first is None:
         raise ValueError(f"no snapshot for benchmark={benchmark} pass={pass_name}")
-    return packing.prompts(needed, max_lines)
+    chosen = corpus.filter(functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.lit(first[k])) for k in keys]))
+    return packing.prompts(chosen.select("benchmark_name", "pass_name", "pass_index", "ir_text"), max_lines)
+
+
+def corpus_prompts(
+    spark: SparkSession, corpus_path: str, benchmark: str | None = None, pass_name: str | None = None, max_lines: int = 200
+) -> DataFrame:
+    """A prompt for every row of the corpus, of a benchmark, or of a pass."""
+    rows = cp.lookup(tables.read_corpus(spark, corpus_path), benchmark, pass_name)
+    return packing.prompts(rows.select("benchmark_name", "pass_name", "pass_index", "ir_text"), max_lines)
+
+
+def failed_bodies_dropped(snapshots: DataFrame, outcomes: DataFrame, run: str = "run_id") -> DataFrame:
+    """Captured snapshots that the round trip kept, with their bodies.
+
+    What stays is decided on narrow rows, whose keys then meet the bodies. Starts jobs.
+    """
+    kept = scale.settle(validity.drop_failed(snapshots.select(run, "index", "filename"), outcomes).select(run, "index"))
+    return scale.keep_by_key(snapshots, kept, [run, "index"])
+
+
+def runs_status(manifest_rows: DataFrame, compiled: DataFrame, run: str = "run_id") -> DataFrame:
+    """Exit code and status of each run from its counts and from whether it compiled: (run, exit_code, status)."""
+    code = validity.run_exit_code(
+        F.col("compiler_exit"), F.col("snapshot_count"), F.col("snapshots_kept"), F.col("snapshots_dropped")
+    )
+    rows = compiled.join(manifest_rows, run, "left").fillna(0, subset=["snapshot_count", "snapshots_kept", "snapshots_dropped"])
+    return rows.select(run, code.alias("exit_code")).withColumn("status", bx.status_of(F.col("exit_code")))
 
 
 def summarize_batch(
@@ -158,7 +217,9 @@ def batch_report(summary: DataFrame) -> dict[str, DataFrame]:
 def batch_selection(
     listing: DataFrame, pattern: str = "*-cuda", limit: int = 20
 ) -> DataFrame:
-    """The benchmarks a batch would attempt, each with its source file."""
-    chosen = batch.discover_benchmarks(listing.select(F.col("benchmark").alias("name")), pattern, limit)
+    """The benchmarks a batch would attempt, each with its source file. None at all is an error. Starts a job."""
+    chosen = scale.settle(batch.discover_benchmarks(listing.select(F.col("benchmark").alias("name")), pattern, limit))
+    if chosen.isEmpty():
+        raise ValueError(f"no benchmark matches {pattern}")
     wanted = listing.join(chosen.withColumnRenamed("name", "benchmark"), "benchmark", "left_semi")
     return batch.select_source_file(wanted)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from passtrail.operators.packing import SYSTEM_PROMPT
 
+# Patterns, marker words and output texts below are fixed values, as in the operators.
+
 # Inputs, as in ``views``.
 
 _SNAP = """snap as (
@@ -36,7 +38,7 @@ _STREAM = """stream as (
 
 _CONV_STREAM = """stream as (
   select conv_id as run_id, 'preamble' || chr(10) || string_agg('// -----// IR Dump After Role::' || role || ': ' || role
-    || '-' || turn || ' (m)' || chr(10) || text || '  ' || chr(10), '' order by turn) as stream
+    || '-' || turn || ' (m)' || chr(10) || replace(text, ' ', chr(10)) || '  ' || chr(10), '' order by turn) as stream
   from conversations group by conv_id)"""
 
 # Lines, running header count, and bodies put together again.
@@ -59,17 +61,19 @@ _DOC = """doc as (
     '20240101-' || lpad(cast(doc_id % 50 as varchar), 6, '0') as run_timestamp, cast(doc_id as integer) as pass_index, text
   from documents)"""
 
-# The longest prefix of at most 4096 bytes, found among all prefix lengths that can fit.
-_CAP = """case when strlen(text) > 4096 then left(text, list_max(list_filter(range(1024, 4097),
-    lambda k: strlen(left(text, k)) <= 4096))) else text end"""
+# The longest prefix of at most so many bytes, found among all prefix lengths that can fit.
+_CAPPED = """case when strlen(text) > {0} then left(text, list_max(list_filter(range({0} // 4, {0} + 1),
+    lambda k: strlen(left(text, k)) <= {0}))) else text end"""
+_CAP = _CAPPED.format(4096)
+_WHOLE_CAP = _CAPPED.format(2097152)
 
 _DIALECTS = r"""coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all({0},
     '(?:^|[^\pL\pN_])([a-z_][a-z0-9_]*)\.[a-z_][a-z0-9_]+', 1))), ','), '')"""
 
 _RUNS = r"""listed as (
   select case when conv_id % 11 = 0 then 'batch-runs' else 'bench-' || (conv_id % 20) || '-cuda-20240101-'
-    || lpad(cast(conv_id as varchar), 6, '0') end as run_dir, cast(length(text) as integer) as modified
-  from conversations where turn = 0),
+    || lpad(cast(conv_id as varchar), 6, '0') end as run_dir, cast(max(length(text)) as integer) as modified
+  from conversations group by conv_id),
 run as (
   select *, regexp_extract(run_dir, '^(.+)-(\d{8}-\d{6})$', 1) as benchmark_name,
     regexp_extract(run_dir, '^(.+)-(\d{8}-\d{6})$', 2) as run_timestamp
@@ -302,12 +306,32 @@ ORACLES: dict[str, str] = {
         count(distinct benchmark_name || '/' || pass_name) as unique_snapshots,
         count(*) - count(distinct benchmark_name || '/' || pass_name) as duplicates_dropped
         from snap where roundtrip_status = 'ok'""",
+    "capture_to_corpus": f"""with {_STREAM}, {_SEGMENTS},
+        named as (select *, printf('%02d_%s.mlir', index, pass_name) as filename, sha256(body) as sha256, strlen(body) as n from segment),
+        linked as (select *, lag(sha256) over (partition by run_id order by index) as parent_sha256,
+          'b' || (run_id % 20) || '-' || cast(floor(run_id / 50) as bigint) as benchmark_name,
+          '20240101-' || lpad(cast(run_id % 50 as varchar), 6, '0') as run_timestamp from named),
+        ranked as (select *, row_number() over (partition by benchmark_name, pass_name order by run_timestamp desc, index) as rn
+          from linked where n % 7 <> 0)
+        select benchmark_name, 'cuda-host' as source_lang, index as pass_index, pass_class, pass_name, body as ir_text,
+          cast(n as bigint) as ir_bytes, cast(length(body) - length(replace(body, chr(10), '')) as integer) as ir_lines,
+          sha256 as ir_sha256, parent_sha256, false as truncated, {_DIALECTS.format('body')} as dialects_present,
+          cast(null as varchar) as source_sha256, run_timestamp, '2024-01-01T00:00:00Z' as corpus_ingest_utc
+        from ranked where rn = 1""",
+    "compression_report": f"""with {_DOC}, t as (select cast(sum(strlen({_CAP})) as bigint) as text_bytes from doc),
+        f as (select cast(coalesce(sum(strlen(html)), 0) as bigint) as disk_bytes from pages)
+        select text_bytes, disk_bytes, case when disk_bytes > 0 then text_bytes / disk_bytes end as ratio from t, f""",
+    "ir_hash_dedup": f"""with {_DOC}, d as (select *, sha256(text) as ir_sha256 from doc),
+        k as (select *, row_number() over w as rn, count(*) over (partition by ir_sha256) as copies from d
+          window w as (partition by ir_sha256 order by benchmark_name, pass_index, run_timestamp, pass_name))
+        select benchmark_name, pass_name, pass_index, run_timestamp, ir_sha256, copies from k where rn = 1""",
+    "lookup_pass": f"with {_DOC} select benchmark_name, pass_name, pass_index from doc where pass_name = 'de'",
     "corpus_rows": f"""with {_DOC}, ranked as (select *, row_number() over (partition by benchmark_name, pass_name
           order by run_timestamp desc, doc_id) as rn from doc)
-        select benchmark_name, 'cuda-host' as source_lang, pass_index, pass_class, pass_name, {_CAP} as ir_text,
+        select benchmark_name, 'cuda-host' as source_lang, pass_index, pass_class, pass_name, {_WHOLE_CAP} as ir_text,
           cast(strlen(text) as bigint) as ir_bytes,
           cast(length(text) - length(replace(text, chr(10), '')) as integer) as ir_lines, sha256(text) as ir_sha256,
-          cast(null as varchar) as parent_sha256, strlen(text) > 4096 as truncated,
+          cast(null as varchar) as parent_sha256, strlen(text) > 2097152 as truncated,
           {_DIALECTS.format('text')} as dialects_present, cast(null as varchar) as source_sha256, run_timestamp,
           '2024-01-01T00:00:00Z' as corpus_ingest_utc
         from ranked where rn = 1""",

@@ -12,7 +12,7 @@ from passtrail.functions import ir
 from passtrail.functions import text as tx
 from passtrail.operators import batch, chain, packing, reports, scale, segments, spans, validity
 from passtrail.operators import corpus as cp
-from passtrail.plans import views
+from passtrail.plans import flows, views
 from passtrail.sinks.tables import to_manifests
 from passtrail.sources import runs as run_sources
 
@@ -247,7 +247,7 @@ def _document_corpus(spark, base):
     survivors = cp.dedup_latest(docs.drop("text"))
     rows = scale.keep_by_key(docs.select("doc_id", "text"), survivors, "doc_id")
     nothing = F.lit(None).cast("string")
-    full = rows.withColumns({**cp.text_columns("text", QUERY_CAP), "parent_sha256": nothing, "source_sha256": nothing})
+    full = rows.withColumns({**cp.text_columns("text"), "parent_sha256": nothing, "source_sha256": nothing})
     return cp.corpus_rows(full, INGEST_UTC)
 
 
@@ -282,8 +282,8 @@ def planned_partitions(spark, base):
 
 @query
 def compression_report(spark, base):
-    """Text bytes of the documents against the bytes of their files. The file size is not visible to SQL."""
-    files = spark.read.format("binaryFile").load(f"{base}/documents.parquet").select("length")
+    """Text bytes of the documents against a listing of files, for which the pages stand in."""
+    files = views.pages(spark, base).select(F.octet_length("html").cast("long").alias("length"))
     return reports.compression_report(_all_documents(spark, base), files)
 
 
@@ -312,6 +312,36 @@ def snapshots_per_benchmark(spark, base):
     return reports.snapshots_per_benchmark(_valid(spark, base), tried)
 
 
+@query
+def capture_to_corpus(spark, base):
+    """Dump streams to corpus rows: cut, chained, judged by round-trip outcomes, the latest run of each (benchmark, pass) kept."""
+    streams = views.streams(spark, base)
+    snapshots = segments.segment_streams(streams)
+    line = F.concat(F.when(F.col("bytes") % 7 == 0, "DROP ").otherwise("OK   "), "filename")
+    outcomes = validity.roundtrip_outcomes(snapshots.select("run_id", line.alias("line")))
+    runs_of = streams.select(
+        "run_id", F.concat(F.lit("b"), F.col("run_id") % 20).alias("benchmark_name"),
+        F.concat(F.lit("20240101-"), F.lpad((F.col("run_id") % 50).cast("string"), 6, "0")).alias("run_timestamp"),
+        F.lit(None).cast("string").alias("source_sha256"),
+    )
+    # Time stamps tie, so the benchmark is a run's own here but for every twentieth.
+    runs_of = runs_of.withColumn("benchmark_name", F.concat("benchmark_name", F.lit("-"), F.floor(F.col("run_id") / 50).cast("string")))
+    return _flat(flows.corpus_from_snapshots(snapshots, outcomes, runs_of, INGEST_UTC))
+
+
+@query
+def ir_hash_dedup(spark, base):
+    """Documents of one text are one snapshot."""
+    rows = _all_documents(spark, base).select("benchmark_name", "pass_name", "pass_index", "run_timestamp", "ir_sha256")
+    return cp.dedup_by_hash(rows)
+
+
+@query
+def lookup_pass(spark, base):
+    """One pass in all benchmarks."""
+    return cp.lookup(views.document_snapshots(spark, base), pass_name="de").select("benchmark_name", "pass_name", "pass_index")
+
+
 @query
 def lookup(spark, base):
     return cp.lookup(views.document_snapshots(spark, base), "src3", "en").select(

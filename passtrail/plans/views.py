@@ -3,27 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Deal out rows of a scan that has fewer splits than the session has cores; a large scan is left as it is.
-
-    Text operators work inside the row, so their scan is also their parallelism.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def documents(spark: SparkSession, base: str) -> DataFrame:
-    return spread(table(spark, base, "documents"), "doc_id")
+    return table(spark, base, "documents")
 
 
 def pages(spark: SparkSession, base: str) -> DataFrame:
-    return spread(table(spark, base, "pages"), "page_id")
+    return table(spark, base, "pages")
 
 
 def snapshots(spark: SparkSession, base: str) -> DataFrame:
@@ -42,13 +34,19 @@ def snapshots(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_blocks(spark: SparkSession, base: str) -> DataFrame:
-    """One dump stream per conversation, delivered in blocks: a turn each, with a preamble before the first."""
-    return table(spark, base, "conversations").selectExpr(
+    """One dump stream per conversation, with a preamble before the first header, delivered in blocks.
+
+    A turn gives three blocks: its header, and its words in two blocks that end in different places, so that bodies cross blocks and
+    blocks hold parts of two bodies.
+    """
+    cut = table(spark, base, "conversations").selectExpr(
         "conv_id as run_id",
-        "turn as block",
-        r"if(turn = 0, 'preamble\n', '') || '// -----// IR Dump After Role::' || role || ': ' || role || '-' || turn"
-        r" || ' (m)\n' || text || '  \n' as text",
-    )
+        "turn",
+        r"if(turn = 0, 'preamble\n', '') || '// -----// IR Dump After Role::' || role || ': ' || role || '-' || turn || ' (m)\n' as head",
+        r"concat(regexp_replace(text, ' ', '\n'), '  \n') as body",
+    ).selectExpr("*", r"instr(substr(body, cast(length(body) / 3 as int) + 1), '\n') + cast(length(body) / 3 as int) as at")
+    blocks = "stack(3, 0L, head, 1L, substr(body, 1, at), 2L, substr(body, at + 1)) as (part, text)"
+    return cut.selectExpr("run_id", "turn", blocks).selectExpr("run_id", "turn * 3 + part as block", "text")
 
 
 def streams(spark: SparkSession, base: str) -> DataFrame:
@@ -174,8 +172,9 @@ def listing(spark: SparkSession, base: str) -> DataFrame:
 
 def run_listing(spark: SparkSession, base: str) -> DataFrame:
     """Run directories of all conversations, with names that hold a dash, and some directories that are no runs."""
-    return table(spark, base, "conversations").filter("turn = 0").selectExpr(
+    runs = table(spark, base, "conversations").groupBy("conv_id").agg(F.max(F.length("text")).alias("modified"))
+    return runs.selectExpr(
         """case when conv_id % 11 = 0 then 'batch-runs' else 'bench-' || (conv_id % 20) || '-cuda-20240101-'
              || lpad(cast(conv_id as string), 6, '0') end as run_dir""",
-        "length(text) as modified",
+        "modified",
     )

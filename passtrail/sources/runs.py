@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
 from passtrail.sources.streams import read_files, run_dir_of
 
-SNAPSHOT_TYPE = (
-    "struct<index:int,pass_class:string,pass_name:string,filename:string,bytes:bigint,lines:int,sha256:string,"
-    "parent_sha256:string,roundtrip_status:string>"
+SNAPSHOT_TYPE = T.StructType.fromDDL(
+    "index int, pass_class string, pass_name string, filename string, bytes bigint, lines int, sha256 string,"
+    " parent_sha256 string, roundtrip_status string"
 )
-MANIFEST_TYPE = (
-    "source string, source_sha256 string, stream_file string, stream_sha256 string, snapshot_count int, "
-    f"snapshots array<{SNAPSHOT_TYPE}>, snapshots_kept int, snapshots_dropped int, _corrupt string"
+MANIFEST_TYPE = T.StructType.fromDDL(
+    "source string, source_sha256 string, stream_file string, stream_sha256 string, snapshot_count int,"
+    " snapshots array<string>, snapshots_kept int, snapshots_dropped int"
 )
 
 
@@ -28,8 +29,33 @@ def scan_runs(listing: DataFrame, run_dir: str = "run_dir") -> DataFrame:
 
 
 def parse_manifest(raw: Column) -> Column:
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    return F.from_json(raw, MANIFEST_TYPE, options)
+    """A manifest's fields, each taken for itself: a value of another type makes that field null and no other.
+
+    The elements of ``snapshots`` are parsed one by one, so one that is broken stands alone with null fields. Numbers may be
+    written as text.
+    """
+    texts = F.from_json(raw, _as_text(MANIFEST_TYPE))
+
+    def element(text: Column) -> Column:
+        return _typed(F.from_json(text, _as_text(SNAPSHOT_TYPE)), SNAPSHOT_TYPE)
+
+    def parsed(fields: Column) -> Column:
+        typed = _typed(fields, MANIFEST_TYPE)
+        return typed.withField("snapshots", F.transform(F.from_json(fields["snapshots"], "array<string>"), element))
+
+    return tx.let(texts, parsed)
+
+
+def _as_text(fields: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+
+
+def _typed(texts: Column, fields: T.StructType) -> Column:
+    columns = [
+        texts[f.name].try_cast(f.dataType).alias(f.name) if not isinstance(f.dataType, T.ArrayType) else texts[f.name].alias(f.name)
+        for f in fields
+    ]
+    return F.struct(*columns)
 
 
 def decode_manifests(documents: DataFrame, raw: str = "raw") -> DataFrame:
@@ -37,14 +63,16 @@ def decode_manifests(documents: DataFrame, raw: str = "raw") -> DataFrame:
 
     The hash is '' only where its key is absent; an explicit null stays null.
     """
-    keys = F.json_object_keys(raw)
+    # The keys of the outermost object; unlike json_object_keys, this takes numbers such as NaN, as the parser does.
+    keys = F.map_keys(F.from_json(raw, "map<string,string>"))
     # The parser stops after the first value. Read as the elements of an array, a document with more text after it is
     # either broken or has a second element.
-    elements = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    valid = keys.isNotNull() & elements.isNotNull() & F.variant_get(elements, "$[1]", "variant").isNull()
+    elements = F.from_json(F.concat(F.lit("["), raw, F.lit("]")), "array<string>")
+    manifest = parse_manifest(F.col(raw))
+    listed = ~F.array_contains(keys, "snapshots") | manifest["snapshots"].isNotNull()
+    valid = keys.isNotNull() & (F.size(elements) == 1) & listed
     return (
-        documents.withColumn("manifest", F.when(valid, parse_manifest(F.col(raw))))
-        .withColumn("manifest", F.when(F.col("manifest._corrupt").isNull(), F.col("manifest")))
+        documents.withColumn("manifest", F.when(valid, manifest))
         .withColumn(
             "source_sha256",
             F.when(F.array_contains(keys, "source_sha256"), F.col("manifest.source_sha256")).otherwise(F.lit("")),
@@ -55,7 +83,7 @@ def decode_manifests(documents: DataFrame, raw: str = "raw") -> DataFrame:
 def read_manifest_documents(spark: SparkSession, root: str) -> DataFrame:
     """One row per ``<run>/snapshots/manifest*.json``, decoded. A large run may have its manifest in parts."""
     path = F.col("path")
-    files = read_files(spark, root, "manifest*.json").select(
+    files = _in_snapshot_folders(spark, root, "manifest*.json").select(
         path,
         F.regexp_extract(path, r"\A(.*)/[^/]*\z", 1).alias("snapshot_dir"),
         run_dir_of(path, 1).alias("_inner"),
@@ -78,19 +106,25 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def rejected_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """Manifests that are not valid JSON; their runs are skipped."""
+    """Manifests that are not one JSON object with a list of snapshots; their runs are skipped."""
     return read_manifest_documents(spark, root).filter("manifest is null").select("path", "run_dir", "raw")
 
 
 def run_times(spark: SparkSession, root: str) -> DataFrame:
     """(run_dir, benchmark_name, run_timestamp, modified) of run directories, by the newest file directly in each."""
-    files = read_files(spark, root, "*").select(run_dir_of(F.col("path"), 1).alias("run_dir"), "modificationTime")
+    files = spark.read.format("binaryFile").load(f"{root}/*/*")
+    files = files.select(run_dir_of(F.col("path"), 1).alias("run_dir"), "modificationTime")
     return scan_runs(files.groupBy("run_dir").agg(F.max("modificationTime").alias("modified")))
 
 
+def _in_snapshot_folders(spark: SparkSession, root: str, name_glob: str = "*") -> DataFrame:
+    """Files directly in the ``snapshots`` folders of runs directly below ``root``: the one scope of manifests, listing and texts."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(f"{root}/*/snapshots")
+
+
 def snapshot_listing(spark: SparkSession, root: str) -> DataFrame:
     """Paths of all snapshot files; no content is read."""
-    return read_files(spark, root, "*").select("path")
+    return _in_snapshot_folders(spark, root).select("path")
 
 
 def snapshot_texts(spark: SparkSession, root: str) -> DataFrame:
@@ -99,5 +133,4 @@ def snapshot_texts(spark: SparkSession, root: str) -> DataFrame:
     Only the snapshot folders are loaded: a filter by path would come after the content of the dump streams and logs that
     lie next to them had been read.
     """
-    files = spark.read.format("binaryFile").load(f"{root}/*/snapshots")
-    return files.select("path", tx.decode_text(F.col("content")).alias("text"))
+    return _in_snapshot_folders(spark, root).select("path", tx.decode_text(F.col("content")).alias("text"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
+from passtrail.operators.scale import fits_broadcast
+from passtrail.operators.stores import stored
 
 
 def run_dir_of(path, depth: int):
@@ -55,11 +57,15 @@ def read_stream_blocks(
 ) -> DataFrame:
     """(run_id, block, text): dump streams cut into numbered blocks of whole lines, however large a file is.
 
-    A block's number is its file split's offset and its place in the split. ``segment_blocks`` puts the pieces together.
+    A block's number is its file split's offset and its place in the split. Both depend on how the scan was planned, so the records
+    are stored with them once, where they were read; every later use sees the same numbers. ``segment_blocks`` puts the pieces
+    together. Starts a job.
     """
-    records = stream_records(spark, root, name_glob)
-    in_split = Window.partitionBy("file", "split").orderBy("id")
-    numbered = records.withColumn("nth", F.row_number().over(in_split) - 1)
+    records = stored(stream_records(spark, root, name_glob), "stream-records")
+    # A split is read by one task, whose ids are consecutive. There is one row per split.
+    begins = records.groupBy("file", "split").agg(F.min("id").alias("begin"))
+    begins = F.broadcast(begins) if fits_broadcast(begins) else begins
+    numbered = records.join(begins, ["file", "split"]).withColumn("nth", F.col("id") - F.col("begin"))
     # A file's first record has lost no banner. Every record but a file's last has lost a line feed; one more at the very
     # end of a stream changes nothing, as bodies are stripped there.
     first = (F.col("split") == 0) & (F.col("nth") == 0)

@@ -1,5 +1,6 @@
 """Function spans, packing and prompts against a restatement with explicit line numbers."""
 
+import itertools
 import random
 
 import pytest
@@ -13,7 +14,24 @@ LINES = [
     "!alias = !cir.func<x>", "llvm.func @one { }", "}cir.func @neg", "  op", "  }", "}", "}}", "{", "", " { } {", "cir.func @it_ratio {",
     "llvm.func @cudaLaunch_x {", "}",
 ]
-LIBRARY = "std chrono random _zst __gnu basic_string allocator char_traits ratio duration operator".split()
+# What each function line in these tests is: user code or not, and its rank among user code.
+KINDS = {
+    "cir.func @main_1 {": (True, 0),
+    "cir.func @k_kernel() {": (True, 1),
+    "llvm.func @helper {": (True, 2),
+    "cir.func @decl()": (True, 2),
+    "!alias = !cir.func<x>": (True, 2),
+    "llvm.func @one { }": (True, 2),
+    "}cir.func @neg": (True, 2),
+    "llvm.func @cudaLaunch_x {": (True, 2),
+    "cir.func @a { }": (True, 2),
+    "cir.func @open {": (True, 2),
+    "cir.func @outer {": (True, 2),
+    "llvm.func @inner {": (True, 2),
+    "cir.func @after()": (True, 2),
+    "llvm.func @_ZSt3 {": (False, 2),
+    "cir.func @it_ratio {": (False, 2),
+}
 
 
 def random_text(rng, longest=40):
@@ -35,39 +53,22 @@ def expected_spans(lines):
     return out + ([(open_at, len(lines) - 1)] if open_at is not None else [])
 
 
-def is_user(signature):
-    low = signature.lower()
-    if any(m in low for m in ("@main", "device_stub", "cudalaunch", "kernel")):
-        return True
-    return bool(low) and not any(m in low for m in LIBRARY)
-
-
-def rank(signature):
-    low = signature.lower()
-    return 0 if "@main" in low else 1 if "device_stub" in low or "kernel" in low else 2
-
-
 def expected_signal(text, max_lines):
+    """Where each body begins follows from the lengths before it; the budget then says what is whole, cut or left out."""
     lines = text.splitlines()
     found = expected_spans(lines)
-    chosen = sorted((s for s in found if is_user(lines[s[0]].strip())), key=lambda s: rank(lines[s[0]].strip()))
-    if not chosen:
+    users = [(KINDS[lines[a].strip()][1], n, "\n".join(lines[a : b + 1]).splitlines()) for n, (a, b) in enumerate(found) if KINDS[lines[a].strip()][0]]
+    if not users:
         return "\n".join(lines[:max_lines]), 0, len(found)
-    header = "\n".join(lines[: found[0][0]]).splitlines()
-    shown = header[:8] + ([f"// ... ({len(header) - 8} more type/attr declarations)"] if len(header) > 8 else []) + [""]
-    room, taken = max_lines - len(shown), 0
-    for start, end in chosen:
-        if room <= 0:
-            break
-        body = "\n".join(lines[start : end + 1]).splitlines()
-        if len(body) > room:
-            body = body[:room] + ["    // ... (function body truncated to fit budget)"]
-        shown += body + [""]
-        room -= len(body) + 1
-        taken += 1
-    if taken < len(chosen):
-        shown.append(f"// ... ({len(chosen) - taken} more user functions omitted for length)")
-    return "\n".join(shown), len(chosen), len(found)
+    head = "\n".join(lines[: found[0][0]]).splitlines()
+    top = head[:8] + [f"// ... ({len(head) - 8} more type/attr declarations)"] * (len(head) > 8) + [""]
+    bodies = [body for _, _, body in sorted(users, key=lambda u: u[:2])]
+    begins = [len(top), *itertools.accumulate((len(b) + 1 for b in bodies), initial=len(top))][1:-1]
+    left = [max_lines - at for at in begins]
+    shown = [b if room >= len(b) else b[:room] + ["    // ... (function body truncated to fit budget)"] for b, room in zip(bodies, left) if room > 0]
+    out = top + [line for b in shown for line in (*b, "")]
+    missing = len(bodies) - len(shown)
+    return "\n".join(out + [f"// ... ({missing} more user functions omitted for length)"] * (missing > 0)), len(bodies), len(found)
 
 
 def corpus(spark, values):
@@ -104,7 +105,7 @@ def test_function_rows(spark, values):
     for number, value in enumerate(values):
         lines = value.splitlines()
         want = [
-            (k, lines[s].strip(), "\n".join(lines[s : e + 1]), e - s + 1, is_user(lines[s].strip()))
+            (k, lines[s].strip(), "\n".join(lines[s : e + 1]), e - s + 1, KINDS[lines[s].strip()][0])
             for k, (s, e) in enumerate(expected_spans(lines))
         ]
         assert got.get(number, []) == want, value[:300]

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 import compare
+from passtrail.plans.oracles import ORACLES
+from passtrail.plans.queries import QUERIES
 
 BASE = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(BASE), reason="driver tables are not here")
@@ -16,17 +18,21 @@ def con():
     return compare.duck(BASE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
-    names, rows = compare.spark_rows(entry.queries()[name](spark, BASE))
-    expected_names, expected = compare.duck_rows(con, entry.oracle_sql()[name])
+    names, rows = compare.spark_rows(QUERIES[name](spark, BASE))
+    expected_names, expected = compare.duck_rows(con, ORACLES[name])
     assert names == expected_names
     assert rows == expected
 
 
 def test_queries_without_sql_run(spark):
-    for name in set(entry.queries()) - set(entry.oracle_sql()):
-        assert entry.queries()[name](spark, BASE).count() > 0
+    for name in set(QUERIES) - set(ORACLES):
+        assert QUERIES[name](spark, BASE).count() > 0
+
+
+def test_all_are_registered():
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
 def test_entry(spark):
@@ -34,6 +40,6 @@ def test_entry(spark):
 
 
 def test_results_are_flat(spark):
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         kinds = [t for _, t in query(spark, BASE).dtypes]
         assert not any(t.startswith(("array", "struct", "map", "binary")) for t in kinds), name

@@ -74,6 +74,35 @@ EXPECTED = {
 }
 
 
+def test_nested_run_folders_are_out_of_scope(spark, tmp_path):
+    write_run(tmp_path, "foo-20240101-000000", [element(0, "a")])
+    write_run(tmp_path / "archive", "foo-20250101-000000", [element(0, "a")])
+    assert [r.run_timestamp for r in flows.corpus_from_runs(spark, str(tmp_path), "t").collect()] == ["20240101-000000"]
+
+
+def test_one_bad_element_stands_alone(spark, tmp_path):
+    good = json.dumps(element(0, "a"))
+    documents = {
+        "text": f'{{"snapshots": [{json.dumps(element(1, "b", index="1"))}, {good}]}}',
+        "float": f'{{"snapshots": [{good}, {json.dumps(element(1, "b", bytes=1.5))}, {json.dumps(element(2, "c", index=1.5))}, 7, null]}}',
+        "nan": f'{{"score": NaN, "snapshots": [{good}], "snapshot_count": "x"}}',
+        "twice": f'{{"source": "x", "source": "y", "snapshots": [{good}]}}',
+        "more": f'{{"snapshots": [{good}]}} {{}}',
+        "list": f"[{good}]",
+        "other": '{"snapshots": 3}',
+    }
+    for name, raw in documents.items():
+        write_run(tmp_path, f"{name}-20240101-000000", [element(0, "a"), element(1, "b")], raw=raw)
+    rows = flows.corpus_from_runs(spark, str(tmp_path), "t").collect()
+    assert {(r.benchmark_name, r.pass_name) for r in rows} == {
+        ("text", "a"), ("text", "b"), ("float", "a"), ("float", "b"), ("nan", "a"), ("twice", "a"),
+    }
+    rejected = {r.run_dir.split("-")[0] for r in runs.rejected_manifests(spark, str(tmp_path)).collect()}
+    assert rejected == {"more", "list", "other"}
+    elements = cp.rejected_elements(cp.explode_snapshots(runs.read_manifests(spark, str(tmp_path))))
+    assert elements.groupBy("benchmark_name").count().collect() == [("float", 3)]
+
+
 def test_survivors(spark, tree):
     rows = cp.dedup_latest(flows.candidates(spark, tree)).collect()
     assert {(r.benchmark_name, r.pass_name): r.run_timestamp for r in rows} == EXPECTED

@@ -12,6 +12,7 @@ from passtrail.operators.scale import previous_by_index, running_total_before
 from passtrail.sinks.tables import to_manifests
 from passtrail.sources import runs, streams
 
+# Fixed value: the banner line of a dump.
 HEADER = re.compile(r"// -----// IR Dump After ([\w:]+):\s*([\w\-]+)\s*\(")
 LINES = [
     "// -----// IR Dump After cir::A: cir-a (m) //----- //", "// -----// IR Dump After Flat: flat_b(", "text", "", "  ", "}",
@@ -77,6 +78,28 @@ def test_blocks_give_the_same_snapshots(spark):
         assert got.get(run, []) == expected_snapshots(stream), repr(stream)
 
 
+def test_no_snapshot_is_lost_when_the_scan_is_planned_anew(spark, tmp_path):
+    folder = tmp_path / "run"
+    folder.mkdir()
+    count = 20_000
+    text = "".join(f"{LINES[0]}\nbody {n} {'x' * (n % 500)}\n" for n in range(count))
+    (folder / "snapshot-stream.txt").write_text(text)
+    settings = {"spark.sql.leafNodeDefaultParallelism": "2", "spark.sql.files.maxPartitionBytes": "4m"}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        blocks = streams.read_stream_blocks(spark, str(tmp_path))
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "9")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700k")
+        found = segments.segment_blocks(blocks)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+        bodies = found.select("index", "body").collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sorted((r["index"], r["body"].split()[1]) for r in bodies) == [(n, str(n)) for n in range(count)]
+
+
 def test_large_files_are_read_in_blocks(spark, tmp_path):
     rng = random.Random(3)
     cases = {f"r{n}": random_stream(rng) for n in range(40)}
