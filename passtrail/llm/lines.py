@@ -8,7 +8,7 @@ on a bitmap: sets that differ in d words differ in at most d bits of a parity bi
 A line goes if an earlier line is similar.
 
 Texts are read where they lie: once for the counts, once for a narrow row per line (hash of the set, bitmap, packed prefix), and again
-for the few documents whose lines must be verified or cut. Only prefix words that occur twice become rows. A word's list of lines is
+for the few documents whose lines must be verified or cut. A word's list of lines is
 searched in blocks, and a line takes one candidate from it, the nearest; only lines whose candidates all fail are searched again for
 all of them. So a cluster of similar lines gives about as many candidates as it has lines.
 """
@@ -24,18 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.llm import common
-from passtrail.llm.common import KEY, MESSAGES, MORE, Replies
 from passtrail.operators.scale import fits_broadcast
 from passtrail.operators.stores import stored
 
 BIN_BITS = 18
 _REST = np.uint64((1 << (64 - BIN_BITS)) - 1)
 SLICE = 4096
-#: Bytes of prefixes in a chunk, which sends its words as one message per range.
-CHUNK_LINES = 20_000
-LINES = "id bigint, mark bigint, line int, digest bigint, size int, bits1 bigint, bits2 bigint, prefix binary"
+#: ``rank`` never falls as the id grows; equal ranks are told apart by the whole place, (id, mark, line), in the end.
+RANKS = 1 << 31
+LINES = "id bigint, mark bigint, rank bigint, line int, digest bigint, size int, bits bigint, prefix binary"
 _PLACE = ("id", "mark", "line")
-ENTRIES = "word bigint, digest bigint, id bigint, mark bigint, line int, size int, place int, bits1 bigint, bits2 bigint"
+ENTRIES = "word bigint, digest bigint, rank bigint, size int, place int, bits bigint"
 
 
 def rarity(docs: DataFrame, text: str) -> np.ndarray:
@@ -89,19 +88,16 @@ class Sets:
         spread = common.mixed(self.keys)
         sums = np.add.reduceat(spread, start) if len(full) else np.zeros(0, np.uint64)
         digest = common.mixed(sums ^ size.astype(np.uint64)).view(np.int64)
-        bits = np.stack([
-            np.bitwise_xor.reduceat(np.where((spread >> np.uint64(63)) == k, np.uint64(1) << (spread >> np.uint64(57) & np.uint64(63)), np.uint64(0)), start)
-            if len(full) else np.zeros(0, np.uint64)
-            for k in (0, 1)
-        ]).view(np.int64)
+        at = np.uint64(1) << (spread >> np.uint64(58))
+        bits = np.bitwise_xor.reduceat(at, start).view(np.int64) if len(full) else np.zeros(0, np.int64)
         length = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
         words = common.mixed(self.keys).astype(np.uint32).tobytes()
         prefix = [words[4 * a : 4 * (a + n)] for a, n in zip(start.tolist(), length.tolist())]
-        return {"at": full, "digest": digest, "size": size, "bits1": bits[0], "bits2": bits[1], "prefix": prefix}
+        return {"at": full, "digest": digest, "size": size, "bits": bits, "prefix": prefix}
 
 
 def line_rows(docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
-    """A narrow row for each line with words, from (id, mark, text)."""
+    """A narrow row for each line with words, from (id, mark, rank, text)."""
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts, 256):
@@ -111,38 +107,29 @@ def line_rows(docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame
             numbers = pa.array([sets.number[k] for k in rows["at"].tolist()], pa.int32())
             yield pa.record_batch(
                 [
-                    part.column("id").take(texts), part.column("mark").take(texts), numbers, pa.array(rows["digest"], pa.int64()),
-                    pa.array(rows["size"], pa.int32()), pa.array(rows["bits1"], pa.int64()), pa.array(rows["bits2"], pa.int64()),
-                    pa.array(rows["prefix"], pa.binary()),
+                    *[part.column(c).take(texts) for c in ("id", "mark", "rank")], numbers, pa.array(rows["digest"], pa.int64()),
+                    pa.array(rows["size"], pa.int32()), pa.array(rows["bits"], pa.int64()), pa.array(rows["prefix"], pa.binary()),
                 ],
                 names=[c.split()[0] for c in LINES.split(", ")],
             )
 
-    return docs.select("id", "mark", "_text").mapInArrow(of, LINES)
+    return docs.select("id", "mark", "rank", "_text").mapInArrow(of, LINES)
 
 
-def _words_of_prefixes(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of all prefixes, the row of each, and its place in the prefix."""
-    blobs = table["prefix"].to_pylist()
-    sizes = np.array([len(b) // 4 for b in blobs], np.int64)
-    words = np.frombuffer(b"".join(blobs), np.uint32).astype(np.uint64)
-    rows = np.repeat(np.arange(len(blobs)), sizes)
-    return words, rows, np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-
-def _sent(table: pa.Table, buckets: int) -> pa.Table:
-    once, more = common.once_and_more(_words_of_prefixes(table)[0])
-    return common.messages(table["chunk"][0].as_py(), {KEY: once, MORE: more}, buckets, True)
+def prefix_entries(firsts: DataFrame) -> DataFrame:
+    """A row for each word of each prefix."""
 
+    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts):
+            blobs = part.column("prefix").to_pylist()
+            sizes = np.array([len(b) // 4 for b in blobs], np.int64)
+            words = np.frombuffer(b"".join(blobs), np.uint32).astype(np.int64)
+            rows = pa.array(np.repeat(np.arange(len(blobs)), sizes))
+            place = pa.array(np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes), pa.int32())
+            digest, rank, size, bits = (part.column(c).take(rows) for c in ("digest", "rank", "size", "bits"))
+            yield pa.record_batch([pa.array(words), digest, rank, size, place, bits], names=[c.split()[0] for c in ENTRIES.split(", ")])
 
-def _entries(key: tuple, table: pa.Table, told: pa.Table, buckets: int) -> pa.Table:
-    """A row for each prefix word that another prefix has too."""
-    words, rows, place = _words_of_prefixes(table)
-    shared = np.flatnonzero(Replies(told, buckets, True).has(words))
-    took = table.take(pa.array(rows[shared], pa.int64()))
-    columns = [pa.array(words[shared].view(np.int64)), *[took[c].combine_chunks() for c in ("digest", *_PLACE, "size")],
-               pa.array(place[shared], pa.int32()), took["bits1"].combine_chunks(), took["bits2"].combine_chunks()]
-    return pa.table(columns, names=[c.split()[0] for c in ENTRIES.split(", ")])
+    return firsts.select("digest", "rank", "size", "bits", "prefix").mapInArrow(of, ENTRIES)
 
 
 # ------------------------------------------------------------------------------------------------------------ candidates
@@ -150,13 +137,13 @@ def _entries(key: tuple, table: pa.Table, told: pa.Table, buckets: int) -> pa.Ta
 
 def _passing(rows: pd.DataFrame, asks: np.ndarray, gives: np.ndarray, similarity: float) -> np.ndarray:
     """Bits in which two lines of a word's list differ, for each (asking, giving) pair; 255 where a filter rules the pair out."""
-    size, place, turn = (rows[c].to_numpy() for c in ("size", "place", "turn"))
-    bits = rows[["bits1", "bits2"]].to_numpy().view(np.uint64)
+    size, place, rank, digest = (rows[c].to_numpy() for c in ("size", "place", "rank", "digest"))
+    bits = rows["bits"].to_numpy().view(np.uint64)
     sa, sb = size[asks][:, None].astype(np.int64), size[gives][None, :].astype(np.int64)
     need = np.ceil(similarity / (1 + similarity) * (sa + sb) - 1e-9).astype(np.int64)
     at_most = np.minimum(sa - place[asks][:, None], sb - place[gives][None, :])
-    differ = sum(np.bitwise_count(bits[asks, k][:, None] ^ bits[gives, k][None, :]).astype(np.int64) for k in (0, 1))
-    good = (turn[gives][None, :] < turn[asks][:, None]) & (at_most >= need) & (differ <= sa + sb - 2 * need)
+    differ = np.bitwise_count(bits[asks][:, None] ^ bits[gives][None, :]).astype(np.int64)
+    good = (rank[gives][None, :] <= rank[asks][:, None]) & (digest[gives][None, :] != digest[asks][:, None]) & (at_most >= need) & (differ <= sa + sb - 2 * need)
     good &= np.minimum(sa, sb) >= np.ceil(similarity * np.maximum(sa, sb) - 1e-9)
     return np.where(good, np.minimum(differ, 254), 255)
 
@@ -178,7 +165,7 @@ def _candidates(rows: pd.DataFrame, lo: int, hi: int, every: bool, similarity: f
                     yield int(line[some[x]]), int(line[gives[best[x]]])
 
 
-_ITEM = ("digest", *_PLACE, "size", "place", "bits1", "bits2", "open", "slice")
+_ITEM = ("digest", "rank", "size", "place", "bits", "open", "slice")
 
 
 def _pairs(entries: DataFrame, similarity: float, every: bool, slice_size: int = SLICE) -> DataFrame:
@@ -199,11 +186,7 @@ def _pairs(entries: DataFrame, similarity: float, every: bool, slice_size: int =
         for part in parts:
             lists = part.column("items")
             flat = lists.flatten()
-            rows = pd.DataFrame({f: flat.field(f).to_numpy(zero_copy_only=False) for f in _ITEM if f != "id"})
-            known = flat.field("id").is_valid().to_numpy(zero_copy_only=False)
-            ids = flat.field("id").fill_null(0).to_numpy()
-            # All rows of this batch by place, which also orders those of one list; a null id comes first.
-            rows["turn"] = np.argsort(np.lexsort((rows["line"], rows["mark"], ids, known)))
+            rows = pd.DataFrame({f: flat.field(f).to_numpy(zero_copy_only=False) for f in _ITEM})
             ends = np.cumsum(lists.value_lengths().to_numpy())
             sizes = np.diff(np.concatenate([[0], ends]))
             found = list(_small(rows, sizes, similarity)) if not every else []
@@ -223,18 +206,28 @@ def _small(rows: pd.DataFrame, sizes: np.ndarray, similarity: float) -> Iterator
     """The candidates of all short lists: their rows at each distance from one another."""
     group = np.repeat(np.arange(len(sizes)), sizes)
     few = sizes[group] <= FEW
-    line, turn, size, place = (rows[c].to_numpy().astype(np.int64) for c in ("digest", "turn", "size", "place"))
-    bits, asking = rows[["bits1", "bits2"]].to_numpy().view(np.uint64), rows["open"].to_numpy()
+    line, rank, size, place = (rows[c].to_numpy().astype(np.int64) for c in ("digest", "rank", "size", "place"))
+    bits, asking = rows["bits"].to_numpy().view(np.uint64), rows["open"].to_numpy()
     for gap in range(1, min(FEW, int(sizes.max(initial=0)))):
         a = np.flatnonzero((group[gap:] == group[:-gap]) & few[gap:])
         b = a + gap
         need = np.ceil(similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9).astype(np.int64)
-        differ = sum(np.bitwise_count(bits[a, k] ^ bits[b, k]).astype(np.int64) for k in (0, 1))
+        differ = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64)
         good = (np.minimum(size[a] - place[a], size[b] - place[b]) >= need) & (differ <= size[a] + size[b] - 2 * need) & (line[a] != line[b])
         good &= np.minimum(size[a], size[b]) >= np.ceil(similarity * np.maximum(size[a], size[b]) - 1e-9)
-        late, early = np.where(turn[a] > turn[b], a, b), np.where(turn[a] > turn[b], b, a)
-        good &= asking[late]
-        yield from zip(line[late[good]].tolist(), line[early[good]].tolist())
+        for late, early in ((a, b), (b, a)):
+            some = good & asking[late] & (rank[early] <= rank[late])
+            yield from zip(line[late[some]].tolist(), line[early[some]].tolist())
+
+
+def _small_side(few: DataFrame) -> DataFrame:
+    return F.broadcast(few) if fits_broadcast(few) else few
+
+
+def _without(lines: DataFrame, repeats: DataFrame) -> DataFrame:
+    few = _small_side(repeats.distinct().withColumnsRenamed({"id": "_i", "mark": "_m", "line": "_l"}))
+    same = F.col("id").eqNullSafe(F.col("_i")) & (F.col("mark") == F.col("_m")) & (F.col("line") == F.col("_l"))
+    return lines.join(few, same, "left_anti")
 
 
 def _meet(docs: DataFrame, few: DataFrame) -> DataFrame:
@@ -245,9 +238,10 @@ def _meet(docs: DataFrame, few: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
-    """The lines of ``pairs`` (by digest) with ``similar``: whether one of their candidates is, by the whole sets."""
+    """The lines (by digest) that have an earlier similar one among ``pairs``, by the whole sets."""
     wanted = pairs.select(F.explode(F.array("line", "other")).alias("digest")).distinct()
-    wanted = stored(firsts.select("digest", *_PLACE).join(wanted, "digest", "left_semi"), "lines-wanted")
+    wanted = firsts.select("digest", *_PLACE).join(wanted, "digest", "left_semi")
+    wanted = stored(wanted.dropDuplicates(["digest"]), "lines-wanted")
     asked = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("line", "digest")).alias("asked"))
     found = _meet(docs, stored(asked, "lines-asked")).filter("asked is not null").select("_text", "asked")
 
@@ -274,18 +268,20 @@ def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, rank: np.nda
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common_words = len(np.intersect1d(x, y, assume_unique=True))
                 similar.append(common_words >= similarity * (len(x) + len(y) - common_words) - 1e-9)
-            yield pa.record_batch([part.column("line"), pa.array(similar, pa.bool_())], names=["line", "similar"])
+            yield part.select(["line", "other"]).filter(pa.array(similar, pa.bool_()))
 
-    judged = both.select("line", "words", "words2").mapInArrow(of, "line bigint, similar boolean")
-    return judged.groupBy(F.col("line").alias("digest")).agg(F.max("similar").alias("similar"))
+    similar = both.select("line", "other", "words", "words2").mapInArrow(of, "line bigint, other bigint")
+    where = wanted.select("digest", F.struct(F.col("id").isNotNull().alias("there"), *_PLACE).alias("at"))
+    placed = similar.join(where.withColumnsRenamed({"digest": "line", "at": "at_line"}), "line")
+    placed = placed.join(where.withColumnsRenamed({"digest": "other", "at": "at_other"}), "other")
+    return placed.select(F.when(F.col("at_line") > F.col("at_other"), F.col("line")).otherwise(F.col("other")).alias("digest")).distinct()
 
 
 OUT = "_id bigint, n_lines bigint, n_removed bigint, kept_text string"
 
 
 def without_similar_lines(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = 0.8, chunk_lines: int = CHUNK_LINES,
-    slice_size: int = SLICE,
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = 0.8, slice_size: int = SLICE
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_lines``, ``n_removed``, ``kept_text``.
 
@@ -300,28 +296,25 @@ def without_similar_lines(
     text = F.coalesce(F.col(text_column), F.lit(""))
     mine = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("_text"))
     rank = rarity(mine, "_text")
-    lines = stored(line_rows(mine, rank, similarity), "lines")
+    deal = common.ordered_chunk(mine, "id", RANKS)
+    lines = stored(line_rows(mine.withColumn("rank", deal(F.col("id"))), rank, similarity), "lines")
     place = F.struct(F.col("id").isNotNull().alias("there"), *_PLACE)
-    rest = F.struct(*_PLACE, "size", "bits1", "bits2", "prefix")
-    firsts = stored(lines.groupBy("digest").agg(F.min_by(rest, place).alias("f"), F.count(F.lit(1)).alias("n")).select("digest", "f.*", "n"), "lines-firsts")
-    count = firsts.count()
-    chunks = max(1, count // chunk_lines)
-    buckets = common.power_of_two(chunks / 4)
-    by_chunk = firsts.drop("n").withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks))).groupBy("chunk")
-    shared = common.found_twice(by_chunk.applyInArrow(common.on_group(_sent, buckets=buckets), MESSAGES), narrow=True)
-    entries = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(common.on_pair(_entries, buckets=buckets), ENTRIES)
-    entries = stored(entries, "lines-entries")
-    pairs = stored(_pairs(entries.withColumn("open", F.lit(True)), similarity, False, slice_size).distinct(), "lines-pairs")
-    first = stored(_verified(pairs, firsts, mine, rank, similarity), "lines-verified")
-    again = first.filter("not similar").select("digest", F.lit(True).alias("open"))
-    open_again = entries.join(again, "digest", "left").withColumn("open", F.coalesce("open", F.lit(False))).select(*entries.columns, "open")
-    listed = open_again.join(open_again.filter("open").select("word").distinct(), "word", "left_semi")
-    second = stored(_pairs(listed, similarity, True, slice_size).distinct().join(pairs, ["line", "other"], "left_anti"), "lines-pairs")
-    similar = first.union(_verified(second, firsts, mine, rank, similarity)).filter("similar").select("digest")
-    near = firsts.join(similar, "digest", "left_semi").select(*_PLACE)
-    several = firsts.filter("n > 1").select("digest", F.struct(*_PLACE).alias("_first"))
+    several = lines.groupBy("digest").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     told = common.tell_groups(lines.select("digest", *_PLACE), ["digest"], several, F.col("mark"))
-    gone = told.filter(~F.struct(*_PLACE).eqNullSafe(F.col("_first"))).select(*_PLACE).union(near)
+    repeats = stored(told.filter(place != F.col("_first")).select(*_PLACE), "lines-repeats")
+    firsts = _without(lines, repeats)
+    entries = prefix_entries(firsts)
+    pairs = stored(_pairs(entries.withColumn("open", F.lit(True)), similarity, False, slice_size).distinct(), "lines-pairs")
+    near = stored(_verified(pairs, firsts, mine, rank, similarity), "lines-near")
+    # Lines whose candidates all failed are compared with every candidate.
+    again = pairs.select(F.col("line").alias("digest")).distinct().join(near, "digest", "left_anti")
+    again = _small_side(stored(again.withColumn("open", F.lit(True)), "lines-open"))
+    words = _small_side(stored(prefix_entries(firsts.join(again, "digest", "left_semi")).select("word").distinct(), "lines-words"))
+    listed = entries.join(words, "word", "left_semi").join(again, "digest", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    second = stored(_pairs(listed.select(*entries.columns, "open"), similarity, True, slice_size).distinct(), "lines-pairs")
+    second = second.join(pairs, ["line", "other"], "left_anti")
+    near = near.union(_verified(second, firsts, mine, rank, similarity)).distinct()
+    gone = repeats.union(firsts.join(near, "digest", "left_semi").select(*_PLACE))
     gone = stored(gone.groupBy("id", "mark").agg(F.collect_set("line").alias("gone")), "lines-gone")
 
     def clean(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

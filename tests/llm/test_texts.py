@@ -164,7 +164,7 @@ def test_similar_lines(docs):
                 kept.append(line)
             seen.append(s)
         want[r[0], r[1]] = (len(parts), len(parts) - len(kept), b"\n".join(kept).decode())
-    for settings in ({}, {"chunk_lines": 7, "slice_size": 2}):
+    for settings in ({}, {"slice_size": 2}):
         got = lines.without_similar_lines(docs, **settings).collect()
         assert collections.Counter(map(tuple, got)) == collections.Counter((r[0], *want[r[0], r[1]]) for r in corpus.rows())
 
