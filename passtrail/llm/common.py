@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Callable, Iterator, Sequence
 
@@ -241,12 +242,24 @@ def _found_before(table: pa.Table, narrow: bool) -> pa.Table:
 
 def on_group(function: Callable, **settings) -> Callable:
     """A function of one group's table, with its settings; Spark does not take a partial."""
-    return lambda table: function(table, **settings)
+    def of(table):
+        try:
+            return function(table, **settings)
+        finally:
+            give_back()
+
+    return of
 
 
 def on_pair(function: Callable, **settings) -> Callable:
     """The same for the two tables of a key."""
-    return lambda key, left, right: function(key, left, right, **settings)
+    def of(key, left, right):
+        try:
+            return function(key, left, right, **settings)
+        finally:
+            give_back()
+
+    return of
 
 
 def found_twice(sent: DataFrame, narrow: bool, indexed: bool = False) -> DataFrame:
@@ -355,12 +368,20 @@ def connected(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "root")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process stays when its task is done, for tasks of other kinds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # the C library of Linux
+        trim(0)
+
+
 def batches(tables: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, none of them empty, so that few texts are Python objects at a time."""
     for table in tables:
         for at in range(0, table.num_rows, rows):
             yield table.slice(at, rows)
-    pa.default_memory_pool().release_unused()  # the process stays, for tasks of other kinds
+    give_back()
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -175,31 +175,49 @@ def links(nodes: DataFrame, how: Callable = _forest, radius: int = RADIUS, slice
         F.sequence(F.lit(0), F.col("slices") - 1),
         lambda t: F.struct(F.least(t, F.col("slice")).alias("lo"), F.greatest(t, F.col("slice")).alias("hi")),
     )
-    dealt = cut.select("item", "shard", "slice", F.explode(meets).alias("m")).select("item", "shard", "slice", "m.lo", "m.hi")
+    dealt = cut.select("item.*", "shard", "slice", F.explode(meets).alias("m")).select("shard", "m.lo", "m.hi", "slice", "fp", "node")
     asks = (F.col("hi") > F.col("lo")) & (F.col("slice") == F.col("hi"))
-    groups = dealt.groupBy("shard", "lo", "hi").agg(
-        F.collect_list(F.when(~asks, F.col("item"))).alias("tree"), F.collect_list(F.when(asks, F.col("item"))).alias("queries"),
-        F.max(F.col("hi") > F.col("lo")).alias("two"),
-    )
-    groups = groups.filter("size(tree) > 0 and if(two, size(queries) > 0, size(tree) > 1)").select("tree", "queries")
-
-    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            trees, queries = (_items(part.column(c)) for c in ("tree", "queries"))
-            pairs = [p for t, q in zip(trees, queries) for p in how(t, q, radius)]
-            yield pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    return groups.mapInArrow(of, "a bigint, b bigint")
-
-
-def _items(column: pa.ListArray) -> Iterator[list[Item]]:
-    """Lists of items, each in the order of the nodes."""
-    flat = column.flatten()
-    fps, nodes = flat.field("fp").to_pylist(), flat.field("node").to_pylist()
-    at = 0
-    for n in column.value_lengths().to_pylist():
-        yield sorted(zip(fps[at : at + n], nodes[at : at + n]), key=lambda item: item[1])
-        at += n
+    rows = dealt.select("shard", "lo", "hi", asks.alias("asks"), "fp", "node").repartition("shard", "lo", "hi")
+    return rows.sortWithinPartitions("shard", "lo", "hi", "node").mapInArrow(lambda parts: _linked(parts, how, radius), "a bigint, b bigint")
+
+
+def _linked(parts: Iterator[pa.RecordBatch], how: Callable, radius: int) -> Iterator[pa.RecordBatch]:
+    """Links of groups that come one after the other; a group may go on in the next batch."""
+
+    def links_of(rows: list[np.ndarray]) -> pa.RecordBatch:
+        shard, lo, hi, asks, fps, nodes = rows
+        fresh = np.ones(len(shard), bool)
+        fresh[1:] = (shard[1:] != shard[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
+        begin = np.flatnonzero(fresh)
+        end = np.append(begin[1:], len(shard))
+        pairs: list[Item] = []
+        for x, y in zip(begin[end > begin + 1].tolist(), end[end > begin + 1].tolist()):
+            items = list(zip(fps[x:y].tolist(), nodes[x:y].tolist()))
+            tree, queries = items, []
+            if lo[x] != hi[x]:
+                tree, queries = ([i for i, q in zip(items, asks[x:y].tolist()) if q is side] for side in (False, True))
+                if not tree or not queries:
+                    continue
+            pairs += how(tree, queries, radius)
+        return pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    held: list[np.ndarray] | None = None
+    for part in parts:
+        rows = [c.to_numpy(zero_copy_only=False) for c in part.columns]
+        if held is not None:
+            rows = [np.concatenate(pair) for pair in zip(held, rows)]
+        if not len(rows[0]):
+            continue
+        last = np.ones(len(rows[0]), bool)
+        for c in rows[:3]:
+            last &= c == c[-1]
+        cut = int(np.argmax(last))  # where the last group begins; groups come in order
+        held = [c[cut:].copy() for c in rows]
+        if cut:
+            yield links_of([c[:cut] for c in rows])
+    if held is not None:
+        yield links_of(held)
+    common.give_back()
 
 
 def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 4, radius: int = RADIUS) -> DataFrame:

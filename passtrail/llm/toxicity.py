@@ -112,6 +112,8 @@ def fit(
         rows = sorted(zip(table["id"].to_pylist(), common.octets(table["text"]), table["label"].to_pylist()))
         order = np.random.default_rng(5).permutation(len(rows)).tolist()
         at, w = learned([rows[i][1:] for i in order], settings)
+        del rows
+        common.give_back()
         return pa.table({"feature": pa.array(at, pa.int64()), "weight": pa.array(w, pa.float64())})
 
     # Repeated rows of an id could make the sample larger than it may be; one text of each id is learned from.
