@@ -394,6 +394,40 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
+def whole_groups(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Columns of complete groups of rows that come sorted by the first ``keys`` columns, and where each group begins and ends.
+
+    A group may go on in the next batch. Groups of one row are left out of the places.
+    """
+
+    def placed(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        fresh = np.zeros(len(rows[0]), bool)
+        fresh[:1] = True
+        for c in rows[:keys]:
+            fresh[1:] |= c[1:] != c[:-1]
+        begin = np.flatnonzero(fresh)
+        end = np.append(begin[1:], len(fresh))
+        return rows, begin[end > begin + 1], end[end > begin + 1]
+
+    held: list[np.ndarray] | None = None
+    for part in parts:
+        rows = [c.to_numpy(zero_copy_only=False) for c in part.columns]
+        if held is not None:
+            rows = [np.concatenate(pair) for pair in zip(held, rows)]
+        if not len(rows[0]):
+            continue
+        last = np.ones(len(rows[0]), bool)
+        for c in rows[:keys]:
+            last &= c == c[-1]
+        cut = int(np.argmax(last))  # where the last group begins
+        held = [c[cut:].copy() for c in rows]
+        if cut:
+            yield placed([c[:cut] for c in rows])
+    if held is not None:
+        yield placed(held)
+    give_back()
+
+
 def octets(column) -> list[bytes]:
     """A string column as UTF-8; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -165,7 +165,7 @@ def _candidates(rows: pd.DataFrame, lo: int, hi: int, every: bool, similarity: f
                     yield int(line[some[x]]), int(line[gives[best[x]]])
 
 
-_ITEM = ("digest", "rank", "size", "place", "bits", "open", "slice")
+_ITEM = ("word", "lo", "hi", "digest", "rank", "size", "place", "bits", "open", "slice")
 
 
 def _pairs(entries: DataFrame, similarity: float, every: bool, slice_size: int = SLICE) -> DataFrame:
@@ -178,37 +178,38 @@ def _pairs(entries: DataFrame, similarity: float, every: bool, slice_size: int =
         F.sequence(F.lit(0), F.col("slices") - 1),
         lambda t: F.struct(F.least(t, F.col("slice")).alias("lo"), F.greatest(t, F.col("slice")).alias("hi")),
     )
-    dealt = cut.withColumn("m", F.explode(meets)).select(*entries.columns, "slice", "m.lo", "m.hi")
-    groups = dealt.groupBy("word", "lo", "hi").agg(F.collect_list(F.struct(*_ITEM)).alias("items"))
-    groups = groups.filter("size(items) > 1").select("lo", "hi", "items")
+    dealt = cut.withColumn("m", F.explode(meets)).select("word", "m.lo", "m.hi", *_ITEM[3:]).repartition("word", "lo", "hi")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            lists = part.column("items")
-            flat = lists.flatten()
-            rows = pd.DataFrame({f: flat.field(f).to_numpy(zero_copy_only=False) for f in _ITEM})
-            ends = np.cumsum(lists.value_lengths().to_numpy())
-            sizes = np.diff(np.concatenate([[0], ends]))
-            found = list(_small(rows, sizes, similarity)) if not every else []
-            for n, end, lo, hi in zip(sizes.tolist(), ends.tolist(), part.column("lo").to_pylist(), part.column("hi").to_pylist()):
-                if every or n > FEW:
-                    found += _candidates(rows.iloc[end - n : end], lo, hi, every, similarity)
+        for columns, begin, end in common.whole_groups(parts, 3):
+            rows = pd.DataFrame(dict(zip(_ITEM, columns)))
+            found = list(_small(rows, begin, end, similarity)) if not every else []
+            for x, y in zip(begin.tolist(), end.tolist()):
+                if every or y - x > FEW:
+                    found += _candidates(rows.iloc[x:y], int(columns[1][x]), int(columns[2][x]), every, similarity)
             yield pa.record_batch([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["line", "other"])
 
-    return groups.mapInArrow(of, "line bigint, other bigint")
+    return dealt.sortWithinPartitions("word", "lo", "hi").mapInArrow(of, "line bigint, other bigint")
 
 
 #: Lists up to this length are compared all at once.
 FEW = 16
 
 
-def _small(rows: pd.DataFrame, sizes: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
+def _small(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
     """The candidates of all short lists: their rows at each distance from one another."""
-    group = np.repeat(np.arange(len(sizes)), sizes)
-    few = sizes[group] <= FEW
+    short = end - begin <= FEW
+    group = np.full(len(rows), -1)
+    edge = np.zeros(len(rows) + 1, np.int64)
+    edge[begin[short]] += 1
+    edge[end[short]] -= 1
+    few = np.cumsum(edge[:-1]) > 0
+    turns = np.zeros(len(rows), np.int64)
+    turns[begin[short]] = 1
+    group[few] = np.cumsum(turns)[few]
     line, rank, size, place = (rows[c].to_numpy().astype(np.int64) for c in ("digest", "rank", "size", "place"))
     bits, asking = rows["bits"].to_numpy().view(np.uint64), rows["open"].to_numpy()
-    for gap in range(1, min(FEW, int(sizes.max(initial=0)))):
+    for gap in range(1, min(FEW, int((end - begin)[short].max(initial=0)))):
         a = np.flatnonzero((group[gap:] == group[:-gap]) & few[gap:])
         b = a + gap
         need = np.ceil(similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9).astype(np.int64)

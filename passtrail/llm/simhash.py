@@ -182,16 +182,10 @@ def links(nodes: DataFrame, how: Callable = _forest, radius: int = RADIUS, slice
 
 
 def _linked(parts: Iterator[pa.RecordBatch], how: Callable, radius: int) -> Iterator[pa.RecordBatch]:
-    """Links of groups that come one after the other; a group may go on in the next batch."""
-
-    def links_of(rows: list[np.ndarray]) -> pa.RecordBatch:
-        shard, lo, hi, asks, fps, nodes = rows
-        fresh = np.ones(len(shard), bool)
-        fresh[1:] = (shard[1:] != shard[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-        begin = np.flatnonzero(fresh)
-        end = np.append(begin[1:], len(shard))
+    """The links of each group of a shard's members."""
+    for (_, lo, hi, asks, fps, nodes), begin, end in common.whole_groups(parts, 3):
         pairs: list[Item] = []
-        for x, y in zip(begin[end > begin + 1].tolist(), end[end > begin + 1].tolist()):
+        for x, y in zip(begin.tolist(), end.tolist()):
             items = list(zip(fps[x:y].tolist(), nodes[x:y].tolist()))
             tree, queries = items, []
             if lo[x] != hi[x]:
@@ -199,25 +193,7 @@ def _linked(parts: Iterator[pa.RecordBatch], how: Callable, radius: int) -> Iter
                 if not tree or not queries:
                     continue
             pairs += how(tree, queries, radius)
-        return pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    held: list[np.ndarray] | None = None
-    for part in parts:
-        rows = [c.to_numpy(zero_copy_only=False) for c in part.columns]
-        if held is not None:
-            rows = [np.concatenate(pair) for pair in zip(held, rows)]
-        if not len(rows[0]):
-            continue
-        last = np.ones(len(rows[0]), bool)
-        for c in rows[:3]:
-            last &= c == c[-1]
-        cut = int(np.argmax(last))  # where the last group begins; groups come in order
-        held = [c[cut:].copy() for c in rows]
-        if cut:
-            yield links_of([c[:cut] for c in rows])
-    if held is not None:
-        yield links_of(held)
-    common.give_back()
+        yield pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
 def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 4, radius: int = RADIUS) -> DataFrame:
