@@ -10,13 +10,18 @@ from passtrail.functions import ir
 from passtrail.functions import text as tx
 from passtrail.sources.streams import read_files, run_dir_of
 
-SNAPSHOT_TYPE = T.StructType.fromDDL(
-    "index int, pass_class string, pass_name string, filename string, bytes bigint, lines int, sha256 string,"
-    " parent_sha256 string, roundtrip_status string"
+def _fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+_TEXT, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
+SNAPSHOT_TYPE = _fields(
+    index=_INT, pass_class=_TEXT, pass_name=_TEXT, filename=_TEXT, bytes=_LONG, lines=_INT, sha256=_TEXT, parent_sha256=_TEXT,
+    roundtrip_status=_TEXT,
 )
-MANIFEST_TYPE = T.StructType.fromDDL(
-    "source string, source_sha256 string, stream_file string, stream_sha256 string, snapshot_count int,"
-    " snapshots array<string>, snapshots_kept int, snapshots_dropped int"
+MANIFEST_TYPE = _fields(
+    source=_TEXT, source_sha256=_TEXT, stream_file=_TEXT, stream_sha256=_TEXT, snapshot_count=_INT,
+    snapshots=T.ArrayType(_TEXT), snapshots_kept=_INT, snapshots_dropped=_INT,
 )
 
 

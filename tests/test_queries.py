@@ -1,6 +1,8 @@
 """Every registered query against its SQL on the driver tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -43,3 +45,10 @@ def test_results_are_flat(spark):
     for name, query in QUERIES.items():
         kinds = [t for _, t in query(spark, BASE).dtypes]
         assert not any(t.startswith(("array", "struct", "map", "binary")) for t in kinds), name
+
+
+def test_names_are_known_without_a_session():
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
