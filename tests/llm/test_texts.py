@@ -95,6 +95,50 @@ def test_near_copies_go(docs):
         assert text in left if len(alike) < 2 else any(t in left for t in alike), text
 
 
+def kept_by_brute_force(data):
+    """Ids of the texts that stay: the smallest of each component of J >= 0.8, and texts that have no near copy."""
+    sets = {i: shingles(t) for i, t in data}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = top(i), top(j)
+                root[max(a, b)] = min(a, b)
+    return {i for i in sets if top(i) == i}
+
+
+def left_of(spark, data, **settings):
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    return {r.doc_id for r in simhash.without_near_copies(frame, **settings).collect()}
+
+
+def star(rng, first, variants=40):
+    """A base of 300 words and variants of it with 6 words changed: alike to the base, but not to each other."""
+    base = [f"s{first}w{rng.randrange(3000)}" for _ in range(300)]
+    out = [(first + variants, " ".join(base))]
+    for k in range(variants):
+        words = list(base)
+        for at in rng.sample(range(2, 50), 6):
+            words[6 * at] = f"new{first}x{k}x{at}"
+        out.append((first + k, " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("slice_size", [simhash.SLICE, 8])
+def test_variants_of_one_text(spark, slice_size):
+    import random
+
+    rng = random.Random(5)
+    data = [row for first in (0, 1000, 2000) for row in star(rng, first)]
+    assert left_of(spark, data, slice_size=slice_size) == kept_by_brute_force(data)
+
+
 def test_repeated_words(docs):
     seen, want = set(), {}
     for r in sorted(set(corpus.rows()), key=corpus.order_key):
