@@ -226,7 +226,10 @@ def _word_hashes(text: bytes) -> np.ndarray:
 
 
 def _shingle_set(text: bytes, size: int) -> np.ndarray:
-    units = _word_hashes(text)
+    return _shingles(_word_hashes(text), size)
+
+
+def _shingles(units: np.ndarray, size: int) -> np.ndarray:
     return np.unique(common.rolled(units, min(size, max(1, len(units))), _ROLL))
 
 
@@ -251,23 +254,26 @@ def near_groups(
     def viewed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salts = [np.uint64(v * 0x9E3779B97F4A7C15 % 2**64) for v in range(1, views + 1)]
         for part in common.batches(parts):
-            rows = [
-                (m, i, v, _signed(bits_of(common.mixed(units + salt))))
-                for m, i, t in zip(*[part.column(c).to_pylist() for c in ("mark", "id")], common.octets(part.column("_text")))
-                if len(units := np.unique(_word_hashes(t)))
-                for v, salt in enumerate(salts)
-            ]
+            rows = []
+            for m, i, t in zip(*[part.column(c).to_pylist() for c in ("mark", "id")], common.octets(part.column("_text"))):
+                if len(units := np.unique(words := _word_hashes(t))):
+                    rows += [(m, i, v, _signed(bits_of(common.mixed(units + salt)))) for v, salt in enumerate(salts)]
+                    shingles = _shingles(words, size)
+                    rows.append((m, i, views, _signed(xxhash.xxh64_intdigest(shingles.tobytes(), 42))))
             yield pa.record_batch([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=["mark", "id", "view", "fp"])
 
     found = stored(mine.mapInArrow(viewed, "mark bigint, id bigint, view bigint, fp bigint"), "near-views")
     nodes = stored(found.groupBy("view", "fp").agg(F.min("mark").alias("node"), F.count(F.lit(1)).alias("n")), "near-nodes")
-    # Texts that share a fingerprint are candidates with the first of them.
-    same = common.tell_groups(found, ["view", "fp"], nodes.filter("n > 1"), F.col("mark")).select(F.col("mark").alias("a"), F.col("node").alias("b"))
-    near = links(nodes, _near_and_first).select("a", "b").union(same).filter("a <> b")
+    # Texts that share a fingerprint are candidates with the first of them; the last view is the hash of the whole set of shingles,
+    # as texts with the same words in another order share all fingerprints.
+    same = common.tell_groups(found, ["view", "fp"], nodes.filter("n > 1"), F.col("mark")).filter("mark <> node")
+    same = stored(same.select(F.col("mark").alias("a"), F.col("node").alias("b"), "view").distinct(), "near-same")
+    near = links(nodes.filter(F.col("view") < views), _near_and_first).select("a", "b").union(same.select("a", "b")).filter("a <> b")
     pairs = stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
     alike = stored(_verified(mine, pairs, size, similarity), "near-alike")
     # These candidates are some of all; what they do not connect is looked for by shared shingles.
-    rest = _rest(mine, common.connected(alike), size, similarity, slice_size)
+    equal = same.filter(F.col("view") == views).select(F.col("a").alias("mark"))
+    rest = _rest(mine, equal, common.connected(alike), size, similarity, slice_size)
     roots = common.connected(alike.union(_verified(mine, rest, size, similarity)))
     known = found.filter("view = 0").select("mark", "id").distinct()
     members = roots.join(known, roots["node"] == known["mark"]).select("mark", "root", "id")
@@ -282,17 +288,19 @@ _PAIRS = 1 << 19
 _SAMPLE = 20_000
 
 
-def _rest(mine: DataFrame, roots: DataFrame, size: int, similarity: float, slice_size: int) -> DataFrame:
+def _rest(mine: DataFrame, equal: DataFrame, roots: DataFrame, size: int, similarity: float, slice_size: int) -> DataFrame:
     """All pairs of marks in different groups of ``roots`` whose shingle sets can be similar enough; one order, each pair once.
 
     Two sets whose similarity is ``similarity`` at least share one of the first ``n - ceil(similarity n) + 1`` shingles of each,
     whatever the common order, so only those are shuffled. The order is that of hashes, but shingles that a sample has often come
-    last. Lists of more than ``slice_size`` texts are cut into slices, and each two slices meet in a task of their own. A text
-    is not sent anywhere unless the groups exceed a broadcast.
+    last. Lists of more than ``slice_size`` texts are cut into slices, and each two slices meet in a task of their own.
+    ``equal`` are marks of texts whose set another text of their group has; these are left out. A text is not sent anywhere unless
+    the groups exceed a broadcast.
     """
     often = _frequent(mine, size)
     known = F.broadcast(roots) if fits_broadcast(roots) else roots
-    rooted = mine.select("mark", "_text").join(known.select(F.col("node").alias("mark"), "root"), "mark", "left")
+    equal = F.broadcast(equal) if fits_broadcast(equal) else equal
+    rooted = mine.select("mark", "_text").join(equal, "mark", "left_anti").join(known.select(F.col("node").alias("mark"), "root"), "mark", "left")
     rooted = rooted.select("mark", F.coalesce("root", "mark").alias("root"), "_text")
 
     def listed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -139,6 +139,24 @@ def test_variants_of_one_text(spark, slice_size):
     assert left_of(spark, data, slice_size=slice_size) == kept_by_brute_force(data)
 
 
+def reordered(rng, first):
+    """A text, one of the same words in another order, and near copies of that one with the same words: all have the same SimHashes."""
+    a = [f"o{first}w{rng.randrange(3000)}" for _ in range(200)]
+    b = rng.sample(a, len(a))
+    texts = [a, b, b + b[20:40], b[:100] + b[90:]]
+    return [(first + k, " ".join(t)) for k, t in enumerate(texts)]
+
+
+def test_same_words_in_another_order(spark):
+    import random
+
+    rng = random.Random(6)
+    data = [row for first in range(0, 200, 10) for row in reordered(rng, first)]
+    assert left_of(spark, data) == kept_by_brute_force(data)
+    again = [(500 + k, data[1][1].upper()) for k in range(8)]
+    assert left_of(spark, data + again, slice_size=4) == kept_by_brute_force(data + again)
+
+
 def test_repeated_words(docs):
     seen, want = set(), {}
     for r in sorted(set(corpus.rows()), key=corpus.order_key):
