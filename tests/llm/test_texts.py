@@ -157,6 +157,23 @@ def test_same_words_in_another_order(spark):
     assert left_of(spark, data + again, slice_size=4) == kept_by_brute_force(data + again)
 
 
+def block_edits(rng, first):
+    """A text, and near copies with a passage appended, the end cut off, and a passage replaced."""
+    base, other = ([f"b{first}{c}{rng.randrange(3000)}" for _ in range(300)] for c in "xy")
+    n = rng.randrange(10, 60)
+    at = rng.randrange(20, 200)
+    texts = [base, base + other[:n], base[: 300 - n], base[:at] + other[: n // 2] + base[at + n // 2 :]]
+    return [(first + k, " ".join(t)) for k, t in enumerate(texts)]
+
+
+def test_appended_cut_and_replaced_passages(spark):
+    import random
+
+    rng = random.Random(7)
+    data = [row for first in range(0, 400, 10) for row in block_edits(rng, first)]
+    assert left_of(spark, data) == kept_by_brute_force(data)
+
+
 def test_repeated_words(docs):
     seen, want = set(), {}
     for r in sorted(set(corpus.rows()), key=corpus.order_key):
