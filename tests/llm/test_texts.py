@@ -174,6 +174,18 @@ def test_appended_cut_and_replaced_passages(spark):
     assert left_of(spark, data) == kept_by_brute_force(data)
 
 
+def test_stage_keeps_what_brute_force_keeps(spark):
+    import random
+
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    data = [*star(rng, 0), *reordered(rng, 100), *reordered(rng, 110), *block_edits(rng, 200), *block_edits(rng, 210)]
+    data += [(300 + k, " ".join(f"lone{rng.randrange(500)}" for _ in range(rng.randrange(1, 80)))) for k in range(20)] + [(400, ""), (401, None)]
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(data, "doc_id long, text string").repartition(3), "")
+    assert sorted(r.doc_id for r in left.collect()) == sorted(kept_by_brute_force(data))
+
+
 def test_repeated_words(docs):
     seen, want = set(), {}
     for r in sorted(set(corpus.rows()), key=corpus.order_key):
