@@ -19,6 +19,11 @@ CHUNK_BYTES = 8 << 20
 MESSAGES = "bucket int, chunk long, kind int, keys binary"
 
 
+def column(name: str) -> Column:
+    """The column of exactly that name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def volume(docs: DataFrame, text: str) -> tuple[int, int]:
     """Rows and UTF-8 bytes of a text column, from one scan."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(text))).alias("b")).first()

@@ -104,7 +104,7 @@ def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str
     verdicts = verdicts.filter("not _stays or _rows > 1").withColumnRenamed("mark", "_m")
     side = F.broadcast(verdicts) if fits_broadcast(verdicts) else verdicts
     marked = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col(id_column).cast("long").alias("_key"),
+        F.struct("*").alias("_row"), F.col(id_column).cast("long").alias("_key"),
         F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("_mark"),
     )
     judged = marked.join(side, F.col("_key").eqNullSafe(F.col("_i")) & (F.col("_mark") == F.col("_m")), "left")

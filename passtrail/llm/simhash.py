@@ -132,20 +132,6 @@ def _forest(tree: list[Item], queries: list[Item], radius: int) -> Iterator[Item
             searched.add(value & _ALL)
 
 
-def _near_and_first(tree: list[Item], queries: list[Item], radius: int) -> Iterator[Item]:
-    """For each node its nearest match among those before it, and its first: two candidates at most."""
-    searched = BKTree()
-    for value, _ in tree if queries else ():
-        searched.add(value & _ALL)
-    for value, node in queries or tree:
-        found = searched.within(value & _ALL, radius)
-        if found:
-            for j in {min(found)[1], min(j for _, j in found)}:
-                yield node, tree[j][1]
-        if not queries:
-            searched.add(value & _ALL)
-
-
 def _shard_keys(fp: Column) -> list[Column]:
     starts = [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
     block = [F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << w) - 1)) for s, w in zip(starts, BLOCKS)]
@@ -216,237 +202,24 @@ def components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return told.select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# ------------------------------------------------------------------------------------------ near copies by shingle similarity
-
-_ROLL = 0xA24BAED4963EE407
-
-
-def _word_hashes(text: bytes) -> np.ndarray:
-    return common.words_of([text])[0]
-
-
-def _shingle_set(text: bytes, size: int) -> np.ndarray:
-    return _shingles(_word_hashes(text), size)
-
-
-def _shingles(units: np.ndarray, size: int) -> np.ndarray:
-    return np.unique(common.rolled(units, min(size, max(1, len(units))), _ROLL))
-
-
-def near_groups(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, similarity: float = 0.8, views: int = 4,
-    slice_size: int = SLICE,
+def without_near_copies(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 4, radius: int = RADIUS, slice_size: int = SLICE
 ) -> DataFrame:
-    """Groups of near copies: ``mark`` of a text, and ``keeper``, the mark of its group's text with the smallest id.
-
-    Texts are near copies if the Jaccard similarity of their sets of ``size``-word shingles is at least ``similarity``, and groups
-    are what such links connect. Candidates come from SimHash fingerprints of the distinct words, in several views with hashes of
-    their own; a view's fingerprints are linked at four or fewer bits in BK-trees of shards. Each shard gives a text's nearest and
-    first match; these are verified on the shingle sets of the whole texts.
-
-    ``mark`` is a hash of id and text, so that rows that are equal in both are one. Texts without words are not near copies of
-    anything; a null is such a text. Texts of fewer than ``size`` words are one shingle. Only texts that have a near copy are
-    in the result. Starts jobs.
-    """
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    mine = docs.select(mark_of(id_column, text_column).alias("mark"), F.col(id_column).cast("long").alias("id"), text.alias("_text"))
-
-    def viewed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salts = [np.uint64(v * 0x9E3779B97F4A7C15 % 2**64) for v in range(1, views + 1)]
-        for part in common.batches(parts):
-            rows = []
-            for m, i, t in zip(*[part.column(c).to_pylist() for c in ("mark", "id")], common.octets(part.column("_text"))):
-                if len(units := np.unique(words := _word_hashes(t))):
-                    rows += [(m, i, v, _signed(bits_of(common.mixed(units + salt)))) for v, salt in enumerate(salts)]
-                    shingles = _shingles(words, size)
-                    rows.append((m, i, views, _signed(xxhash.xxh64_intdigest(shingles.tobytes(), 42))))
-            yield pa.record_batch([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=["mark", "id", "view", "fp"])
-
-    found = stored(mine.mapInArrow(viewed, "mark bigint, id bigint, view bigint, fp bigint"), "near-views")
-    nodes = stored(found.groupBy("view", "fp").agg(F.min("mark").alias("node"), F.count(F.lit(1)).alias("n")), "near-nodes")
-    # Texts that share a fingerprint are candidates with the first of them; the last view is the hash of the whole set of shingles,
-    # as texts with the same words in another order share all fingerprints.
-    same = common.tell_groups(found, ["view", "fp"], nodes.filter("n > 1"), F.col("mark")).filter("mark <> node")
-    same = stored(same.select(F.col("mark").alias("a"), F.col("node").alias("b"), "view").distinct(), "near-same")
-    near = links(nodes.filter(F.col("view") < views), _near_and_first).select("a", "b").union(same.select("a", "b")).filter("a <> b")
-    pairs = stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
-    alike = stored(_verified(mine, pairs, size, similarity), "near-alike")
-    # These candidates are some of all; what they do not connect is looked for by shared shingles.
-    equal = same.filter(F.col("view") == views).select(F.col("a").alias("mark"))
-    rest = _rest(mine, equal, common.connected(alike), size, similarity, slice_size)
-    roots = common.connected(alike.union(_verified(mine, rest, size, similarity)))
-    known = found.filter("view = 0").select("mark", "id").distinct()
-    members = roots.join(known, roots["node"] == known["mark"]).select("mark", "root", "id")
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark"))
-    keepers = members.groupBy("root").agg(best.alias("best")).select("root", F.col("best.mark").alias("keeper"))
-    return members.join(keepers, "root").select("mark", "keeper")
-
-
-#: A text's place under one of its shingles: how many shingles it has, where this one stands among them, and the group it is in.
-_PLACE = "gram bigint, lo int, hi int, asks boolean, n int, place int, node bigint, root bigint"
-_PAIRS = 1 << 19
-_SAMPLE = 20_000
-
-
-def _rest(mine: DataFrame, equal: DataFrame, roots: DataFrame, size: int, similarity: float, slice_size: int) -> DataFrame:
-    """All pairs of marks in different groups of ``roots`` whose shingle sets can be similar enough; one order, each pair once.
-
-    Two sets whose similarity is ``similarity`` at least share one of the first ``n - ceil(similarity n) + 1`` shingles of each,
-    whatever the common order, so only those are shuffled. The order is that of hashes, but shingles that a sample has often come
-    last. Lists of more than ``slice_size`` texts are cut into slices, and each two slices meet in a task of their own.
-    ``equal`` are marks of texts whose set another text of their group has; these are left out. A text is not sent anywhere unless
-    the groups exceed a broadcast.
-    """
-    often = _frequent(mine, size)
-    known = F.broadcast(roots) if fits_broadcast(roots) else roots
-    equal = F.broadcast(equal) if fits_broadcast(equal) else equal
-    rooted = mine.select("mark", "_text").join(equal, "mark", "left_anti").join(known.select(F.col("node").alias("mark"), "root"), "mark", "left")
-    rooted = rooted.select("mark", F.coalesce("root", "mark").alias("root"), "_text")
-
-    def listed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.batches(parts, 256):
-            grams, places, sizes = [], [], []
-            for text in common.octets(part.column("_text")):
-                found = _shingle_set(text, size)
-                first = len(found) - _least(len(found), similarity) + 1 if len(found) else 0
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, found), len(often) - 1)
-                    late = often[at] == found
-                    found = np.concatenate([found[~late], found[late]]) if late.any() else found
-                grams.append(found[:first])
-                places.append(np.arange(first, dtype=np.int32))
-                sizes.append(len(found))
-            counts = [len(g) for g in grams]
-            columns = [np.concatenate(grams).view(np.int64), np.repeat(np.array(sizes, np.int32), counts), np.concatenate(places)]
-            columns += [np.repeat(part.column(c).to_numpy(), counts) for c in ("mark", "root")]
-            yield pa.record_batch([pa.array(c) for c in columns], names=["gram", "n", "place", "node", "root"])
-
-    lists = rooted.mapInArrow(listed, "gram bigint, n int, place int, node bigint, root bigint")
-    lists = lists.repartition("gram").sortWithinPartitions("gram", "n")
-
-    def met(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of short lists, and the members of long ones for each meeting of their slices."""
-        for (grams, n, place, node, root), begin, end in common.whole_groups(parts, 1):
-            long = end - begin > slice_size
-            for a, b in _across(n, place, node, root, begin[~long], end[~long], similarity):
-                yield _rows(a=a, b=b)
-            for x, y in zip(begin[long].tolist(), end[long].tolist()):
-                if (root[x:y] == root[x]).all():
-                    continue
-                slices = -(-(y - x) // slice_size)
-                mine = (np.arange(y - x) // slice_size).astype(np.int32)
-                for t in range(slices):
-                    lo, hi = np.minimum(mine, t), np.maximum(mine, t)
-                    yield _rows(gram=grams[x:y], lo=lo, hi=hi, asks=(hi > lo) & (mine == hi), n=n[x:y], place=place[x:y], node=node[x:y], root=root[x:y])
-
-    found = stored(lists.mapInArrow(met, f"a bigint, b bigint, {_PLACE}"), "near-met")
-    meetings = found.filter("node is not null").select("gram", "lo", "hi", "n", "asks", "place", "node", "root").repartition("gram", "lo", "hi")
-
-    def paired(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, lo, hi, n, asks, place, node, root), begin, end in common.whole_groups(parts, 3):
-            sides = np.where(lo == hi, -1, asks.astype(np.int8))
-            for a, b in _across(n, place, node, root, begin, end, similarity, sides):
-                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    more = meetings.sortWithinPartitions("gram", "lo", "hi", "n").mapInArrow(paired, "a bigint, b bigint")
-    return stored(found.filter("node is null").select("a", "b").union(more).distinct(), "near-rest")
-
-
-def _least(n: int, similarity: float) -> int:
-    return int(np.ceil(similarity * n - 1e-9))
-
-
-def _rows(**columns: np.ndarray) -> pa.RecordBatch:
-    size = len(next(iter(columns.values())))
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
-    fields = [f.split() for f in f"a bigint, b bigint, {_PLACE}".split(", ")]
-    return pa.record_batch([pa.array(columns[c], kinds[k]) if c in columns else pa.nulls(size, kinds[k]) for c, k in fields], names=[c for c, _ in fields])
+    """The rows of ``docs``, with all their columns, but for near copies: of texts that are connected over links the first one stays.
 
-
-def _across(
-    n: np.ndarray, place: np.ndarray, node: np.ndarray, root: np.ndarray, begin: np.ndarray, end: np.ndarray, similarity: float,
-    sides: np.ndarray | None = None,
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a list's members, which come by size, in different groups, that can still be similar enough if the list's shingle
-    is the first that they share: few enough of either come before it. Some hundred thousand pairs are looked at at a time.
-    """
-    at = np.concatenate([np.arange(x, y) for x, y in zip(begin, end)]) if len(begin) else np.zeros(0, np.int64)
-    stop = np.repeat(end, end - begin)
-    partners = stop - at - 1
-    done, total = 0, np.concatenate([[0], np.cumsum(partners)])
-    while done < len(at):
-        until = max(done + 1, int(np.searchsorted(total, total[done] + _PAIRS, "right")) - 1)
-        counts = partners[done:until]
-        i = np.repeat(at[done:until], counts)
-        j = i + 1 + np.arange(len(i)) - np.repeat(total[done:until] - total[done], counts)
-        done = until
-        left = np.minimum(n[i] - place[i], n[j] - place[j])
-        fits = (root[i] != root[j]) & (left * (1 + similarity) >= similarity * (n[i].astype(np.int64) + n[j]) - 1e-6)
-        if sides is not None:
-            fits &= (sides[i] != sides[j]) | (sides[i] < 0)
-        a, b = node[i[fits]], node[j[fits]]
-        if len(a):
-            found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield found[0], found[1]
-
-
-def _frequent(mine: DataFrame, size: int, most: int = 500_000) -> np.ndarray:
-    """Shingles that many texts of a sample have. Any choice gives the same pairs; this one keeps lists short. Starts jobs."""
-    texts = mine.select("mark", "_text").filter(F.length("_text") > 0)
-    share = min(1.0, _SAMPLE / max(1, texts.count()))
-    picked = texts.filter(F.pmod(F.xxhash64("mark", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-
-    def grams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.batches(parts, 256):
-            sets = [_shingle_set(t, size) for t in common.octets(part.column("_text"))]
-            yield pa.record_batch([pa.array(np.concatenate(sets).view(np.int64))], names=["gram"])
-
-    counted = picked.select("_text").mapInArrow(grams, "gram bigint").groupBy("gram").count().filter("count >= 8")
-    rows = counted.orderBy(F.desc("count"), "gram").limit(most).select("gram").toPandas()["gram"].to_numpy(np.int64)
-    return np.sort(rows.view(np.uint64))
-
-
-def mark_of(id_column: str, text_column: str) -> Column:
-    return F.xxhash64(F.col(id_column).cast("long"), F.coalesce(F.col(text_column), F.lit("")))
-
-
-def _verified(mine: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs of marks whose texts' shingle sets are similar enough.
-
-    Sets travel as sorted 32-bit hashes. Pairs are dealt by their two marks, so that a text with very many partners is sent to
-    many tasks, once per pair.
+    Fingerprints and links are those of ``components``; null, empty and blank texts have the fingerprint zero and are linked like any
+    other. The first text is that with the smallest id (a null id comes last), then with the smallest hash of its text. Rows are found
+    again by id and hash, so rows that are equal in both stay or go together. An empty table stays empty. Starts jobs.
     """
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("mark")).distinct()
-
-    def shingled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.batches(parts):
-            sets = [np.unique(_shingle_set(t, size).astype(np.uint32)).tobytes() for t in common.octets(part.column("_text"))]
-            yield pa.record_batch([part.column("mark"), pa.array(sets, pa.binary())], names=["mark", "set"])
-
-    asked = stored(asked, "near-asked")
-    texts, few = mine.select("mark", "_text"), fits_broadcast(asked)
-    texts = texts.join(F.broadcast(asked), "mark", "left_semi") if few else texts
-    sets = texts.mapInArrow(shingled, "mark bigint, set binary")
-    sets = sets if few else sets.join(asked, "mark", "left_semi")
-    sets = stored(sets.dropDuplicates(["mark"]), "near-sets")
-    left, right = (sets.select(F.col("mark").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
-
-    def alike(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.batches(parts):
-            good = []
-            for x, y in zip(part.column("set_a").to_pylist(), part.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both >= similarity * (len(x) + len(y) - both))
-            yield part.select(["a", "b"]).filter(pa.array(good))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(alike, "a bigint, b bigint")
-
-
-def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs``, with all their columns, but for near copies: of each group the text with the smallest id stays."""
-    gone = near_groups(docs, id_column, text_column, **settings).filter("mark <> keeper").select("mark")
-    gone = stored(gone, "near-gone")
+    place = [F.col(id_column).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("mark")]
+    found = stored(fingerprints(docs.select(*place, F.col(text_column).alias("_text")), "_text", "fp", size), "simhash")
+    first = F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark")
+    nodes = stored(found.groupBy("fp").agg(F.min(first).alias("first")), "simhash-nodes")
+    seen = nodes.select("fp", F.col("fp").alias("node"), F.lit(0).alias("view"))
+    roots = common.connected(links(seen, radius=radius, slice_size=slice_size))
+    of_node = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    keepers = of_node.groupBy("root").agg(F.min("first").alias("first")).select("first.id", "first.mark").distinct()
+    gone = stored(common.null_safe_join(found.select("id", "mark"), keepers, ["id", "mark"], "left_anti").distinct(), "near-gone")
     gone = F.broadcast(gone) if fits_broadcast(gone) else gone
-    marked = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), mark_of(id_column, text_column).alias("mark"))
-    return marked.join(gone, "mark", "left_anti").select("_row.*")
+    marked = docs.select(F.struct("*").alias("_row"), *place)
+    return common.null_safe_join(marked, gone, ["id", "mark"], "left_anti").select("_row.*")

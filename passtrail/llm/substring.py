@@ -122,7 +122,7 @@ def repeated_words(
 def _cut_rows(docs: DataFrame, id_column: str, text_column: str, window: int, chunk_bytes: int, carried: tuple) -> DataFrame:
     if window < 2:
         raise ValueError("a window has two words at least")
-    row = [F.struct(*[F.col(c) for c in carried]).alias("_row")] if carried else []
+    row = [F.struct(*[common.column(c) for c in carried]).alias("_row")] if carried else []
     mine = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text"), *row)
     _, size = common.volume(mine, "_text")
     chunks = max(1, -(-size // chunk_bytes))

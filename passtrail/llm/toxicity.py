@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passtrail.llm import common
 
@@ -142,21 +143,22 @@ def scored(
     """``docs`` without its text column, with the score (0 to 1) of each whole text.
 
     Null counts as empty; an empty text has the bias alone. A model without weights scores everything 0. All other columns are
-    passed on.
+    passed on, but for one named ``out``, which the score replaces.
     """
     at, w = model[0].astype(np.int64).tobytes(), model[1].astype(np.float64).tobytes()
-    kept = [c for c in docs.columns if c != text_column]
-    rows = docs.select(*kept, F.col(text_column).alias("_text"))
-    schema = docs.select(*kept).schema.add(out, "double")
+    kept = [c for c in docs.columns if c not in (text_column, out)]
+    rows = docs.select(F.struct(F.lit(0), *[common.column(c).alias(c) for c in kept]).alias("row"), F.col(text_column).alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _dense(at, w)
         for part in common.batches(parts):
-            texts = common.octets(part.column("_text"))
+            texts = common.octets(part.column("text"))
             found = [score_of(t, table) for t in texts] if at else [0.0] * len(texts)
-            yield pa.record_batch([*[part.column(c) for c in kept], pa.array(found, pa.float64())], names=[*kept, out])
+            yield pa.record_batch([part.column("row"), pa.array(found, pa.float64())], names=["row", "score"])
 
-    return rows.mapInArrow(of, schema)
+    back = [F.col("row").getField(c).alias(c) for c in kept]
+    return rows.mapInArrow(of, schema).select(*back, F.col("score").alias(out))
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
@@ -171,5 +173,5 @@ def judged(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_c
 def without_toxic(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score is below 0.5."""
     model = fit(docs, labels, id_column, text_column, **settings)
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col(text_column).alias("text"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text_column).alias("text"))
     return scored(rows, model).filter("score < 0.5").select("_row.*")
