@@ -26,7 +26,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that share four fifths of their five-word shingles, the one with the smallest id stays."""
+    """Of texts connected by SimHash fingerprints of four-word shingles at four or fewer bits, the one with the smallest id stays."""
     common.small_batches(spark)
     return simhash.without_near_copies(docs)
 
