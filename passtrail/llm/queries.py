@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import bpe, common, exact, lines, packing, simhash, substring, suffix, toxicity, warc, winnow
+from passtrail.llm import audit, bpe, common, exact, lines, packing, simhash, substring, suffix, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -76,6 +76,11 @@ def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_filter_audit(spark: SparkSession, base: str) -> DataFrame:
+    """What five filters remove from ``documents`` in each of their orders, by language."""
+    return audit.audit(_table(spark, base, "documents"), _table(spark, base, "labels"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 #: The same results as SQL, where SQL can express them over whole tables.
@@ -108,4 +114,44 @@ ORACLES: dict[str, str] = {
             row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
         FROM plain WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
     """,
+    "op12_filter_audit": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), f AS (
+            SELECT doc_id, part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+                100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+            FROM w
+        ), l AS (
+            SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+        ), doc AS (
+            SELECT part, [a, b, c, d, e] AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+            FROM f LEFT JOIN l ON f.doc_id = l.doc_id
+        ), cell AS (
+            SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+            FROM doc GROUP BY part, fails
+        ), letter AS (SELECT unnest([1, 2, 3, 4, 5]) AS k), orders AS (
+            SELECT [v.k, w.k, x.k, y.k, z.k] AS ks, substr('ABCDE', v.k, 1) || substr('ABCDE', w.k, 1) || substr('ABCDE', x.k, 1)
+                || substr('ABCDE', y.k, 1) || substr('ABCDE', z.k, 1) AS filter_order
+            FROM letter v, letter w, letter x, letter y, letter z WHERE len(list_distinct([v.k, w.k, x.k, y.k, z.k])) = 5
+        ), met AS (
+            SELECT part, filter_order, step.k AS step, ks[step.k] AS bit, n, good, toxic, fails[ks[step.k]] AS here,
+                len(list_filter(ks[1:step.k - 1], lambda i: fails[i])) > 0 AS before, len(list_filter(fails, lambda x: x)) AS failed
+            FROM cell, orders, letter step
+        ), steps AS (
+            SELECT part, filter_order, step, any_value(bit) AS bit,
+                sum(CASE WHEN NOT here AND NOT before THEN n ELSE 0 END) AS kept, sum(CASE WHEN here AND NOT before THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN here AND before THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN here AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN here AND NOT before THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN here AND NOT before THEN toxic ELSE 0 END) AS toxic_lost
+            FROM met GROUP BY part, filter_order, step
+        )
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+            unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+        FROM steps
+    """,
 }
