@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import audit, bpe, common, exact, lines, packing, simhash, substring, suffix, toxicity, warc, winnow
+from passtrail.llm import audit, bpe, common, exact, lines, packing, search, simhash, substring, suffix, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -76,6 +76,11 @@ def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, base: str) -> DataFrame:
+    """The ten best ``documents`` for each ``benchmark`` item."""
+    return search.search(_table(spark, base, "documents"), _table(spark, base, "benchmark"))
+
+
 def op12_filter_audit(spark: SparkSession, base: str) -> DataFrame:
     """What five filters remove from ``documents`` in each of their orders, by language."""
     return audit.audit(_table(spark, base, "documents"), _table(spark, base, "labels"))
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_filter_audit": op12_filter_audit,
 }
 
@@ -114,6 +120,30 @@ ORACLES: dict[str, str] = {
             row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
         FROM plain WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
     """,
+    "op11_ranked_search": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS row, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), q AS (
+            SELECT item_id, row, term, count(*) AS repeats FROM (
+                SELECT item_id, row_number() OVER () AS row, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM (SELECT DISTINCT item_id, text FROM benchmark)
+            ) GROUP BY ALL
+        ), n AS (SELECT row, doc_id, count(*) AS n FROM d GROUP BY row, doc_id), s AS (SELECT count(*) AS total, sum(n)::BIGINT AS length FROM n),
+        tf AS (SELECT row, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY row, term),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * any_value(total) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, s GROUP BY term
+        ), scored AS (
+            SELECT q.item_id, q.row AS item, n.doc_id, n.row,
+                sum(q.repeats * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (100 - 75 + ((75 * n.n * s.total) // s.length)))))::BIGINT AS score
+            FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n ON n.row = tf.row, s GROUP BY ALL
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     "op12_filter_audit": r"""
         WITH w AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
