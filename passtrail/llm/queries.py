@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passtrail.llm import audit, bpe, common, exact, lines, packing, search, simhash, substring, suffix, toxicity, warc, winnow
+from passtrail.llm import audit, bpe, chosen, common, exact, lines, packing, search, simhash, substring, suffix, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder, stored
 
 
@@ -86,6 +86,11 @@ def op12_filter_audit(spark: SparkSession, base: str) -> DataFrame:
     return audit.audit(_table(spark, base, "documents"), _table(spark, base, "labels"))
 
 
+def op13_chosen_path(spark: SparkSession, base: str) -> DataFrame:
+    """Components of ``documents`` whose sets of two-word shingles are similar at 0.8."""
+    return chosen.components(_table(spark, base, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -99,6 +104,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_ranked_search": op11_ranked_search,
     "op12_filter_audit": op12_filter_audit,
+    "op13_chosen_path": op13_chosen_path,
 }
 
 #: The same results as SQL, where SQL can express them over whole tables.
@@ -184,4 +190,27 @@ ORACLES: dict[str, str] = {
             (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
         FROM steps
     """,
+    "op13_chosen_path": r"""
+        WITH RECURSIVE w AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), docs AS (
+            SELECT row, doc_id, CASE WHEN len(words) < 2 THEN words
+                ELSE list_distinct(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) END AS shingles
+            FROM w
+        ), sets AS (SELECT list_sort(shingles) AS s, row, doc_id, len(shingles) AS n FROM docs),
+        classes AS (SELECT min(row) AS node, min(doc_id) AS least, s, any_value(n) AS n FROM sets WHERE n > 0 GROUP BY s),
+        tokens AS (SELECT node, n, unnest(s) AS token FROM classes), hashed AS (SELECT node, n, hash(token) AS token FROM tokens),
+        links AS (
+            SELECT a.node AS a, b.node AS b FROM hashed a JOIN hashed b ON a.token = b.token AND a.node < b.node
+                AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.node, b.node HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (SELECT node AS a, node AS b FROM classes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+        found AS (SELECT r.a AS node, min(c.least) AS component_id FROM reach r JOIN classes c ON c.node = r.b GROUP BY r.a)
+        SELECT sets.doc_id, sets.n AS n_shingles, CASE WHEN sets.n = 0 THEN sets.doc_id ELSE component_id END AS component_id,
+            sets.doc_id IS NOT DISTINCT FROM (CASE WHEN sets.n = 0 THEN sets.doc_id ELSE component_id END) AS kept
+        FROM sets LEFT JOIN classes USING (s) LEFT JOIN found USING (node)
+    """,
 }
