@@ -10,12 +10,13 @@ a pair of similarity 0.8 that meets at depth 1, 2 or 4 is missed by ten trees ab
 What is compared, and how it stays bounded:
 
 * Documents of equal sets are a class of which one stands for all; hot classes are told their result over salts.
-* A small node's members are compared by size and by a parity bitmap of 1,024 bits: sets that differ in d shingles differ in at most d
-  bits, so this rules out no link. Only members that may be linked go on, in the groups that such pairs form, and these are verified on
-  the whole sets in one task. A group yields links that connect its components, not all pairs, and pairs that are connected already are
-  not looked at. Groups of more than ``CELL_SHINGLES`` shingles are cut into slices that meet in pairs.
-* Large nodes branch on. Before that, all members are verified against one of them in cells of bounded size, so that a large
-  group of near copies becomes one component at once. Nodes whose members are all of one component are done.
+* A small node's members are compared by size and by a sketch. Its first part is a parity bitmap of 1,024 bits: sets that differ in d
+  shingles differ in at most d bits, so it rules out no link. Its second part has a byte of each minwise token: of 64 tokens, two sets of
+  similarity 0.8 have fewer in common than asked for once in 10^7 cases. Only members that may be linked go on, in the groups that such
+  pairs form, and these are verified on the whole sets in one task. A group yields links that connect its components, not all pairs, and
+  pairs that are connected already are not looked at. Groups of more than ``CELL_SHINGLES`` shingles are cut into slices that meet in pairs.
+* Large nodes branch on. Before that, all members are compared with one of them in the same two steps, in cells of bounded size, so that
+  a large group of near copies becomes one component at once. Nodes whose members are all of one component are done.
 * Nodes that are still large at the last level are cut into slices that meet in pairs, where the same comparison follows: nothing is
   capped.
 
@@ -24,6 +25,7 @@ The first trees connect nearly all that is similar; later ones carry only what i
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,11 +78,11 @@ def sets_of(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     return tokens, np.searchsorted(of, np.arange(len(texts) + 1))
 
 
-FACTS = "id bigint, mark bigint, n bigint, low bigint, high bigint, tokens binary, bits binary"
+FACTS = "id bigint, mark bigint, n bigint, low bigint, high bigint, tokens binary, sketch binary"
 
 
 def facts(docs: DataFrame, size: int) -> DataFrame:
-    """A row per document: number of shingles, a digest of the set in two halves, minwise tokens, and the parity bitmap."""
+    """A row per document: number of shingles, a digest of the set in two halves, minwise tokens, and the sketch."""
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts, 256):
@@ -97,11 +99,11 @@ def facts(docs: DataFrame, size: int) -> DataFrame:
             owner = np.repeat(np.arange(part.num_rows), counts)
             place = (tokens >> np.uint64(54)).astype(np.int64)
             odd = np.bincount(owner * BITS + place, minlength=part.num_rows * BITS).astype(np.uint8) & 1
-            bits = np.packbits(odd.reshape(part.num_rows, BITS), axis=1)
+            sketch = np.hstack([np.packbits(odd.reshape(part.num_rows, BITS), axis=1), chosen.astype(np.uint8)])
             yield pa.record_batch(
                 [
                     part.column("id"), part.column("mark"), pa.array(counts, pa.int64()), pa.array(digest[0].view(np.int64)),
-                    pa.array(digest[1].view(np.int64)), pa.array([r.tobytes() for r in chosen], pa.binary()), pa.array([r.tobytes() for r in bits], pa.binary()),
+                    pa.array(digest[1].view(np.int64)), pa.array([r.tobytes() for r in chosen], pa.binary()), pa.array([r.tobytes() for r in sketch], pa.binary()),
                 ],
                 names=[c.split()[0] for c in FACTS.split(", ")],
             )
@@ -115,13 +117,34 @@ def _least(size: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
     return -(-up * size // down)
 
 
-def _may_link(size: np.ndarray, bits: np.ndarray, one: int, others: np.ndarray, similarity: tuple[int, int]) -> np.ndarray:
-    """Whether sizes and bitmaps allow a member to be similar to each of the others."""
-    up, down = similarity
-    a, b = size[one], size[others]
-    differ = np.bitwise_count(bits[one] ^ bits[others]).sum(axis=1, dtype=np.int64)
-    # A Jaccard similarity of up / down leaves at most (a + b) (down - up) / (down + up) shingles that only one set has.
-    return (differ * (down + up) <= (a + b) * (down - up)) & (np.minimum(a, b) >= _least(np.maximum(a, b), similarity))
+def least_common(similarity: tuple[int, int], odds: float = 1e-7) -> int:
+    """How many of the minwise tokens two sets of that similarity have in common, but for the given odds."""
+    t, below, k = similarity[0] / similarity[1], 0.0, 0
+    while k < TOKENS:
+        below += math.comb(TOKENS, k) * t**k * (1 - t) ** (TOKENS - k)
+        if below > odds:
+            break
+        k += 1
+    return k
+
+
+class Sketches:
+    """What is known of the sets of some members without reading them."""
+
+    def __init__(self, size: np.ndarray, sketch: np.ndarray, similarity: tuple[int, int]):
+        packed = np.frombuffer(b"".join(sketch.tolist()), np.uint8).reshape(len(sketch), -1)
+        self.size, self.similarity, self.common = np.asarray(size, np.int64), similarity, least_common(similarity)
+        self.bits = np.ascontiguousarray(packed[:, : BITS // 8]).view(np.uint64)
+        self.tokens = packed[:, BITS // 8 :]
+
+    def may_link(self, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+        """Whether members ``a``, one or as many as ``b``, can be similar to the members ``b``."""
+        up, down = self.similarity
+        n, m = self.size[a], self.size[b]
+        differ = np.bitwise_count(self.bits[a] ^ self.bits[b]).sum(axis=1, dtype=np.int64)
+        # A Jaccard similarity of up / down leaves at most (n + m) (down - up) / (down + up) shingles that only one set has.
+        may = (differ * (down + up) <= (n + m) * (down - up)) & (np.minimum(n, m) >= _least(np.maximum(n, m), self.similarity))
+        return may & ((self.tokens[a] == self.tokens[b]).sum(axis=1) >= self.common)
 
 
 def similar(a: np.ndarray, b: np.ndarray, similarity: tuple[int, int]) -> bool:
@@ -200,16 +223,16 @@ def _met(rows: DataFrame, small: int, heavy: int) -> DataFrame:
 
 
 CELLS = "cell bigint, node bigint, role int"
-_COMPARED = ["key", "lo", "hi", "role", "node", "comp", "n", "bits"]
+_COMPARED = ["key", "lo", "hi", "role", "node", "comp", "n", "sketch"]
 
 
 def cells_of_nodes(members: DataFrame, classes: DataFrame, similarity: tuple[int, int], heavy: int) -> DataFrame:
-    """Groups to verify among members (key, lo, hi, role, node, comp, n): those that sizes and bitmaps may link, by such pairs.
+    """Groups to verify among members (key, lo, hi, role, node, comp, n): those that sizes and sketches may link, by such pairs.
 
     Where ``lo`` and ``hi`` differ, members of role 0 meet those of role 1. A group is named by its members, so that trees that come to the
     same group ask for it once.
     """
-    rows = members.join(classes.select("node", "bits"), "node").select(*_COMPARED)
+    rows = members.join(classes.select("node", "sketch"), "node").select(*_COMPARED)
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, begin, end in common.whole_groups(parts, 3):
@@ -230,8 +253,8 @@ def _cell_rows(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatc
 
 def _grouped(columns: list[np.ndarray], similarity: tuple[int, int], heavy: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(cell, nodes, roles) of the groups that pairs which may be links form, among the members of a node."""
-    _, lo, hi, role, node, comp, n, bits = columns
-    bits = np.frombuffer(b"".join(bits.tolist()), np.uint64).reshape(len(node), -1)
+    _, lo, hi, role, node, comp, n, sketch = columns
+    sketches = Sketches(n, sketch, similarity)
     groups, candidate = Sets(np.arange(len(node))), np.zeros(len(node), bool)
     across = lo[0] != hi[0]
     for i in range(len(node)):
@@ -240,7 +263,7 @@ def _grouped(columns: list[np.ndarray], similarity: tuple[int, int], heavy: int)
             continue
         others = others[comp[others] != comp[i]]
         if len(others):
-            for j in others[_may_link(n, bits, i, others, similarity)].tolist():
+            for j in others[sketches.may_link(i, others)].tolist():
                 groups.join(i, j)
                 candidate[i] = candidate[j] = True
     roots = groups.roots()
@@ -269,14 +292,26 @@ def _sliced(node: np.ndarray, n: np.ndarray, heavy: int) -> Iterator[tuple[int,
             yield _named(node[low], node[high]), np.concatenate([node[low], node[high]]), roles
 
 
-def cells_of_stars(members: DataFrame, small: int, heavy: int) -> DataFrame:
-    """For each large node one member against all others, in cells of bounded size."""
+def cells_of_stars(members: DataFrame, classes: DataFrame, similarity: tuple[int, int], small: int, heavy: int) -> DataFrame:
+    """For each large node one member against all others that it may be linked to, in cells of bounded size."""
     first = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "comp")).alias("p"))
     told = common.tell_groups(members, ["key"], first.select("key", F.col("p.node").alias("pivot"), F.col("p.comp").alias("with")), F.col("node"))
     asked = told.filter("comp <> with")
     slices = F.greatest(F.ceil(F.col("members") / small), F.ceil(2 * F.col("weight") / heavy)).cast("long")
-    pairs = asked.groupBy("pivot", "node").agg(F.max(slices).alias("slices"))
-    dealt = pairs.withColumn("cell", F.xxhash64("pivot", "slices", F.pmod(F.xxhash64("node"), F.col("slices"))))
+    pairs = asked.groupBy("pivot", "node").agg(F.max(slices).alias("slices")).join(classes.select("node", "n", "sketch"), "node")
+    pivots = first.select(F.col("p.node").alias("node")).distinct().join(classes.select("node", "n", "sketch"), "node")
+    pivots = stored(pivots.withColumnsRenamed({"node": "pivot", "n": "pivot_n", "sketch": "pivot_sketch"}), "paths-pivots")
+    both = common.tell_groups(pairs, ["pivot"], pivots, F.col("node"))
+
+    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts):
+            n, sketch, pivot_n, pivot_sketch = (part.column(c).to_numpy(zero_copy_only=False) for c in ("n", "sketch", "pivot_n", "pivot_sketch"))
+            known = Sketches(np.concatenate([n, pivot_n]), np.concatenate([sketch, pivot_sketch]), similarity)
+            at = np.arange(len(n))
+            yield part.select(["pivot", "node", "slices"]).filter(pa.array(known.may_link(at, at + len(n))))
+
+    kept = both.select("pivot", "node", "slices", "n", "sketch", "pivot_n", "pivot_sketch").mapInArrow(of, "pivot bigint, node bigint, slices bigint")
+    dealt = stored(kept, "paths-stars").withColumn("cell", F.xxhash64("pivot", "slices", F.pmod(F.xxhash64("node"), F.col("slices"))))
     pivots = dealt.select("cell", F.col("pivot").alias("node"), F.lit(1).alias("role")).distinct()
     return dealt.select("cell", "node", F.lit(0).alias("role")).union(pivots)
 
@@ -313,8 +348,8 @@ def verified(cells: DataFrame, classes: DataFrame, docs: DataFrame, labels: Data
 
     read = common.null_safe_join(docs, wanted, ["id", "mark"]).select("node", "_text")
     known = stored(read.mapInArrow(shingled, "node bigint, set binary").dropDuplicates(["node"]), "paths-sets")
-    facts_of = labels.join(known, "node").join(classes.select("node", "bits"), "node")
-    rows = cells.join(facts_of, "node").select("cell", "role", "node", "comp", "bits", "set")
+    facts_of = labels.join(known, "node").join(classes.select("node", "sketch"), "node")
+    rows = cells.join(facts_of, "node").select("cell", "role", "node", "comp", "sketch", "set")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, begin, end in common.whole_groups(parts, 1):
@@ -327,10 +362,9 @@ def verified(cells: DataFrame, classes: DataFrame, docs: DataFrame, labels: Data
 
 
 def _linked(columns: list[np.ndarray], similarity: tuple[int, int]) -> Iterator[tuple[int, int]]:
-    role, node, comp, bits, sets = columns
+    role, node, comp, sketch, sets = columns
     sets = [np.frombuffer(s, np.uint64) for s in sets.tolist()]
-    size = np.array([len(s) for s in sets], np.int64)
-    bits = np.frombuffer(b"".join(bits.tolist()), np.uint64).reshape(len(node), -1)
+    sketches = Sketches(np.array([len(s) for s in sets]), sketch, similarity)
     joined, two_sided = Sets(comp), bool(role.any())
     for i in range(len(node)):
         if two_sided and not role[i]:
@@ -338,7 +372,7 @@ def _linked(columns: list[np.ndarray], similarity: tuple[int, int]) -> Iterator[
         others = np.flatnonzero(role == 0) if two_sided else np.arange(i)
         if not len(others):
             continue
-        for j in others[_may_link(size, bits, i, others, similarity)].tolist():
+        for j in others[sketches.may_link(i, others)].tolist():
             if joined.root(i) != joined.root(j) and similar(sets[i], sets[j], similarity):
                 joined.join(i, j)
                 yield int(node[i]), int(node[j])
@@ -372,8 +406,8 @@ def components(
     mine = docs.select(common.column(id_column).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("_text"))
     found = stored(facts(mine, size), "paths-facts")
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark")
-    classes = found.filter("n > 0").groupBy("low", "high").agg(F.min(place).alias("at"), *[F.first(c).alias(c) for c in ("n", "tokens", "bits")])
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "low", "high", "at.id", "at.mark", "n", "tokens", "bits"), "paths-classes")
+    classes = found.filter("n > 0").groupBy("low", "high").agg(F.min(place).alias("at"), *[F.first(c).alias(c) for c in ("n", "tokens", "sketch")])
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "low", "high", "at.id", "at.mark", "n", "tokens", "sketch"), "paths-classes")
     labels = classes.select("node", F.col("node").alias("comp"))
     links = None
     begun = 0
@@ -389,7 +423,7 @@ def components(
                 whole = whole.union(cells_of_slices(many, small))
             cells = cells_of_nodes(whole, classes, similarity, heavy)
             if not last and level < levels:
-                cells = cells.union(cells_of_stars(many, small, heavy))
+                cells = cells.union(cells_of_stars(many, classes, similarity, small, heavy))
             cells = stored(cells, "paths-cells")
             new = stored(verified(cells, classes, mine, labels, size, similarity), "paths-links")
             links = new if links is None else links.union(new)

@@ -104,15 +104,19 @@ def test_nothing(spark):
     assert collections.Counter(map(tuple, got)) == collections.Counter([(1, 0, 1, True), (2, 0, 2, True), (2, 0, 2, True), (None, 0, None, True)])
 
 
-def test_bitmaps_rule_out_no_link():
+def test_sketches_rule_out_no_link():
     rng = np.random.default_rng(5)
     for _ in range(300):
         base = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 3000), dtype=np.uint64) * np.uint64(2))
         cut = base[rng.random(len(base)) > rng.random() * 0.25]
         other = np.unique(np.concatenate([cut, rng.integers(0, 1 << 63, rng.integers(0, 1 + len(base) // 8), dtype=np.uint64)]))
         sets = [base, other if len(other) else base]
-        bits = np.stack([np.packbits(np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=1024).astype(np.uint8) & 1) for s in sets]).view(np.uint64)
-        may = chosen._may_link(np.array([len(s) for s in sets]), bits, 0, np.array([1]), (80, 100))[0]
+        bits = [np.packbits(np.bincount((s >> np.uint64(54)).astype(np.int64), minlength=1024).astype(np.uint8) & 1) for s in sets]
+        tokens = [np.array([chosen.common.mixed((s * seed).min(keepdims=True))[0] & np.uint64(255) for seed in chosen._SEEDS], np.uint8) for s in sets]
+        sketch = np.array([b.tobytes() + t.tobytes() for b, t in zip(bits, tokens)], object)
+        known = chosen.Sketches(np.array([len(s) for s in sets]), sketch, (80, 100))
+        may = known.may_link(0, np.array([1]))[0]
+        assert known.may_link(np.array([0]), np.array([1]))[0] == may
         assert may or not chosen.similar(*sets, (80, 100))
 
 
