@@ -20,7 +20,8 @@ What is compared, and how it stays bounded:
 * Nodes that are still large at the last level are cut into slices that meet in pairs, where the same comparison follows: nothing is
   capped.
 
-The first trees connect nearly all that is similar; later ones carry only what is still apart.
+The first trees are searched at depth 1 alone, which connects nearly all that is similar; after that all trees carry only what is still
+apart.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ from passtrail.operators.stores import stored
 
 TOKENS = 64
 BITS = 1024
-#: Trees of the first and of the second turn, and how deep they go.
-TREES = (2, 8)
+#: Trees that are searched at depth 1 before all others, all trees, and how deep they go.
+FIRST, TREES = 2, 10
 LEVELS = 6
 #: Members of a node that is compared at once, and shingles of a group that is verified at once.
 SMALL = 1024
@@ -191,8 +192,8 @@ def _tokens(column) -> np.ndarray:
 ROWS = "key bigint, node bigint, comp bigint, n bigint"
 
 
-def branch(rows: DataFrame, level: int, trees: tuple[int, int] = (0, 0)) -> DataFrame:
-    """Rows (key, node, comp, n, tokens) to their children; at level 0 there is no key, and ``trees`` (from, to) begin."""
+def branch(rows: DataFrame, level: int, trees: int = 0) -> DataFrame:
+    """Rows (key, node, comp, n, tokens) to their children; at level 0 there is no key, and so many ``trees`` begin."""
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts):
@@ -200,7 +201,7 @@ def branch(rows: DataFrame, level: int, trees: tuple[int, int] = (0, 0)) -> Data
             if level:
                 parents = [part.column("key").to_numpy().view(np.uint64)]
             else:
-                parents = [np.full(len(chosen), common.mixed(np.array([t + 1], np.uint64) * _ODD)[0]) for t in range(*trees)]
+                parents = [np.full(len(chosen), common.mixed(np.array([t + 1], np.uint64) * _ODD)[0]) for t in range(trees)]
             for parent in parents:
                 dice = common.mixed(parent + np.uint64(level + 1) * _ODD)
                 first = (dice % np.uint64(TOKENS)).astype(np.int64)
@@ -216,10 +217,16 @@ def branch(rows: DataFrame, level: int, trees: tuple[int, int] = (0, 0)) -> Data
 
 
 def _met(rows: DataFrame, small: int, heavy: int) -> DataFrame:
-    """Members of nodes that hold at least two components, with ``members`` of the node and whether it is ``large``."""
+    """Members of nodes that hold at least two components, with ``members`` of the node and whether it is ``large``.
+
+    The nodes are broadcast if they are measured to be few; otherwise rows meet them over salts, as a node may hold very many.
+    """
     counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight"), F.min("comp").alias("a"), F.max("comp").alias("b"))
     several = counted.filter("a <> b").select("key", "members", ((F.col("members") > small) | (F.col("weight") > heavy)).alias("large"), "weight")
-    return stored(common.tell_groups(rows, ["key"], stored(several, "paths-nodes"), F.col("node")), "paths-met")
+    several = stored(several, "paths-nodes")
+    if fits_broadcast(several):
+        return stored(rows.join(F.broadcast(several), "key"), "paths-met")
+    return stored(common.tell_groups(rows, ["key"], several, F.col("node")), "paths-met")
 
 
 CELLS = "cell bigint, node bigint, role int"
@@ -381,15 +388,17 @@ def _linked(columns: list[np.ndarray], similarity: tuple[int, int]) -> Iterator[
 # --------------------------------------------------------------------------------------------------------------- the join
 
 
-def _relabelled(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, comp) of all classes."""
-    roots = common.connected(links)
-    return stored(classes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp")), "paths-labels")
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) of all classes after further links; a component is named by a node in it, so links are taken to components."""
+    ends = links.join(labels.withColumnsRenamed({"node": "a", "comp": "x"}), "a").join(labels.withColumnsRenamed({"node": "b", "comp": "y"}), "b")
+    roots = common.connected(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("node", "comp")
+    roots = F.broadcast(roots) if fits_broadcast(roots) else roots
+    return stored(labels.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "paths-labels")
 
 
 def components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 2, similarity: tuple[int, int] = (80, 100),
-    trees: tuple[int, ...] = TREES, levels: int = LEVELS, small: int = SMALL, heavy: int = CELL_SHINGLES,
+    first: int = FIRST, trees: int = TREES, levels: int = LEVELS, small: int = SMALL, heavy: int = CELL_SHINGLES,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -409,12 +418,10 @@ def components(
     classes = found.filter("n > 0").groupBy("low", "high").agg(F.min(place).alias("at"), *[F.first(c).alias(c) for c in ("n", "tokens", "sketch")])
     classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "low", "high", "at.id", "at.mark", "n", "tokens", "sketch"), "paths-classes")
     labels = classes.select("node", F.col("node").alias("comp"))
-    links = None
-    begun = 0
-    for number in trees:
-        rows = branch(classes.join(labels, "node"), 0, (begun, begun + number))
-        begun += number
-        for level in range(1, levels + 1):
+    # The first trees do not go deeper here: their large nodes come again with all trees.
+    for number, deepest in ((first, 1), (trees, levels)):
+        rows = branch(classes.join(labels, "node"), 0, number)
+        for level in range(1, deepest + 1):
             met = _met(rows, small, heavy)
             few, many = met.filter("not large"), met.filter("large")
             whole = few.select("key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("role"), "node", "comp", "n")
@@ -425,10 +432,10 @@ def components(
             if not last and level < levels:
                 cells = cells.union(cells_of_stars(many, classes, similarity, small, heavy))
             cells = stored(cells, "paths-cells")
-            new = stored(verified(cells, classes, mine, labels, size, similarity), "paths-links")
-            links = new if links is None else links.union(new)
-            labels = _relabelled(classes, links)
-            if last or level == levels:
+            new = None if cells.isEmpty() else stored(verified(cells, classes, mine, labels, size, similarity), "paths-links")
+            if new is not None and not new.isEmpty():
+                labels = _relabelled(labels, new)
+            if last or level == deepest:
                 break
             open_rows = many.select("key", "node", "n").join(labels, "node").join(classes.select("node", "tokens"), "node")
             rows = branch(open_rows, level)
