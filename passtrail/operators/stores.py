@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
+    """The folder that ``spark.checkpoint.dir`` names, or that the session's checkpoint folder has been set to.
 
-    Where it is unset, a session with a single machine gets a folder of its own, as in tests; a cluster must name one, because
-    its machines do not see each other's temporary folders.
+    Where neither is set it is a folder in the warehouse, which all machines of a cluster see as well.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if context.master.partition("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors and the driver share")
-        folder = "file://" + tempfile.mkdtemp(prefix="passtrail-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_passtrail_stored"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
