@@ -72,30 +72,39 @@ def is_function_line(line: Column) -> Column:
     return _any_of([F.contains(line, F.lit(m)) for m in FUNCTION_MARKERS])
 
 
-def may_open_or_close(line: Column) -> Column:
-    """Whether a line can matter for function spans at all."""
-    return F.contains(line, F.lit("{")) | F.contains(line, F.lit("}")) | is_function_line(line)
-
-
 def brace_delta(line: Column) -> Column:
     return count_char(line, "{") - count_char(line, "}")
 
 
-def is_user_function(signature: Column) -> Column:
-    """User code rather than library code, decided by substrings of the lower-cased signature."""
+def function_rank(signature: Column) -> Column:
+    """The order in which user code is shown: 0 for main, 1 for kernels and their stubs, 2 for the rest; library code has -1.
+
+    All is decided by substrings of the lower-cased signature. The empty signature is not user code.
+    """
+
+    def has(low: Column, *markers: str) -> Column:
+        return _any_of([F.contains(low, F.lit(m)) for m in markers])
 
     def decide(low: Column) -> Column:
-        keep = F.contains(low, F.lit("@main")) | _any_of([F.contains(low, F.lit(m)) for m in KERNEL_MARKERS])
-        library = _any_of([F.contains(low, F.lit(m)) for m in LIBRARY_MARKERS])
-        return F.coalesce((low != "") & (keep | ~library), F.lit(False))
+        return (
+            F.when(has(low, "@main"), 0)
+            .when(has(low, "device_stub", "kernel"), 1)
+            .when(has(low, *KERNEL_MARKERS), 2)
+            .when((low == "") | has(low, *LIBRARY_MARKERS), -1)
+            .otherwise(2)
+        )
 
-    return let(F.lower(signature), decide)
+    return F.when(signature.isNull(), -1).otherwise(let(F.lower(signature), decide))
+
+
+def is_user_function(signature: Column) -> Column:
+    return function_rank(signature) >= 0
 
 
 def function_priority(signature: Column) -> Column:
-    return let(
-        F.lower(signature),
-        lambda low: F.when(F.contains(low, F.lit("@main")), 0)
-        .when(F.contains(low, F.lit("device_stub")) | F.contains(low, F.lit("kernel")), 1)
-        .otherwise(2),
-    )
+    """The rank of a function among user code; library code counts as the rest."""
+    return let(function_rank(signature), shown_rank)
+
+
+def shown_rank(rank: Column) -> Column:
+    return F.when(rank < 0, 2).otherwise(rank)

@@ -18,10 +18,11 @@ SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 INLINE_SPACE = rf"[{SPACE}&&[^{BREAKS}]]"
 WORD = r"\p{L}\p{N}_"
 
+# The same white space as a string of characters, for functions that trim.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 _LINE_END = rf"[{BREAKS}](?:(?<=\r)\n)?+"
 _AFTER_LINE_END = rf"(?<=[{BREAKS}])(?<!\r(?=\n))"
-# The look-behind lets a match start only where a white-space run starts, which keeps the scan linear.
-_TRAILING_SPACE = rf"[{SPACE}](?<![{SPACE}][{SPACE}])[{SPACE}]*+\z"
 _FIRST_LINE = rf"\A[^{BREAKS}]*+(?:{_LINE_END})?+"
 
 
@@ -61,11 +62,11 @@ def drop_first_line(text: Column) -> Column:
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, _TRAILING_SPACE, "")
+    return F.rtrim(text, F.lit(SPACES))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A[{SPACE}]++|{_TRAILING_SPACE}", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def finish_body(text: Column) -> Column:
@@ -82,7 +83,8 @@ def byte_count(text: Column) -> Column:
 
 
 def count_char(text: Column, char: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+    """How often an ASCII character occurs."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(char), F.lit("")))
 
 
 def line_count(text: Column) -> Column:

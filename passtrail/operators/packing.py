@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.functions import text as tx
-from passtrail.operators.spans import parse_functions, span_lines
+from passtrail.operators.scan import with_spans
+from passtrail.operators.spans import parse_functions
 
 # Texts that appear in the output.
 MORE_DECLARATIONS = "// ... (%d more type/attr declarations)"
@@ -38,39 +39,56 @@ def trimmed_header(header: Column, keep: int = 8) -> Column:
     return F.concat(F.slice(header, 1, keep), more)
 
 
-def _pack(lines: Column, ordered: Column, budget: Column) -> Column:
-    """Emit functions in order until the line budget is used up; the fold appends at most one block per two lines."""
-    kind = "struct<left:int,taken:int,blocks:array<array<string>>>"
-    start = F.struct(budget.cast("int").alias("left"), F.lit(0).alias("taken"), F.array().alias("blocks")).cast(kind)
-
-    def step(a: Column, f: Column) -> Column:
-        def emit(body: Column) -> Column:
-            clipped = F.size(body) > a["left"]
-            block = F.when(
-                clipped, F.concat(F.slice(body, F.lit(1), F.greatest(a["left"], F.lit(0))), F.array(F.lit(CLIPPED)))
-            ).otherwise(body)
-            return F.struct(
-                (a["left"] - F.size(block) - 1).alias("left"),
-                (a["taken"] + 1).alias("taken"),
-                F.array_append(a["blocks"], F.array_append(block, F.lit(""))).alias("blocks"),
-            )
+def in_order(functions: Column) -> Column:
+    """User functions as they are shown: by rank, and within a rank as they come."""
 
-        body = tx.drop_last_empty(span_lines(lines, f["start_line"], f["end_line"]))
-        return F.when(a["left"] <= 0, a).otherwise(tx.let(body, emit))
+    def of_rank(rank: int) -> Column:
+        return F.filter(functions, lambda f: f["is_user"] & (f["priority"] == rank))
 
-    return F.aggregate(ordered, start, step)
+    return F.concat(*[of_rank(rank) for rank in range(3)])
 
 
-def signal_of(text: Column, max_lines: int) -> Column:
-    """``struct(signal, n_user, n_total)`` of a snapshot text, as one expression over one parse of the text."""
+def _length(lines: Column, f: Column) -> Column:
+    """Lines of a function's body; a last line that is empty does not count."""
+    return f["end_line"] - f["start_line"] + 1 - F.when(F.get(lines, f["end_line"]) == "", 1).otherwise(0)
 
-    def key(f: Column) -> Column:
-        return F.struct(
-            f["priority"].alias("priority"),
-            f["ordinal"].alias("ordinal"),
-            f["start_line"].alias("start_line"),
-            f["end_line"].alias("end_line"),
-        )
+
+def ends_of(lengths: Column) -> Column:
+    """The running sum of lengths, each with the blank line that follows a body."""
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("ends"))
+
+    def step(a: Column, n: Column) -> Column:
+        total = a["sum"] + n + 1
+        return F.struct(total.alias("sum"), F.array_append(a["ends"], total).alias("ends"))
+
+    return F.aggregate(lengths, start, step, lambda a: a["ends"])
+
+
+def _shown(lines: Column, first: Column, budget: Column) -> Column:
+    """Blocks of lines of the functions that begin within the budget, the last of them cut to what is left.
+
+    A function takes two lines at least, so ``first`` need not hold more of them than half of the budget. Where each one ends
+    follows from the lengths; only bodies that are shown are put together.
+    """
+
+    def blocks(ends: Column) -> Column:
+        def begins(i: Column) -> Column:
+            return F.when(i == 0, 0).otherwise(F.get(ends, i - 1))
+
+        inside = F.size(F.filter(ends, lambda end, i: begins(i) < budget))
+
+        def block(f: Column, i: Column) -> Column:
+            length, left = _length(lines, f), budget - begins(i)
+            whole = F.slice(lines, f["start_line"] + 1, F.least(length, left))
+            return F.concat(whole, F.when(length > left, F.array(F.lit(CLIPPED), F.lit(""))).otherwise(F.array(F.lit(""))))
+
+        return F.transform(F.slice(first, F.lit(1), inside), block)
+
+    return tx.let(ends_of(F.transform(first, lambda f: _length(lines, f))), blocks)
+
+
+def signal_of(text: Column, spans: Column, max_lines: int) -> Column:
+    """``struct(signal, n_user, n_total)`` of a snapshot text with its spans, as one expression over one parse of the text."""
 
     def clip_top(parsed: Column) -> Column:
         return F.array_join(F.slice(parsed["lines"], F.lit(1), F.lit(max_lines)), "\n")
@@ -79,22 +97,23 @@ def signal_of(text: Column, max_lines: int) -> Column:
         first_start = F.coalesce(F.get(parsed["functions"], F.lit(0))["start_line"], F.lit(0))
         top = trimmed_header(tx.drop_last_empty(F.slice(parsed["lines"], F.lit(1), first_start)))
 
-        def with_top(shown: Column) -> Column:
-            packed = _pack(parsed["lines"], user, F.lit(max_lines) - F.size(shown))
-            return tx.let(packed, lambda p: F.array_join(F.concat(shown, F.flatten(p["blocks"]), omitted(p)), "\n"))
+        def with_top(above: Column) -> Column:
+            packed = _shown(parsed["lines"], first, F.lit(max_lines) - F.size(above))
+            return tx.let(packed, lambda blocks: F.array_join(F.concat(above, F.flatten(blocks), omitted(blocks)), "\n"))
 
-        def omitted(packed: Column) -> Column:
-            left_out = F.size(user) - packed["taken"]
+        def omitted(blocks: Column) -> Column:
+            left_out = F.size(user) - F.size(blocks)
             return F.when(left_out > 0, F.array(F.format_string(MORE_FUNCTIONS, left_out))).otherwise(
                 F.array().cast("array<string>")
             )
 
+        first = F.slice(user, F.lit(1), F.lit(max_lines // 2 + 1))
+
         return tx.let(F.array_append(top, F.lit("")), with_top)
 
     def result(parsed: Column) -> Column:
-        user = F.sort_array(F.transform(F.filter(parsed["functions"], lambda f: f["is_user"]), key))
         return tx.let(
-            user,
+            in_order(parsed["functions"]),
             lambda u: F.struct(
                 F.when(F.size(u) == 0, clip_top(parsed)).otherwise(assemble(parsed, u)).alias("signal"),
                 F.size(u).alias("n_user"),
@@ -102,7 +121,7 @@ def signal_of(text: Column, max_lines: int) -> Column:
             ),
         )
 
-    return tx.let(parse_functions(text), result)
+    return tx.let(parse_functions(text, spans), result)
 
 
 def signal(corpus: DataFrame, max_lines: int = 200, text: str = "ir_text") -> DataFrame:
@@ -110,7 +129,8 @@ def signal(corpus: DataFrame, max_lines: int = 200, text: str = "ir_text") -> Da
     if max_lines < 0:
         raise ValueError("max_lines must not be negative")
     keep = [c for c in corpus.columns if c != text]
-    return corpus.select(*keep, signal_of(F.col(text), max_lines).alias("_signal")).select(*keep, "_signal.*")
+    found = signal_of(F.col(text), F.col("_spans"), max_lines).alias("_signal")
+    return with_spans(corpus, text, "_spans").select(*keep, found).select(*keep, "_signal.*")
 
 
 def prompts(corpus: DataFrame, max_lines: int = 200, text: str = "ir_text") -> DataFrame:

@@ -20,34 +20,33 @@ def _pieces(text: Column) -> Column:
 
 def segment_array(stream: Column) -> Column:
     """Snapshots of one whole stream as an array. Nothing leaves the row, so there is no shuffle."""
-    with_header = F.filter(_pieces(stream), ir.is_header)
-    bodies = F.transform(
-        with_header,
-        lambda p, i: F.struct(
-            i.cast("int").alias("index"),
-            ir.header_class(p).alias("pass_class"),
-            ir.header_pass(p).alias("pass_name"),
-            tx.finish_body(tx.drop_first_line(p)).alias("body"),
-        ),
-    )
-    hashed = F.transform(bodies, lambda s: F.struct(s.alias("s"), tx.sha256_hex(s["body"]).alias("sha256")))
-    return tx.let(
-        hashed,
-        lambda all_: F.transform(
-            all_,
-            lambda h, i: F.struct(
-                h["s"]["index"].alias("index"),
-                h["s"]["pass_class"].alias("pass_class"),
-                h["s"]["pass_name"].alias("pass_name"),
-                ir.snapshot_filename(h["s"]["index"], h["s"]["pass_name"]).alias("filename"),
-                tx.byte_count(h["s"]["body"]).alias("bytes"),
-                tx.line_count(h["s"]["body"]).alias("lines"),
-                h["sha256"].alias("sha256"),
-                F.get(all_, i - 1)["sha256"].alias("parent_sha256"),
-                h["s"]["body"].alias("body"),
-            ),
-        ),
-    )
+
+    def with_bodies(pieces: Column) -> Column:
+        bodies = F.transform(pieces, lambda p: tx.finish_body(tx.drop_first_line(p)))
+        return tx.let(bodies, lambda texts: tx.let(F.transform(texts, tx.sha256_hex), lambda hashes: rows(pieces, texts, hashes)))
+
+    def rows(pieces: Column, bodies: Column, hashes: Column) -> Column:
+        def row(piece: Column, i: Column) -> Column:
+            body, name = F.get(bodies, i), ir.header_pass(piece)
+            return F.struct(
+                i.cast("int").alias("index"),
+                ir.header_class(piece).alias("pass_class"),
+                name.alias("pass_name"),
+                ir.snapshot_filename(i.cast("int"), name).alias("filename"),
+                tx.byte_count(body).alias("bytes"),
+                tx.line_count(body).alias("lines"),
+                F.get(hashes, i).alias("sha256"),
+                F.get(hashes, i - 1).alias("parent_sha256"),
+                body.alias("body"),
+            )
+
+        return F.transform(pieces, row)
+
+    # A cut is made where a header starts, so only what comes before the first one has none.
+    def headed(pieces: Column) -> Column:
+        return F.when(ir.is_header(F.get(pieces, F.lit(0))), pieces).otherwise(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))))
+
+    return tx.let(tx.let(_pieces(stream), headed), with_bodies)
 
 
 def segment_streams(streams: DataFrame, keep: Sequence[str] = ("run_id",), stream: str = "stream") -> DataFrame:

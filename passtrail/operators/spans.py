@@ -1,4 +1,4 @@
-"""Function spans inside a snapshot text, found row by row with a native fold."""
+"""Functions inside a snapshot text: their spans come from a batched scan, all else is columns of the row."""
 
 from __future__ import annotations
 
@@ -9,98 +9,36 @@ from pyspark.sql import functions as F
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
+from passtrail.operators.scan import with_spans
 
-_CHUNK = 512
-_SPAN = "struct<start:int,end:int>"
-
-
-def span_array(lines: Column) -> Column:
-    """Outermost function spans as (start, end) line numbers; a span without its closing brace runs to the last line.
-
-    Only lines that hold a function marker or a brace can alter the state, so the fold steps over those
-    alone. The found spans are gathered per chunk of steps, which keeps appending to them cheap in texts with very many
-    functions.
-    """
-    # Line numbers rather than lines are passed on, as a transform copies what it returns.
-    relevant = F.filter(F.sequence(F.lit(0), F.size(lines)), lambda i: ir.may_open_or_close(F.get(lines, i)))
-    steps = F.transform(
-        relevant,
-        lambda i: tx.let(
-            F.get(lines, i),
-            lambda x: F.struct(i.alias("i"), ir.is_function_line(x).alias("f"), ir.brace_delta(x).alias("d")),
-        ),
-    )
-
-    def state(start: Column, depth: Column, spans: Column) -> Column:
-        return F.struct(start.alias("start"), depth.alias("depth"), spans.alias("spans"))
-
-    def span(start: Column, end: Column) -> Column:
-        return F.struct(start.alias("start"), end.alias("end"))
-
-    def step(a: Column, s: Column) -> Column:
-        opened = a["start"] >= 0
-        depth = F.when(opened, a["depth"]).otherwise(0) + s["d"]
-        start = F.when(opened, a["start"]).otherwise(s["i"])
-        none = F.lit(-1)
-        return (
-            F.when(~opened & ~s["f"], a)
-            .when(depth > 0, state(start, depth, a["spans"]))
-            .otherwise(state(none, F.lit(0), F.array_append(a["spans"], span(start, s["i"]))))
-        )
-
-    no_spans = F.array().cast(f"array<{_SPAN}>")
-    outer_type = f"struct<start:int,depth:int,chunks:array<array<{_SPAN}>>>"
-
-    def chunk_step(a: Column, chunk: Column) -> Column:
-        inner = F.aggregate(chunk, state(a["start"], a["depth"], no_spans), step)
-        return tx.let(
-            inner,
-            lambda r: F.struct(
-                r["start"].alias("start"),
-                r["depth"].alias("depth"),
-                F.array_append(a["chunks"], r["spans"]).alias("chunks"),
-            ),
-        )
-
-    def finish(a: Column) -> Column:
-        closed = F.flatten(a["chunks"])
-        return F.when(a["start"] >= 0, F.array_append(closed, span(a["start"], F.size(lines) - 1))).otherwise(closed)
-
-    def fold(found: Column) -> Column:
-        chunks = F.transform(
-            F.sequence(F.lit(0), F.ceil(F.size(found) / _CHUNK).cast("int")),
-            lambda c: F.slice(found, c * _CHUNK + 1, F.lit(_CHUNK)),
-        )
-        start = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("depth"), F.array().alias("chunks")).cast(outer_type)
-        return F.aggregate(chunks, start, chunk_step, finish)
-
-    return tx.let(steps, fold)
-
-
-def parse_functions(text: Column) -> Column:
-    """``struct(lines, functions)`` of a text, functions being (ordinal, start_line, end_line, signature, is_user, priority).
+def parse_functions(text: Column, spans: Column) -> Column:
+    """``struct(lines, functions)`` of a text with its spans; functions are (ordinal, start_line, end_line, signature, is_user, priority).
 
     The lines are bound once inside the expression. Were they a column of their own, a filter on a later column could be
     pushed below it and would then split the text again for every line.
     """
 
     def describe(lines: Column) -> Callable[[Column, Column], Column]:
-        return lambda s, i: tx.let(
-            tx.strip(F.get(lines, s["start"])),
-            lambda sig: F.struct(
-                i.cast("int").alias("ordinal"),
-                s["start"].alias("start_line"),
-                s["end"].alias("end_line"),
-                sig.alias("signature"),
-                ir.is_user_function(sig).alias("is_user"),
-                ir.function_priority(sig).alias("priority"),
-            ),
-        )
+        def of(s: Column, i: Column) -> Column:
+            signature = tx.strip(F.get(lines, s["start"]))
+            return tx.let(
+                ir.function_rank(signature),
+                lambda rank: F.struct(
+                    i.cast("int").alias("ordinal"),
+                    s["start"].alias("start_line"),
+                    s["end"].alias("end_line"),
+                    signature.alias("signature"),
+                    (rank >= 0).alias("is_user"),
+                    ir.shown_rank(rank).alias("priority"),
+                ),
+            )
+
+        return of
 
     return tx.let(
         tx.splitlines(text),
         lambda lines: F.struct(
-            lines.alias("lines"), F.transform(span_array(lines), describe(lines)).alias("functions")
+            lines.alias("lines"), F.transform(spans, describe(lines)).alias("functions")
         ),
     )
 
@@ -112,6 +50,7 @@ def span_lines(lines: Column, start: Column, end: Column) -> Column:
 def functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
     """One row per function with its body; the snapshot text itself is not carried along."""
     keep = [c for c in corpus.columns if c != text]
+    scanned = with_spans(corpus, text, "_spans")
 
     def with_body(parsed: Column) -> Column:
         return F.transform(
@@ -128,7 +67,7 @@ def functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
             ),
         )
 
-    return corpus.select(*keep, F.inline(tx.let(parse_functions(F.col(text)), with_body)))
+    return scanned.select(*keep, F.inline(tx.let(parse_functions(F.col(text), F.col("_spans")), with_body)))
 
 
 def user_functions(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
@@ -142,7 +81,7 @@ def user_count(functions_: Column) -> Column:
 
 def function_counts(corpus: DataFrame, text: str = "ir_text") -> DataFrame:
     counts = tx.let(
-        parse_functions(F.col(text))["functions"],
+        parse_functions(F.col(text), F.col("_spans"))["functions"],
         lambda fs: F.struct(user_count(fs).alias("n_user"), F.size(fs).alias("n_total")),
     )
-    return corpus.withColumn("_counts", counts).select(*corpus.columns, "_counts.*")
+    return with_spans(corpus, text, "_spans").withColumn("_counts", counts).select(*corpus.columns, "_counts.*")

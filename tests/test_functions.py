@@ -5,8 +5,7 @@ import random
 
 import pytest
 
-from passtrail.functions import text as tx
-from passtrail.operators import packing, spans
+from passtrail.operators import packing, scan, spans
 from pyspark.sql import functions as F
 
 LINES = [
@@ -89,7 +88,7 @@ def values():
 def test_spans(spark, values):
     got = (
         corpus(spark, values)
-        .select("pass_index", tx.let(tx.splitlines(F.col("ir_text")), spans.span_array).alias("s"))
+        .select("pass_index", scan.span_column(F.col("ir_text")).alias("s"))
         .orderBy("pass_index")
         .collect()
     )
@@ -97,6 +96,24 @@ def test_spans(spark, values):
         assert [(s.start, s.end) for s in row.s] == expected_spans(value.splitlines()), value[:300]
 
 
+def test_scan_numbers_lines_as_python_does():
+    rng = random.Random(3)
+    breaks = ["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
+    pieces = [*LINES, "\xe9", "c ir.func", "cir.fun", "llvm.funcir.func {", "cir", "\u2019{", "\xc2"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(breaks) for _ in range(rng.randrange(12))) + rng.choice(["", *LINES]) for _ in range(2000)]
+    # What a batch joins must not make a line end or a marker.
+    texts += ["a\r", "\nb {", "cir", ".func {", "", "cir.fu", "nc {", "cir.func @x {\r", "", "\n}"]
+    for text, found in zip(texts, scan.spans_of([t.encode() for t in texts])):
+        assert found == expected_spans(text.splitlines()), text
+    assert scan.spans_of([]) == [] and scan.spans_of([b""]) == [[]]
+
+
+def test_null_texts(spark):
+    rows = spark.createDataFrame([("b", "p", 1, None), ("b", "p", 2, "cir.func {")], "benchmark_name string, pass_name string, pass_index int, ir_text string")
+    assert [r.pass_index for r in spans.functions(rows).collect()] == [2]
+    assert {r.pass_index: r.s is None for r in rows.select("pass_index", scan.span_column(F.col("ir_text")).alias("s")).collect()} == {1: True, 2: False}
+
+
 def test_function_rows(spark, values):
     rows = spans.functions(corpus(spark, values)).orderBy("pass_index", "ordinal").collect()
     got = {}
