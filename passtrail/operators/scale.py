@@ -49,6 +49,29 @@ def running_total_before(
     )
 
 
+def running_max_before(
+    rows: DataFrame, keys: Sequence[str], order: str, value: str, out: str, width: int = 4096, levels: int = 2
+) -> DataFrame:
+    """Add ``out``: the largest ``value`` of all rows of the same keys that come earlier by the integer ``order``, or null.
+
+    As with ``running_total_before``, maxima of blocks come first, so that no window holds more than a block.
+    """
+    keys = list(keys)
+    if levels == 0:
+        before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(out, F.max(value).over(before))
+    block, offset = f"_block{levels}", f"_offset{levels}"
+    blocked = rows.withColumn(block, F.floor(F.col(order) / width).cast("long"))
+    maxima = blocked.groupBy(*keys, block).agg(F.max(value).alias("_max"))
+    offsets = running_max_before(maxima, keys, block, "_max", offset, width, levels - 1)
+    inside = Window.partitionBy(*keys, block).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        blocked.join(offsets.select(*keys, block, offset), [*keys, block])
+        .withColumn(out, F.greatest(F.col(offset), F.max(value).over(inside)))
+        .drop(block, offset)
+    )
+
+
 def previous_by_index(
     rows: DataFrame, keys: Sequence[str], index: str, value: str, out: str, width: int = 65_536
 ) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from passtrail.operators.packing import SYSTEM_PROMPT
 
 # Patterns, marker words and output texts below are fixed values, as in the operators.
 
@@ -318,7 +317,7 @@ ORACLES: dict[str, str] = {
           sha256 as ir_sha256, parent_sha256, false as truncated, {_DIALECTS.format('body')} as dialects_present,
           cast(null as varchar) as source_sha256, run_timestamp, '2024-01-01T00:00:00Z' as corpus_ingest_utc
         from ranked where rn = 1""",
-    "compression_report": f"""with {_DOC}, t as (select cast(sum(strlen({_CAP})) as bigint) as text_bytes from doc),
+    "compression_report": """with t as (select cast(coalesce(sum(strlen(text)), 0) as bigint) as text_bytes from documents),
         f as (select cast(coalesce(sum(strlen(html)), 0) as bigint) as disk_bytes from pages)
         select text_bytes, disk_bytes, case when disk_bytes > 0 then text_bytes / disk_bytes end as ratio from t, f""",
     "ir_hash_dedup": f"""with {_DOC}, d as (select *, sha256(text) as ir_sha256 from doc),
@@ -451,6 +450,10 @@ ORACLES: dict[str, str] = {
           cast(end_line - start_line + 1 as integer) as n_lines,
           sha256(array_to_string(lines[start_line + 1:end_line + 1], chr(10))) as body_sha256
         from func f join whole w on w.pass_index = f.pass_index""",
+    "functions_in_blocks": f"""with {_FUNCTIONS} select d.pass_index, ordinal, signature, is_user, priority,
+          cast(end_line - start_line + 1 as integer) as n_lines,
+          sha256(array_to_string(lines[start_line + 1:end_line + 1], chr(10))) as body_sha256
+        from described d join whole w on w.pass_index = d.pass_index""",
     "user_functions": f"""with {_FUNCTIONS} select pass_index, ordinal, priority, signature,
         cast(end_line - start_line + 1 as integer) as n_lines from described where is_user""",
     "snapshot_summary": f"""with {_FUNCTIONS} select w.benchmark_name, w.pass_name, w.pass_index,
@@ -461,7 +464,12 @@ ORACLES: dict[str, str] = {
         cast(length(signal) as integer) as signal_chars from packed""",
     "pack_signal_tight": f"with {_packed(24)} select pass_index, n_user, n_total, signal from packed",
     "prompts": f"""with {_packed(200)} select benchmark_name, pass_name, pass_index, n_user, n_total,
-          'system' as first_role, sha256('{SYSTEM_PROMPT.replace("'", "''")}') as system_sha256, 'user' as second_role,
+          'system' as first_role, sha256('You are a compiler engineer fluent in MLIR and Python. '
+            || 'You are given the SIGNAL portion of an MLIR module (ClangIR/LLVM dialects) produced by lowering a CUDA/C++ program. '
+            || 'Library boilerplate has been stripped; what remains is the user''s own functions (main, CUDA kernel stubs, helpers). '
+            || 'Write a short, readable Python program that performs the same high-level computation. '
+            || 'Focus on observable behavior, not literal op-by-op translation. '
+            || 'Output only a Python code block and one or two sentences of explanation.') as system_sha256, 'user' as second_role,
           sha256('Benchmark: ' || benchmark_name || chr(10) || 'Pass stage: ' || pass_name || ' (index ' || pass_index || ')'
             || chr(10) || 'Kept ' || n_user || ' user functions out of ' || n_total || ' total in the module.' || chr(10)
             || chr(10) || 'MLIR (signal only):' || chr(10) || '```mlir' || chr(10) || signal || chr(10) || '```' || chr(10)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from passtrail.functions import batch as bx
 from passtrail.functions import ir
 from passtrail.functions import text as tx
-from passtrail.operators import batch, chain, packing, reports, scale, segments, spans, validity
+from passtrail.operators import batch, block_spans, chain, packing, reports, scale, segments, spans, validity
 from passtrail.operators import corpus as cp
 from passtrail.plans import flows, views
 from passtrail.sinks.tables import to_manifests
@@ -284,7 +284,7 @@ def planned_partitions(spark, base):
 def compression_report(spark, base):
     """Text bytes of the documents against a listing of files, for which the pages stand in."""
     files = views.pages(spark, base).select(F.octet_length("html").cast("long").alias("length"))
-    return reports.compression_report(_all_documents(spark, base), files)
+    return reports.compression_report(views.documents(spark, base).select(F.col("text").alias("ir_text")), files)
 
 
 def _page_dialects(spark, base):
@@ -502,6 +502,15 @@ def functions(spark, base):
     )
 
 
+@query
+def functions_in_blocks(spark, base):
+    """The functions of modules that come in blocks."""
+    found = block_spans.functions_in_blocks(views.module_blocks(spark, base), ["pass_index"])
+    return found.select(
+        "pass_index", "ordinal", "signature", "is_user", "priority", "n_lines", tx.sha256_hex(F.col("body")).alias("body_sha256")
+    )
+
+
 @query
 def user_functions(spark, base):
     return spans.user_functions(views.modules(spark, base)).select(

@@ -78,17 +78,16 @@ def document_snapshots(spark: SparkSession, base: str) -> DataFrame:
 def modules(spark: SparkSession, base: str) -> DataFrame:
     """One module text per document: each word becomes a line, a function header or a brace, by its length and ends."""
     line = r"""
-      case length(w) % 10
-        when 8 then
+      case when length(w) % 10 between 1 and 5 then '  ' || w
+        when length(w) % 10 = 6 then '  }'
+        when length(w) % 10 = 7 then '}'
+        when length(w) % 10 = 8 then
           case when left(w, 1) in ('e', 't') then 'cir.func @main_' when left(w, 1) in ('s', 'd') then 'llvm.func @_ZSt3'
                when left(w, 1) in ('a', 'é') then '  cir.func @kernel_'
                when left(w, 1) in ('i', 'o') then 'llvm.func private @cudaLaunch_' else 'cir.func @helper_' end
           || w || case when right(w, 1) in ('n', 'e', 't', 'r') then ' {' else '()' end
-        when 9 then '  scf.if ' || w || ' {'
-        when 7 then '}'
-        when 6 then '  }'
-        when 0 then ''
-        else '  ' || w end
+        when length(w) % 10 = 9 then '  scf.if ' || w || ' {'
+        else '' end
     """
     return documents(spark, base).selectExpr(
         "source as benchmark_name",
@@ -98,6 +97,12 @@ def modules(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def module_blocks(spark: SparkSession, base: str) -> DataFrame:
+    """The modules in blocks of whole lines, cut before some of the nested braces, so that many functions cross blocks."""
+    cut = r"posexplode(split(ir_text, '(?<=\\n)(?=  (?:scf|op|[a-e]))')) as (block, text)"
+    return modules(spark, base).selectExpr("pass_index", cut)
+
+
 def batch(spark: SparkSession, base: str) -> DataFrame:
     """One attempted benchmark per event, with every kind of exit code and raw errors that need cleaning."""
     return table(spark, base, "events").selectExpr(
