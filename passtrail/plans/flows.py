@@ -21,28 +21,38 @@ def ingest_stamp(now: datetime | None = None) -> str:
     return (now or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def capture(spark: SparkSession, root: str, large_files: bool = False) -> DataFrame:
+def capture(spark: SparkSession, root: str, large_files: bool = False, cap_bytes: int | None = None) -> DataFrame:
     """Dump streams below ``root`` to snapshots with bodies.
 
-    Whole-file reading needs no shuffle before validity is attached. ``large_files`` reads streams beyond 2 GB in blocks.
+    Whole-file reading needs no shuffle before validity is attached. ``large_files`` reads streams beyond 2 GB in blocks; there
+    ``cap_bytes`` bounds what is kept of a body, as a body of more than 2 GB is no value.
     """
     if not large_files:
         return segments.segment_streams(streams.read_streams(spark, root))
-    parts = segments.measure(segments.segment_blocks(streams.read_stream_blocks(spark, root)))
+    parts = segments.segment_blocks(streams.read_stream_blocks(spark, root), cap_bytes=cap_bytes)
     # The bodies travel with the chain, in groups of 64; a narrow chain would have to be joined to bodies cut again.
     return segments.hash_chain(parts, width=64)
 
 
-def run_manifests(spark: SparkSession, root: str, sources: DataFrame | None = None) -> DataFrame:
+def run_manifests(spark: SparkSession, root: str, sources: DataFrame | None = None, large_files: bool = False) -> DataFrame:
     """The manifest documents of all dump streams below ``root``, with the outcomes of their round-trip logs.
 
-    Snapshot rows without bodies are stored once, as the documents, their totals and the annotation use them.
+    Snapshot rows without bodies are stored once, as the documents, their totals and the annotation use them. Whole files are read
+    once, for snapshots and provenance; ``large_files`` folds the blocks of a stream instead, and no value holds a stream or a body.
     ``sources``, if given, has (run_id, source, source_text).
     """
     outcomes = validity.roundtrip_outcomes(streams.read_run_lines(spark, root, "roundtrip.log"))
-    rows = scale.settle(validity.annotate_roundtrip(capture(spark, root).drop("body"), outcomes))
-    heads = segments.run_provenance(streams.read_streams(spark, root), sources)
-    return sinks.to_manifests(rows, heads)
+    if large_files:
+        blocks = streams.read_stream_blocks(spark, root)
+        found = segments.segment_blocks(blocks, cap_bytes=0).drop("body")
+        snapshots = segments.hash_chain(found)
+        heads = segments.block_provenance(blocks, sources)
+    else:
+        seen = scale.settle(segments.narrow_streams(streams.read_streams(spark, root)))
+        snapshots = seen.select("run_id", F.inline("snapshots"))
+        count = F.size("snapshots").alias("snapshot_count")
+        heads = segments.with_sources(seen.select("run_id", "stream_file", "stream_sha256", count), sources)
+    return sinks.to_manifests(scale.settle(validity.annotate_roundtrip(snapshots, outcomes)), heads)
 
 
 def candidates(spark: SparkSession, root: str) -> DataFrame:

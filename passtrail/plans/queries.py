@@ -93,7 +93,8 @@ def run_dir_parse(spark, base):
 
 @query
 def segment_stream(spark, base):
-    return segments.segment_blocks(views.stream_blocks(spark, base))
+    found = segments.segment_blocks(views.stream_blocks(spark, base))
+    return found.select("run_id", "index", "pass_class", "pass_name", "body")
 
 
 @query

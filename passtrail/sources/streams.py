@@ -55,7 +55,7 @@ def stream_records(spark: SparkSession, root: str, name_glob: str = "snapshot-st
 def read_stream_blocks(
     spark: SparkSession, root: str, name_glob: str = "snapshot-stream.txt", depth: int = 1
 ) -> DataFrame:
-    """(run_id, block, text): dump streams cut into numbered blocks of whole lines, however large a file is.
+    """(run_id, block, text, stream_file): dump streams cut into numbered blocks of whole lines, however large a file is.
 
     A block's number is its file split's offset and its place in the split. Both depend on how the scan was planned, so the records
     are stored with them once, where they were read; every later use sees the same numbers. ``segment_blocks`` puts the pieces
@@ -75,6 +75,8 @@ def read_stream_blocks(
         # A split has fewer records than bytes, so offset plus place is unique and ordered within a file.
         (F.col("split") + F.col("nth")).alias("block"),
         tx.decode_text(text.cast("binary")).alias("text"),
+        # Spelled as the whole-file source spells it.
+        F.regexp_replace("file", r"\Afile:///", "file:/").alias("stream_file"),
     )
 
 

@@ -227,6 +227,16 @@ def test_capture_and_manifests(spark, tmp_path):
     blocks = flows.capture(spark, str(tmp_path), large_files=True)
     columns = ["run_id", "index", "pass_name", "filename", "sha256", "parent_sha256", "bytes", "lines", "body"]
     assert sorted(whole.select(*columns).collect()) == sorted(blocks.select(*columns).collect())
+    sources = spark.createDataFrame([("x-20240101-000000", "main.cu", "int x;")], "run_id string, source string, source_text string")
+    documents = [
+        sorted((r.run_id, r.manifest_part, r.manifest) for r in flows.run_manifests(spark, str(tmp_path), sources, large_files=large).collect())
+        for large in (False, True)
+    ]
+    assert documents[0] == documents[1] and len(documents[0]) == 2
+    head = json.loads(documents[0][0][2])
+    stream = (tmp_path / "x-20240101-000000" / "snapshot-stream.txt").read_text()
+    assert (head["stream_sha256"], head["snapshot_count"]) == (hashlib.sha256(stream.encode()).hexdigest(), 2)
+    assert head["stream_file"].endswith("/x-20240101-000000/snapshot-stream.txt") and head["source"] == "main.cu"
     out = str(tmp_path / "bodies")
     sinks.write_snapshot_files(whole, out)
     file = glob.glob(f"{out}/run_id=x-20240101-000000/filename=00_a.mlir/*.txt")

@@ -78,6 +78,37 @@ def test_blocks_give_the_same_snapshots(spark):
         assert got.get(run, []) == expected_snapshots(stream), repr(stream)
 
 
+def test_bodies_in_blocks_are_folded(spark):
+    """Sizes and hashes are of whole bodies, whatever is kept of them, and blank pieces at the end of a body are not part of it."""
+    rng = random.Random(21)
+    blocks, want = [], {}
+    for run in range(60):
+        lines, number = random_stream(rng).splitlines(keepends=True) + [" \n", "\u2028"] * rng.randrange(4), 0
+        want[run] = expected_snapshots("".join(lines))
+        for line in lines:
+            blocks.append((run, number, line))
+            number += 1
+    frame = spark.createDataFrame(blocks, "run_id int, block long, text string").repartition(3)
+    for cap in (None, 0, 5):
+        got = {}
+        for r in segments.segment_blocks(frame, cap_bytes=cap).orderBy("run_id", "index").collect():
+            got.setdefault(r.run_id, []).append((r.pass_class, r.pass_name, r.bytes, r.lines, r.sha256, r.body))
+        for run, found in want.items():
+            expected = []
+            for c, p, body in found:
+                data = body.encode()
+                kept = data if cap is None else data[:cap].decode(errors="ignore").encode()
+                expected.append((c, p, len(data), body.count("\n"), hashlib.sha256(data).hexdigest(), kept.decode()))
+            assert got.get(run, []) == expected, (run, cap)
+
+
+def test_one_shuffle_of_texts(spark):
+    frame = spark.createDataFrame([(1, 0, LINES[0] + "\nx\n")], "run_id int, block long, text string")
+    plan = segments.segment_blocks(frame)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(run_id" in line and "index" in line]
+    assert len(shuffles) == 1 and "collect_list" not in plan
+
+
 def test_no_snapshot_is_lost_when_the_scan_is_planned_anew(spark, tmp_path):
     folder = tmp_path / "run"
     folder.mkdir()
