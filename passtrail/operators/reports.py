@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,13 +13,27 @@ def dedup_report(candidates: DataFrame) -> DataFrame:
     ).withColumn("duplicates_dropped", F.col("candidates") - F.col("unique_snapshots"))
 
 
-def size_report(corpus: DataFrame) -> DataFrame:
-    return corpus.agg(
+def size_metrics(kept_bytes: Column) -> list[Column]:
+    """The aggregates of ``size_report``, also to be observed while rows are written."""
+    return [
         F.count("*").alias("n_rows"),
         F.count_if("truncated").alias("truncated_rows"),
         F.coalesce(F.sum("ir_bytes"), F.lit(0)).alias("bytes_before"),
-        F.coalesce(F.sum(F.octet_length("ir_text").cast("long")), F.lit(0)).alias("bytes_after"),
-    )
+        F.coalesce(F.sum(kept_bytes), F.lit(0)).alias("bytes_after"),
+    ]
+
+
+def text_bytes() -> Column:
+    return F.octet_length("ir_text").cast("long")
+
+
+def size_report(corpus: DataFrame) -> DataFrame:
+    return corpus.agg(*size_metrics(text_bytes()))
+
+
+def report_facts(corpus: DataFrame) -> DataFrame:
+    """What reports need of corpus rows: no text, but the bytes that are kept of it."""
+    return corpus.select("benchmark_name", "ir_bytes", "truncated", "dialects_present", text_bytes().alias("kept_bytes"))
 
 
 def dialect_counts(corpus: DataFrame) -> DataFrame:

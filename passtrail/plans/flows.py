@@ -6,12 +6,13 @@ import functools
 import operator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from passtrail.functions import batch as bx
 from passtrail.operators import batch, chain, packing, reports, scale, segments, validity
 from passtrail.operators import corpus as cp
+from passtrail.operators.stores import stored
 from passtrail.sinks import tables as sinks
 from passtrail.sources import runs, streams, tables
 
@@ -112,13 +113,14 @@ def corpus_from_snapshots(
     return cp.corpus_rows(rows.withColumns(cp.text_columns("body", cap_bytes)), ingest_utc, source_lang)
 
 
-def corpus_reports(corpus: DataFrame) -> dict[str, DataFrame]:
+def corpus_reports(facts: DataFrame, sizes: DataFrame) -> dict[str, DataFrame]:
+    """Reports of narrow corpus rows; ``sizes`` is known already."""
     return {
-        "sizes": reports.size_report(corpus),
-        "distinct_dialects": reports.distinct_dialects(corpus),
-        "dialects": reports.dialect_frequency(corpus),
-        "partitions": reports.partition_report(corpus),
-        "planned_partitions": reports.planned_partitions(corpus),
+        "sizes": sizes,
+        "distinct_dialects": reports.distinct_dialects(facts),
+        "dialects": reports.dialect_frequency(facts),
+        "partitions": reports.partition_report(facts),
+        "planned_partitions": reports.planned_partitions(facts),
     }
 
 
@@ -133,19 +135,28 @@ def build_corpus(
 ) -> dict[str, DataFrame]:
     """Aggregate a run tree into the corpus at ``out`` and return its reports as lazy DataFrames.
 
-    The reports of a written corpus read the written table, so that no text is fetched twice; those of a dry run are
-    computed from the run tree. A run tree without a valid snapshot is an error.
+    Each text is read once. A dry run stores narrow facts of the rows, from which all reports come. A write observes its sizes as it
+    goes; the other reports read narrow columns of the written table, of this job's benchmarks and stamp alone. A run tree without
+    a valid snapshot is an error.
     """
     stamp = ingest_utc or ingest_stamp()
     found = scale.settle(candidates(spark, root))
     if found.isEmpty():
         raise ValueError(f"no snapshots to write below {root}")
     rows = corpus_from_runs(spark, root, stamp, source_lang, cap_bytes, found=found)
-    if not dry_run:
-        sinks.write_corpus(rows, out)
-        # Benchmarks of earlier jobs keep their partitions; they are not part of this job's reports.
-        rows = tables.read_corpus(spark, out).filter(F.col("corpus_ingest_utc") == stamp)
-    return {"dedup": reports.dedup_report(found), **corpus_reports(rows)}
+    if dry_run:
+        facts = stored(reports.report_facts(rows), "corpus-facts")
+        sizes = facts.agg(*reports.size_metrics(F.col("kept_bytes")))
+    else:
+        seen = Observation()
+        sinks.write_corpus(rows, out, sizes=seen)
+        kind = "n_rows long, truncated_rows long, bytes_before long, bytes_after long"
+        sizes = spark.createDataFrame([tuple(seen.get[c.split()[0]] for c in kind.split(", "))], kind)
+        # Benchmarks of earlier jobs keep their partitions, also those of a job with this stamp.
+        mine = found.select("benchmark_name").distinct()
+        written = tables.read_corpus(spark, out).filter(F.col("corpus_ingest_utc") == stamp)
+        facts = written.select("benchmark_name", "ir_bytes", "truncated", "dialects_present").join(mine, "benchmark_name", "left_semi")
+    return {"dedup": reports.dedup_report(found), **corpus_reports(facts, sizes)}
 
 
 def prompt_rows(

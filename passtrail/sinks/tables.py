@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from passtrail.operators.reports import size_metrics, text_bytes
+
 MANIFEST_PART = 10_000
 
 
-def write_corpus(corpus: DataFrame, path: str, rows_per_group: int = 512) -> None:
+def write_corpus(corpus: DataFrame, path: str, rows_per_group: int = 512, sizes: Observation | None = None) -> None:
     """Hive partitions by benchmark, Zstandard level 3, rows in pass order; only touched partitions are replaced.
 
     Rebalancing sends a benchmark to one task, and so to one file, unless it is so large that the adaptive plan splits
-    it; a hot benchmark then has several files and no task holds all of it.
+    it; a hot benchmark then has several files and no task holds all of it. ``sizes`` observes the rows in the tasks that write them,
+    whose metrics count once, also if a task is repeated.
     """
+    rows = corpus.hint("rebalance", "benchmark_name")
+    if sizes is not None:
+        rows = rows.observe(sizes, *size_metrics(text_bytes()))
     (
-        corpus.hint("rebalance", "benchmark_name")
-        .sortWithinPartitions("benchmark_name", "pass_index")
+        rows.sortWithinPartitions("benchmark_name", "pass_index")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
