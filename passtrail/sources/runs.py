@@ -87,8 +87,13 @@ def decode_manifests(documents: DataFrame, raw: str = "raw") -> DataFrame:
 
 def read_manifest_documents(spark: SparkSession, root: str) -> DataFrame:
     """One row per ``<run>/snapshots/manifest*.json``, decoded. A large run may have its manifest in parts."""
+    return manifest_documents(_in_snapshot_folders(spark, root, "manifest*.json"))
+
+
+def manifest_documents(files: DataFrame) -> DataFrame:
+    """Manifest files (path, content), decoded; files that are not a run's manifest are left out."""
     path = F.col("path")
-    files = _in_snapshot_folders(spark, root, "manifest*.json").select(
+    files = files.select(
         path,
         F.regexp_extract(path, r"\A(.*)/[^/]*\z", 1).alias("snapshot_dir"),
         run_dir_of(path, 1).alias("_inner"),
@@ -103,7 +108,10 @@ def read_manifest_documents(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
-    documents = read_manifest_documents(spark, root).filter("manifest is not null")
+    return of_documents(read_manifest_documents(spark, root).filter("manifest is not null"))
+
+
+def of_documents(documents: DataFrame) -> DataFrame:
     return documents.select(
         "run_dir", "benchmark_name", "run_timestamp", "snapshot_dir", "manifest_part", "source_sha256",
         F.col("manifest.snapshots").alias("snapshots"),

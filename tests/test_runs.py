@@ -159,6 +159,22 @@ def test_write_read_and_rewrite(spark, tree, tmp_path):
     assert left == set(EXPECTED) - {("beta", "a")}
 
 
+def test_reports_are_of_this_job_and_read_no_text(spark, tree, tmp_path):
+    out = str(tmp_path / "corpus")
+    first = flows.build_corpus(spark, tree, out, ingest_utc=STAMP)
+    dry = flows.build_corpus(spark, tree, str(tmp_path / "none"), dry_run=True, ingest_utc=STAMP)
+    for found in (first, dry):
+        for name, report in found.items():
+            assert "ir_text" not in report._jdf.queryExecution().executedPlan().toString(), name
+    assert {n: r.collect() for n, r in first.items()} == {n: r.collect() for n, r in dry.items()}
+    # A later job with the same stamp that sees one benchmark only: the others keep their partitions, but are not reported.
+    write_run(tmp_path / "later", "beta-20250101-000000", [element(0, "z", "ok")], {"z": "new text"})
+    again = flows.build_corpus(spark, str(tmp_path / "later"), out, ingest_utc=STAMP)
+    assert [(r.benchmark_name, r.n_rows) for r in again["partitions"].collect()] == [("beta", 1)]
+    assert again["sizes"].first().n_rows == 1 and again["planned_partitions"].first().partitions == 1
+    assert tables.read_corpus(spark, out).count() == len(EXPECTED) - 2 + 1
+
+
 def test_dry_run_and_empty_input(spark, tree, tmp_path):
     found = flows.build_corpus(spark, tree, str(tmp_path / "none"), dry_run=True)
     assert found["planned_partitions"].first().partitions == len({b for b, _ in EXPECTED})
