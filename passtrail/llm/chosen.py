@@ -15,8 +15,9 @@ What is compared, and how it stays bounded:
   similarity 0.8 have fewer in common than asked for once in 10^7 cases. Only members that may be linked go on, in the groups that such
   pairs form, and these are verified on the whole sets in one task. A group yields links that connect its components, not all pairs, and
   pairs that are connected already are not looked at. Groups of more than ``CELL_SHINGLES`` shingles are cut into slices that meet in pairs.
-* Large nodes branch on. Before that, all members are compared with one of them in the same two steps, in cells of bounded size, so that
-  a large group of near copies becomes one component at once. Nodes whose members are all of one component are done.
+* Large nodes branch on. In the first trees, all members are compared with one of them in the same two steps, in cells of bounded size, so that
+  a large group of near copies becomes one component at once. Nodes whose members are all of one component are done, and where few
+  members are outside of the largest component, these are compared with slices of it and the node is done as well.
 * Nodes that are still large at the last level are cut into slices that meet in pairs, where the same comparison follows: nothing is
   capped.
 
@@ -42,7 +43,7 @@ TOKENS = 64
 BITS = 1024
 #: Trees that are searched at depth 1 before all others, all trees, and how deep they go.
 FIRST, TREES = 2, 10
-LEVELS = 6
+LEVELS = 3
 #: Members of a node that is compared at once, and shingles of a group that is verified at once.
 SMALL = 1024
 CELL_SHINGLES = 4 << 20
@@ -323,6 +324,31 @@ def cells_of_stars(members: DataFrame, classes: DataFrame, similarity: tuple[int
     return dealt.select("cell", "node", F.lit(0).alias("role")).union(pivots)
 
 
+def lopsided(members: DataFrame, small: int) -> DataFrame:
+    """Members of large nodes with ``most``, the node's largest component, ``share``, its members, and ``rest``, the others' number."""
+    by_comp = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("share"))
+    largest = by_comp.groupBy("key").agg(F.max(F.struct("share", "comp")).alias("m"), F.sum("share").alias("all"))
+    facts_of = largest.select("key", F.col("m.comp").alias("most"), F.col("m.share").alias("share"), (F.col("all") - F.col("m.share")).alias("rest"))
+    facts_of = stored(facts_of, "paths-largest")
+    if fits_broadcast(facts_of):
+        told = members.join(F.broadcast(facts_of), "key")
+    else:
+        told = common.tell_groups(members, ["key"], facts_of, F.col("node"))
+    return stored(told.withColumn("aside", F.col("rest") <= small), "paths-large")
+
+
+def cells_of_rests(members: DataFrame, small: int) -> DataFrame:
+    """The few members outside of the largest component of a node: with one another, and with each slice of that component."""
+    outside = F.col("comp") != F.col("most")
+    slices = F.ceil(F.col("share") / small).cast("int")
+    mine = F.array(F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
+    dealt = members.withColumn("slices", slices).withColumn("lo", F.explode(F.when(outside, F.sequence(F.lit(-1), F.col("slices") - 1)).otherwise(mine)))
+    # Where ``lo`` is -1 all of them meet; elsewhere they meet a slice.
+    hi = F.when(F.col("lo") < 0, F.col("lo")).otherwise(F.col("slices"))
+    role = (outside & (F.col("lo") >= 0)).cast("int")
+    return dealt.select("key", "lo", hi.alias("hi"), role.alias("role"), "node", "comp", "n")
+
+
 def cells_of_slices(members: DataFrame, small: int) -> DataFrame:
     """Members of nodes that stay large, dealt into slices that meet in pairs."""
     slices = F.ceil(2 * F.col("members") / small).cast("int")
@@ -354,7 +380,7 @@ def verified(cells: DataFrame, classes: DataFrame, docs: DataFrame, labels: Data
             yield pa.record_batch([part.column("node"), pa.array(data, pa.binary())], names=["node", "set"])
 
     read = common.null_safe_join(docs, wanted, ["id", "mark"]).select("node", "_text")
-    known = stored(read.mapInArrow(shingled, "node bigint, set binary").dropDuplicates(["node"]), "paths-sets")
+    known = read.mapInArrow(shingled, "node bigint, set binary").dropDuplicates(["node"])
     facts_of = labels.join(known, "node").join(classes.select("node", "sketch"), "node")
     rows = cells.join(facts_of, "node").select("cell", "role", "node", "comp", "sketch", "set")
 
@@ -373,6 +399,7 @@ def _linked(columns: list[np.ndarray], similarity: tuple[int, int]) -> Iterator[
     sets = [np.frombuffer(s, np.uint64) for s in sets.tolist()]
     sketches = Sketches(np.array([len(s) for s in sets]), sketch, similarity)
     joined, two_sided = Sets(comp), bool(role.any())
+    begun = np.unique(joined.roots())
     for i in range(len(node)):
         if two_sided and not role[i]:
             continue
@@ -382,7 +409,10 @@ def _linked(columns: list[np.ndarray], similarity: tuple[int, int]) -> Iterator[
         for j in others[sketches.may_link(i, others)].tolist():
             if joined.root(i) != joined.root(j) and similar(sets[i], sets[j], similarity):
                 joined.join(i, j)
-                yield int(node[i]), int(node[j])
+    # All links of a component go to one member, so that labels need few rounds to get everywhere.
+    for i in begun.tolist():
+        if joined.root(i) != i:
+            yield int(node[i]), int(node[joined.root(i)])
 
 
 # --------------------------------------------------------------------------------------------------------------- the join
@@ -423,13 +453,18 @@ def components(
         rows = branch(classes.join(labels, "node"), 0, number)
         for level in range(1, deepest + 1):
             met = _met(rows, small, heavy)
-            few, many = met.filter("not large"), met.filter("large")
-            whole = few.select("key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("role"), "node", "comp", "n")
+            whole = met.filter("not large").select("key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("role"), "node", "comp", "n")
+            many = met.filter("large")
             last = many.isEmpty()
+            if not last:
+                many = lopsided(many, small)
+                whole = whole.union(cells_of_rests(many.filter("aside"), small))
+                many = many.filter("not aside")
+                last = many.isEmpty()
             if not last and level == levels:
                 whole = whole.union(cells_of_slices(many, small))
             cells = cells_of_nodes(whole, classes, similarity, heavy)
-            if not last and level < levels:
+            if not last and deepest == 1 < levels:
                 cells = cells.union(cells_of_stars(many, classes, similarity, small, heavy))
             cells = stored(cells, "paths-cells")
             new = None if cells.isEmpty() else stored(verified(cells, classes, mine, labels, size, similarity), "paths-links")
