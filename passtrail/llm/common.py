@@ -56,6 +56,40 @@ def ordered_chunk(docs: DataFrame, key: str, chunks: int) -> Callable[[Column],
     return lambda column: chunk(column.cast("long"))
 
 
+def placed_chunk(docs: DataFrame, key: str, mark: str, chunks: int) -> Callable[[Column, Column], Column]:
+    """As ``ordered_chunk``, for rows that are ordered by an integer key, null first, and then by a 64-bit ``mark``.
+
+    A key with many rows, null included, takes as many chunks as its rows do, and the mark says which: the marks of equal
+    keys have to be hashes.
+    """
+    steps = 1024
+    ranks = [i / steps for i in range(steps + 1)]
+    number = F.col(key).cast("long")
+    row = docs.agg(F.percentile_approx(number, ranks, 20_000).alias("q"), F.count(number).alias("named"), F.count(F.lit(1)).alias("all")).first()
+    at = np.array(row["q"] or [0], dtype=np.float64)
+    up = np.linspace(0, 1, len(at)) if len(at) > 1 else np.zeros(1)
+    keys, first = np.unique(at, return_index=True)
+    last = len(at) - 1 - np.unique(at[::-1], return_index=True)[1]
+    unnamed = 1 - row["named"] / row["all"] if row["all"] else 0.0
+
+    @F.pandas_udf("long")
+    def chunk(numbers: pd.Series, marks: pd.Series) -> pd.Series:
+        values = numbers.to_numpy(dtype=np.float64, na_value=np.nan)
+        inside = (marks.to_numpy(dtype=np.float64) + 2.0**63) / 2.0**64
+        below = np.clip(np.searchsorted(keys, values, side="right") - 1, 0, len(keys) - 1)
+        above = np.minimum(below + 1, len(keys) - 1)
+        # A key that is a quantile has the ranks from its first to its last one, and a key between two has one between theirs.
+        begin, end = np.where(keys[below] == values, up[first][below], up[last][below]), np.where(keys[below] == values, up[last][below], up[first][above])
+        end = np.maximum(begin, end)
+        gap = np.where(keys[above] > keys[below], keys[above] - keys[below], 1.0)
+        share = np.where(keys[below] == values, inside, np.clip((values - keys[below]) / gap, 0, 1))
+        rank = np.where(values < keys[0], 0.0, begin + (end - begin) * share)
+        rank = np.where(np.isnan(values), unnamed * inside, unnamed + (1 - unnamed) * rank)
+        return pd.Series(np.minimum((rank * chunks).astype(np.int64), chunks - 1))
+
+    return lambda numbers, marks: chunk(numbers.cast("long"), marks)
+
+
 # ------------------------------------------------------------------------------------------------- word and window hashes
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

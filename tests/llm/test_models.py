@@ -9,9 +9,10 @@ import corpus
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
-from passtrail.llm import bpe, packing, toxicity, warc, winnow
+from passtrail.llm import bpe, common, packing, toxicity, warc, winnow
 from passtrail.operators.stores import new_folder
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -142,22 +143,62 @@ def test_levels_choose_the_smallest_sum_of_squares():
         assert [len(w) for w in levels.windows][1:size] == counts[1:size]
 
 
-def test_fingerprints(docs):
-    rows = sorted(corpus.rows(), key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
-    got = winnow.edits(docs, chunk_bytes=5_000).collect()
-    assert len(got) == len(rows)
-    unique = [k for k, r in enumerate(rows) if sum(o[0] == r[0] for o in rows) == 1]
-    by_id = {r.doc_id: r for r in got}
-    for k in unique:
-        following = rows[(k + 1) % len(rows)]
-        if sum(o[0] == following[0] for o in rows) > 1:
-            continue
-        text, after = rows[k][1] or "", following[1] or ""
+def winnowed(text, gram=winnow.GRAM, window=winnow.WINDOW):
+    """Window by window: the smallest hash, of equal ones the rightmost. A gram's hash is taken from a text that is that gram."""
+    if not text:
+        return []
+    grams = [text[k : k + gram] for k in range(max(1, len(text) - gram + 1))]
+    hashes = [int(winnow.chosen(g, gram, window)[0][0]) for g in grams]
+    kept = set()
+    for begin in range(max(1, len(hashes) - window + 1)):
+        places = range(begin, min(begin + window, len(hashes)))
+        least = min(hashes[k] for k in places)
+        kept.add(max(k for k in places if hashes[k] == least))
+    return [(hashes[k], k) for k in sorted(kept)]
+
+
+def mark(text):
+    value = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+@pytest.mark.parametrize("chunk_bytes, unnamed", [(5_000, 0), (4_000, 60), (8 << 20, 3)])
+def test_fingerprints(spark, chunk_bytes, unnamed):
+    rng = random.Random(7)
+    data = [r for r in corpus.rows() if len(r[1] or "") < 4000] + [(None, corpus.words(rng, 40), "en", 1, 1, "", "", 2, "") for _ in range(unnamed)]
+    rows = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, mark(r[1])), reverse=True)
+    known = {t: winnowed(t) for t in {r[1] or "" for r in rows}}
+    want = collections.Counter()
+    for k, row in enumerate(rows):
+        text, after = row[1] or "", rows[(k + 1) % len(rows)][1] or ""
         changed = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
-        prints = [winnow.packed(t) for t in (text, changed, after)]
-        r = by_id[rows[k][0]]
-        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(text), hashlib.sha256(changed.encode()).hexdigest(), *prints[:2])
-        assert (r.near_edited, r.near_next) == (winnow.likeness(prints[0], prints[1]), winnow.likeness(prints[0], prints[2]))
+        prints, other, following = known[text], winnowed(changed), known[after]
+        sets = [{h for h, _ in p} for p in (prints, other, following)]
+        near = [len(sets[0] & s) / len(sets[0] | s) if sets[0] | s else 1.0 for s in sets[1:]]
+        packed = ["".join(f"{h:08x}" for h, _ in p) for p in (prints, other)]
+        want[row[0], len(text), hashlib.sha256(changed.encode()).hexdigest(), *packed, *near, tuple(p for _, p in prints)] += 1
+    got = winnow.edits(corpus.frame(spark, data), chunk_bytes=chunk_bytes).collect()
+    assert collections.Counter((*tuple(r)[:7], tuple(r.positions)) for r in got) == want
+
+
+def test_kept_hashes_and_positions(spark):
+    texts = ["", None, "short", "a" * 50, "abcabcabc" * 9, "éü\U0001f642 mixed text " * 5]
+    docs = spark.createDataFrame([(k, t, "old", "x.y") for k, t in enumerate(texts)], "doc_id long, text string, prints string, `a.b` string")
+    got = winnow.fingerprints(docs, gram=4, window=5)
+    assert got.columns == ["doc_id", "text", "a.b", "prints"]
+    for r in got.collect():
+        assert [(p.hash, p.position) for p in r.prints] == winnowed(texts[r.doc_id] or "", 4, 5) and r["a.b"] == "x.y"
+
+
+def test_chunks_follow_the_order_and_split_hot_ids(spark):
+    rng = random.Random(3)
+    rows = [(None if k % 3 == 0 else 77 if k % 3 == 1 else rng.randrange(-1000, 1000), rng.getrandbits(64) - (1 << 63)) for k in range(6000)]
+    docs = spark.createDataFrame(rows, "id long, mark long").repartition(3)
+    deal = common.placed_chunk(docs, "id", "mark", 30)
+    got = sorted((r.id is not None, r.id or 0, r.mark, r.chunk) for r in docs.withColumn("chunk", deal(docs["id"], docs["mark"])).collect())
+    chunks = [g[3] for g in got]
+    sizes = collections.Counter(chunks)
+    assert chunks == sorted(chunks) and max(sizes.values()) < 500 and len(sizes) > 25
 
 
 def test_shared_passages_share_a_hash():
