@@ -5,7 +5,7 @@ functions the shingle that comes first. A tree of paths branches the documents.
 chosen by the node's own hash, in one of four nodes a second one, and documents with the same token go on to the same child. Two sets of
 similarity ``t`` agree in a token with probability ``t``, so at 0.8 they have 0.8 * 1.25 = 1 child in common on average, while others part
 quickly. Nodes that have become small are compared exhaustively. A tree misses some pairs; independent trees are repeated (``TREES``):
-a pair of similarity 0.8 that meets at depth 1, 2 or 4 is missed by ten trees about once in 10^7, 10^4 and 10^3 cases.
+a pair of similarity 0.8 that meets at depth 1, 2 or 3 is missed by all ten about once in 10^7, 4 * 10^5 and 3 * 10^4 cases.
 
 What is compared, and how it stays bounded:
 
@@ -18,8 +18,8 @@ What is compared, and how it stays bounded:
 * Large nodes branch on. In the first trees, all members are compared with one of them in the same two steps, in cells of bounded size, so that
   a large group of near copies becomes one component at once. Nodes whose members are all of one component are done, and where few
   members are outside of the largest component, these are compared with slices of it and the node is done as well.
-* Nodes that are still large at the last level are cut into slices that meet in pairs, where the same comparison follows: nothing is
-  capped.
+* Where the large nodes that are left can be cut into slices that meet in pairs with no more than ``COPIES`` rows for each class, that is
+  done, and the same comparison follows; so it is at the last level, whatever it takes: nothing is capped.
 
 The first trees are searched at depth 1 alone, which connects nearly all that is similar; after that all trees carry only what is still
 apart.
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passtrail.llm import common
@@ -43,7 +43,9 @@ TOKENS = 64
 BITS = 1024
 #: Trees that are searched at depth 1 before all others, all trees, and how deep they go.
 FIRST, TREES = 2, 10
-LEVELS = 3
+LEVELS = 5
+#: Rows that slices of large nodes may take for each class, so that another level is not worth its passes.
+COPIES = 4
 #: Members of a node that is compared at once, and shingles of a group that is verified at once.
 SMALL = 1024
 CELL_SHINGLES = 4 << 20
@@ -303,13 +305,16 @@ def _sliced(node: np.ndarray, n: np.ndarray, heavy: int) -> Iterator[tuple[int,
 def cells_of_stars(members: DataFrame, classes: DataFrame, similarity: tuple[int, int], small: int, heavy: int) -> DataFrame:
     """For each large node one member against all others that it may be linked to, in cells of bounded size."""
     first = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "comp")).alias("p"))
-    told = common.tell_groups(members, ["key"], first.select("key", F.col("p.node").alias("pivot"), F.col("p.comp").alias("with")), F.col("node"))
+    first = stored(first.select("key", F.col("p.node").alias("pivot"), F.col("p.comp").alias("with")), "paths-first")
+    few = fits_broadcast(first)
+    told = members.join(F.broadcast(first), "key") if few else common.tell_groups(members, ["key"], first, F.col("node"))
     asked = told.filter("comp <> with")
     slices = F.greatest(F.ceil(F.col("members") / small), F.ceil(2 * F.col("weight") / heavy)).cast("long")
     pairs = asked.groupBy("pivot", "node").agg(F.max(slices).alias("slices")).join(classes.select("node", "n", "sketch"), "node")
-    pivots = first.select(F.col("p.node").alias("node")).distinct().join(classes.select("node", "n", "sketch"), "node")
+    pivots = first.select(F.col("pivot").alias("node")).distinct().join(classes.select("node", "n", "sketch"), "node")
     pivots = stored(pivots.withColumnsRenamed({"node": "pivot", "n": "pivot_n", "sketch": "pivot_sketch"}), "paths-pivots")
-    both = common.tell_groups(pairs, ["pivot"], pivots, F.col("node"))
+    few = few and fits_broadcast(pivots)
+    both = pairs.join(F.broadcast(pivots), "pivot") if few else common.tell_groups(pairs, ["pivot"], pivots, F.col("node"))
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts):
@@ -349,10 +354,13 @@ def cells_of_rests(members: DataFrame, small: int) -> DataFrame:
     return dealt.select("key", "lo", hi.alias("hi"), role.alias("role"), "node", "comp", "n")
 
 
+def _slices(small: int) -> Column:
+    return F.ceil(2 * F.col("members") / small).cast("int")
+
+
 def cells_of_slices(members: DataFrame, small: int) -> DataFrame:
     """Members of nodes that stay large, dealt into slices that meet in pairs."""
-    slices = F.ceil(2 * F.col("members") / small).cast("int")
-    cut = members.withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
+    cut = members.withColumn("slices", _slices(small)).withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     meets = F.transform(
         F.sequence(F.lit(0), F.col("slices") - 1),
         lambda t: F.struct(F.least(t, F.col("slice")).alias("lo"), F.greatest(t, F.col("slice")).alias("hi")),
@@ -369,20 +377,20 @@ LINKS = "a bigint, b bigint"
 
 def verified(cells: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame, size: int, similarity: tuple[int, int]) -> DataFrame:
     """Links that connect what is similar in each cell, by the whole sets."""
-    wanted = classes.join(cells.select("node").distinct(), "node", "left_semi").select("node", "id", "mark")
-    wanted = stored(wanted, "paths-wanted")
+    wanted = classes.join(cells.select("node").distinct(), "node", "left_semi").select("node", "id", "mark", "sketch")
+    wanted = stored(wanted.join(labels, "node"), "paths-wanted")
     wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
 
     def shingled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts, 256):
             tokens, cuts = sets_of(common.octets(part.column("_text")), size)
             data = [tokens[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-            yield pa.record_batch([part.column("node"), pa.array(data, pa.binary())], names=["node", "set"])
+            known = [part.column(c) for c in ("node", "comp", "sketch")]
+            yield pa.record_batch([*known, pa.array(data, pa.binary())], names=["node", "comp", "sketch", "set"])
 
-    read = common.null_safe_join(docs, wanted, ["id", "mark"]).select("node", "_text")
-    known = read.mapInArrow(shingled, "node bigint, set binary").dropDuplicates(["node"])
-    facts_of = labels.join(known, "node").join(classes.select("node", "sketch"), "node")
-    rows = cells.join(facts_of, "node").select("cell", "role", "node", "comp", "sketch", "set")
+    read = common.null_safe_join(docs, wanted, ["id", "mark"]).select("node", "comp", "sketch", "_text")
+    known = read.mapInArrow(shingled, "node bigint, comp bigint, sketch binary, set binary").dropDuplicates(["node"])
+    rows = cells.join(known, "node").select("cell", "role", "node", "comp", "sketch", "set")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, begin, end in common.whole_groups(parts, 1):
@@ -418,10 +426,28 @@ def _linked(columns: list[np.ndarray], similarity: tuple[int, int]) -> Iterator[
 # --------------------------------------------------------------------------------------------------------------- the join
 
 
+def _roots(edges: DataFrame) -> DataFrame:
+    """``common.connected`` of edges (a, b), where labels that are measured to be few are broadcast in each round."""
+    both = stored(edges.union(edges.select("b", "a")).filter("a <> b").distinct(), "paths-edges")
+    first = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "paths-roots")
+    if not fits_broadcast(first):
+        return common.connected(both)
+    labels = first
+    while True:
+        near = both.join(F.broadcast(labels.withColumnsRenamed({"node": "b", "root": "near"})), "b").groupBy("a").agg(F.min("near").alias("near"))
+        lower = near.join(F.broadcast(labels.withColumnsRenamed({"node": "a", "root": "was"})), "a")
+        lower = lower.select(F.col("a").alias("node"), F.least("near", "was").alias("mid"), "was")
+        jump = labels.withColumnsRenamed({"node": "mid", "root": "far"})
+        after = stored(lower.join(F.broadcast(jump), "mid").select("node", F.least("mid", "far").alias("root"), "was"), "paths-roots")
+        if after.filter("root <> was").isEmpty():
+            return after.select("node", "root")
+        labels = after.select("node", "root")
+
+
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, comp) of all classes after further links; a component is named by a node in it, so links are taken to components."""
     ends = links.join(labels.withColumnsRenamed({"node": "a", "comp": "x"}), "a").join(labels.withColumnsRenamed({"node": "b", "comp": "y"}), "b")
-    roots = common.connected(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("node", "comp")
+    roots = _roots(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("node", "comp")
     roots = F.broadcast(roots) if fits_broadcast(roots) else roots
     return stored(labels.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "paths-labels")
 
@@ -448,6 +474,7 @@ def components(
     classes = found.filter("n > 0").groupBy("low", "high").agg(F.min(place).alias("at"), *[F.first(c).alias(c) for c in ("n", "tokens", "sketch")])
     classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "low", "high", "at.id", "at.mark", "n", "tokens", "sketch"), "paths-classes")
     labels = classes.select("node", F.col("node").alias("comp"))
+    most = COPIES * classes.count()
     # The first trees do not go deeper here: their large nodes come again with all trees.
     for number, deepest in ((first, 1), (trees, levels)):
         rows = branch(classes.join(labels, "node"), 0, number)
@@ -455,16 +482,17 @@ def components(
             met = _met(rows, small, heavy)
             whole = met.filter("not large").select("key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("role"), "node", "comp", "n")
             many = met.filter("large")
-            last = many.isEmpty()
-            if not last:
+            last, begins = many.isEmpty(), deepest == 1 < levels
+            if not last and not begins:
                 many = lopsided(many, small)
                 whole = whole.union(cells_of_rests(many.filter("aside"), small))
                 many = many.filter("not aside")
-                last = many.isEmpty()
-            if not last and level == levels:
-                whole = whole.union(cells_of_slices(many, small))
+                copies = many.agg(F.sum(_slices(small))).first()[0] or 0
+                last = not copies
+                if not last and (level == levels or copies <= most):
+                    whole, last = whole.union(cells_of_slices(many, small)), True
             cells = cells_of_nodes(whole, classes, similarity, heavy)
-            if not last and deepest == 1 < levels:
+            if not last and begins:
                 cells = cells.union(cells_of_stars(many, classes, similarity, small, heavy))
             cells = stored(cells, "paths-cells")
             new = None if cells.isEmpty() else stored(verified(cells, classes, mine, labels, size, similarity), "paths-links")
