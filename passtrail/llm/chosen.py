@@ -192,11 +192,12 @@ def _tokens(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TOKENS)
 
 
-ROWS = "key bigint, node bigint, comp bigint, n bigint"
+ROWS = "key bigint, node bigint, comp bigint, n bigint, sketch binary"
+_CARRIED = ["node", "comp", "n", "sketch"]
 
 
 def branch(rows: DataFrame, level: int, trees: int = 0) -> DataFrame:
-    """Rows (key, node, comp, n, tokens) to their children; at level 0 there is no key, and so many ``trees`` begin."""
+    """Rows (key, node, comp, n, sketch, tokens) to their children; at level 0 there is no key, and so many ``trees`` begin."""
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts):
@@ -213,9 +214,9 @@ def branch(rows: DataFrame, level: int, trees: int = 0) -> DataFrame:
                 for place, at in ((first, np.arange(len(chosen))), (second, some)):
                     keys = _keys(chosen[at], place[at], parent[at])
                     take = pa.array(at, pa.int64())
-                    yield pa.record_batch([pa.array(keys.view(np.int64)), *[part.column(c).take(take) for c in ("node", "comp", "n")]], names=["key", "node", "comp", "n"])
+                    yield pa.record_batch([pa.array(keys.view(np.int64)), *[part.column(c).take(take) for c in _CARRIED]], names=["key", *_CARRIED])
 
-    names = ["key"] * bool(level) + ["node", "comp", "n", "tokens"]
+    names = ["key"] * bool(level) + [*_CARRIED, "tokens"]
     return rows.select(*names).mapInArrow(of, ROWS)
 
 
@@ -236,13 +237,12 @@ CELLS = "cell bigint, node bigint, role int"
 _COMPARED = ["key", "lo", "hi", "role", "node", "comp", "n", "sketch"]
 
 
-def cells_of_nodes(members: DataFrame, classes: DataFrame, similarity: tuple[int, int], heavy: int) -> DataFrame:
-    """Groups to verify among members (key, lo, hi, role, node, comp, n): those that sizes and sketches may link, by such pairs.
+def cells_of_nodes(members: DataFrame, similarity: tuple[int, int], heavy: int) -> DataFrame:
+    """Groups to verify among members (key, lo, hi, role, node, comp, n, sketch): those that sizes and sketches may link, by such pairs.
 
     Where ``lo`` and ``hi`` differ, members of role 0 meet those of role 1. A group is named by its members, so that trees that come to the
     same group ask for it once.
     """
-    rows = members.join(classes.select("node", "sketch"), "node").select(*_COMPARED)
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, begin, end in common.whole_groups(parts, 3):
@@ -251,7 +251,7 @@ def cells_of_nodes(members: DataFrame, classes: DataFrame, similarity: tuple[int
                 out += _grouped([c[x:y] for c in columns], similarity, heavy)
             yield _cell_rows(out)
 
-    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
+    dealt = members.select(*_COMPARED).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "node")
     return dealt.mapInArrow(of, CELLS).distinct()
 
 
@@ -302,7 +302,7 @@ def _sliced(node: np.ndarray, n: np.ndarray, heavy: int) -> Iterator[tuple[int,
             yield _named(node[low], node[high]), np.concatenate([node[low], node[high]]), roles
 
 
-def cells_of_stars(members: DataFrame, classes: DataFrame, similarity: tuple[int, int], small: int, heavy: int) -> DataFrame:
+def cells_of_stars(members: DataFrame, similarity: tuple[int, int], small: int, heavy: int, classes: DataFrame) -> DataFrame:
     """For each large node one member against all others that it may be linked to, in cells of bounded size."""
     first = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "comp")).alias("p"))
     first = stored(first.select("key", F.col("p.node").alias("pivot"), F.col("p.comp").alias("with")), "paths-first")
@@ -351,7 +351,7 @@ def cells_of_rests(members: DataFrame, small: int) -> DataFrame:
     # Where ``lo`` is -1 all of them meet; elsewhere they meet a slice.
     hi = F.when(F.col("lo") < 0, F.col("lo")).otherwise(F.col("slices"))
     role = (outside & (F.col("lo") >= 0)).cast("int")
-    return dealt.select("key", "lo", hi.alias("hi"), role.alias("role"), "node", "comp", "n")
+    return dealt.select("key", "lo", hi.alias("hi"), role.alias("role"), *_CARRIED)
 
 
 def _slices(small: int) -> Column:
@@ -367,7 +367,7 @@ def cells_of_slices(members: DataFrame, small: int) -> DataFrame:
     )
     role = ((F.col("slice") == F.col("hi")) & (F.col("lo") < F.col("hi"))).cast("int")
     met = cut.withColumn("m", F.explode(meets)).select("*", "m.lo", "m.hi")
-    return met.select("key", "lo", "hi", role.alias("role"), "node", "comp", "n")
+    return met.select("key", "lo", "hi", role.alias("role"), *_CARRIED)
 
 
 # ----------------------------------------------------------------------------------------------------------- verification
@@ -390,7 +390,9 @@ def verified(cells: DataFrame, classes: DataFrame, docs: DataFrame, labels: Data
 
     read = common.null_safe_join(docs, wanted, ["id", "mark"]).select("node", "comp", "sketch", "_text")
     known = read.mapInArrow(shingled, "node bigint, comp bigint, sketch binary, set binary").dropDuplicates(["node"])
-    rows = cells.join(known, "node").select("cell", "role", "node", "comp", "sketch", "set")
+    # Cells that are measured to be narrow enough meet the sets where these are, so that sets move once.
+    cells = F.broadcast(cells) if fits_broadcast(cells) else cells
+    rows = known.join(cells, "node").select("cell", "role", "node", "comp", "sketch", "set")
 
     def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns, begin, end in common.whole_groups(parts, 1):
@@ -480,7 +482,7 @@ def components(
         rows = branch(classes.join(labels, "node"), 0, number)
         for level in range(1, deepest + 1):
             met = _met(rows, small, heavy)
-            whole = met.filter("not large").select("key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("role"), "node", "comp", "n")
+            whole = met.filter("not large").select("key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(0).alias("role"), *_CARRIED)
             many = met.filter("large")
             last, begins = many.isEmpty(), deepest == 1 < levels
             if not last and not begins:
@@ -491,16 +493,16 @@ def components(
                 last = not copies
                 if not last and (level == levels or copies <= most):
                     whole, last = whole.union(cells_of_slices(many, small)), True
-            cells = cells_of_nodes(whole, classes, similarity, heavy)
+            cells = cells_of_nodes(whole, similarity, heavy)
             if not last and begins:
-                cells = cells.union(cells_of_stars(many, classes, similarity, small, heavy))
+                cells = cells.union(cells_of_stars(many, similarity, small, heavy, classes))
             cells = stored(cells, "paths-cells")
             new = None if cells.isEmpty() else stored(verified(cells, classes, mine, labels, size, similarity), "paths-links")
             if new is not None and not new.isEmpty():
                 labels = _relabelled(labels, new)
             if last or level == deepest:
                 break
-            open_rows = many.select("key", "node", "n").join(labels, "node").join(classes.select("node", "tokens"), "node")
+            open_rows = many.select("key", "node").join(labels, "node").join(classes.select("node", "n", "sketch", "tokens"), "node")
             rows = branch(open_rows, level)
     least = classes.join(labels, "node").groupBy("comp").agg(F.min("id").alias("component_id"))
     of_class = labels.join(least, "comp").join(classes.select("node", "low", "high"), "node").select("low", "high", "component_id")
