@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from passtrail.operators.reports import size_metrics, text_bytes
+from passtrail.operators.stores import stored
 
 MANIFEST_PART = 10_000
 
@@ -27,6 +28,8 @@ def write_corpus(corpus: DataFrame, path: str, rows_per_group: int = 512, sizes:
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", "3")
         .option("parquet.block.row.count.limit", str(rows_per_group))
+        # A lookup of a pass over all benchmarks skips row groups without it; a group has at most so many passes.
+        .options(**_bloom("pass_name", rows_per_group))
         .partitionBy("benchmark_name")
         .parquet(path)
     )
@@ -100,11 +103,56 @@ def write_snapshot_files(snapshots: DataFrame, path: str, run: str = "run_id") -
     )
 
 
+#: Folders of an error table; a run's rows are in the one that its hash names.
+ERROR_BUCKETS = 64
+
+
+def error_bucket(run: Column, buckets: int = ERROR_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(run.cast("string")), F.lit(buckets)).cast("int")
+
+
 def write_error_tables(
-    diagnostics: DataFrame, outcomes: DataFrame, path: str, run: str = "run_id"
+    diagnostics: DataFrame, outcomes: DataFrame, path: str, run: str = "run_id", buckets: int = ERROR_BUCKETS
 ) -> None:
-    """Diagnostics and round-trip outcomes, partitioned by run."""
+    """Diagnostics and round-trip outcomes in a bounded number of folders, sorted by run and with bloom filters on it.
+
+    Runs that are written again replace their rows; those of other runs in the same folders are written back. Only folders of
+    the runs at hand are read and replaced. Starts jobs.
+    """
     for name, rows in (("diagnostics", diagnostics), ("roundtrip", outcomes)):
-        rows.hint("rebalance", run).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            run
-        ).parquet(f"{path}/{name}")
+        target = f"{path}/{name}"
+        fresh = rows.withColumn("bucket", error_bucket(F.col(run), buckets))
+        if exists(rows.sparkSession, target):
+            held = rows.sparkSession.read.schema(fresh.schema).parquet(target)
+            touched = held.join(fresh.select("bucket").distinct(), "bucket", "left_semi")
+            others = touched.join(fresh.select(run).distinct(), run, "left_anti").select(*fresh.columns)
+            # The folders that are read are the ones to be replaced, so the rows are stored in between.
+            fresh = stored(others.union(fresh), f"errors-{name}")
+        (
+            fresh.hint("rebalance", "bucket")
+            .sortWithinPartitions("bucket", run)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**_bloom(run))
+            .option("parquet.block.row.count.limit", "65536")
+            .partitionBy("bucket")
+            .parquet(target)
+        )
+
+
+def read_errors(spark: SparkSession, path: str, name: str, run: str | None = None, key: str = "run_id", buckets: int = ERROR_BUCKETS) -> DataFrame:
+    """The table ``name`` (``diagnostics`` or ``roundtrip``), or one run's rows of it: one folder, and there few row groups, are read."""
+    rows = spark.read.parquet(f"{path}/{name}")
+    if run is not None:
+        rows = rows.filter((F.col("bucket") == error_bucket(F.lit(run), buckets)) & (F.col(key) == F.lit(run)))
+    return rows.drop("bucket")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def _bloom(column: str, distinct: int = 10_000) -> dict[str, str]:
+    """Options for a bloom filter on a column of each row group, for that many distinct values."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true", f"parquet.bloom.filter.expected.ndv#{column}": str(distinct)}

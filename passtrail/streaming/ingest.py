@@ -48,7 +48,7 @@ def merge_batch(
     listed = cp.complete_elements(validity.valid_only(cp.explode_snapshots(runs.of_documents(documents))))
     texts = spark.read.format("binaryFile").load(folders)
     found = stored(cp.dedup_latest(listed.join(texts.select("path"), "path", "left_semi")), "ingest-found")
-    held = tables.read_corpus(spark, out) if _exists(spark, out) else spark.createDataFrame([], tables.CORPUS_TYPE)
+    held = tables.read_corpus(spark, out) if sinks.exists(spark, out) else spark.createDataFrame([], tables.CORPUS_TYPE)
     best = held.select(*_KEY, F.struct("run_timestamp", (-F.col("pass_index")).alias("place")).alias("held"))
     newer = F.col("held").isNull() | (F.struct("run_timestamp", (-F.col("pass_index")).alias("place")) >= F.col("held"))
     winners = stored(found.join(best, _KEY, "left").filter(newer).drop("held", "manifest_pos", "filename", "roundtrip_status"), "ingest-winners")
@@ -64,11 +64,6 @@ def merge_batch(
     return count
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
 def ingest_new_runs(
     spark: SparkSession, root: str, out: str, state: str, ingest_utc: str, files_per_batch: int = 1000, **settings
 ) -> None:

@@ -299,6 +299,59 @@ def test_error_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "e/roundtrip")).first().filename == "00_a.mlir"
 
 
+def scanned(rows):
+    """Rows that the file scans of a query gave to it, and the files that they read."""
+    rows.collect()
+    found, nodes = [0, 0], [rows._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            nodes.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan"):
+            for k, name in enumerate(("numOutputRows", "numFiles")):
+                found[k] += node.metrics().apply(name).value()
+        children = node.children()
+        nodes += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_errors_of_a_run_are_looked_up(spark, tmp_path):
+    """Folders are bounded, one run's rows come from one of them, and a run that is written again replaces its rows alone."""
+    out = str(tmp_path / "e")
+    lines = spark.range(6000).select(
+        F.concat(F.lit("r"), F.col("id") % 600).alias("run_id"), F.lit(0).alias("group_no"), F.col("id").cast("int").alias("line_no"), F.lit("error: x").alias("line")
+    )
+    outcomes = lines.select("run_id", F.concat(F.lit("f"), "line_no").alias("filename"))
+    sinks.write_error_tables(lines, outcomes, out, buckets=16)
+    assert len(glob.glob(f"{out}/diagnostics/bucket=*")) == 16 == len(glob.glob(f"{out}/roundtrip/bucket=*"))
+    one = sinks.read_errors(spark, out, "diagnostics", "r17", buckets=16)
+    assert sorted(r.line_no for r in one.collect()) == [17 + 600 * k for k in range(10)] and one.columns == lines.columns
+    rows, files = scanned(sinks.read_errors(spark, out, "diagnostics", "r17", buckets=16))
+    assert files == 1 and rows < 1000
+    again = lines.filter("run_id = 'r17'").withColumn("line", F.lit("error: y")).limit(3)
+    sinks.write_error_tables(again, outcomes.limit(0), out, buckets=16)
+    everything = sinks.read_errors(spark, out, "diagnostics")
+    assert everything.count() == 6000 - 7 and {r.line for r in everything.filter("run_id = 'r17'").collect()} == {"error: y"}
+    assert sinks.read_errors(spark, out, "roundtrip").count() == 6000
+    # A run that no file holds: its folder's bloom filter says so.
+    absent = next(f"r{k}" for k in range(1000, 2000) if not sinks.read_errors(spark, out, "diagnostics", f"r{k}", buckets=16).count())
+    assert scanned(sinks.read_errors(spark, out, "diagnostics", absent, buckets=16))[0] == 0
+
+
+def test_lookup_by_pass_skips_row_groups(spark, tmp_path):
+    rows = spark.range(8000).select(
+        F.concat(F.lit("b"), F.col("id") % 4).alias("benchmark_name"), F.lit("cuda-host").alias("source_lang"), F.col("id").cast("int").alias("pass_index"),
+        F.lit("C").alias("pass_class"), F.concat(F.lit("p"), (F.col("id") * 7919) % 8000).alias("pass_name"), F.lit("text").alias("ir_text"),
+        F.lit(4).cast("long").alias("ir_bytes"), F.lit(0).alias("ir_lines"), F.lit("s").alias("ir_sha256"), F.lit("p").alias("parent_sha256"),
+        F.lit(False).alias("truncated"), F.array(F.lit("cir")).alias("dialects_present"), F.lit("").alias("source_sha256"),
+        F.lit("t").alias("run_timestamp"), F.lit(STAMP).alias("corpus_ingest_utc"),
+    )
+    sinks.write_corpus(rows, str(tmp_path / "c"))
+    found = cp.lookup(tables.read_corpus(spark, str(tmp_path / "c")), pass_name="p4242").select("benchmark_name", "pass_index")
+    assert found.count() == 1 and scanned(found)[0] <= 2 * 512
+
+
 def test_latest_run_by_parsed_name(spark):
     rows = [("foo-20240101-000000", 5), ("foo-bar-20240101-000000", 9), ("foo-20240102-000000", 7)]
     found = chain.latest_run(runs.scan_runs(spark.createDataFrame(rows, "run_dir string, modified int"))).collect()
