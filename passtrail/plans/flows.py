@@ -201,6 +201,18 @@ def runs_status(manifest_rows: DataFrame, compiled: DataFrame, run: str = "run_i
     return rows.select(run, code.alias("exit_code")).withColumn("status", bx.status_of(F.col("exit_code")))
 
 
+def write_run_errors(spark: SparkSession, root: str, out: str, compiled: DataFrame) -> None:
+    """Diagnostics of the runs that failed to compile, and the round-trip outcomes of all runs, as tables at ``out``.
+
+    ``compiled`` has (run_id, compiler_exit), one row per run. Streams of runs that compiled are dropped where they are read.
+    """
+    failed = scale.settle(compiled.filter("compiler_exit <> 0").select("run_id"))
+    texts = scale.keep_by_key(streams.read_streams(spark, root).select("run_id", "stream"), failed, "run_id")
+    found = texts.select("run_id", F.inline(batch.diagnostics_of(F.col("stream"))))
+    outcomes = validity.roundtrip_outcomes(streams.read_run_lines(spark, root, "roundtrip.log"))
+    sinks.write_error_tables(found, outcomes, out)
+
+
 def summarize_batch(
     spark: SparkSession, attempts: DataFrame, logs_root: str, runs_root: str, timeout_seconds: int = 60
 ) -> DataFrame:

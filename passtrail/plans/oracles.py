@@ -296,6 +296,12 @@ ORACLES: dict[str, str] = {
           snapshots_kept, snapshot_count, pass_index as index, pass_class, pass_name, filename,
           cast(bytes as bigint) as bytes, lines, sha256, parent_sha256, roundtrip_status
         from chained c join n on n.run_id = c.run_id""",
+    "manifest_elements": f"""with {_CHAINED}
+        select 'b' || (run_id % 20) as benchmark_name, cast(run_id as varchar) as run_timestamp,
+          case when run_id % 5 = 2 then '' when run_id % 3 <> 0 then sha256(cast(run_id as varchar)) end as source_sha256,
+          cast(pass_index // 3 as bigint) * 2147483648 + pass_index % 3 as manifest_pos, 'runs/' || run_id || '/' || filename as path,
+          pass_index, pass_class, pass_name, filename, sha256 as manifest_sha256, parent_sha256, roundtrip_status
+        from chained where not (run_id % 7 = 3 and pass_index = 1)""",
     "valid_only": f"with {_SNAP} select run_id, pass_index, pass_name from snap where roundtrip_status = 'ok'",
     "dedup_latest": f"""with {_CHAINED}, {_LATEST} select benchmark_name, pass_name, run_timestamp, pass_index
         from latest""",

@@ -13,7 +13,7 @@ from passtrail.functions import text as tx
 from passtrail.operators import batch, block_spans, chain, packing, reports, scale, segments, spans, validity
 from passtrail.operators import corpus as cp
 from passtrail.plans import flows, views
-from passtrail.sinks.tables import to_manifests
+from passtrail.sinks.tables import MANIFEST_PART, to_manifests
 from passtrail.sources import runs as run_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,9 +185,8 @@ def run_status(spark, base):
     )
 
 
-@query
-def manifest_roundtrip(spark, base):
-    """Encode each run's manifest as JSON, decode it, and list its elements."""
+def _manifests(spark, base, part_size):
+    """(run_id, manifest_part, manifest) of all runs."""
     rows = _chained(spark, base).withColumns(
         {
             "index": F.col("pass_index"),
@@ -202,7 +201,13 @@ def manifest_roundtrip(spark, base):
             "stream_sha256": F.lit(None).cast("string"),
         }
     )
-    documents = to_manifests(rows, heads).withColumnRenamed("manifest", "raw")
+    return to_manifests(rows, heads, part_size=part_size)
+
+
+@query
+def manifest_roundtrip(spark, base):
+    """Encode each run's manifest as JSON, decode it, and list its elements."""
+    documents = _manifests(spark, base, MANIFEST_PART).withColumnRenamed("manifest", "raw")
     decoded = run_sources.decode_manifests(documents)
     return decoded.select(
         "run_id", "source_sha256", F.col("manifest.snapshots_kept").alias("snapshots_kept"),
@@ -210,6 +215,21 @@ def manifest_roundtrip(spark, base):
     ).filter("index is not null")
 
 
+@query
+def manifest_elements(spark, base):
+    """Candidates from manifests in parts, some of which lack the source hash's key or have an element whose index is no number."""
+    documents = _manifests(spark, base, 3)
+    keyless = F.regexp_replace("manifest", r'"source_sha256":(null|"[^"]*"),', "")
+    raw = F.when(F.col("run_id") % 5 == 2, keyless).otherwise(F.col("manifest"))
+    raw = F.when(F.col("run_id") % 7 == 3, F.replace(raw, F.lit('"index":1,'), F.lit('"index":"one",'))).otherwise(raw)
+    decoded = run_sources.decode_manifests(documents.withColumn("raw", raw)).select(
+        F.concat(F.lit("b"), F.col("run_id") % 20).alias("benchmark_name"), F.col("run_id").cast("string").alias("run_timestamp"),
+        F.concat(F.lit("runs/"), "run_id").alias("snapshot_dir"), "source_sha256", "manifest_part",
+        F.col("manifest.snapshots").alias("snapshots"),
+    )
+    return cp.complete_elements(cp.explode_snapshots(decoded))
+
+
 # Corpus
 
 

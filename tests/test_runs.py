@@ -316,6 +316,20 @@ def scanned(rows):
     return found
 
 
+def test_errors_of_a_run_tree(spark, tmp_path):
+    for run, stream in {"bad": "x.cu:1: error: no\nnote\nIn file included from a.h\n1 errors generated.\n", "good": "warning: fine\n"}.items():
+        (tmp_path / run).mkdir()
+        (tmp_path / run / "snapshot-stream.txt").write_text(stream)
+        (tmp_path / run / "roundtrip.log").write_text("OK   00_a.mlir\nDROP 01_b.mlir (roundtrip failed, exit 2)\n")
+    compiled = spark.createDataFrame([("bad", 1), ("good", 0)], "run_id string, compiler_exit int")
+    flows.write_run_errors(spark, str(tmp_path), str(tmp_path / "e"), compiled)
+    found = sinks.read_errors(spark, str(tmp_path / "e"), "diagnostics", "bad").orderBy("group_no", "line_no").collect()
+    assert [(r.group_no, r.line_no) for r in found] == [(0, 0), (0, 3), (1, 2)]
+    assert sinks.read_errors(spark, str(tmp_path / "e"), "diagnostics").count() == 3
+    outcomes = sinks.read_errors(spark, str(tmp_path / "e"), "roundtrip", "good").collect()
+    assert sorted((r.filename, r.outcome, r.exit_code) for r in outcomes) == [("00_a.mlir", "OK", None), ("01_b.mlir", "DROP", 2)]
+
+
 def test_errors_of_a_run_are_looked_up(spark, tmp_path):
     """Folders are bounded, one run's rows come from one of them, and a run that is written again replaces its rows alone."""
     out = str(tmp_path / "e")
