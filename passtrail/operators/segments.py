@@ -116,19 +116,6 @@ def segment_pieces(blocks: DataFrame, run: str = "run_id", block: str = "block",
     )
 
 
-def measure(snapshots: DataFrame, body: str = "body") -> DataFrame:
-    """File name, size, line count and hash of each snapshot body."""
-    text = F.col(body)
-    return snapshots.withColumns(
-        {
-            "filename": ir.snapshot_filename(F.col("index"), F.col("pass_name")),
-            "bytes": tx.byte_count(text),
-            "lines": tx.line_count(text),
-            "sha256": tx.sha256_hex(text),
-        }
-    )
-
-
 def hash_chain(
     snapshots: DataFrame, run: str = "run_id", index: str = "index", sha: str = "sha256", width: int = 65_536
 ) -> DataFrame:

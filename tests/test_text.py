@@ -133,6 +133,9 @@ def test_user_functions(spark):
         "llvm.func @__device_stub_std": True, "llvm.func @cudaLaunchX_std": True, "llvm.func @myKernel_random": True,
         "cir.func @iteration": False, "cir.func @stdout": False, "cir.func @helper": True, "cir.func @OPERATOR": False,
     }
+    lines = ["", "func @x", "cir.fun c", "!cir.func<x>", "  llvm.func @y", "llvm.funcir.func", *cases]
+    marked = strings.column(spark, lines, {"f": ir.is_function_line(T)})
+    assert [r["f"] for r in marked] == [("cir.func" in c or "llvm.func" in c) for c in lines]
     got = strings.column(spark, list(cases), {"u": ir.is_user_function(T), "p": ir.function_priority(T)})
     assert [r["u"] for r in got] == list(cases.values())
     priority = dict(zip(cases, (r["p"] for r in got)))
