@@ -181,6 +181,41 @@ def test_repeated_bytes(docs, settings):
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got) == want
 
 
+def test_repeated_bytes_take_rows_in_any_order():
+    """A shuffle gives the rows of a chunk in any order, another one in each stage."""
+    import numpy as np
+    import pyarrow as pa
+
+    text = "".join(chr(97 + k * k % 23) + str(k) for k in range(400))
+    texts = [text[:700], text[100:900], "z" + text[300:850], None, "short", "é" + text[250:800], text[100:900]]
+    ids = [5, 2, None, 4, 2, 1, 2]
+    rows = pa.table({"_id": pa.array(ids, pa.int64()), "_text": pa.array(texts), "_chunk": pa.array([0] * 7, pa.int64())})
+    other = rows.take([6, 3, 0, 5, 1, 4, 2])
+    settings = {"length": 400, "buckets": 1}
+    twice = suffix.common._found_twice(suffix._hashed(rows, **settings), False, False)
+    asked = suffix._asked((0,), other, twice, **settings)
+    kind = twice.schema.get_field_index("kind")
+    wanted = suffix.common._found_indexed(asked, False)
+    wanted = wanted.set_column(kind, "kind", pa.array([suffix.INDEX] * wanted.num_rows, pa.int32()))
+    segments = suffix._segments((0,), rows, pa.concat_tables([twice, wanted]), **settings)
+    found = suffix._sorted(segments.append_column("slices", pa.array([1] * segments.num_rows, pa.int32())), 400)
+    ranges = np.array([found["first"].to_pylist(), found["last"].to_pylist()]).T.astype(">i8")
+    assert len(ranges)
+    told = pa.concat_tables([twice, pa.table([[0] * len(ranges), [0] * len(ranges), [suffix.RANGE] * len(ranges), [r.tobytes() for r in ranges]], schema=twice.schema)])
+
+    def cut(table):
+        out = suffix._cut((0,), table, told, **settings).to_pylist()
+        return sorted((r["_id"] or 0, r["n_bytes"], r["n_removed"], str(r["spans"]), r["kept"]) for r in out)
+
+    count = collections.Counter(t[k : k + 400] for t in [(t or "").encode() for t in texts] for k in range(len(t) - 399))
+    want = []
+    for i, t in zip(ids, [(t or "").encode() for t in texts]):
+        gone = {p for k in range(len(t) - 399) if count[t[k : k + 400]] > 1 for p in range(k, k + 400)}
+        want.append((i or 0, len(t), len(gone), bytes(x for k, x in enumerate(t) if k not in gone)))
+    assert cut(rows) == cut(other)
+    assert sorted((r[0], r[1], r[2], r[4]) for r in cut(other)) == sorted(want)
+
+
 def test_suffix_array():
     import random
 
