@@ -7,7 +7,9 @@ down to where the function began; those are found per group of blocks, and from
 leaves open, as that one covers the later ones. Functions are nested or apart, so a block's own finds hold but for those that an earlier
 function covers, and this is told by the furthest end of all earlier ones.
 
-Neither a window nor a task ever holds more than ``width`` blocks of a text.
+Neither a window nor a task ever holds more than ``width`` blocks of a text. Small blocks are first joined to larger ones, so that
+most texts are one block, whose functions are found where it lies. For the others, what a block found travels once, beside narrow rows
+for places and ends.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from pyspark.sql import types as T
 
 from passtrail.functions import ir
 from passtrail.functions import text as tx
-from passtrail.operators.scale import running_max_before, running_total_before
+from passtrail.operators import spans
+from passtrail.operators.scale import fits_broadcast, running_max_before, running_total_before
 from passtrail.operators.scan import Lines
 from passtrail.operators.stores import stored
 
@@ -37,6 +40,7 @@ _ARROW = pa.struct(
         ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("open", pa.int32()), ("base", pa.int64()),
     ]
 )
+MERGED_BYTES = 8 << 20
 #: A block number beyond all others: the end of a function that is never closed.
 NEVER = (1 << 63) - 1
 
@@ -91,6 +95,43 @@ def block_summaries(blocks: DataFrame, keys: Sequence[str], block: str, text: st
     return found.select(*keys, "block", "s.n_lines", "s.net", "s.low", "s.falls", "s.base", "f.closed", "f.opened")
 
 
+def _run_of_numbers(blocks: DataFrame, keys: list[str], block: str, text: str, most_bytes: int) -> int:
+    """How many block numbers may be joined so that no joined block has more than ``most_bytes``, from sums over runs of 256 numbers."""
+    sizes = blocks.groupBy(*keys, F.floor(F.col(block).cast("long") / 256).alias("run"))
+    size = F.octet_length(text)
+    sizes = stored(sizes.agg(F.sum(size).alias("bytes"), F.max(size).alias("largest")), "span-sizes")
+    for several in (256, 16, 1):
+        joined = sizes.groupBy(*keys, F.floor(F.col("run") / several).alias("run")).agg(F.sum("bytes").alias("bytes"))
+        if (joined.agg(F.max("bytes")).first()[0] or 0) <= most_bytes:
+            return 256 * several
+    return min(256, most_bytes // sizes.agg(F.max("largest")).first()[0])
+
+
+def merged_blocks(blocks: DataFrame, keys: Sequence[str], block: str, text: str, most_bytes: int = MERGED_BYTES) -> DataFrame:
+    """The same texts in fewer blocks (keys, ``block``, ``text``): runs of block numbers are joined, so many that no block has more than
+    ``most_bytes``.
+
+    Runs of a large text go to different tasks. A block number that a text has twice is an error. Starts jobs.
+    """
+    keys = list(keys)
+    blocks = blocks.select(*keys, F.col(block).cast("long").alias(block), text)
+    run = _run_of_numbers(blocks, keys, block, text, most_bytes)
+    if run < 2:
+        return blocks
+    digits = len(str(run - 1))
+    place = F.lpad(F.pmod(F.col(block), F.lit(run)).cast("string"), digits, "0")
+    dealt = blocks.select(*keys, F.floor(F.col(block) / run).alias(block), F.concat(place, F.coalesce(F.col(text), F.lit(""))).alias("_part"))
+    parts = dealt.groupBy(*keys, block).agg(F.sort_array(F.collect_list("_part")).alias("_parts"))
+
+    def joined(p: Column) -> Column:
+        twice = F.size(F.array_distinct(F.transform(p, lambda x: F.left(x, F.lit(digits))))) < F.size(p)
+        return F.when(twice, F.raise_error(F.lit("a text has a block number twice")).cast("string")).otherwise(
+            F.array_join(F.transform(p, lambda x: F.substring(x, digits + 1, 1 << 30)), "")
+        )
+
+    return stored(parts.select(*keys, block, tx.let(F.col("_parts"), joined).alias(text)), "span-merged")
+
+
 def _first_low(units: pa.Table) -> pa.Table:
     """Within a group of units: for each one that asks, the first later unit whose low is not above its base.
 
@@ -151,7 +192,7 @@ def spans_in_blocks(
     """
     keys = list(keys)
     seen = stored(block_summaries(blocks, keys, block, text), "span-blocks")
-    placed = running_total_before(seen, keys, "block", "n_lines", "line", width)
+    placed = running_total_before(seen.drop("falls", "closed", "opened"), keys, "block", "n_lines", "line", width)
     placed = stored(running_total_before(placed, keys, "block", "net", "depth", width), "span-places")
     units = placed.select(
         *keys, F.col("block").alias("unit"), (F.col("depth") + F.col("low")).alias("low"), (F.col("depth") + F.col("base")).alias("base"),
@@ -163,15 +204,20 @@ def spans_in_blocks(
     # A function that an earlier one covers is none; one that begins in the block in which an earlier one ends is one.
     free = F.col("until").isNull() | (F.col("until") <= F.col("block"))
     own = stored(covered.withColumn("free", free).withColumn("valid", free & F.col("ends").isNotNull()), "span-own")
-    across = own.filter("valid").select(*keys, F.col("block").alias("start_block"), F.col("ends").alias("end_block"), "opened", F.col("line").alias("start_at"), (F.col("depth") + F.col("base")).alias("from"))
-    closing = own.select(*keys, F.col("block").alias("end_block"), F.col("line").alias("end_at"), F.col("depth").alias("end_depth"), "falls")
+    across = own.filter("valid").join(seen.filter("opened is not null").select(*keys, "block", "opened"), [*keys, "block"])
+    across = across.select(*keys, F.col("block").alias("start_block"), F.col("ends").alias("end_block"), "opened", F.col("line").alias("start_at"), (F.col("depth") + F.col("base")).alias("from"))
+    wanted = across.select(*keys, F.col("end_block").alias("block")).distinct()
+    falls = seen.select(*keys, "block", "falls").filter("size(falls) > 0").join(wanted, [*keys, "block"], "left_semi")
+    closing = own.select(*keys, "block", "line", "depth").join(falls, [*keys, "block"])
+    closing = closing.select(*keys, F.col("block").alias("end_block"), F.col("line").alias("end_at"), F.col("depth").alias("end_depth"), "falls")
     met = across.join(closing, [*keys, "end_block"], "left")
     fall = F.get(F.filter("falls", lambda f: F.col("end_depth") + f["depth"] <= F.col("from")), F.lit(0))["line"]
     totals = seen.groupBy(*keys).agg(F.sum("n_lines").alias("total"), F.max("block").alias("last_block"))
     crossing = stored(met.withColumn("end_line", F.col("end_at") + fall).drop("falls"), "span-crossing")
     # What a block found itself counts from where the function that it was in ends.
     until = crossing.filter(F.col("end_line").isNotNull()).select(*keys, F.col("end_block").alias("block"), "end_line")
-    mine = own.filter("free").join(until, [*keys, "block"], "left")
+    mine = own.filter("free").select(*keys, "block", "line").join(until, [*keys, "block"], "left")
+    mine = mine.join(seen.filter("size(closed) > 0").select(*keys, "block", "closed"), [*keys, "block"])
     later = F.filter("closed", lambda s: F.col("end_line").isNull() | (F.col("line") + s["start"] > F.col("end_line")))
     inside = mine.select(*keys, "block", "line", F.inline(later)).select(
         *keys, F.col("block").alias("start_block"), F.col("block").alias("end_block"), (F.col("line") + F.col("start")).alias("start_line"),
@@ -227,10 +273,30 @@ def function_pieces(
 
 
 def functions_in_blocks(
-    blocks: DataFrame, keys: Sequence[str] = ("run_id",), block: str = "block", text: str = "text", width: int = 4096
+    blocks: DataFrame, keys: Sequence[str] = ("run_id",), block: str = "block", text: str = "text", width: int = 4096,
+    most_bytes: int = MERGED_BYTES,
 ) -> DataFrame:
-    """The functions of texts in blocks with their bodies, as ``spans.functions`` gives them for whole texts. A body is one value."""
+    """The functions of texts in blocks with their bodies, as ``spans.functions`` gives them for whole texts. A body is one value.
+
+    Texts whose blocks were all joined into one are read where they lie; only the others are searched from block to block. Starts jobs.
+    """
     keys = list(keys)
+    blocks = merged_blocks(blocks.dropna(subset=keys), keys, block, text, most_bytes)
+    several = stored(blocks.filter(F.col(block) != 0).select(*keys).distinct(), "span-several")
+    one = blocks.filter(F.col(block) == 0)
+    if several.isEmpty():
+        return _functions_of_one(one, keys, text)
+    known = F.broadcast(several) if fits_broadcast(several) else several
+    long = _functions_of_several(blocks.join(known, keys, "left_semi"), keys, block, text, width)
+    return long.unionByName(_functions_of_one(one.join(known, keys, "left_anti"), keys, text))
+
+
+def _functions_of_one(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    found = spans.functions(texts.select(*keys, text), text)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("start_line", "end_line")})
+
+
+def _functions_of_several(blocks: DataFrame, keys: list[str], block: str, text: str, width: int) -> DataFrame:
     found = stored(spans_in_blocks(blocks, keys, block, text, width), "span-functions")
     pieces = function_pieces(blocks, found, keys, block, text, width)
     bodies = pieces.groupBy(*keys, "ordinal").agg(F.sort_array(F.collect_list(F.struct("block", "piece"))).alias("p"))

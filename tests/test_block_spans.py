@@ -68,3 +68,40 @@ def test_no_blocks(spark):
     assert block_spans.functions_in_blocks(empty).collect() == []
     quiet = spark.createDataFrame([(1, 0, None), (1, 1, ""), (2, 0, "} {\n")], "run_id int, block long, text string")
     assert block_spans.functions_in_blocks(quiet).collect() == []
+
+
+@pytest.mark.parametrize("most_bytes", [0, 60, 400, 3000, 1 << 20])
+def test_bodies_of_joined_blocks(spark, most_bytes):
+    """Whatever number of blocks is joined, some texts are one block and some are several."""
+    rng = random.Random(most_bytes)
+    data = texts()
+    rows = [(r, n - 3, t) for r, text in data.items() for n, t in cut(rng, text, 3)]
+    rows += [(2000, 0, "é\ncir.func @open {\n"), (2000, 1 << 40, "}\nop"), (None, 0, "cir.func @a()")]
+    blocks = spark.createDataFrame(rows, "run_id int, block long, text string").repartition(5)
+    got = block_spans.functions_in_blocks(blocks, width=8, most_bytes=most_bytes)
+    found = [(*tuple(r)[:7], r.body) for r in got.collect()]
+    want = expected({**data, 2000: "é\ncir.func @open {\n}\nop"})
+    assert set(found) == want and len(found) == len(want)
+    merged = block_spans.merged_blocks(blocks, ["run_id"], "block", "text", most_bytes)
+    longest = max(len(t.encode()) for _, _, t in rows)
+    assert all(len(r.text.encode()) <= max(most_bytes, longest) for r in merged.collect())
+
+
+def test_small_blocks_are_not_rows_of_every_pass(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(r, n, t) for r, text in texts().items() for n, t in cut(rng, text, 3)]
+    kept = []
+
+    def counted(found, name, keep=block_spans.stored):
+        kept.append(keep(found, name))
+        return kept[-1]
+
+    monkeypatch.setattr(block_spans, "stored", counted)
+    block_spans.functions_in_blocks(spark.createDataFrame(rows, "run_id int, block long, text string")).collect()
+    assert sum(k.count() for k in kept) < 3 * len(texts()) < len(rows)
+
+
+def test_repeated_block_numbers_are_an_error(spark):
+    twice = spark.createDataFrame([(1, 0, "cir.func @a()\n"), (1, 0, "cir.func @a()\n")], "run_id int, block long, text string")
+    with pytest.raises(Exception, match="block number twice"):
+        block_spans.functions_in_blocks(twice).collect()
