@@ -26,7 +26,7 @@ from passtrail.functions import ir
 from passtrail.functions import text as tx
 from passtrail.operators import spans
 from passtrail.operators.scale import fits_broadcast, running_max_before, running_total_before
-from passtrail.operators.scan import Lines
+from passtrail.operators.scan import Lines, give_back, slices, small_batches
 from passtrail.operators.stores import stored
 
 _SUMMARY = (
@@ -73,7 +73,11 @@ def block_summaries(blocks: DataFrame, keys: Sequence[str], block: str, text: st
 
     @F.arrow_udf(_SUMMARY)
     def summary(texts: pa.Array) -> pa.Array:
-        return pa.array(summaries_of([t or b"" for t in texts.cast(pa.binary()).to_pylist()]), _ARROW)
+        found = [summary for part in slices(texts) for summary in summaries_of(part)]
+        give_back()
+        return pa.array(found, _ARROW)
+
+    small_batches(blocks.sparkSession)
 
     read = blocks.select(*keys, F.col(block).cast("long").alias("block"), F.col(text).alias("_text")).withColumn("s", summary("_text"))
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 
 from passtrail.operators import packing, scan, spans
@@ -155,3 +156,23 @@ def test_late_filter_gives_the_same_rows(spark, values):
 def test_negative_budget_is_refused(spark, values):
     with pytest.raises(ValueError):
         packing.signal(corpus(spark, values), -1)
+
+
+def test_a_batch_is_scanned_in_slices(spark, monkeypatch):
+    rng = random.Random(12)
+    texts = [None, "", *(random_text(rng, 400) for _ in range(300)), "cir.func @a() {\n" + "x" * 2_000_000 + "\n}", *(random_text(rng, 400) for _ in range(300)), None]
+    raw = [(t or "").encode() for t in texts]
+    want, seen = scan.spans_of(raw), []
+
+    def spans_of(part, found=scan.spans_of):
+        seen.append(part)
+        return found(part)
+
+    monkeypatch.setattr(scan, "spans_of", spans_of)
+    got = scan._arrays(pa.array(texts)).to_pylist()
+    assert [None if t is None else [{"start": a, "end": b} for a, b in w] for t, w in zip(texts, want)] == got
+    assert [t for part in seen for t in part] == raw
+    assert all(len(part) == 1 or sum(map(len, part)) <= 1 << 20 for part in seen) and scan._arrays(pa.array([], pa.string())).to_pylist() == []
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    scan.with_spans(spark.range(1).selectExpr("'a' as t"), "t", "s")
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000"
