@@ -94,9 +94,18 @@ def keep_by_key(wide: DataFrame, keys: DataFrame, on: str | list[str], limit_byt
     """Join wide rows (whole texts) to the selected key rows without shuffling the wide side while that is safe.
 
     The key side is measured first. Up to ``limit_bytes`` it is broadcast, so texts that were not selected are dropped
-    where they were read. Beyond that the join shuffles on ``on``, which is meant to be unique on both sides.
+    where they were read. Beyond that hashes of its keys are broadcast, if they are within the limit, to drop the others there, and
+    the join shuffles what is left on ``on``, which is meant to be unique on both sides.
     """
-    return wide.join(F.broadcast(keys) if fits_broadcast(keys, limit_bytes) else keys, on)
+    if fits_broadcast(keys, limit_bytes):
+        return wide.join(F.broadcast(keys), on)
+    names = [on] if isinstance(on, str) else list(on)
+    mark = F.xxhash64(*names).alias("_mark")
+    marks = keys.select(mark)
+    # Equal values of different types have different hashes.
+    if all(wide.schema[c].dataType == keys.schema[c].dataType for c in names) and fits_broadcast(marks, limit_bytes):
+        wide = wide.select("*", mark).join(F.broadcast(marks), "_mark", "left_semi").drop("_mark")
+    return wide.join(keys, on)
 
 
 def left_join_unique(

@@ -75,6 +75,18 @@ def test_broadcast_only_within_its_limit(corpus):
     assert "strategy=broadcast" in hinted and "strategy=broadcast" not in plain
 
 
+def test_rows_that_were_not_selected_are_dropped_before_the_shuffle(spark):
+    wide = spark.createDataFrame([(k % 50 if k % 7 else None, k, f"t{k}") for k in range(300)], "a long, b int, text string")
+    keys = spark.createDataFrame([(k % 50 if k % 3 else None, k, "x" * 1000) for k in range(0, 300, 10)], "a long, b int, info string")
+    want = sorted((k % 50, k, f"t{k}", "x" * 1000) for k in range(0, 300, 10) if k % 7 and k % 3)
+    for limit, semi in ((100_000, False), (1000, True), (10, False)):
+        kept = scale.keep_by_key(wide, keys, ["a", "b"], limit)
+        assert kept.columns == ["a", "b", "text", "info"] and sorted(map(tuple, kept.collect())) == want
+        assert ("LeftSemi" in kept._jdf.queryExecution().optimizedPlan().toString()) == semi
+    other = keys.withColumn("b", F.col("b").cast("long"))
+    assert sorted(map(tuple, scale.keep_by_key(wide, other, ["a", "b"], 1000).collect())) == want
+
+
 def test_hot_key_stays_in_bounded_groups(spark):
     rows = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("o"), F.lit(1).alias("v"))
     total = scale.running_total_before(rows, ["k"], "o", "v", "t", width=16)
