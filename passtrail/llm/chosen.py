@@ -454,6 +454,16 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(roots, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "paths-labels")
 
 
+def _opened(members: DataFrame, classes: DataFrame, level: int) -> DataFrame:
+    """The children of members (key, node, comp) of nodes that branch on. Classes are wide: they stay where they lie if the members are
+    measured to be few, and otherwise they move once."""
+    members = stored(members, "paths-open")
+    wide = classes.select("node", "n", "sketch", "tokens")
+    if fits_broadcast(members):
+        return branch(wide.join(F.broadcast(members), "node"), level)
+    return stored(branch(wide.join(members, "node"), level), "paths-children")
+
+
 def components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 2, similarity: tuple[int, int] = (80, 100),
     first: int = FIRST, trees: int = TREES, levels: int = LEVELS, small: int = SMALL, heavy: int = CELL_SHINGLES,
@@ -502,8 +512,7 @@ def components(
                 labels = _relabelled(labels, new)
             if last or level == deepest:
                 break
-            open_rows = many.select("key", "node").join(labels, "node").join(classes.select("node", "n", "sketch", "tokens"), "node")
-            rows = branch(open_rows, level)
+            rows = _opened(many.select("key", "node").join(labels, "node"), classes, level)
     least = classes.join(labels, "node").groupBy("comp").agg(F.min("id").alias("component_id"))
     of_class = labels.join(least, "comp").join(classes.select("node", "low", "high"), "node").select("low", "high", "component_id")
     told = common.tell_groups(found.filter("n > 0").select("id", "mark", "n", "low", "high"), ["low", "high"], of_class, F.struct("id", "mark"))

@@ -92,6 +92,30 @@ def test_components(spark, settings):
     assert collections.Counter(map(tuple, got.collect())) == brute_force(data)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_classes_do_not_move_again_for_nodes_that_branch_on(spark, monkeypatch, few):
+    """Members that fit a broadcast go to the classes; otherwise the children are stored, as they are read twice."""
+    data, seen, kept = mixed_table(), [], []
+
+    def branch(rows, level, trees=0, of=chosen.branch):
+        seen.extend([rows._jdf.queryExecution().optimizedPlan().toString()] * bool(level))
+        return of(rows, level, trees)
+
+    def stored(rows, name, of=chosen.stored):
+        kept.append(name)
+        return of(rows, name)
+
+    monkeypatch.setattr(chosen, "branch", branch)
+    monkeypatch.setattr(chosen, "stored", stored)
+    if not few:
+        monkeypatch.setattr(chosen, "fits_broadcast", lambda rows: False)
+    monkeypatch.setattr(chosen, "COPIES", 0)
+    got = chosen.components(frame(spark, data), small=4, levels=2)
+    assert collections.Counter(map(tuple, got.collect())) == brute_force(data)
+    assert seen and all(("strategy=broadcast" in plan) == few for plan in seen)
+    assert kept.count("paths-children") == (0 if few else len(seen))
+
+
 def test_other_sizes_and_similarities(spark):
     data = mixed_table()[::3]
     got = chosen.components(frame(spark, data), size=3, similarity=(1, 2)).collect()
