@@ -105,10 +105,11 @@ def corpus_from_snapshots(
     narrow = validity.valid_only(validity.annotate_roundtrip(snapshots.drop("body"), outcomes))
     listed = narrow.join(runs_of, "run_id").select(
         "run_id", "benchmark_name", "run_timestamp", "source_sha256", F.col("index").alias("pass_index"), "pass_class", "pass_name",
-        "parent_sha256", F.col("index").cast("long").alias("manifest_pos"),
+        F.col("index").cast("long").alias("manifest_pos"),
     )
     survivors = scale.settle(cp.dedup_latest(listed).drop("manifest_pos"))
-    bodies = snapshots.select("run_id", F.col("index").alias("pass_index"), "body")
+    # Hashes are most of a narrow row and decide nothing, so they come with the bodies.
+    bodies = snapshots.select("run_id", F.col("index").alias("pass_index"), "parent_sha256", "body")
     rows = scale.keep_by_key(bodies, survivors, ["run_id", "pass_index"])
     return cp.corpus_rows(rows.withColumns(cp.text_columns("body", cap_bytes)), ingest_utc, source_lang)
 

@@ -87,6 +87,31 @@ def test_rows_that_were_not_selected_are_dropped_before_the_shuffle(spark):
     assert sorted(map(tuple, scale.keep_by_key(wide, other, ["a", "b"], 1000).collect())) == want
 
 
+def test_hashes_are_not_shuffled_to_choose_survivors(spark, monkeypatch):
+    from passtrail.operators import segments
+    from passtrail.plans import flows
+
+    text = "// -----// IR Dump After A: a (m) //----- //\none %s\n// -----// IR Dump After B: b (m) //----- //\ntwo %s\n"
+    streams = spark.createDataFrame([(k, text % (k, k)) for k in range(6)], "run_id long, stream string")
+    snapshots = segments.segment_streams(streams)
+    outcomes = snapshots.select("run_id", "filename", F.when(F.col("run_id") == 5, "DROP").otherwise("OK").alias("outcome"), F.lit(0).alias("exit_code"))
+    runs_of = streams.selectExpr("run_id", "'b' || run_id % 2 as benchmark_name", "'t' || run_id as run_timestamp", "null as source_sha256")
+    runs_of = runs_of.withColumn("source_sha256", F.col("source_sha256").cast("string"))
+    plans = []
+
+    def settle(rows, keep=scale.settle):
+        plans.append(plan(rows))
+        return keep(rows)
+
+    monkeypatch.setattr(scale, "settle", settle)
+    rows = flows.corpus_from_snapshots(snapshots, outcomes, runs_of, "now").select("benchmark_name", "pass_name", "run_timestamp", "ir_sha256", "parent_sha256")
+    found = {tuple(r) for r in rows.collect()}
+    hashes = {(r.run_id, r.pass_name): (r.sha256, r.parent_sha256) for r in snapshots.collect()}
+    assert found == {(f"b{k % 2}", p, f"t{k}", *hashes[k, p]) for k in (3, 4) for p in ("a", "b")}
+    assert all(h[1] == hashes[k, "a"][0] for (k, p), h in hashes.items() if p == "b")
+    assert len(plans) == 1 and "parent_sha256" not in plans[0].split("Exchange")[0] and "max_by" in plans[0]
+
+
 def test_hot_key_stays_in_bounded_groups(spark):
     rows = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("o"), F.lit(1).alias("v"))
     total = scale.running_total_before(rows, ["k"], "o", "v", "t", width=16)
