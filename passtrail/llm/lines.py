@@ -7,18 +7,18 @@ first ``n - ceil(t n) + 1`` of each, so only those prefixes are joined, with fil
 on a bitmap: sets that differ in d words differ in at most d bits of a parity bitmap. Candidates are verified on the whole sets.
 A line goes if an earlier line is similar.
 
-Texts are read where they lie: once for the counts, once for a narrow row per line (hash of the set, bitmap, packed prefix), and again
-for the few documents whose lines must be verified or cut. A word's list of lines is
-searched in blocks, and a line takes one candidate from it, the nearest; only lines whose candidates all fail are searched again for
-all of them. So a cluster of similar lines gives about as many candidates as it has lines.
+Texts are read where they lie: once for the counts, once for the lines (hash of the set, place, bitmap, prefix), and again for the few
+documents whose lines must be verified or cut. Lines and the entries of their prefixes travel packed, dealt by set and by word. A
+word's list is ordered by size, so that a line meets only those of compatible sizes; long lists are cut in slices, each of which meets
+each. A line takes the nearest few candidates from a list; only lines whose candidates all fail and that have others are searched again
+for all of them. So a cluster of similar lines gives about as many candidates as it has lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,33 +27,53 @@ from passtrail.llm import common
 from passtrail.operators.scale import fits_broadcast
 from passtrail.operators.stores import stored
 
-BIN_BITS = 18
+BIN_BITS, PART_BITS = 18, 12
 _REST = np.uint64((1 << (64 - BIN_BITS)) - 1)
 SLICE = 4096
+#: A line emits this many candidates from a word's list; if there are more, it is said so.
+FEW = 2
+#: Prefix words are counted in 2^16 bins, to find the lists that have to be cut in slices.
+LIST_BITS = 16
+PAIRS = 1 << 20
 #: ``rank`` never falls as the id grows; equal ranks are told apart by the whole place, (id, mark, line), in the end.
 RANKS = 1 << 31
-LINES = "id bigint, mark bigint, rank bigint, line int, digest bigint, size int, bits bigint, prefix binary"
+LINE = np.dtype(
+    [("digest", "<i8"), ("there", "?"), ("id", "<i8"), ("mark", "<i8"), ("line", "<i4"), ("rank", "<u4"), ("size", "<u4"),
+     ("low", "<u8"), ("high", "<u8"), ("words", "<u4")]
+)
+ENTRY = np.dtype(
+    [("word", "<u4"), ("rank", "<u4"), ("size", "<u4"), ("place", "<u2"), ("open", "?"), ("digest", "<i8"), ("low", "<u8"), ("high", "<u8")]
+)
+#: Kinds of packed rows: lines with their prefixes, places of lines that repeat an earlier one, counts of prefix words by bin.
+FIRST, REPEAT, COUNT = 0, 1, 2
+PACKED = "bucket int, kind int, lines binary, words binary"
+ENTRIES = "bucket int, lo int, hi int, slices int, entries binary"
+PAIR = "line bigint, other bigint"
 _PLACE = ("id", "mark", "line")
-ENTRIES = "word bigint, digest bigint, rank bigint, size int, place int, bits bigint"
 
 
-def rarity(docs: DataFrame, text: str) -> np.ndarray:
-    """The rank of each bin of hashed words, by how often its words occur in the whole table."""
+def rarity(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
+    """The rank of each bin of hashed words, by how often its words occur in the whole table; and the number of all words."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BIN_BITS, np.int64)
         for part in common.batches(parts):
             hashes = common.words_of(common.octets(part.column(0)))[0]
             total += np.bincount((hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS)
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at])], names=["bin", "n"])
+        pieces = [total[k : k + (1 << PART_BITS)].tobytes() for k in range(0, len(total), 1 << PART_BITS)]
+        yield pa.record_batch([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["part", "counts"])
 
-    found = docs.select(text).mapInArrow(count, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b, np.int64) for b in table["counts"].to_pylist())
+        return pa.table({"part": table["part"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kinds = "part int, counts binary"
     counts = np.zeros(1 << BIN_BITS, np.int64)
-    counts[found["bin"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    for row in docs.select(text).mapInArrow(count, kinds).groupBy("part").applyInArrow(add, kinds).collect():
+        counts[row["part"] << PART_BITS : (row["part"] + 1) << PART_BITS] = np.frombuffer(row["counts"], np.int64)
     rank = np.empty(1 << BIN_BITS, np.uint64)
     rank[np.argsort(counts, kind="stable")] = np.arange(1 << BIN_BITS, dtype=np.uint64)
-    return rank
+    return rank, int(counts.sum())
 
 
 class Sets:
@@ -81,154 +101,281 @@ class Sets:
     def of(self, k: int) -> np.ndarray:
         return self.keys[self.starts[k] : self.starts[k] + self.sizes[k]]
 
-    def rows(self, similarity: float) -> dict[str, np.ndarray | list]:
-        """What is kept of each line that has words."""
+    def rows(self, similarity: float) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """What is kept of each line that has words, the texts that they are of, and the packed words of each prefix."""
         full = np.flatnonzero(self.sizes)
         size, start = self.sizes[full], self.starts[full]
+        out = np.zeros(len(full), LINE)
+        if not len(full):
+            return out, full, []
         spread = common.mixed(self.keys)
-        sums = np.add.reduceat(spread, start) if len(full) else np.zeros(0, np.uint64)
-        digest = common.mixed(sums ^ size.astype(np.uint64)).view(np.int64)
-        at = np.uint64(1) << (spread >> np.uint64(58))
-        bits = np.bitwise_xor.reduceat(at, start).view(np.int64) if len(full) else np.zeros(0, np.int64)
-        length = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
-        words = common.mixed(self.keys).astype(np.uint32).tobytes()
-        prefix = [words[4 * a : 4 * (a + n)] for a, n in zip(start.tolist(), length.tolist())]
-        return {"at": full, "digest": digest, "size": size, "bits": bits, "prefix": prefix}
+        out["digest"] = common.mixed(np.add.reduceat(spread, start) ^ size.astype(np.uint64)).view(np.int64)
+        at = np.uint64(1) << ((spread >> np.uint64(57)) & np.uint64(63))
+        upper = spread >> np.uint64(63) > 0
+        out["low"] = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), at), start)
+        out["high"] = np.bitwise_xor.reduceat(np.where(upper, at, np.uint64(0)), start)
+        out["size"], out["line"] = size, np.array(self.number)[full]
+        out["words"] = length = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
+        words = spread.astype(np.uint32).tobytes()
+        return out, np.array(self.text_of)[full], [words[4 * a : 4 * (a + n)] for a, n in zip(start.tolist(), length.tolist())]
 
 
-def line_rows(docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
-    """A narrow row for each line with words, from (id, mark, rank, text)."""
+def _packed(rows: list[tuple]) -> pa.Table:
+    names = [c.split()[0] for c in PACKED.split(", ")]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.batches(parts, 256):
-            sets = Sets(common.octets(part.column("_text")), rank)
-            rows = sets.rows(similarity)
-            texts = pa.array([sets.text_of[k] for k in rows["at"].tolist()], pa.int64())
-            numbers = pa.array([sets.number[k] for k in rows["at"].tolist()], pa.int32())
-            yield pa.record_batch(
-                [
-                    *[part.column(c).take(texts) for c in ("id", "mark", "rank")], numbers, pa.array(rows["digest"], pa.int64()),
-                    pa.array(rows["size"], pa.int32()), pa.array(rows["bits"], pa.int64()), pa.array(rows["prefix"], pa.binary()),
-                ],
-                names=[c.split()[0] for c in LINES.split(", ")],
-            )
 
-    return docs.select("id", "mark", "rank", "_text").mapInArrow(of, LINES)
+def _bucket(digests: np.ndarray, buckets: int) -> np.ndarray:
+    """The top bits of a digest."""
+    return (digests.view(np.uint64) >> np.uint64(64 - int(buckets).bit_length() + 1)).astype(np.int64)
 
 
-def prefix_entries(firsts: DataFrame) -> DataFrame:
-    """A row for each word of each prefix."""
+def _first_lines(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the first line of each set is, in the order of the sets, and the lines that come after it.
 
-    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.batches(parts):
-            blobs = part.column("prefix").to_pylist()
-            sizes = np.array([len(b) // 4 for b in blobs], np.int64)
-            words = np.frombuffer(b"".join(blobs), np.uint32).astype(np.int64)
-            rows = pa.array(np.repeat(np.arange(len(blobs)), sizes))
-            place = pa.array(np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes), pa.int32())
-            digest, rank, size, bits = (part.column(c).take(rows) for c in ("digest", "rank", "size", "bits"))
-            yield pa.record_batch([pa.array(words), digest, rank, size, place, bits], names=[c.split()[0] for c in ENTRIES.split(", ")])
+    A line that has the place of the first is the same line of a repeated row, and neither.
+    """
+    order = np.lexsort([lines[c] for c in ("line", "mark", "id", "there", "digest")])
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = lines["digest"][order[1:]] != lines["digest"][order[:-1]]
+    first = order[fresh]
+    leader = first[np.cumsum(fresh) - 1]
+    later = np.zeros(len(order), bool)
+    for c in ("there", "id", "mark", "line"):
+        later |= lines[c][order] != lines[c][leader]
+    return first, order[later]
+
+
+def line_rows(docs: DataFrame, rank: np.ndarray, similarity: float, buckets: int) -> DataFrame:
+    """Packed lines with words, dealt by their sets, from (id, mark, rank, text): of lines equal within a task only the first."""
+
+    def send(held: list[tuple], turn: int) -> pa.RecordBatch:
+        lines, prefixes = np.concatenate([h[0] for h in held]), [p for h in held for p in h[1]]
+        first, later = _first_lines(lines)
+        rows = [(turn % buckets, REPEAT, lines[later].tobytes(), b"")] if len(later) else []
+        bucket = _bucket(np.ascontiguousarray(lines["digest"][first]), buckets)
+        order = np.argsort(bucket, kind="stable")
+        first, bucket = first[order], bucket[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            rows.append((int(bucket[a]), FIRST, lines[first[a:b]].tobytes(), b"".join(prefixes[i] for i in first[a:b].tolist())))
+        return _packed(rows).to_batches()[0]
 
-    return firsts.select("digest", "rank", "size", "bits", "prefix").mapInArrow(of, ENTRIES)
+    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, turn = [], 0, 0
+        for part in common.batches(parts, 256):
+            lines, texts, prefixes = Sets(common.octets(part.column("_text")), rank).rows(similarity)
+            if not len(lines):
+                continue
+            there = part.column("id").is_valid().to_numpy(zero_copy_only=False)
+            lines["there"], lines["id"] = there[texts], part.column("id").fill_null(0).to_numpy()[texts]
+            lines["mark"], lines["rank"] = part.column("mark").to_numpy()[texts], part.column("rank").to_numpy()[texts]
+            held.append((lines, prefixes))
+            size += len(lines)
+            if size >= 1 << 16:
+                yield send(held, turn)
+                held, size, turn = [], 0, turn + 1
+        if held:
+            yield send(held, turn)
+
+    return docs.select("id", "mark", "rank", "_text").mapInArrow(of, PACKED)
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The lines of packed rows, and the words of their prefixes."""
+    lines = np.frombuffer(b"".join(table["lines"].to_pylist()), LINE)
+    return lines, np.frombuffer(b"".join(table["words"].to_pylist()), np.uint32)
+
+
+def _of_kind(table: pa.Table, kind: int) -> pa.Table:
+    return table.filter(pa.array(table["kind"].to_numpy() == kind))
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the runs that begin at ``starts``."""
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
+
+def _classes(table: pa.Table) -> pa.Table:
+    """The first line of each set, in packed rows of bounded size; the other lines; how often prefix words fall into each bin."""
+    number = table["bucket"][0].as_py()
+    rows = [(number, REPEAT, b, b"") for b in _of_kind(table, REPEAT)["lines"].to_pylist()]
+    lines, words = _unpacked(_of_kind(table, FIRST))
+    if len(lines):
+        first, later = _first_lines(lines)
+        if len(later):
+            rows.append((number, REPEAT, lines[later].tobytes(), b""))
+        sizes = lines["words"].astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        counts = np.zeros(1 << LIST_BITS, np.int64)
+        for a in range(0, len(first), 1 << 14):
+            some = first[a : a + (1 << 14)]
+            kept = words[_runs(starts[some], sizes[some])]
+            counts += np.bincount(kept >> np.uint32(32 - LIST_BITS), minlength=len(counts))
+            rows.append((number, FIRST, lines[some].tobytes(), kept.tobytes()))
+        rows.append((number, COUNT, counts.astype(np.uint32).tobytes(), b""))
+    return _packed(rows)
+
+
+def long_lists(classes: DataFrame, slice_size: int) -> dict[int, int]:
+    """The slices of each bin that holds many prefix words: more than ``slice_size``, and than four times the mean."""
+
+    def split(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for b in part.column("lines").to_pylist():
+                step = 4 << 12
+                pieces = [b[k : k + step] for k in range(0, len(b), step)]
+                yield pa.record_batch([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["part", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b, np.uint32).astype(np.int64) for b in table["counts"].to_pylist())
+        return pa.table({"part": table["part"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kinds = "part int, counts binary"
+    sums = classes.filter(F.col("kind") == COUNT).select("lines").mapInArrow(split, kinds).groupBy("part").applyInArrow(add, kinds)
+    total = np.zeros(1 << LIST_BITS, np.int64)
+    for row in sums.collect():
+        total[row["part"] << 12 : (row["part"] + 1) << 12] = np.frombuffer(row["counts"], np.int64)
+    most = max(slice_size, 4 * int(total.sum()) >> LIST_BITS)
+    return {int(k): int(-(-total[k] // most)) for k in np.flatnonzero(total > most)}
 
 
 # ------------------------------------------------------------------------------------------------------------ candidates
 
 
-def _passing(rows: pd.DataFrame, asks: np.ndarray, gives: np.ndarray, similarity: float) -> np.ndarray:
-    """Bits in which two lines of a word's list differ, for each (asking, giving) pair; 255 where a filter rules the pair out."""
-    size, place, rank, digest = (rows[c].to_numpy() for c in ("size", "place", "rank", "digest"))
-    bits = rows["bits"].to_numpy().view(np.uint64)
-    sa, sb = size[asks][:, None].astype(np.int64), size[gives][None, :].astype(np.int64)
-    need = np.ceil(similarity / (1 + similarity) * (sa + sb) - 1e-9).astype(np.int64)
-    at_most = np.minimum(sa - place[asks][:, None], sb - place[gives][None, :])
-    differ = np.bitwise_count(bits[asks][:, None] ^ bits[gives][None, :]).astype(np.int64)
-    good = (rank[gives][None, :] <= rank[asks][:, None]) & (digest[gives][None, :] != digest[asks][:, None]) & (at_most >= need) & (differ <= sa + sb - 2 * need)
-    good &= np.minimum(sa, sb) >= np.ceil(similarity * np.maximum(sa, sb) - 1e-9)
-    return np.where(good, np.minimum(differ, 254), 255)
-
-
-def _candidates(rows: pd.DataFrame, lo: int, hi: int, every: bool, similarity: float) -> Iterator[tuple[int, int]]:
-    """(set, set of an earlier line) for a word's list, or for two of its slices, in blocks."""
-    line, part, asking = rows["digest"].to_numpy(), rows["slice"].to_numpy(), rows["open"].to_numpy()
-    for mine, other in {(lo, hi), (hi, lo)}:
-        asks, gives = np.flatnonzero((part == mine) & asking), np.flatnonzero(part == other)
-        for a in range(0, len(asks), 256):
-            some = asks[a : a + 256]
-            differ = _passing(rows, some, gives, similarity)
-            if every:
-                for x, y in zip(*np.nonzero(differ < 255)):
-                    yield int(line[some[x]]), int(line[gives[y]])
-            elif len(gives):
-                best = np.argmin(differ, axis=1)
-                for x in np.flatnonzero(differ[np.arange(len(some)), best] < 255):
-                    yield int(line[some[x]]), int(line[gives[best[x]]])
-
-
-_ITEM = ("word", "lo", "hi", "digest", "rank", "size", "place", "bits", "open", "slice")
-
-
-def _pairs(entries: DataFrame, similarity: float, every: bool, slice_size: int = SLICE) -> DataFrame:
-    """Candidates (line, other), by their sets, among entries; ``open`` marks the lines that ask."""
-    large = stored(entries.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slice_size), "lines-large")
-    large = large.select("word", F.ceil(F.col("n") / slice_size).cast("int").alias("slices"))
-    cut = entries.join(large, "word", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-    cut = cut.withColumn("slice", F.pmod(F.xxhash64("digest"), F.col("slices")).cast("int"))
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("slices") - 1),
-        lambda t: F.struct(F.least(t, F.col("slice")).alias("lo"), F.greatest(t, F.col("slice")).alias("hi")),
-    )
-    dealt = cut.withColumn("m", F.explode(meets)).select("word", "m.lo", "m.hi", *_ITEM[3:]).repartition("word", "lo", "hi")
+def _entries(table: pa.Table, asks: np.ndarray | None, bins: np.ndarray | None, buckets: int, long: dict[int, int]) -> pa.Table:
+    """Packed entries of the prefixes of first lines, dealt by word; words of long lists by slices, each of which meets each.
 
-    def of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns, begin, end in common.whole_groups(parts, 3):
-            rows = pd.DataFrame(dict(zip(_ITEM, columns)))
-            found = list(_small(rows, begin, end, similarity)) if not every else []
-            for x, y in zip(begin.tolist(), end.tolist()):
-                if every or y - x > FEW:
-                    found += _candidates(rows.iloc[x:y], int(columns[1][x]), int(columns[2][x]), every, similarity)
-            yield pa.record_batch([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["line", "other"])
-
-    return dealt.sortWithinPartitions("word", "lo", "hi").mapInArrow(of, "line bigint, other bigint")
-
-
-#: Lists up to this length are compared all at once.
-FEW = 16
-
-
-def _small(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray, similarity: float) -> Iterator[tuple[int, int]]:
-    """The candidates of all short lists: their rows at each distance from one another."""
-    short = end - begin <= FEW
-    group = np.full(len(rows), -1)
-    edge = np.zeros(len(rows) + 1, np.int64)
-    edge[begin[short]] += 1
-    edge[end[short]] -= 1
-    few = np.cumsum(edge[:-1]) > 0
-    turns = np.zeros(len(rows), np.int64)
-    turns[begin[short]] = 1
-    group[few] = np.cumsum(turns)[few]
-    line, rank, size, place = (rows[c].to_numpy().astype(np.int64) for c in ("digest", "rank", "size", "place"))
-    bits, asking = rows["bits"].to_numpy().view(np.uint64), rows["open"].to_numpy()
-    for gap in range(1, min(FEW, int((end - begin)[short].max(initial=0)))):
-        a = np.flatnonzero((group[gap:] == group[:-gap]) & few[gap:])
-        b = a + gap
+    With ``bins``, only words of those bins, and only lines of ``asks`` are open.
+    """
+    rows: list[tuple] = []
+    for at in range(table.num_rows):
+        lines, words = _unpacked(table.slice(at, 1))
+        sizes = lines["words"].astype(np.int64)
+        line = np.repeat(np.arange(len(lines)), sizes)
+        list_bin = (words >> np.uint32(32 - LIST_BITS)).astype(np.int64)
+        entries = np.zeros(len(words), ENTRY)
+        entries["word"] = words
+        entries["place"] = np.minimum(np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes), 65535)
+        for c in ("rank", "size", "digest", "low", "high"):
+            entries[c] = lines[c][line]
+        entries["open"] = True if asks is None else np.isin(lines["digest"], asks)[line]
+        if bins is not None:
+            entries, list_bin = entries[bins[list_bin]], list_bin[bins[list_bin]]
+        slices = np.ones(1 << LIST_BITS, np.int64)
+        slices[list(long)] = list(long.values())
+        much = slices[list_bin] > 1
+        plain = entries[~much]
+        bucket = (plain["word"].astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        plain, bucket = plain[order], bucket[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]).tolist() if len(bucket) else [0]
+        rows += [(int(bucket[a]), 0, 0, 1, plain[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+        for k in np.unique(list_bin[much]).tolist():
+            mine = entries[list_bin == k]
+            n = int(slices[k])
+            part = _slice(mine["digest"], n)
+            for x in np.unique(part).tolist():
+                blob = mine[part == x].tobytes()
+                rows += [(buckets + k, min(x, y), max(x, y), n, blob) for y in range(n)]
+    names = [c.split()[0] for c in ENTRIES.split(", ")]
+    kinds = [pa.int32()] * 4 + [pa.binary()]
+    return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+
+
+def _slice(digests: np.ndarray, slices: int) -> np.ndarray:
+    return (common.mixed(np.ascontiguousarray(digests).view(np.uint64)) % np.uint64(slices)).astype(np.int64)
+
+
+def _candidates(table: pa.Table, similarity: float, few: int | None) -> pa.Table:
+    """(set, set of an earlier line) among the lists of a bucket, or between two slices of long lists: what passes the filters.
+
+    A word's list is ordered by size, so that a line meets only those of compatible sizes. With ``few``, a line takes the nearest
+    few of a block's candidates, and a pair with itself says that there are others.
+    """
+    entries = np.frombuffer(b"".join(table["entries"].to_pylist()), ENTRY)
+    lo, hi, slices = (table[c][0].as_py() for c in ("lo", "hi", "slices"))
+    key = (entries["word"].astype(np.uint64) << np.uint64(32)) | entries["size"]
+    order = np.argsort(key, kind="stable")
+    key, entries = key[order], entries[order]
+    size, place, rank, digest, low, high, asking = (
+        np.ascontiguousarray(entries[c]) for c in ("size", "place", "rank", "digest", "low", "high", "open")
+    )
+    size = size.astype(np.int64)
+    longest = np.minimum(np.floor(size / similarity + 1e-6), float((1 << 32) - 1)).astype(np.uint64)
+    end = np.searchsorted(key, (key & ~np.uint64((1 << 32) - 1)) | longest, side="right")
+    count = end - np.arange(len(key)) - 1
+    part = _slice(digest, slices) if hi > lo else None
+    after = np.concatenate([[0], np.cumsum(count)])
+    lines, others, at = [], [], 0
+    while at < len(key):
+        stop = max(at + 1, int(np.searchsorted(after, after[at] + PAIRS, side="right")) - 1)
+        a = np.repeat(np.arange(at, stop), count[at:stop])
+        b = _runs(np.arange(at, stop) + 1, count[at:stop])
+        at = stop
+        good = asking[a] | asking[b]
+        if part is not None:
+            good &= part[a] != part[b]
         need = np.ceil(similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9).astype(np.int64)
-        differ = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64)
-        good = (np.minimum(size[a] - place[a], size[b] - place[b]) >= need) & (differ <= size[a] + size[b] - 2 * need) & (line[a] != line[b])
-        good &= np.minimum(size[a], size[b]) >= np.ceil(similarity * np.maximum(size[a], size[b]) - 1e-9)
-        for late, early in ((a, b), (b, a)):
-            some = good & asking[late] & (rank[early] <= rank[late])
-            yield from zip(line[late[some]].tolist(), line[early[some]].tolist())
+        good &= (np.minimum(size[a] - place[a], size[b] - place[b]) >= need) & (size[a] >= np.ceil(similarity * size[b] - 1e-9))
+        a, b, need = a[good], b[good], need[good]
+        differ = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
+        good = (differ <= size[a] + size[b] - 2 * need) & (digest[a] != digest[b])
+        a, b, differ = a[good], b[good], differ[good]
+        late, early, differ = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([differ, differ])
+        good = asking[late] & (rank[early] <= rank[late])
+        late, early, differ = late[good], early[good], differ[good]
+        if few is not None:
+            order = np.lexsort((differ, late))
+            late, early = late[order], early[order]
+            far = np.zeros(len(late), bool)
+            far[few:] = late[few:] == late[:-few]
+            more = np.unique(late[far])
+            late, early = np.concatenate([late[~far], more]), np.concatenate([early[~far], more])
+        lines.append(digest[late])
+        others.append(digest[early])
+    found = np.unique(np.stack([np.concatenate(lines), np.concatenate(others)], axis=1), axis=0) if lines else np.zeros((0, 2), np.int64)
+    return pa.table({"line": pa.array(found[:, 0]), "other": pa.array(found[:, 1])})
+
+
+def _pairs(entries: DataFrame, similarity: float, few: int | None) -> DataFrame:
+    """Candidates (line, other), by their sets, among packed entries."""
+    return entries.groupBy("bucket", "lo", "hi").applyInArrow(common.on_group(_candidates, similarity=similarity, few=few), PAIR)
+
+
+def _met(classes: DataFrame, digests: DataFrame, sets: int, function: Callable, schema: str, **settings) -> DataFrame:
+    """A function of first lines and of some of their digests, by buckets of sets."""
+    asked = digests.select(F.shiftrightunsigned("digest", 65 - sets.bit_length()).cast("int").alias("bucket"), "digest")
+    firsts = classes.filter(F.col("kind") == FIRST).groupBy("bucket")
+    return firsts.cogroup(asked.groupBy("bucket")).applyInArrow(common.on_pair(function, **settings), schema)
+
+
+def _places(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
+    lines = np.frombuffer(b"".join(table["lines"].to_pylist()), LINE)
+    lines = lines[np.isin(lines["digest"], asked["digest"].to_numpy())]
+    return _as_rows(lines)
+
+
+def _as_rows(lines: np.ndarray) -> pa.Table:
+    there = np.ascontiguousarray(lines["there"])
+    ids = pa.array(np.ascontiguousarray(lines["id"]), mask=~there)
+    return pa.table([pa.array(np.ascontiguousarray(lines["digest"])), ids, *[pa.array(np.ascontiguousarray(lines[c])) for c in ("mark", "line")]], names=["digest", *_PLACE])
+
+
+PLACES = "digest bigint, id bigint, mark bigint, line int"
 
 
-def _small_side(few: DataFrame) -> DataFrame:
-    return F.broadcast(few) if fits_broadcast(few) else few
+def _asked_bins(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
+    found = np.zeros(1 << LIST_BITS, bool)
+    lines, words = _unpacked(table)
+    hit = np.repeat(np.isin(lines["digest"], asked["digest"].to_numpy()), lines["words"])
+    found[words[hit] >> np.uint32(32 - LIST_BITS)] = True
+    return pa.table({"bin": pa.array(np.flatnonzero(found).astype(np.int32))})
 
 
-def _without(lines: DataFrame, repeats: DataFrame) -> DataFrame:
-    few = _small_side(repeats.distinct().withColumnsRenamed({"id": "_i", "mark": "_m", "line": "_l"}))
-    same = F.col("id").eqNullSafe(F.col("_i")) & (F.col("mark") == F.col("_m")) & (F.col("line") == F.col("_l"))
-    return lines.join(few, same, "left_anti")
+def _asked_entries(key: tuple, table: pa.Table, asked: pa.Table, bins: np.ndarray, buckets: int, long: dict[int, int]) -> pa.Table:
+    return _entries(table, asked["digest"].to_numpy(), bins, buckets, long)
 
 
 def _meet(docs: DataFrame, few: DataFrame) -> DataFrame:
@@ -238,11 +385,8 @@ def _meet(docs: DataFrame, few: DataFrame) -> DataFrame:
     return docs.join(few, F.col("id").eqNullSafe(F.col("_i")) & (F.col("mark") == F.col("_m")), "left").drop("_i", "_m")
 
 
-def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
-    """The lines (by digest) that have an earlier similar one among ``pairs``, by the whole sets."""
-    wanted = pairs.select(F.explode(F.array("line", "other")).alias("digest")).distinct()
-    wanted = firsts.select("digest", *_PLACE).join(wanted, "digest", "left_semi")
-    wanted = stored(wanted.dropDuplicates(["digest"]), "lines-wanted")
+def _verified(pairs: DataFrame, wanted: DataFrame, docs: DataFrame, rank: np.ndarray, similarity: float) -> DataFrame:
+    """The lines (by digest) that have an earlier similar one among ``pairs``, by the whole sets; ``wanted`` has all their places."""
     asked = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("line", "digest")).alias("asked"))
     found = _meet(docs, stored(asked, "lines-asked")).filter("asked is not null").select("_text", "asked")
 
@@ -296,27 +440,46 @@ def without_similar_lines(
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     mine = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("_text"))
-    rank = rarity(mine, "_text")
+    rank, words = rarity(mine, "_text")
+    # A bucket holds some 100,000 lines, or 500,000 entries.
+    sets, lists = max(2, common.power_of_two(words / (4 << 20))), common.power_of_two(words / (2 << 20))
     deal = common.ordered_chunk(mine, "id", RANKS)
-    lines = stored(line_rows(mine.withColumn("rank", deal(F.col("id"))), rank, similarity), "lines")
-    place = F.struct(F.col("id").isNotNull().alias("there"), *_PLACE)
-    several = lines.groupBy("digest").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    told = common.tell_groups(lines.select("digest", *_PLACE), ["digest"], several, F.col("mark"))
-    repeats = stored(told.filter(place != F.col("_first")).select(*_PLACE), "lines-repeats")
-    firsts = _without(lines, repeats)
-    entries = prefix_entries(firsts)
-    pairs = stored(_pairs(entries.withColumn("open", F.lit(True)), similarity, False, slice_size).distinct(), "lines-pairs")
-    near = stored(_verified(pairs, firsts, mine, rank, similarity), "lines-near")
-    # Lines whose candidates all failed are compared with every candidate.
-    again = pairs.select(F.col("line").alias("digest")).distinct().join(near, "digest", "left_anti")
-    again = _small_side(stored(again.withColumn("open", F.lit(True)), "lines-open"))
-    words = _small_side(stored(prefix_entries(firsts.join(again, "digest", "left_semi")).select("word").distinct(), "lines-words"))
-    listed = entries.join(words, "word", "left_semi").join(again, "digest", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    second = stored(_pairs(listed.select(*entries.columns, "open"), similarity, True, slice_size).distinct(), "lines-pairs")
-    second = second.join(pairs, ["line", "other"], "left_anti")
-    near = near.union(_verified(second, firsts, mine, rank, similarity)).distinct()
-    gone = repeats.union(firsts.join(near, "digest", "left_semi").select(*_PLACE))
-    gone = stored(gone.groupBy("id", "mark").agg(F.collect_set("line").alias("gone")), "lines-gone")
+    lines = line_rows(mine.withColumn("rank", deal(F.col("id"))), rank, similarity, sets)
+    classes = stored(lines.groupBy("bucket").applyInArrow(common.on_group(_classes), PACKED), "lines-classes")
+    long = long_lists(classes, slice_size)
+
+    def entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts, 1):
+            yield from _entries(pa.Table.from_batches([part]), None, None, lists, long).to_batches()
+
+    firsts = classes.filter(F.col("kind") == FIRST).select("lines", "words")
+    found = stored(_pairs(firsts.mapInArrow(entries, ENTRIES), similarity, FEW).distinct(), "lines-pairs")
+    pairs = found.filter("line <> other")
+
+    def places(some: DataFrame) -> DataFrame:
+        digests = some.select(F.explode(F.array("line", "other")).alias("digest")).distinct()
+        return stored(_met(classes, digests, sets, _places, PLACES), "lines-wanted")
+
+    wanted = places(pairs)
+    near = stored(_verified(pairs, wanted, mine, rank, similarity), "lines-near")
+    removed = wanted.join(near, "digest", "left_semi").select(*_PLACE)
+    # Lines whose candidates all failed and that have others are compared with every candidate.
+    again = stored(found.filter("line = other").select(F.col("line").alias("digest")).join(near, "digest", "left_anti"), "lines-open")
+    if not again.isEmpty():
+        bins = np.zeros(1 << LIST_BITS, bool)
+        bins[[r["bin"] for r in _met(classes, again, sets, _asked_bins, "bin int").distinct().collect()]] = True
+        listed = _met(classes, again, sets, _asked_entries, ENTRIES, bins=bins, buckets=lists, long=long)
+        second = stored(_pairs(listed, similarity, None).distinct().join(pairs, ["line", "other"], "left_anti"), "lines-pairs")
+        wanted = places(second)
+        near = _verified(second, wanted, mine, rank, similarity)
+        removed = removed.union(wanted.join(near, "digest", "left_semi").select(*_PLACE))
+
+    def repeated(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in common.batches(parts, 16):
+            yield from _as_rows(np.frombuffer(b"".join(part.column(0).to_pylist()), LINE)).to_batches()
+
+    repeats = classes.filter(F.col("kind") == REPEAT).select("lines").mapInArrow(repeated, PLACES).select(*_PLACE)
+    gone = stored(repeats.union(removed).groupBy("id", "mark").agg(F.collect_set("line").alias("gone")), "lines-gone")
 
     def clean(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts):

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import corpus
 import pytest
@@ -249,6 +250,33 @@ def test_similar_lines(docs):
         assert collections.Counter(map(tuple, got)) == collections.Counter((r[0], *want[r[0], r[1]]) for r in corpus.rows())
 
 
+def test_line_candidates(spark, monkeypatch):
+    """Lines that share rare words but are not alike give hardly any candidates, and candidates that fail cost no similar line."""
+    counted = collections.defaultdict(list)
+
+    def counting(rows, name, kept=lines.stored):
+        rows = kept(rows, name)
+        counted[name].append(rows.count())
+        return rows
+
+    def removed(parts):
+        rows = [(i, line, "en", 1, 1, "", "", 2, "") for i, line in enumerate(parts)]
+        return {r["doc_id"]: r["n_removed"] for r in lines.without_similar_lines(corpus.frame(spark, rows)).collect()}
+
+    monkeypatch.setattr(lines, "stored", counting)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{k}" for k in rng.sample(range(600), 120)) for _ in range(300)]
+    assert set(removed(texts).values()) == {0} and sum(counted["lines-pairs"]) < 30
+    # So long that no bitmap tells them apart: the nearest candidates are mostly false.
+    counted.clear()
+    monkeypatch.setattr(lines, "FEW", 1)
+    words = [rng.sample(range(3500), 2000) for _ in range(15)]
+    words += [rng.sample(w, 1850) + list(range(4000 + 150 * k, 4150 + 150 * k)) for k, w in enumerate(words)]
+    sets = [set(w) for w in words]
+    want = {i: int(any(len(s & o) >= 0.8 * len(s | o) for o in sets[:i])) for i, s in enumerate(sets)}
+    assert removed([" ".join(f"w{k}" for k in w) for w in words]) == want and sum(want.values()) == 15 and counted["lines-open"][0] > 0
+
+
 def test_empty_tables(nothing):
     assert exact.copy_groups(nothing).collect() == [] and exact.without_copies(nothing).collect() == []
     assert simhash.components(nothing).collect() == [] and simhash.without_near_copies(nothing).collect() == []
