@@ -34,7 +34,8 @@ SLICE = 4096
 FEW = 2
 #: Prefix words are counted in 2^16 bins, to find the lists that have to be cut in slices.
 LIST_BITS = 16
-PAIRS = 1 << 20
+#: Bytes of text, and pairs of entries, that are gone through at a time: their arrays stay in a core's cache.
+BLOCK, PAIRS = 1 << 17, 1 << 16
 #: ``rank`` never falls as the id grows; equal ranks are told apart by the whole place, (id, mark, line), in the end.
 RANKS = 1 << 31
 LINE = np.dtype(
@@ -58,7 +59,7 @@ def rarity(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << BIN_BITS, np.int64)
         for part in common.batches(parts):
-            hashes = common.words_of(common.octets(part.column(0)))[0]
+            hashes = common.words_of(common.octets(part.column(0)), block=BLOCK)[0]
             total += np.bincount((hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64), minlength=1 << BIN_BITS)
         pieces = [total[k : k + (1 << PART_BITS)].tobytes() for k in range(0, len(total), 1 << PART_BITS)]
         yield pa.record_batch([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["part", "counts"])
@@ -87,7 +88,7 @@ class Sets:
             self.text_of += [k] * len(lines)
             self.number += range(len(lines))
         self.count = len(parts)
-        hashes, line = common.words_of(parts)
+        hashes, line = common.words_of(parts, block=BLOCK)
         keys = (rank[(hashes >> np.uint64(64 - BIN_BITS)).astype(np.int64)] << np.uint64(64 - BIN_BITS)) | (hashes & _REST)
         order = np.argsort(keys)
         order = order[np.argsort(line[order].astype(np.uint16 if self.count <= 1 << 16 else np.int64), kind="stable")]
@@ -272,27 +273,28 @@ def _entries(table: pa.Table, asks: np.ndarray | None, bins: np.ndarray | None,
         plain, bucket = plain[order], bucket[order]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]).tolist() if len(bucket) else [0]
         rows += [(int(bucket[a]), 0, 0, 1, plain[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-        for k in np.unique(list_bin[much]).tolist():
-            mine = entries[list_bin == k]
-            n = int(slices[k])
-            part = _slice(mine["digest"], n)
-            for x in np.unique(part).tolist():
-                blob = mine[part == x].tobytes()
-                rows += [(buckets + k, min(x, y), max(x, y), n, blob) for y in range(n)]
+        mine, own = entries[much], list_bin[much]
+        part = _slice(mine["digest"], slices[own])
+        order = np.lexsort((part, own))
+        mine, own, part = mine[order], own[order], part[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(own) | np.diff(part)) + 1, [len(own)]]).tolist() if len(own) else [0]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            k, x, blob = int(own[a]), int(part[a]), mine[a:b].tobytes()
+            rows += [(buckets + k, min(x, y), max(x, y), long[k], blob) for y in range(long[k])]
     names = [c.split()[0] for c in ENTRIES.split(", ")]
     kinds = [pa.int32()] * 4 + [pa.binary()]
     return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
 
-def _slice(digests: np.ndarray, slices: int) -> np.ndarray:
-    return (common.mixed(np.ascontiguousarray(digests).view(np.uint64)) % np.uint64(slices)).astype(np.int64)
+def _slice(digests: np.ndarray, slices: int | np.ndarray) -> np.ndarray:
+    return (common.mixed(np.ascontiguousarray(digests).view(np.uint64)) % np.asarray(slices, np.uint64)).astype(np.int64)
 
 
 def _candidates(table: pa.Table, similarity: float, few: int | None) -> pa.Table:
     """(set, set of an earlier line) among the lists of a bucket, or between two slices of long lists: what passes the filters.
 
-    A word's list is ordered by size, so that a line meets only those of compatible sizes. With ``few``, a line takes the nearest
-    few of a block's candidates, and a pair with itself says that there are others.
+    A word's list is ordered by size, so that a line meets only those of compatible sizes. With ``few``, a line takes few candidates
+    from a list, the nearest of the block where they are found, and a pair with itself says that there are others.
     """
     entries = np.frombuffer(b"".join(table["entries"].to_pylist()), ENTRY)
     lo, hi, slices = (table[c][0].as_py() for c in ("lo", "hi", "slices"))
@@ -308,6 +310,7 @@ def _candidates(table: pa.Table, similarity: float, few: int | None) -> pa.Table
     count = end - np.arange(len(key)) - 1
     part = _slice(digest, slices) if hi > lo else None
     after = np.concatenate([[0], np.cumsum(count)])
+    taken = np.zeros(len(key), np.int64)
     lines, others, at = [], [], 0
     while at < len(key):
         stop = max(at + 1, int(np.searchsorted(after, after[at] + PAIRS, side="right")) - 1)
@@ -329,9 +332,12 @@ def _candidates(table: pa.Table, similarity: float, few: int | None) -> pa.Table
         if few is not None:
             order = np.lexsort((differ, late))
             late, early = late[order], early[order]
-            far = np.zeros(len(late), bool)
-            far[few:] = late[few:] == late[:-few]
+            fresh = np.ones(len(late), bool)
+            fresh[1:] = late[1:] != late[:-1]
+            turn = np.arange(len(late)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+            far = taken[late] + turn >= few
             more = np.unique(late[far])
+            np.add.at(taken, late[~far], 1)
             late, early = np.concatenate([late[~far], more]), np.concatenate([early[~far], more])
         lines.append(digest[late])
         others.append(digest[early])
@@ -392,13 +398,13 @@ def _verified(pairs: DataFrame, wanted: DataFrame, docs: DataFrame, rank: np.nda
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.batches(parts, 256):
-            lines = Sets(common.octets(part.column("_text")), rank)
-            begin = np.searchsorted(np.array(lines.text_of), np.arange(part.num_rows))
-            rows = [
-                (item["digest"], lines.of(int(begin[k]) + item["line"]).tobytes())
-                for k, asked in enumerate(part.column("asked").to_pylist())
-                for item in asked
-            ]
+            wanted, found = [], []
+            for text, asked in zip(common.octets(part.column("_text")), part.column("asked").to_pylist()):
+                all_lines = text.split(b"\n")
+                wanted += [item["digest"] for item in asked]
+                found += [all_lines[item["line"]] for item in asked]
+            lines = Sets(found, rank)
+            rows = [(digest, lines.of(k).tobytes()) for k, digest in enumerate(wanted)]
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["digest", "words"])
 
     # Rows that are equal in id and text give the same sets.

@@ -5,6 +5,8 @@ import hashlib
 import random
 
 import corpus
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -277,6 +279,20 @@ def test_line_candidates(spark, monkeypatch):
     assert removed([" ".join(f"w{k}" for k in w) for w in words]) == want and sum(want.values()) == 15 and counted["lines-open"][0] > 0
 
 
+def test_line_candidates_of_a_long_list(monkeypatch):
+    """A list that is gone through in many blocks gives each line a few candidates, not a few from each block."""
+    monkeypatch.setattr(lines, "PAIRS", 100)
+    entries = np.zeros(300, lines.ENTRY)
+    entries["digest"] = entries["rank"] = np.arange(300)
+    entries["size"], entries["open"] = 10, True
+    table = pa.table({"lo": [0], "hi": [0], "slices": [1], "entries": [entries.tobytes()]})
+    found = lines._candidates(table, 0.8, 2).to_pylist()
+    taken = collections.Counter(r["line"] for r in found if r["line"] != r["other"])
+    assert taken == {1: 1} | dict.fromkeys(range(2, 300), 2)
+    assert {r["line"] for r in found if r["line"] == r["other"]} == set(range(3, 300))
+    assert lines._candidates(table, 0.8, None).num_rows == 300 * 299 // 2
+
+
 def test_empty_tables(nothing):
     assert exact.copy_groups(nothing).collect() == [] and exact.without_copies(nothing).collect() == []
     assert simhash.components(nothing).collect() == [] and simhash.without_near_copies(nothing).collect() == []
