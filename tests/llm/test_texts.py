@@ -184,6 +184,27 @@ def test_repeated_bytes(docs, settings):
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got) == want
 
 
+def test_repeated_passages_go_from_400_bytes_on(spark):
+    """Bytes decide, not words: a passage of over 50 words goes from every text if the repeat that holds it has 400 bytes."""
+    rng = random.Random(9)
+
+    def passage(words, size):
+        text = " ".join(f"{k:02d}" + "".join(rng.choices("abcdefgh", k=3)) for k in range(words))
+        return text + "".join(rng.choices("abcdefgh", k=size - len(text)))
+
+    rows, want = [], {}
+    for words, size, around in [(59, 394, ""), (59, 394, "same"), (55, 399, ""), (55, 400, ""), (55, 401, ""), (65, 399, ""), (60, 450, "")]:
+        text = around + passage(words, size) + around
+        for k in range(2):
+            i = len(rows)
+            # What is next to the passage is another byte in each text.
+            rows.append((i, f"{i} begins{'xy'[k]}{text}{'yx'[k]}ends {i}", "en", 1, 1, "", "", 2, ""))
+            want[i] = len(text) if len(text) >= 400 else 0
+    got = suffix.repeated_bytes(corpus.frame(spark, rows)).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in got} == want
+    assert all(r["n_bytes"] == len(rows[r["doc_id"]][1]) for r in got)
+
+
 def test_repeated_bytes_take_rows_in_any_order():
     """A shuffle gives the rows of a chunk in any order, another one in each stage."""
     import numpy as np
